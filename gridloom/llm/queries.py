@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, quality_rules
+from . import exact_dedup, pii, quality_rules
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -13,6 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(table(spark, sf_dir))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir))
 
@@ -21,7 +25,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir)).drop("class_distance", "word_distance")
 
 
-QUERIES = {f.__name__: f for f in (op9_exact_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_pii, op9_exact_dedup, op10_quality_rules)}
 
 SQL = {
     "op9_exact_dedup": f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, pii, quality_rules
+from . import exact_dedup, packing, pii, quality_rules, token_files
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -17,6 +17,21 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir))
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """The place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir), vocabulary(), end_id=2)
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(spark, table(spark, sf_dir), vocabulary(), end_id=1)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir))
 
@@ -25,7 +40,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir)).drop("class_distance", "word_distance")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op9_exact_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_pii, op6_packing, op8_token_files, op9_exact_dedup, op10_quality_rules)}
 
 SQL = {
     "op9_exact_dedup": f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, pii, quality_rules, simhash, token_files
+from . import exact_dedup, mixing, packing, pii, quality_classifier, quality_rules, simhash, token_counts, token_files
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -24,14 +24,26 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_quality(table(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir), vocabulary(), end_id=2)
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_digest(table(spark, sf_dir))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(spark, table(spark, sf_dir), vocabulary(), end_id=1)
 
@@ -44,7 +56,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir)).drop("class_distance", "word_distance")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_simhash_near_dedup, op6_packing, op8_token_files, op9_exact_dedup, op10_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_pii, op2_quality_classifier, op3_simhash_near_dedup, op4_token_counts, op6_packing, op7_mixing, op8_token_files,
+        op9_exact_dedup, op10_quality_rules,
+    )
+}
 
 SQL = {
     "op9_exact_dedup": f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, pii, quality_classifier, quality_rules, simhash, token_counts, token_files
+from . import exact_dedup, mixing, packing, pii, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts, token_files
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -36,6 +36,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.shared_spans(table(spark, sf_dir))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir), vocabulary(), end_id=2)
 
@@ -59,8 +63,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_pii, op2_quality_classifier, op3_simhash_near_dedup, op4_token_counts, op6_packing, op7_mixing, op8_token_files,
-        op9_exact_dedup, op10_quality_rules,
+        op1_pii, op2_quality_classifier, op3_simhash_near_dedup, op4_token_counts, op5_suffix_dedup, op6_packing, op7_mixing,
+        op8_token_files, op9_exact_dedup, op10_quality_rules,
     )
 }
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows up to which a side that was counted is broadcast; larger ones are joined by a shuffle.
-BROADCAST_ROWS = 400_000
+BROADCAST_ROWS = 100_000
 
 _own_dirs: dict[str, str] = {}
 

@@ -160,11 +160,11 @@ def _(spark, sf):
     return segments.cut_fields(raster(spark, sf).withColumn("m", F.when(c("value") > 8, 1).otherwise(0)), [], "m", N_COLS)
 
 
-@query("op_F17_histogram_matched", """WITH a AS (SELECT p_size AS v, count(*) AS n FROM part GROUP BY 1), b AS (SELECT p_size AS v, count(*) AS n FROM part WHERE p_retailprice > 950 GROUP BY 1),
+@query("op_F17_histogram_matched", """WITH a AS (SELECT p_size AS v, count(*) AS n FROM part GROUP BY 1), b AS (SELECT p_size AS v, count(*) AS n FROM part WHERE p_size > 10 GROUP BY 1),
  x AS (SELECT v, round(sum(n) OVER (ORDER BY v) / CAST(sum(n) OVER () AS DOUBLE), 12) AS s FROM a), y AS (SELECT v, round(sum(n) OVER (ORDER BY v) / CAST(sum(n) OVER () AS DOUBLE), 12) AS s FROM b), l AS (SELECT x.v, min(y.v) AS matched FROM x JOIN y ON y.s >= x.s GROUP BY x.v) SELECT p_partkey, CAST(matched AS INTEGER) AS matched FROM part JOIN l ON p_size = v""")
 def _(spark, sf):
     p = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
-    return focal.equalised(p, p.filter("p_retailprice > 950"), "p_size").select("p_partkey", "matched")
+    return focal.equalised(p, p.filter("p_size > 10"), "p_size").select("p_partkey", "matched")
 
 
 @query("op_F18_resampled", f"WITH {RASTER} SELECT CAST(row // 4 AS INTEGER) AS row, CAST(col // 4 AS INTEGER) AS col, round(avg(value), 6) AS value FROM ras GROUP BY 1, 2")

@@ -6,6 +6,7 @@ zero, the missing value of the series.  Divisions by zero give 0.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 BANDS = ("blue", "green", "red", "nir", "swir1", "swir2")
 EPS = 1e-9
+Index = Callable[[dict[str, Column], str | None], Column]
 
 
 def half(ratio: Column) -> Column:
@@ -81,11 +83,29 @@ def msavi(b: dict[str, Column], param: str | None = None) -> Column:
     return (a - F.sqrt(F.greatest(a * a - 8 * (b["nir"] - b["red"]), F.lit(0.0)))) / 2
 
 
-def shadow_2(b: dict[str, Column], param: str | None = None) -> Column:
-    return F.sqrt((1 - b["blue"]) * (1 - b["green"]) * (1 - b["red"]))
+def to_unit(x: Column, low: float, high: float) -> Column:
+    """low..high as 0..1."""
+    return (x - low) / (high - low)
+
+
+def bare_soil(b: dict[str, Column]) -> Column:
+    return (b["swir1"] + b["red"] - b["nir"] - b["blue"]) / (b["swir1"] + b["red"] + b["nir"] + b["blue"] + EPS)
+
+
+def shadow(b: dict[str, Column], param: str | None = None) -> Column:
+    dark = clipped((1 - b["blue"]) * (1 - b["green"]) * (1 - b["red"]), -2.0, 1.0)
+    return to_unit(dark - to_unit(normalised(b["nir"], b["green"]), -1, 1) - to_unit(bare_soil(b), -1, 1), -2, 1)
+
+
+def log_unit(x: Column) -> Column:
+    """log of 0.01..1 as 0..1."""
+    return clipped(to_unit(F.ln(F.greatest(x, F.lit(1e-9))), math.log(0.01), 0.0), 0.0, 1.0)
+
+
+def log_product(a: str, b: str) -> Index:
+    return lambda bands, param=None: clipped(log_unit(bands[a]) * log_unit(bands[b]), 0.0, 1.0)
 
 
-Index = Callable[[dict[str, Column], str | None], Column]
 #: name: (bands, expression)
 INDICES: dict[str, tuple[tuple[str, ...], Index]] = {
     "ndvi": (("red", "nir"), lambda b, p=None: half(normalised(b["nir"], b["red"]))),
@@ -112,10 +132,16 @@ INDICES: dict[str, tuple[tuple[str, ...], Index]] = {
     "nbrV0": (("nir", "swir2"), lambda b, p=None: normalised(b["nir"], b["swir2"])),
     "ndmiV0": (("nir", "swir1"), lambda b, p=None: F.when(normalised(b["nir"], b["swir1"]) < 0, F.lit(0.01)).otherwise(normalised(b["nir"], b["swir1"]))),
     "hot": (("blue", "red"), lambda b, p=None: b["blue"] - 0.5 * b["red"] - 0.08),
-    "bsi": (("blue", "red", "nir", "swir1"), lambda b, p=None: (b["swir1"] + b["red"] - b["nir"] - b["blue"]) / (b["swir1"] + b["red"] + b["nir"] + b["blue"] + EPS)),
-    "ndsi": (("green", "swir1"), lambda b, p=None: normalised(b["green"], b["swir1"])),
-    "shi": (("blue", "green", "red"), lambda b, p=None: F.pow((1 - b["blue"]) * (1 - b["green"]) * (1 - b["red"]), F.lit(1 / 3))),
-    "shi2": (("blue", "green", "red"), shadow_2),
+    "haze": (("blue", "red"), lambda b, p=None: 1 - 1 / (1 + F.exp(20.0 * (b["blue"] - 0.5 * b["red"] - 0.08 + 0.075)))),
+    "bsi": (("blue", "red", "nir", "swir1"), lambda b, p=None: to_unit(bare_soil(b), -1, 1)),
+    "ndsi": (("green", "swir1"), lambda b, p=None: to_unit(normalised(b["green"], b["swir1"]), -1, 1)),
+    "shi": (("blue", "green", "red", "nir", "swir1"), shadow),
+    "shi2": (("blue", "green", "nir", "swir1"), lambda b, p=None: to_unit(b["blue"] + b["green"] - b["nir"] - b["swir1"], -2, 2)),
+    "log_bg": (("blue", "green"), log_product("blue", "green")),
+    "log_br": (("blue", "red"), log_product("blue", "red")),
+    "log_bn": (("blue", "nir"), log_product("blue", "nir")),
+    "log_bs1": (("blue", "swir1"), log_product("blue", "swir1")),
+    "log_bs2": (("blue", "swir2"), log_product("blue", "swir2")),
     **{band: ((band,), lambda b, p=None, band=band: b[band]) for band in BANDS},
 }
 

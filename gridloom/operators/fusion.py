@@ -126,3 +126,23 @@ def blended(fine: DataFrame, coarse: DataFrame, keys: list[str], half: int, valu
     out = out.select(*keys, (F.col("row") + F.col("s.dr")).alias("row"), (F.col("col") + F.col("s.dc")).alias("col"), (F.col("gl_w") / F.col("s.d")).alias("w"), "gl_p")
     sums = out.groupBy(*keys, "row", "col").agg((F.sum(F.col("w") * F.col("gl_p")) / F.sum("w")).alias("blended"))
     return fine.join(sums, [*keys, "row", "col"])
+
+
+def shifts(pairs: DataFrame, cell: str, ref: str, img: str) -> DataFrame:
+    """cell, shift_row, shift_col: how far an image lies from the reference, by phase correlation of whole cells.
+
+    A cell's pixels are one group, bounded by the size of an image.
+    """
+    import numpy as np
+    import pandas as pd
+
+    def one(key: tuple, px: pd.DataFrame) -> pd.DataFrame:
+        n, m = px["row"].max() + 1, px["col"].max() + 1
+        a, b = np.zeros((n, m)), np.zeros((n, m))
+        a[px["row"], px["col"]], b[px["row"], px["col"]] = px[ref].fillna(0), px[img].fillna(0)
+        cross = np.fft.fft2(b) * np.conj(np.fft.fft2(a))
+        peak = np.fft.ifft2(cross / np.maximum(np.abs(cross), 1e-12)).real
+        r, c = np.unravel_index(peak.argmax(), peak.shape)
+        return pd.DataFrame({cell: [key[0]], "shift_row": [int(r - n if r > n // 2 else r)], "shift_col": [int(c - m if c > m // 2 else c)]})
+
+    return pairs.groupBy(cell).applyInPandas(one, f"`{cell}` {pairs.schema[cell].dataType.simpleString()}, shift_row int, shift_col int")

@@ -105,3 +105,38 @@ def grid_scores(train: DataFrame, test: DataFrame, label: str, options: list[dic
         preds = predict(fit(train, label, **o), test)
         rows.append(overall_scores(preds, "pred", label).withColumn("run", F.lit(i)).withColumn("options", F.lit(str(o))))
     return reduce(DataFrame.unionByName, rows)
+
+
+def temporal_classes(probs: DataFrame, keys: list[str], year: str, classes: list[int], columns: list[str], stay: float = 0.9) -> DataFrame:
+    """keys, year, class: the most probable sequence of classes (Viterbi), given yearly probabilities and the chance that a class stays.
+
+    A series is one row with an array of its years; batches of series go to NumPy.
+    """
+    from collections.abc import Iterator
+
+    import numpy as np
+    import pandas as pd
+
+    move = np.full((len(classes), len(classes)), np.log((1 - stay) / max(1, len(classes) - 1) + 1e-12))
+    np.fill_diagonal(move, np.log(stay))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for rows in b["gl_p"]:
+                p = np.log(np.clip(np.array([list(r["p"]) for r in rows], float), 1e-12, None))
+                best, back = p[0], []
+                for t in range(1, len(p)):
+                    step = best[:, None] + move
+                    back.append(step.argmax(axis=0))
+                    best = step.max(axis=0) + p[t]
+                path = [int(best.argmax())]
+                for s in reversed(back):
+                    path.append(int(s[path[-1]]))
+                out.append([{"year": int(r["y"]), "class": classes[k]} for r, k in zip(rows, reversed(path), strict=True)])
+            yield b[keys].assign(gl_c=out)
+
+    rows = probs.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(year).alias("y"), F.array(*columns).alias("p")))).alias("gl_p"))
+    schema = ", ".join(f"`{k}` {probs.schema[k].dataType.simpleString()}" for k in keys)
+    done = rows.mapInPandas(run, schema + ", gl_c array<struct<year:int,class:int>>")
+    return done.select(*keys, F.explode("gl_c").alias("c")).select(*keys, F.col("c.year").alias(year), F.col("c.class").alias("class"))

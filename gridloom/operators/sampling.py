@@ -6,9 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def priority(entry: Column, doubt_class: Column, doubt_place: Column, homogeneity: Column) -> Column:
-    """1 (certain and homogeneous) to 4 (not to be used)."""
-    return F.when((doubt_class > 1) | (doubt_place > 1), 4).when((homogeneity >= 90) & (doubt_class == 0) & (entry >= 2), 1).when((homogeneity >= 70) & (doubt_class == 0), 2).otherwise(3)
+def priority(scarce: Column, stratum: Column, checked: Column, entry: Column, doubts: list[Column], main_stratum: str | None = "BH") -> Column:
+    """1 (scarce classes of a checked source, and strata other than the main one, unless that is None), 2 (checked twice), 3; 4 for any doubt."""
+    one = scarce & checked if main_stratum is None else (scarce & checked) | (stratum != main_stratum)
+    doubt = F.lit(False)
+    for d in doubts:
+        doubt = doubt | F.coalesce(d == 1, F.lit(False))
+    return F.when(doubt, 4).when(one, 1).when(checked & (entry > 1), 2).otherwise(3)
 
 
 def balance(samples: DataFrame, cls: str, shares: DataFrame, least: int = 200, min_balance: float = 1.0, reduce: float = 0.0, mixed: list | None = None) -> DataFrame:

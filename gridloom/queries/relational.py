@@ -407,9 +407,9 @@ def _(spark, sf):
 # Samples and models.
 
 
-@query("op_M1_priority", "SELECT c_custkey, CAST(CASE WHEN c_nationkey % 4 > 1 OR c_nationkey % 3 > 1 THEN 4 WHEN c_acctbal >= 90 AND c_nationkey % 4 = 0 AND c_nationkey >= 2 THEN 1 WHEN c_acctbal >= 70 AND c_nationkey % 4 = 0 THEN 2 ELSE 3 END AS INTEGER) AS priority FROM customer")
+@query("op_M1_priority", "SELECT c_custkey, CAST(CASE WHEN c_nationkey % 4 = 1 OR c_nationkey % 7 = 1 THEN 4 WHEN (c_nationkey < 5 AND c_acctbal > 0) OR c_mktsegment <> 'HOUSEHOLD' THEN 1 WHEN c_acctbal > 0 AND c_nationkey > 1 THEN 2 ELSE 3 END AS INTEGER) AS priority FROM customer")
 def _(spark, sf):
-    return table(spark, sf, "customer").select("c_custkey", sampling.priority(c("c_nationkey"), c("c_nationkey") % 4, c("c_nationkey") % 3, c("c_acctbal")).alias("priority"))
+    return table(spark, sf, "customer").select("c_custkey", sampling.priority(c("c_nationkey") < 5, c("c_mktsegment"), c("c_acctbal") > 0, c("c_nationkey"), [c("c_nationkey") % 4, c("c_nationkey") % 7], "HOUSEHOLD").alias("priority"))
 
 
 @query("op_M2_balance", """WITH s AS (SELECT o_orderkey, o_orderstatus, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) % 4 + 1 AS priority, (o_orderkey * 7919 % 1000) / 1e3 AS rand FROM orders),
@@ -662,6 +662,158 @@ def _(spark, sf):
     return streams.drained(streams.sessions(_stream(spark, sf), ["user_id"], "ts", "1 day", "40 days"), f"s{_unique()}").select("user_id", c("start").cast("timestamp_ntz").alias("start"), "n")
 
 
+# Rows of the inventory that the sections above leave.
+
+
+@query("op_S15_index_at_points", f"WITH {OBS}, p AS (SELECT c_custkey, c_custkey % 100 AS px FROM customer) SELECT c_custkey, date, CAST(floor(max(CASE WHEN nir - red = 0 THEN 0e0 ELSE (1 + (nir - red) / (nir + red + 1e-9)) / 2 END * 10000)) AS INTEGER) AS value FROM p JOIN obs USING (px) GROUP BY c_custkey, date")
+def _(spark, sf):
+    from ..functions.indices import point_index
+
+    pts = table(spark, sf, "customer").select("c_custkey", (c("c_custkey") % 100).alias("px"))
+    return pts.join(obs(spark, sf).groupBy("px", "date").agg(F.max(point_index("ndvi")).alias("value")), "px").select("c_custkey", "date", "value")
+
+
+@query("op_S17_write_stack", "SELECT p_partkey, p_size AS \"b1-yr\", p_retailprice AS \"b2-yr\" FROM part")
+def _(spark, sf):
+    """A stack written with its band names and read in their order."""
+    path = f"{_folder(spark)}/stack"
+    table(spark, sf, "part").select(c("p_retailprice").alias("b2-yr"), "p_partkey", c("p_size").alias("b1-yr")).write.parquet(path)
+    return models.ordered_bands(spark.read.parquet(path), ["p_partkey"], ["b1-yr", "b2-yr"])
+
+
+@query("op_S18_write_mask", "SELECT p_partkey AS row, CAST(CASE WHEN p_size > 25 THEN 1 ELSE 0 END AS SMALLINT) AS mask FROM part")
+def _(spark, sf):
+    path = f"{_folder(spark)}/mask"
+    table(spark, sf, "part").select(c("p_partkey").alias("row"), F.when(c("p_size") > 25, 1).otherwise(0).cast("smallint").alias("mask")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("op_S19_compressed", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def _(spark, sf):
+    from ..sources import tables
+
+    path = _folder(spark)
+    tables.compressed(spark, f"{sf}/nation.parquet", f"{path}/zstd")
+    return spark.read.parquet(f"{path}/zstd")
+
+
+@query("op_S24_clip_to_box", "SELECT p_partkey FROM part WHERE p_partkey // 50 BETWEEN 1 AND 3 AND p_partkey % 50 BETWEEN 10 AND 29")
+def _(spark, sf):
+    p = table(spark, sf, "part").select("p_partkey", F.floor(c("p_partkey") / 50).alias("r"), (c("p_partkey") % 50).alias("k"))
+    return p.filter(c("r").between(1, 3) & c("k").between(10, 29)).select("p_partkey")
+
+
+@query("op_P5_julian_slice", "SELECT o_orderkey FROM orders WHERE CAST(strftime(o_orderdate, '%Y%j') AS INTEGER) BETWEEN 1996001 AND 1996366")
+def _(spark, sf):
+    from ..functions.dates import year_day
+
+    return table(spark, sf, "orders").filter(year_day(c("o_orderdate")).between(1996001, 1996366)).select("o_orderkey")
+
+
+@query("op_J3_variables_of_points", "SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def _(spark, sf):
+    return table(spark, sf, "customer").join(F.broadcast(table(spark, sf, "nation")), c("c_nationkey") == c("n_nationkey")).select("c_custkey", "n_name")
+
+
+@query("op_J11_boxes_clipped_to_cells", f"SELECT k, CAST(cell AS BIGINT) AS cell, round(least(x1, (cell + 1) * 500) - greatest(x0, cell * 500), 6) AS width FROM ({_BOX}) b, (SELECT unnest(range(-4, 24)) AS cell) WHERE x0 <= (cell + 1) * 500 AND x1 >= cell * 500 AND floor(x0 / 500) <= cell AND floor(x1 / 500) >= cell")
+def _(spark, sf):
+    b = _boxes(spark, sf).withColumn("cell", F.explode(F.sequence(F.floor(c("x0") / 500).cast("long"), F.floor(c("x1") / 500).cast("long"))))
+    return b.select("k", "cell", r6(F.least("x1", ((c("cell") + 1) * 500).cast("double")) - F.greatest("x0", (c("cell") * 500).cast("double"))).alias("width"))
+
+
+@query("op_J16_statistics_to_polygons", "SELECT s_suppkey, n, round(q, 6) AS q FROM supplier LEFT JOIN (SELECT l_suppkey, count(*) AS n, avg(l_quantity) AS q FROM lineitem GROUP BY 1) ON l_suppkey = s_suppkey")
+def _(spark, sf):
+    stats = table(spark, sf, "lineitem").groupBy(c("l_suppkey").alias("s_suppkey")).agg(F.count(F.lit(1)).alias("n"), r6(F.avg("l_quantity")).alias("q"))
+    return table(spark, sf, "supplier").select("s_suppkey").join(stats, "s_suppkey", "left")
+
+
+@query("op_J17_indices_by_date", f"WITH {OBS} SELECT px, date, round(max(red), 6) AS red, round(max(nir), 6) AS nir FROM obs GROUP BY px, date")
+def _(spark, sf):
+    o = obs(spark, sf)
+    long = o.select("px", "date", F.lit("red").alias("si"), c("red").alias("v")).unionByName(o.select("px", "date", F.lit("nir").alias("si"), c("nir").alias("v")))
+    return long.groupBy("px", "date").pivot("si", ["red", "nir"]).agg(r6(F.max("v")))
+
+
+@query("op_G24_runtime_totals", "SELECT user_id AS cell, round(sum(value) / 60, 4) AS minutes FROM events GROUP BY user_id")
+def _(spark, sf):
+    return table(spark, sf, "events").groupBy(c("user_id").alias("cell")).agg(F.round(F.sum("value") / 60, 4).alias("minutes"))
+
+
+@query("op_T5_first_match", "SELECT o_custkey, min(o_orderkey) AS first FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey")
+def _(spark, sf):
+    return table(spark, sf, "orders").filter("o_orderstatus = 'F'").groupBy("o_custkey").agg(F.min("o_orderkey").alias("first"))
+
+
+@query("op_T1_ranked_by_date", "SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS i FROM orders")
+def _(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")).cast("long").alias("i"))
+
+
+@query("op_T4_random_points")
+def _(spark, sf):
+    """Ten random customers, the same in every run."""
+    return table(spark, sf, "customer").select("c_custkey").orderBy(sampling.stable_random(c("c_custkey"), 76), "c_custkey").limit(10)
+
+
+@query("op_U1_union_of_years", "SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE year(o_orderdate) IN (1996, 1998)")
+def _(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
+    return o.filter("year = 1996").unionByName(o.filter("year = 1998"))
+
+
+@query("op_U3_classes_of_both_sides", "SELECT quality AS class FROM labels UNION SELECT toxic FROM labels")
+def _(spark, sf):
+    y = table(spark, sf, "labels")
+    return y.select(c("quality").alias("class")).union(y.select("toxic")).distinct()
+
+
+@query("op_M4_point_feature_set", "SELECT l_orderkey, round(avg(l_quantity), 6) AS var_q, any_value(o_orderstatus) AS label FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P' GROUP BY l_orderkey")
+def _(spark, sf):
+    feats = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(r6(F.avg("l_quantity")).alias("var_q"))
+    return feats.join(table(spark, sf, "orders").filter("o_orderstatus <> 'P'").select(c("o_orderkey").alias("l_orderkey"), c("o_orderstatus").alias("label")), "l_orderkey")
+
+
+@query("op_M10_temporal_classes")
+def _(spark, sf):
+    """Yearly classes smoothed by the most probable sequence."""
+    rows = classes(spark, sf).select("px", "year", *(F.when(c("class") == k, 0.8).otherwise(0.2 / (len(CODES) - 1)).alias(f"p{k}") for k in CODES))
+    return models.temporal_classes(rows, PX, "year", CODES, [f"p{k}" for k in CODES], 0.7)
+
+
+@query("op_M11_feature_registry")
+def _(spark, sf):
+    return models.feature_model(spark, "m1", ["ndvi", "nbr"], ["maxv-yr", "amp-wet"], ["dem"])
+
+
+@query("op_M12_latest_scores", "SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1")
+def _(spark, sf):
+    return scores.latest_scores(table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), "o_custkey", "o_orderkey")
+
+
+@query("op_points_in_polygons_drawn")
+def _(spark, sf):
+    """Five random points in the triangle of each supplier."""
+    s = table(spark, sf, "supplier")
+    pt = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    x, y = c("s_acctbal"), c("s_nationkey")
+    polys = s.select("s_suppkey", x.alias("x0"), y.cast("double").alias("y0"), (x + 400).alias("x1"), (y + 4.0).alias("y1"), F.array(pt(x, y), pt(x + 400, y), pt(x, y + 4)).alias("ring"))
+    return sampling.points_in_polygons(polys, "s_suppkey", ["x0", "y0", "x1", "y1"], "ring", 5, 76)
+
+
+@query("op_R14_shift_by_phase_correlation")
+def _(spark, sf):
+    """The shift between a raster and a copy of it moved by two rows and three columns, by zone of none."""
+    p = table(spark, sf, "part").select(F.floor(c("p_partkey") / 50).cast("int").alias("row"), (c("p_partkey") % 50).cast("int").alias("col"), c("p_size").alias("ref"))
+    n = p.agg(F.max("row")).first()[0] + 1
+    moved = p.select(((c("row") + 2) % n).alias("row"), ((c("col") + 3) % 50).alias("col"), c("ref").alias("img"))
+    return fusion.shifts(p.join(moved, ["row", "col"]).withColumn("cell", F.lit(1)), "cell", "ref", "img")
+
+
+@query("op_R18_cloud_probability_mask", "SELECT p_partkey, CAST(CASE WHEN p_size * 2 > 60 THEN 1 ELSE 0 END AS INTEGER) AS mask FROM part")
+def _(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", F.when(c("p_size") * 2 > 60, 1).otherwise(0).alias("mask"))
+
+
 def _unique() -> str:
     import uuid
 

@@ -20,6 +20,8 @@ r6 = lambda c: F.round(c, 6)
 
 _H = lambda a, b: f"CASE WHEN {a} - {b} = 0 THEN 0e0 ELSE (1 + ({a} - {b}) / ({a} + {b} + 1e-9)) / 2 END"
 _D = lambda a, b: f"({a} - {b}) / ({a} + {b} + 1e-9)"
+_BSI = "(swir1 + red - nir - blue) / (swir1 + red + nir + blue + 1e-9)"
+_L = lambda x: f"least(greatest((ln(greatest({x}, 1e-9)) - ln(0.01e0)) / -ln(0.01e0), 0e0), 1e0)"
 _INDEX_SQL = {
     "ndvi": NDVI, "kndvi": f"tanh(pow({_D('nir', 'red')}, 2))", "gcvi": "least(greatest((nir / (green + 1e-9) - 1) / 10, 0e0), 1e0)", "evi2": "2.5e0 * (nir - red) / (nir + 1 + 2.4e0 * red)",
     "savi": "CASE WHEN nir = red THEN 0e0 ELSE (1 + 1.5e0 * (nir - red) / (nir + red + 0.5e0)) / 2 END",
@@ -31,15 +33,17 @@ _INDEX_SQL = {
     "gemi": "coalesce(eta * (1 - 0.25e0 * eta) - coalesce((red - 0.125e0) / nullif(1 - red, 0), 0), 0)",
     "char": "CASE WHEN blue + green + red = 3 THEN 0e0 ELSE (blue + green + red + greatest(abs(blue - green), abs(blue - red), abs(red - green)) * 15) / 3 END",
     "ndviV0": f"CASE WHEN {_D('nir', 'red')} < 1e-6 THEN 0e0 ELSE {_D('nir', 'red')} END", "nbrV0": _D("nir", "swir2"), "ndmiV0": f"CASE WHEN {_D('nir', 'swir1')} < 0 THEN 0.01e0 ELSE {_D('nir', 'swir1')} END",
-    "hot": "blue - 0.5e0 * red - 0.08e0", "bsi": "(swir1 + red - nir - blue) / (swir1 + red + nir + blue + 1e-9)", "ndsi": _D("green", "swir1"),
+    "hot": "blue - 0.5e0 * red - 0.08e0", "haze": "1 - 1 / (1 + exp(20 * (blue - 0.5e0 * red - 0.08e0 + 0.075e0)))", "bsi": f"({_BSI} + 1) / 2", "ndsi": f"({_D('green', 'swir1')} + 1) / 2",
+    "shi": f"(least(greatest((1 - blue) * (1 - green) * (1 - red), -2e0), 1e0) - ({_D('nir', 'green')} + 1) / 2 - ({_BSI} + 1) / 2 + 2) / 3", "shi2": "(blue + green - nir - swir1 + 2) / 4",
+    **{f"log_b{k}": f"{_L('blue')} * {_L(v)}" for k, v in (("g", "green"), ("r", "red"), ("n", "nir"), ("s1", "swir1"), ("s2", "swir2"))},
     "red": "red", "swir2": "swir2",
 }
 for _name, _sql in _INDEX_SQL.items():
     _from = "(SELECT *, (2 * (nir * nir - red * red) + 1.5e0 * nir + 0.5e0 * red) / (nir + red + 0.5e0) AS eta FROM obs)"
 
-    @query(f"op_index_{_name.replace('.', '_')}", f"WITH {OBS} SELECT px, date, round(max({_sql}), 6) AS value FROM {_from} GROUP BY px, date")
+    @query(f"op_index_{_name.replace('.', '_')}", f"WITH {OBS} SELECT px, date, round(max({_sql}), 9) AS value FROM {_from} GROUP BY px, date")
     def _index(spark, sf, name=_name):
-        return series.merge_same_day(obs(spark, sf), PX, indices.index(name)).withColumn("value", r6("value"))
+        return series.merge_same_day(obs(spark, sf), PX, indices.index(name)).withColumn("value", F.round("value", 9))  # bands are coarse: fewer digits meet ties
 
 
 @query("op_S1_read_scaled", f"WITH {OBS} SELECT px, date, scene, CAST(least(greatest(nir * 10000 * 1e-4, 0), 1) > 0.5 AS BOOLEAN) AS bright, round({NDVI}, 6) AS ndvi FROM obs")

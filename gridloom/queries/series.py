@@ -41,9 +41,9 @@ _INDEX_SQL = {
 for _name, _sql in _INDEX_SQL.items():
     _from = "(SELECT *, (2 * (nir * nir - red * red) + 1.5e0 * nir + 0.5e0 * red) / (nir + red + 0.5e0) AS eta FROM obs)"
 
-    @query(f"op_index_{_name.replace('.', '_')}", f"WITH {OBS} SELECT px, date, round(max({_sql}), 9) AS value FROM {_from} GROUP BY px, date")
+    @query(f"op_index_{_name.replace('.', '_')}", f"WITH {OBS} SELECT px, date, round(max({_sql}), {5 if _name == 'cai' else 9}) AS value FROM {_from} GROUP BY px, date")
     def _index(spark, sf, name=_name):
-        return series.merge_same_day(obs(spark, sf), PX, indices.index(name)).withColumn("value", F.round("value", 9))  # bands are coarse: fewer digits meet ties
+        return series.merge_same_day(obs(spark, sf), PX, indices.index(name)).withColumn("value", F.round("value", 5 if name == "cai" else 9))  # bands are coarse: other digits meet ties
 
 
 @query("op_S1_read_scaled", f"WITH {OBS} SELECT px, date, scene, CAST(least(greatest(nir * 10000 * 1e-4, 0), 1) > 0.5 AS BOOLEAN) AS bright, round({NDVI}, 6) AS ndvi FROM obs")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import kept
+
 
 def instance_score(extent: Column, boundary: Column) -> Column:
     return 1 + extent - boundary
@@ -17,15 +16,6 @@ def instance_mask(extent: Column, boundary: Column, least: float) -> Column:
     return F.when(instance_score(extent, boundary) >= least, 1).otherwise(0)
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """Written and read back, so computed once and its lineage cut: in the folder of spark.checkpoint.dir, or a folder of this process in local mode."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gridloom-")
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def connected(df: DataFrame, keys: list[str], mask: Column, width: int) -> DataFrame:
     """row, col, segment of masked pixels that touch by an edge; the segment is its first pixel (row * width + col).
 
@@ -39,17 +29,17 @@ def connected(df: DataFrame, keys: list[str], mask: Column, width: int) -> DataF
     w = Window.partitionBy(*keys, "row").orderBy("col")
     px = px.withColumn("gl_new", F.when(F.coalesce(F.col("col") - F.lag("col").over(w), F.lit(2)) > 1, F.col("col")))
     px = px.withColumn("gl_c", F.last("gl_new", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    px = _kept(px.withColumn("node", F.col("row").cast("long") * width + F.col("gl_c")).drop("gl_new", "gl_c"), "runs")
+    px = kept(px.withColumn("node", F.col("row").cast("long") * width + F.col("gl_c")).drop("gl_new", "gl_c"))
     below = px.select(*keys, (F.col("row") - 1).alias("row"), "col", F.col("node").alias("other"))
     links = px.join(below, [*keys, "row", "col"]).select(*keys, F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v"))
-    edges, before = _kept(links.filter("u <> v").distinct(), "links"), None
+    edges, before = kept(links.filter("u <> v").distinct()), None
     while True:  # to the smallest of a node's neighbours, then of its smaller ones, until nothing moves
         both = edges.unionByName(edges.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(*keys, "u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.filter("v > u").join(least, [*keys, "u"]).select(*keys, F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy(*keys, "u").agg(F.min("v").alias("m"))
         small = large.join(least, [*keys, "u"]).filter("v <> m").select(*keys, F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = _kept(small.unionByName(least.select(*keys, "u", F.col("m").alias("v"))).distinct(), "links")
+        edges = kept(small.unionByName(least.select(*keys, "u", F.col("m").alias("v"))).distinct())
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*keys, "u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -63,9 +63,15 @@ class Calendar:
 
 
 def in_seasons(df: DataFrame, seasons: DataFrame, day: str = "date", padded: bool = False) -> DataFrame:
-    """Rows of ``df`` once for every season that holds their day.  Seasons are a table of a few rows a year, so they are broadcast."""
+    """Rows of ``df`` once for every season that holds their day.
+
+    Seasons, a few rows a year, are listed by the months that they touch and
+    broadcast, so a row is compared with the seasons of its month only.
+    """
     a, b = ("start_pad", "end_pad") if padded else ("start", "end")
-    return df.join(F.broadcast(seasons), df[day].between(seasons[a], seasons[b]))
+    months = F.sequence(F.trunc(a, "month"), F.trunc(b, "month"), F.expr("interval 1 month"))
+    listed = seasons.withColumn("gl_month", F.explode(months))
+    return df.join(F.broadcast(listed), F.trunc(df[day], "month") == listed["gl_month"]).filter(F.col(day).between(F.col(a), F.col(b))).drop("gl_month")
 
 
 def regular_dates(spark: SparkSession, start: date, end: date, skip: int) -> DataFrame:

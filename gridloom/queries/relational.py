@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, grammar
 from ..operators import catalog, fusion, joins, masks, models, rules, sampling, scores, zonal
+from ..sources.shared import new_folder
 from ..streaming import streams
 from .base import CLASSES, CODES, DAILY, OBS, TS, classes, daily, obs, query, table, ts
 
@@ -623,7 +622,7 @@ def _(spark, sf):
     from ..sources import tables
 
     rows = ts(spark, sf).select(c("px").cast("int").alias("cell_id"), F.lit(0).alias("row"), F.lit(0).alias("col"), F.lit("ndvi").alias("si"), "date", "value")
-    path = f"{_folder(spark)}/series"
+    path = f"{new_folder(spark)}/series"
     tables.write_series(rows, path)
     return spark.read.parquet(path).groupBy("cell_id", "si", "year").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
 
@@ -632,19 +631,11 @@ def _(spark, sf):
 def _(spark, sf):
     from ..sources import tables
 
-    path = f"{_folder(spark)}/csv"
+    path = f"{new_folder(spark)}/csv"
     tables.write_csv(table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal"), path)
     return tables.csv(spark, path, "s_suppkey long, s_name string, s_acctbal double")
 
 
-def _folder(spark) -> str:
-    """A new folder: in spark.checkpoint.dir where it is set."""
-    import uuid
-
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared}/gridloom-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="gridloom-")
-
-
 def _stream(spark, sf):
     schema = table(spark, sf, "events").schema
     rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
@@ -676,14 +667,14 @@ def _(spark, sf):
 @query("op_S17_write_stack", "SELECT p_partkey, p_size AS \"b1-yr\", p_retailprice AS \"b2-yr\" FROM part")
 def _(spark, sf):
     """A stack written with its band names and read in their order."""
-    path = f"{_folder(spark)}/stack"
+    path = f"{new_folder(spark)}/stack"
     table(spark, sf, "part").select(c("p_retailprice").alias("b2-yr"), "p_partkey", c("p_size").alias("b1-yr")).write.parquet(path)
     return models.ordered_bands(spark.read.parquet(path), ["p_partkey"], ["b1-yr", "b2-yr"])
 
 
 @query("op_S18_write_mask", "SELECT p_partkey AS row, CAST(CASE WHEN p_size > 25 THEN 1 ELSE 0 END AS SMALLINT) AS mask FROM part")
 def _(spark, sf):
-    path = f"{_folder(spark)}/mask"
+    path = f"{new_folder(spark)}/mask"
     table(spark, sf, "part").select(c("p_partkey").alias("row"), F.when(c("p_size") > 25, 1).otherwise(0).cast("smallint").alias("mask")).write.parquet(path)
     return spark.read.parquet(path)
 
@@ -692,7 +683,7 @@ def _(spark, sf):
 def _(spark, sf):
     from ..sources import tables
 
-    path = _folder(spark)
+    path = new_folder(spark)
     tables.compressed(spark, f"{sf}/nation.parquet", f"{path}/zstd")
     return spark.read.parquet(f"{path}/zstd")
 

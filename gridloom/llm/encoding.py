@@ -16,8 +16,8 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Entries of each cache; a full one starts anew.  Results do not depend on it.
-CACHE = 600_000
+#: Entries of a generation of the cache, of which there are two.  Results do not depend on it.
+CACHE = 160_000
 #: Letters that lower-case to one letter of this range and are single code points after composition.
 _PLAIN = re.compile(r"[!-&(-;=-~À-ÖØ-öø-ÿ]+")
 _PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
@@ -46,42 +46,45 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         letters = _byte_letters()
         self.letters = {c: "".join(letters[b] for b in chr(c).encode()) for c in (*range(33, 127), *range(0xC0, 0x100))}
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.by_piece = True
         self.by_piece = self._agrees()
+        self.known.clear()
 
     def _library(self, chunk: str) -> bytes:
         return np.asarray(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        if (ids := self.pieces.get(piece)) is None:
-            if len(self.pieces) >= CACHE:
-                self.pieces.clear()
-            tokens = self.tokenizer.model.tokenize(piece.translate(self.letters))
-            ids = self.pieces[piece] = np.asarray([t.id for t in tokens], self.dtype).tobytes()
-        return ids
+        return np.asarray([t.id for t in self.tokenizer.model.tokenize(piece.translate(self.letters))], self.dtype).tobytes()
 
     def _by_piece(self, chunk: str) -> bytes:
-        return b"".join(map(self._piece, _PIECES.findall(chunk.lower())))
+        pieces = _PIECES.findall(chunk.lower())
+        if len(pieces) == 1 and pieces[0] == chunk:
+            return self._piece(chunk)
+        return b"".join([self.known.get(x) or self._ids(x) for x in pieces])
 
     def _agrees(self) -> bool:
         """Whether cutting chunks gives what the whole tokenizer gives; if not, it is used for every chunk."""
         probes = ["Thatthtieror,", "ÉÇÄÖÜß", "a1b22", "x***$$$", "(743)", "best.54@mail3.example.com", '"a-b"!?', "ÿñ_é|", "%%A~Z"]
         return all(self._by_piece(x) == self._library(x) for x in probes)
 
-    def _chunk(self, chunk: str) -> bytes:
-        if len(self.chunks) >= CACHE:
-            self.chunks.clear()
-        ids = self._by_piece(chunk) if self.by_piece and _PLAIN.fullmatch(chunk) else self._library(chunk)
+    def _ids(self, chunk: str) -> bytes:
+        """Ids of a chunk, or of a pre-token, which is a chunk too, that the young generation does not have."""
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids = self._by_piece(chunk) if self.by_piece and _PLAIN.fullmatch(chunk) else self._library(chunk)
         if len(chunk) <= 64:
-            self.chunks[chunk] = ids
+            if len(self.known) >= CACHE:
+                self.known, self.old = {}, self.known
+            self.known[chunk] = ids
         return ids
 
     def encode(self, text: str | None) -> bytes:
         text = text or ""
-        known, out = self.chunks, []
+        out = []
         for chunk in _SPACE.split(text) if _CONTROLS.search(text) else text.split():
-            out.append(known.get(chunk) or self._chunk(chunk))
+            out.append(self.known.get(chunk) or self._ids(chunk))
         return b"".join(out)
 
 

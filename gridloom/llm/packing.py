@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .encoding import encoder, end_bytes
-from .shared import broadcast_if_small, saved
+from .shared import batch_rows, broadcast_if_small, saved
 
 LENGTH = 4096
 #: Ids that a partition holds in memory at once, and the credit from which a source is served in its turn.
@@ -45,7 +45,8 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("source"), n, pa.array(ids, pa.binary())], ["doc_id", "source", "n", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
-    return saved(rows.mapInArrow(encode, "doc_id long, source string, n long, ids binary"), "ids")
+    with batch_rows(docs.sparkSession, 1024):
+        return saved(rows.mapInArrow(encode, "doc_id long, source string, n long, ids binary"), "ids")
 
 
 def window_sizes(tokens: int, length: int) -> Iterator[int]:
@@ -135,12 +136,11 @@ def pack(rows: DataFrame, length: int = LENGTH, dtype: str = "<u2", with_ids: bo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parts_of() -> Iterator[list[dict]]:
             held: list[dict] = []
-            for batch in batches:
-                for row in batch.to_pylist():
-                    if held and held[0]["part"] != row["part"]:
-                        yield held
-                        held = []
-                    held.append(row)
+            for row in (r for b in batches for i in range(0, b.num_rows, 1024) for r in b.slice(i, 1024).to_pylist()):
+                if held and held[0]["part"] != row["part"]:
+                    yield held
+                    held = []
+                held.append(row)
             if held:
                 yield held
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .encoding import encoder, end_bytes
-from .shared import new_path, saved
+from .shared import batch_rows, new_path, saved
 
 MAGIC = b"GLTOKEN1"
 SLOT = np.dtype([("fingerprint", "<u4"), ("records", "<u4"), ("offset", "<u8"), ("length", "<u8")])
@@ -203,7 +203,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_co
                 {"shard": [shard], "path": [name], "first_key": pa.array(first[:1], pa.int64()), "n_docs": [n_docs], "n_tokens": [n_tokens]}
             )
 
-    told = saved(rows.mapInArrow(write, "shard long, path string, first_key long, n_docs long, n_tokens long"), "manifest")
+    with batch_rows(docs.sparkSession, 1024):
+        told = saved(rows.mapInArrow(write, "shard long, path string, first_key long, n_docs long, n_tokens long"), "manifest")
     before = Window.orderBy(F.col("first_key").asc_nulls_last(), "shard").rowsBetween(Window.unboundedPreceding, -1)
     return told.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))  # one row a shard
 

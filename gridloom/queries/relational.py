@@ -9,7 +9,7 @@ from ..functions import geo, grammar
 from ..operators import catalog, fusion, joins, masks, models, rules, sampling, scores, zonal
 from ..sources.shared import new_folder
 from ..streaming import streams
-from .base import CLASSES, CODES, DAILY, OBS, TS, classes, daily, obs, query, table, ts
+from .base import CLASSES, CODES, DAILY, GAPPY, OBS, TS, classes, daily, gappy, obs, query, table, ts
 
 PX = ["px"]
 r6 = lambda c: F.round(c, 6)
@@ -606,10 +606,10 @@ def _(spark, sf):
     return fusion.vector_medoid(table(spark, sf, "embeddings"), "label", "vec_id", "embedding").withColumn("far", F.round("far", 2))
 
 
-@query("op_R13_fill_nearest")
+@query("op_R13_fill_nearest", f"""WITH {GAPPY}, k AS (SELECT *, CASE WHEN value IS NOT NULL THEN {{'d': date, 'v': value}} END AS k FROM gappy),
+ n AS (SELECT *, last_value(k IGNORE NULLS) OVER (PARTITION BY px ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS a, first_value(k IGNORE NULLS) OVER (PARTITION BY px ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS b FROM k),
+ g AS (SELECT px, date, value, a.v AS av, b.v AS bv, date - a.d AS da, b.d - date AS db FROM n) SELECT px, date, coalesce(value, CASE WHEN bv IS NULL OR (av IS NOT NULL AND da <= db) THEN CASE WHEN da <= 3 THEN av END ELSE CASE WHEN db <= 3 THEN bv END END) AS value FROM g""")
 def _(spark, sf):
-    from .base import gappy
-
     return fusion.fill_from_nearest(gappy(spark, sf), PX, "value", "date", 3)
 
 

@@ -403,9 +403,12 @@ def _(spark, sf):
 
 
 OUT_DATES = [date(2024, 1, d) for d in (1, 7, 14, 21, 28)]
+_ON_LINE = f"""WITH {GAPPY}, k AS (SELECT px, date AS d, CAST(value AS DOUBLE) AS v FROM gappy WHERE value IS NOT NULL), o AS (SELECT px, dd AS date FROM (SELECT DISTINCT px FROM k), (SELECT unnest([{", ".join(f"DATE '{d}'" for d in OUT_DATES)}]) AS dd)),
+ n AS (SELECT o.px, date, max(CASE WHEN d <= date THEN {{'d': d, 'v': v}} END) AS a, min(CASE WHEN d >= date THEN {{'d': d, 'v': v}} END) AS b FROM o JOIN k ON o.px = k.px GROUP BY o.px, date)
+ SELECT px, date, round(coalesce(a.v + (b.v - a.v) * ((date - a.d) / CAST(nullif(b.d - a.d, 0) AS DOUBLE)), a.v, b.v), 6) AS value FROM n"""
 for _method in series.SMOOTHERS:
 
-    @query(f"op_R4_smooth_{_method}")
+    @query(f"op_R4_smooth_{_method}", _ON_LINE if _method == "linear" else None)
     def _smooth(spark, sf, method=_method):
         return series.smoothed(gappy(spark, sf), PX, OUT_DATES, method).withColumn("value", r6("value"))
 

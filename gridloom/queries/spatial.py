@@ -111,7 +111,9 @@ def _(spark, sf):
     return focal.slope_aspect(raster(spark, sf), [], 10.0, "value").select("row", "col", r6("slope").alias("slope"))
 
 
-@query("op_F12_self_shadow")
+@query("op_F12_self_shadow", f"""WITH {RASTER}, n AS (SELECT a.row, a.col, {', '.join(f"max(CASE WHEN b.row = a.row + {i} AND b.col = a.col + {j} THEN b.value END) AS n{i + 1}{j + 1}" for i in (-1, 0, 1) for j in (-1, 0, 1))} FROM ras a JOIN ras b ON abs(a.row - b.row) <= 1 AND abs(a.col - b.col) <= 1 GROUP BY a.row, a.col),
+ d AS (SELECT row, col, ((n02 + 2 * n12 + n22) - (n00 + 2 * n10 + n20)) / 8e0 AS dx, ((n20 + 2 * n21 + n22) - (n00 + 2 * n01 + n02)) / 8e0 AS dy FROM n), l AS (SELECT row, col, cos(atan(sqrt(dx * dx + dy * dy))) * cos(radians(60)) + sin(atan(sqrt(dx * dx + dy * dy))) * sin(radians(60)) * cos(radians(135) - atan2(dy, -dx)) AS light FROM d)
+ SELECT row, col, round(light, 6) AS light, CAST(CASE WHEN light <= 0 THEN 1 ELSE 0 END AS INTEGER) AS shadow FROM l""")
 def _(spark, sf):
     s = focal.slope_aspect(raster(spark, sf), [], 1.0, "value")
     light = focal.illumination(c("slope"), c("aspect"), 60.0, 135.0)
@@ -139,16 +141,16 @@ _SEG = f"""WITH RECURSIVE {RASTER}, m AS (SELECT row, col, row * {N_COLS} + col
  reach(k, root) AS (SELECT k, k FROM m UNION SELECT e.v, reach.root FROM reach JOIN e ON reach.k = e.u WHERE reach.root < e.v)"""
 
 
-def _by_union(sql: str) -> str:
-    return f"{_SEG}, seg AS (SELECT m.row, m.col, CAST(min(root) AS BIGINT) AS segment FROM m JOIN reach USING (k) GROUP BY m.row, m.col) {sql}"
+_SEG += ", seg AS (SELECT m.row, m.col, CAST(min(root) AS BIGINT) AS segment FROM m JOIN reach USING (k) GROUP BY m.row, m.col)"
 
 
-@query("op_F15_connected_components")
+@query("op_F15_connected_components", f"{_SEG} SELECT row, col, segment FROM seg")
 def _(spark, sf):
     return segments.connected(raster(spark, sf), [], c("value") > 20, N_COLS)
 
 
-@query("op_G19_segment_shapes")
+@query("op_G19_segment_shapes", f"""{_SEG}, n AS (SELECT a.segment, a.row, a.col, 4 - count(b.segment) AS e FROM seg a LEFT JOIN seg b ON a.segment = b.segment AND abs(a.row - b.row) + abs(a.col - b.col) = 1 GROUP BY ALL),
+ s AS (SELECT segment, count(*) * 100e0 AS area, CAST(sum(e) AS BIGINT) * 10e0 AS perimeter FROM n GROUP BY segment) SELECT segment, area, perimeter, round(area / perimeter, 6) AS APR, round(100 * perimeter / (4 * sqrt(area)), 6) AS APrEf FROM s WHERE area >= 900""")
 def _(spark, sf):
     segs = segments.connected(raster(spark, sf), [], c("value") > 20, N_COLS)
     out = segments.shapes(segs, [], 10.0, 900.0)

@@ -553,11 +553,30 @@ def _(spark, sf):
     return rules.apply_rules(_based(spark, sf), PX, _CHAIN).select("px", "year", "class")
 
 
-@query("op_W13_stable_base")
+def _top(name: str) -> str:
+    """SQL of the commonest class of a set, the first in its order of equal ones, over rows of (class, n)."""
+    order = " ".join(f"WHEN {k} THEN {-i}" for i, k in enumerate(rules.CLASSES[name]))
+    return f"coalesce(max(CASE WHEN class IN {_IN(name)} THEN {{'n': n, 'p': CASE class {order} END, 'c': class}} END).c, 0)"
+
+
+_WET = "(" + ", ".join(map(str, rules.CLASSES["LowVeg_wet"] + rules.CLASSES["MedVeg_wet"])) + ")"
+_BASE = f"""{CLASSES}, n AS (SELECT px, class, count(*) AS n FROM cls GROUP BY px, class), m AS (SELECT px, {_top('Trees_nat')} AS f, {_top('Grass_all')} AS base_grass, sum(CASE WHEN class IN {_IN('Trees_nat')} THEN n ELSE 0 END) AS trees,
+ sum(CASE WHEN class = 221 THEN n ELSE 0 END) AS palm, sum(CASE WHEN class = 226 THEN n ELSE 0 END) AS shrub, sum(CASE WHEN class = 215 THEN n ELSE 0 END) AS open FROM n GROUP BY px),
+ w AS (SELECT px, class IN {_WET} AND coalesce(lag(class) OVER (PARTITION BY px ORDER BY year) = class, false) AS two FROM cls), v AS (SELECT px, bool_or(two) AS base_wet FROM w GROUP BY px),
+ base AS (SELECT px, CAST(CASE WHEN palm * 2 > trees THEN 221 WHEN shrub * 2 > trees THEN 226 WHEN open * 2 > trees THEN 215 ELSE f END AS INTEGER) AS base_forest, CAST(base_grass AS INTEGER) AS base_grass, base_wet FROM m JOIN v USING (px))"""
+
+
+@query("op_W13_stable_base", f"WITH {_BASE} SELECT * FROM base")
 def _(spark, sf):
     return rules.stable_base(classes(spark, sf), PX)
 
 
+@query("op_W14_held_to_base", f"""WITH {_BASE} SELECT px, year, CAST(CASE WHEN class IN {_IN('Trees_nat')} AND base_forest > 0 THEN base_forest WHEN (class IN {_IN('Grass_all')} OR (class IN {_IN('MedVeg_wet')} AND NOT base_wet)) AND base_grass > 0 THEN base_grass ELSE class END AS INTEGER) AS class FROM cls JOIN base USING (px)""")
+def _(spark, sf):
+    rows = classes(spark, sf)
+    return rules.hold_to_base(rows.join(rules.stable_base(rows, PX), PX)).select("px", "year", "class")
+
+
 @query("op_W14_filtered_series")
 def _(spark, sf):
     rows = classes(spark, sf)

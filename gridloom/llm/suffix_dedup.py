@@ -137,7 +137,8 @@ _SHARED = "g long, kind int, right binary, left binary, row_id long, doc_id long
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of suffixes that begin like others: kind 0 with their words, kind 1 a window of a hot beginning, kind 2 a window that is shared for sure."""
+    """Rows of suffixes that begin like others: kind 0 with their words, kind 1 a window of a hot beginning,
+    kind 2 one that is shared for sure, once a task, kind 3 a decided window, which no other row depends on and which any task may take."""
     known: dict[int, tuple] = {}
     names = [x.split()[0] for x in _SHARED.split(", ")]
     kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
@@ -170,8 +171,9 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             known.setdefault(w, (row, doc, a, more))
                             out.append((w, 1, None, None, row, doc, a, more))
                             continue
-                        out.append((w, 2, None, None, row, doc, a, more))
-                        if len(seen) == 4:  # one row that is sure tells all other tasks
+                        anywhere = (row * 0x9E3779B97F4A7C15 + a) % (1 << 64) - (1 << 63)
+                        out.append((anywhere, 3, None, None, row, doc, a, more))
+                        if len(seen) == 4:  # one row tells all other tasks
                             out.append((w, 2, None, None, *seen))
                             known[w] = (*seen, True)
                 if len(out) >= 8192:
@@ -198,7 +200,11 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, row, doc = t["kind"].to_numpy(), t["row_id"].to_numpy(), t["doc_id"].combine_chunks()
         place, more, g = t["place"].to_numpy().astype(np.int64), t["more"].to_numpy().astype(np.int64), t["g"].to_numpy()
         ids, starts, afters = [], [], []
-        i = np.flatnonzero(kind > 0)
+        i = np.flatnonzero(kind == 3)
+        ids.append(i)
+        starts.append(place[i])
+        afters.append(place[i] + MIN_WORDS + more[i])
+        i = np.flatnonzero((kind == 1) | (kind == 2))
         if len(i):
             sure = np.unique(g[i][kind[i] == 2])
             i = i[_equal(g[i], row[i]) | np.isin(g[i], sure)]

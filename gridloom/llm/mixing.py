@@ -163,4 +163,4 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         value = F.col(f"{all_of}.`{c}`")
         cols.append((text if c == text_col else F.when(cut, F.length(text).cast(docs.schema[c].dataType)).otherwise(value) if c == "n_chars" else value).alias(c))
     mixed = drawn.select(*cols, F.col("d.shard").alias("gl_shard_"), F.xxhash64("doc_id", "d.pass", F.lit(plan.seed + 2)).alias("gl_order_"))
-    return mixed.repartition(plan.shards, "gl_shard_").sortWithinPartitions("gl_shard_", "gl_order_").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return mixed.repartitionById(plan.shards, F.col("gl_shard_").cast("int")).sortWithinPartitions("gl_shard_", "gl_order_").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -111,7 +111,7 @@ def pack(rows: DataFrame, length: int = LENGTH, dtype: str = "<u2", with_ids: bo
         .select(F.col("part").alias("p"), F.col("source").alias("s"), "share", (F.col("share") * F.col("all_before") - F.col("before")).alias("owed"), "first_sequence")
     )
     dealt = rows.join(broadcast_if_small(saved(plan, "plan")), (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")), "left").drop("p", "s")
-    dealt = dealt.repartition(parts, "part").sortWithinPartitions("part", "source", "doc_id", "n", "ids")
+    dealt = dealt.repartitionById(parts, F.col("part").cast("int")).sortWithinPartitions("part", "source", "doc_id", "n", "ids")
     width = np.dtype(dtype)
 
     def one(part: list[tuple]) -> Iterator[dict]:

@@ -44,16 +44,25 @@ def saved(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def limit_batches(spark: SparkSession, rows: int = 1024) -> None:
+    """From now on Arrow batches of at most ``rows`` rows in this session: whole texts are large rows, and executors small."""
+    now = int(spark.conf.get(BATCH_KEY))
+    if now <= 0 or now > rows:
+        spark.conf.set(BATCH_KEY, str(rows))
+
+
 @contextmanager
 def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
     """Arrow batches of at most ``rows`` rows for what runs inside: whole texts are large rows."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    before = spark.conf.get(BATCH_KEY)
+    limit_batches(spark, rows)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.set(BATCH_KEY, before)
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.llm import exact_dedup, mixing, packing, quality_classifier, simhash
 from gridloom.llm.queries import table, vocabulary
-from gridloom.llm.shared import saved
+from gridloom.llm.shared import limit_batches, saved
 
 
 def rank_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score passes; learned from the labels of those in ``docs``."""
+    limit_batches(spark)
     return quality_classifier.keep_quality(docs, table(spark, sf_dir, "labels"))
 
 
@@ -25,6 +26,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the one with the smallest doc_id."""
+    limit_batches(spark)
     return simhash.drop_near_duplicates(docs)
 
 
@@ -35,6 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, each with the mixture of the corpus."""
+    limit_batches(spark)
     return packing.pack_documents(docs, vocabulary(), end_id=2)
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import exact_dedup, mixing, packing, quality_classifier, simhash
+from gridloom.llm import exact_dedup, jaccard, mixing, packing, quality_classifier, simhash
 from gridloom.llm.queries import table, vocabulary
 from gridloom.llm.shared import limit_batches, saved
 
@@ -25,9 +25,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the one with the smallest doc_id."""
+    """Of each group of near copies (five-word shingles, Jaccard similarity 0.8 or more) the one with the smallest doc_id."""
     limit_batches(spark)
-    return simhash.drop_near_duplicates(docs)
+    return simhash.drop_near_duplicates(docs, words=jaccard.WORDS, find=jaccard.near_copies)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ has a null id; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -261,13 +261,13 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, find: Callable[..., DataFrame] = near_duplicates) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its component, and one row of each that repeats its doc_id.
 
-    The doc_ids that go are broadcast while few, else joined by a shuffle.
+    ``find`` gives doc_id and component_id of each row.  The doc_ids that go are broadcast while few, else joined by a shuffle.
     """
     key = free_name(docs, "gl_id")
-    found = saved(near_duplicates(docs, id_col, text_col, words), "found")
+    found = saved(find(docs, id_col, text_col, words), "found")
     gone = saved(found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key)).distinct(), "gone")
     few = broadcast_if_small(gone)
     kept = docs.join(few, F.col(id_col).cast("long").eqNullSafe(F.col(key)), "left_anti")

@@ -69,8 +69,8 @@ def _spans(values: np.ndarray, first: np.ndarray, after: np.ndarray, base: int)
     return _mix((sums[after] - sums[first]) * back[first])
 
 
-def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """32-bit hashes of all words, and the index of each word's text."""
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words, and the index of each word's text."""
     texts = texts.cast(pa.large_binary()).fill_null(b"")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]] if len(texts) else np.zeros(0, np.uint8)
@@ -81,8 +81,13 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     begin = ink & (np.r_[True, ~ink[:-1]] | edge[:-1]) if len(data) else ink
     end = ink & (np.r_[~ink[1:], True] | edge[1:]) if len(data) else ink
     first, after = np.flatnonzero(begin), np.flatnonzero(end) + 1
-    words = (_spans(_LOWER[data].astype(np.uint64) + np.uint64(1), first, after, _BASE) >> np.uint64(32)).astype(np.uint32)
-    return words, np.searchsorted(offsets, first, side="right") - 1
+    return _spans(_LOWER[data].astype(np.uint64) + np.uint64(1), first, after, _BASE), np.searchsorted(offsets, first, side="right") - 1
+
+
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """32-bit hashes of all words, and the index of each word's text."""
+    words, text = word_hashes(texts)
+    return (words >> np.uint64(32)).astype(np.uint32), text
 
 
 def minimisers(words: np.ndarray, text: np.ndarray) -> dict[str, np.ndarray]:

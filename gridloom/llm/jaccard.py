@@ -26,11 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import batch_rows, broadcast_if_small, saved
+from .shared import batch_rows, broadcast_if_small, saved, text_digest
 from .suffix_dedup import _STEP, _mix, _spans, word_hashes
 
 WORDS = 5
@@ -46,11 +46,6 @@ STARS = 4
 _FACTORS = np.random.default_rng(5).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def text_digest(text: Column) -> Column:
-    """Which rows have the same text; null equals empty."""
-    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
-
-
 def shingles(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles, text by text, and how many each text has."""
     hashes, text = word_hashes(texts)
@@ -159,7 +154,7 @@ def unsettled(low: int, high: int):
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, digest, component_id (the smallest doc_id reachable)."""
+    """One row per row of ``docs``: doc_id, digest, group (one long a component), component_id (the smallest doc_id reachable)."""
     rows = saved(signatures(docs, id_col, text_col, words), "signatures")
     nodes = rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     nodes = saved(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
@@ -188,6 +183,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             joined = saved(connected_components(links), "joined")
     linked = nodes.join(joined, "node").select("digest", "least", "component")
     least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    changed = linked.join(least, "component").select("digest", "component_id")
-    ids = saved(nodes.select("digest", "least").join(changed, "digest", "left").select("digest", F.coalesce("component_id", "least").alias("component_id")), "ids")
+    changed = linked.join(least, "component").select("digest", "component", "component_id")
+    every = nodes.select("digest", "node", "least").join(changed, "digest", "left")
+    ids = saved(every.select("digest", F.coalesce("component", "node").alias("group"), F.coalesce("component_id", "least").alias("component_id")), "ids")
     return rows.select("doc_id", "digest").join(broadcast_if_small(ids), "digest")

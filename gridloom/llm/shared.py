@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows up to which a side that was counted is broadcast; larger ones are joined by a shuffle.
@@ -70,6 +70,11 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def text_digest(text: Column) -> Column:
+    """Which rows have the same text; null equals empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import broadcast_if_small, free_name, saved
+from .shared import broadcast_if_small, free_name, saved, text_digest
 
 SEED, RADIUS = 42, 4
 #: (first bit, bits) of each band; two bands are equal where at most four bits differ.
@@ -59,16 +59,19 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits(bits * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, by_text: bool = False) -> DataFrame:
+    """doc_id and fp, the fingerprint as a signed long; with ``by_text`` also the digest of the text."""
+    more = ["digest"] if by_text else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
                 fps = np.array([fingerprint(t.as_py(), words) for t in part.column("text")], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps)], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps), *map(part.column, more)], ["doc_id", "fp", *more])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    columns = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")]
+    digests = [text_digest(F.col(text_col)).alias(c) for c in more]
+    return docs.select(*columns, *digests).mapInArrow(run, ", ".join(["doc_id long, fp long", *(f"{c} binary" for c in more)]))
 
 
 def buckets(fp: Column) -> Column:
@@ -244,15 +247,16 @@ def links(nodes: DataFrame) -> DataFrame:
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_links_of, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fp, component_id (the smallest doc_id reachable)."""
-    rows = saved(fingerprints(docs, id_col, text_col, words), "fingerprints")
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, by_text: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, fp, component_id (the smallest doc_id reachable); with ``by_text`` also digest and group (one long a component)."""
+    rows = saved(fingerprints(docs, id_col, text_col, words, by_text), "fingerprints")
     nodes = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     joined = connected_components(saved(links(nodes), "links"))
     linked = nodes.join(joined, nodes["fp"] == joined["node"]).select("fp", "least", "component")
     least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    changed = linked.join(least, "component").select("fp", "component_id")
-    ids = saved(nodes.join(changed, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")), "ids")
+    changed = linked.join(least, "component").select("fp", "component_id", *(["component"] if by_text else []))
+    group = [F.coalesce("component", "fp").alias("group")] if by_text else []
+    ids = saved(nodes.join(changed, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"), *group), "ids")
     return rows.join(broadcast_if_small(ids), "fp")
 
 
@@ -261,19 +265,29 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, find: Callable[..., DataFrame] = near_duplicates) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component, and one row of each that repeats its doc_id.
+def copies(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """doc_id, digest and group of each row."""
+    return near_duplicates(docs, id_col, text_col, words, by_text=True)
 
-    ``find`` gives doc_id and component_id of each row.  The doc_ids that go are broadcast while few, else joined by a shuffle.
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, find: Callable[..., DataFrame] = copies) -> DataFrame:
+    """One row of each component: that of the smallest doc_id (null comes last), of rows that repeat it that of the smallest text digest.
+
+    ``find`` gives doc_id, digest and group of each row.  Rows are told by doc_id and text, so rows of other components that
+    repeat a doc_id, or have none, stay.  What goes is broadcast while few, else joined by a shuffle.
     """
-    key = free_name(docs, "gl_id")
-    found = saved(find(docs, id_col, text_col, words), "found")
-    gone = saved(found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key)).distinct(), "gone")
-    few = broadcast_if_small(gone)
-    kept = docs.join(few, F.col(id_col).cast("long").eqNullSafe(F.col(key)), "left_anti")
-    twice = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count().filter("count > 1")
-    if twice.limit(1).count():
-        again = broadcast_if_small(saved(twice.select(F.col("doc_id").alias(key)), "twice"))
-        same = F.col(id_col).cast("long").eqNullSafe(F.col(key))
-        kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([id_col]))
-    return kept
+    key, text = free_name(docs, "gl_id"), free_name(docs, "gl_digest")
+    found = saved(find(docs, id_col, text_col, words).select("doc_id", "digest", "group"), "found")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    best = found.groupBy("group").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("group", "best")
+    several = found.join(broadcast_if_small(saved(best, "best")), "group")
+    wins = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("digest") == F.col("best.digest"))
+    names = [F.col("doc_id").alias(key), F.col("digest").alias(f"{text}k")]
+    gone = broadcast_if_small(saved(several.filter(~wins).select(*names).distinct(), "gone"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(key)) & (F.col(text) == F.col(f"{text}k"))
+    kept = docs.withColumn(text, text_digest(F.col(text_col))).join(gone, same, "left_anti")
+    twice = saved(several.filter(wins).groupBy("doc_id", "digest").count().filter("count > 1").select(*names), "twice")
+    if twice.limit(1).count():  # rows that repeat a doc_id and a text
+        again = broadcast_if_small(twice)
+        kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([id_col, text]))
+    return kept.drop(text)

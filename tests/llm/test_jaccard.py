@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import corpus_pipeline
 import pytest
-from gridloom.llm import jaccard
+from gridloom.llm import jaccard, simhash
 
 from .conftest import SF
 from .test_free import union, words_of
@@ -71,3 +71,18 @@ def test_stage(spark, near, sf):
     df = near if sf == SF else spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     got = [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, df, sf).collect()]
     assert sorted(got) == sorted(set(components_by_force(df.collect()).values()))
+
+
+@pytest.mark.parametrize("stage", [False, True])
+def test_repeated_ids(spark, stage):
+    """Rows that share a doc_id, or have none, stay unless they are near copies themselves."""
+    r = random.Random(9)
+    a, b, c, d, e = (" ".join(f"w{r.randint(0, 10**6)}" for _ in range(80)) for _ in range(5))
+    rows = [(1, a), (None, a + " z"), (None, b), (None, c), (7, d), (7, e), (7, e), (8, e + " z"), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    if stage:
+        got = corpus_pipeline.drop_near_copies(spark, df, SF)
+    else:
+        same = [(i, t and t.removesuffix(" z")) for i, t in rows]  # equal texts are within any radius
+        got = simhash.drop_near_duplicates(spark.createDataFrame(same, "doc_id long, text string"))
+    assert sorted(((x["doc_id"], x["text"] or "") for x in got.collect()), key=str) == sorted([(1, a), (None, b), (None, c), (7, d), (7, e), (None, "")], key=str)

@@ -416,7 +416,7 @@ for _method in series.SMOOTHERS:
 @query("op_R1_reconstruct")
 def _(spark, sf):
     """Scenes to index, one a day, low values out, smoothed to regular days, season by season."""
-    out = [d for y in (1997, 1998) for d in _regular(y)]
+    out = [d for y in YEARS for d in _regular(y)]
     rows = series.low_values_to_zero(ts(spark, sf), PX).withColumn("value", F.when(F.col("value") > 0, F.col("value")))
     return series.smoothed(rows, PX, out, "wh").withColumn("value", F.round("value").cast("int"))
 

@@ -3,22 +3,28 @@
 Texts become words (A-Z lower-cased), words 32-bit hashes.  Of each window of
 ``MIN_WORDS`` words the K-gram with the smallest hash, the leftmost of equal
 ones, is its minimiser; equal windows have it at the same place, so only the
-suffixes at minimisers are kept.
-
-1. Suffixes are counted by the K words they begin with; those that begin like no
-   suffix of another document end here.
-2. The others are sorted by what follows.  For every number of words to the left
-   that a suffix's windows reach, equal neighbours are found; this extends the
-   match left and right until it has ``MIN_WORDS`` words, whichever of many
-   neighbours it is shared with.
-3. Windows found merge into spans.
-
-A beginning with more than ``HOT`` suffixes is dealt out by its windows instead;
-a task that sees such a window in two documents decides both and sends one row.
+suffixes at minimisers are kept, each with the words that its windows reach to
+the left and to the right.
+
+1. Suffixes whose first K words begin no suffix of another row end here.
+2. The others are sorted over all tasks by the words that follow, so a frequent
+   beginning spans as many tasks as it needs.  Rows that equal one that a task
+   has seen in another row are decided there and not sort.
+3. In a task neighbours are compared word by word.  For each number of words to
+   the left, suffixes whose following words agree far enough are an interval of
+   the order; the words to the left, sorted too, cut it into classes.  A class
+   with two rows is a shared window, and adjoining windows extend the match left
+   and right.
+4. Intervals that touch the first or last suffix of a task may go on in the next
+   one: their windows are compared across tasks, one row a class and task.
+5. Windows found merge into spans.
+
+Words are compared by their 32-bit hashes: two windows that differ in some words
+are taken for equal with a chance of 2^-32 for each such word.
 
 Defined results: a null or empty text shares nothing; rows that repeat a
 document share all its windows; an empty table gives an empty result; a passage
-that occurs twice in one row only is not shared.
+that occurs twice in one row only is not shared; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +40,8 @@ from .shared import saved
 
 MIN_WORDS, K = 50, 16
 REACH = MIN_WORDS - K + 1
-HOT, KNOWN = 4096, 500_000
+#: Suffixes that a task sorts, about, and contexts that a task remembers, so that copies are sent once; results depend on neither.
+TASK_ROWS, KNOWN = 40_000, 100_000
 SLICE = 256
 
 _SPACE = np.zeros(256, bool)
@@ -42,7 +49,7 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE, _STEP = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-_WORST = np.uint64(0xFFFFFFFFFFFFFFFF)
+_OTHER = 0xC2B2AE3D27D4EB4F
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -85,9 +92,9 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """32-bit hashes of all words, and the index of each word's text."""
+    """32-bit hashes of all words, none of them 0, and the index of each word's text."""
     words, text = word_hashes(texts)
-    return (words >> np.uint64(32)).astype(np.uint32), text
+    return np.maximum((words >> np.uint64(32)).astype(np.uint32), 1), text
 
 
 def minimisers(words: np.ndarray, text: np.ndarray) -> dict[str, np.ndarray]:
@@ -101,16 +108,15 @@ def minimisers(words: np.ndarray, text: np.ndarray) -> dict[str, np.ndarray]:
         return {"at": none, "lo": none, "hi": none, "more": none, "key": none.view(np.uint64)}
     grams = np.arange(n - K + 1)
     key = _spans(_mix(words.astype(np.uint64) + np.uint64(1)), grams, grams + K, _STEP)
-    rank = key.copy()
-    rank[:-1][key[:-1] == key[1:]] = _WORST  # inside a run of one word
-    at = starts + np.lib.stride_tricks.sliding_window_view(rank, REACH).argmin(axis=1)
+    at = starts + np.lib.stride_tricks.sliding_window_view(key, REACH).argmin(axis=1)
     a, at = starts[inside], at[inside]
     new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (a[1:] != a[:-1] + 1)])
     last = np.r_[new[1:], len(a)] - 1
     at, lo, hi = at[new], a[new], a[last]
-    # In a run of one word every window is its own minimiser: the first stands for all that equal it.
-    plain = (rank[at] == _WORST) & (lo == hi) & (at == lo)
-    again = np.r_[False, plain[1:] & plain[:-1] & (at[1:] == at[:-1] + 1) & (key[at[1:]] == key[at[:-1]])]
+    # Of equal windows one after the other, all of one word, the first stands for the others.
+    changes = np.concatenate([[0], np.cumsum(words[1:] != words[:-1])])
+    plain = (changes[lo] == changes[lo + MIN_WORDS - 1]) & (lo == hi) & (at == lo)
+    again = np.r_[False, plain[1:] & plain[:-1] & (at[1:] == at[:-1] + 1)]
     first = np.flatnonzero(~again)
     more = np.diff(np.r_[first, len(at)]) - 1
     return {"at": at[first], "lo": lo[first], "hi": hi[first], "more": more, "key": key[at[first]]}
@@ -138,57 +144,66 @@ def suffixes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return saved(rows.mapInArrow(run, "row_id long, doc_id long, words binary, at array<int>, key array<long>"), "suffixes")
 
 
-_SHARED = "g long, kind int, right binary, left binary, row_id long, doc_id long, place int, more int"
+_CONTEXTS = {"right": pa.binary(), "left": pa.binary(), "row_id": pa.int64(), "doc_id": pa.int64(), "places": pa.list_(pa.int32()), "more": pa.list_(pa.int32()), "start": pa.int64(), "after": pa.int64()}
+_CONTEXTS_SQL = "right binary, left binary, row_id long, doc_id long, places array<int>, more array<int>, start long, after long"
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of suffixes that begin like others: kind 0 with their words, kind 1 a window of a hot beginning,
-    kind 2 one that is shared for sure, once a task, kind 3 a decided window, which no other row depends on and which any task may take."""
-    known: dict[int, tuple] = {}
-    names = [x.split()[0] for x in _SHARED.split(", ")]
-    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    """Of suffixes that begin like others: ``right`` and ``left``, the words that their windows reach (left: the nearest first), with all
+    their places in the row; or ``start`` and ``after``, a span decided here, where another row had the same words.  The first such
+    copy goes on without places, so that the row it equals finds it."""
+    known: dict[tuple[bytes, bytes], int] = {}  # row, or -1 where a copy has been sent
     out: list[tuple] = []
 
     def flush() -> pa.RecordBatch:
         columns = list(zip(*out, strict=True))
         out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _CONTEXTS.values(), strict=True)], list(_CONTEXTS))
 
     for batch in batches:
         for part in (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE)):
-            for row, doc, raw, places, hots in zip(*(part.column(c).to_pylist() for c in ("row_id", "doc_id", "words", "places", "hot")), strict=True):
+            for row, doc, raw, places in zip(*(part.column(c).to_pylist() for c in ("row_id", "doc_id", "words", "places")), strict=True):
                 words = np.frombuffer(raw, np.uint32)
-                m = minimisers(words, np.zeros(len(words), np.int64))
-                big = words.astype(">u4").tobytes()
-                hot = dict(zip(places, hots, strict=True))
-                for i in np.flatnonzero(np.isin(m["at"], places)).tolist():
-                    at, lo, hi, more = (int(m[c][i]) for c in ("at", "lo", "hi", "more"))
-                    if not hot[at]:
-                        out.append((int(m["key"][i].view(np.int64)), 0, big[4 * at : 4 * (hi + MIN_WORDS)], big[4 * lo : 4 * at], row, doc, at, more))
+                n, m = len(words), minimisers(words, np.zeros(len(words), np.int64))
+                ahead, back = words.astype(">u4").tobytes(), words[::-1].astype(">u4").tobytes()
+                some = np.flatnonzero(np.isin(m["at"], places))
+                own: dict[tuple[bytes, bytes], list[tuple[int, int, int, int]]] = {}
+                for at, lo, hi, more in zip(*(m[c][some].tolist() for c in ("at", "lo", "hi", "more")), strict=True):
+                    own.setdefault((ahead[4 * at : 4 * (hi + MIN_WORDS)], back[4 * (n - at) : 4 * (n - lo)]), []).append((at, lo, hi, more))
+                for context, found in own.items():
+                    seen = known.get(context)
+                    if seen is None:
+                        if len(known) >= KNOWN:
+                            known.clear()
+                        known[context] = row
+                        out.append((*context, row, doc, [x[0] for x in found], [x[3] for x in found], None, None))
                         continue
-                    first = np.arange(lo, hi + 1)
-                    windows = _spans(_mix(words[lo : hi + MIN_WORDS].astype(np.uint64) + np.uint64(1)), first - lo, first - lo + MIN_WORDS, _BASE)
-                    for a, w in zip(first.tolist(), windows.view(np.int64).tolist(), strict=True):
-                        seen = known.get(w)
-                        if seen is None or seen[0] == row:
-                            if len(known) >= KNOWN:
-                                known.clear()
-                            known.setdefault(w, (row, doc, a, more))
-                            out.append((w, 1, None, None, row, doc, a, more))
-                            continue
-                        anywhere = (row * 0x9E3779B97F4A7C15 + a) % (1 << 64) - (1 << 63)
-                        out.append((anywhere, 3, None, None, row, doc, a, more))
-                        if len(seen) == 4:  # one row tells all other tasks
-                            out.append((w, 2, None, None, *seen))
-                            known[w] = (*seen, True)
+                    if seen >= 0:
+                        known[context] = -1
+                        out.append((*context, row, doc, [], [], None, None))
+                    out.extend((None, None, row, doc, None, None, lo, hi + MIN_WORDS + more) for _, lo, hi, more in found)
                 if len(out) >= 8192:
                     yield flush()
     if out:
         yield flush()
 
 
+def _matrix(rows: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words of each row, filled up with 0, and how many."""
+    n = np.array([len(x) // 4 for x in rows], np.int64)
+    out = np.zeros((len(rows), width), np.uint32)
+    out[np.arange(width)[None, :] < n[:, None]] = np.frombuffer(b"".join(rows), ">u4")
+    return out, n
+
+
+def common_prefixes(rows: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Of each row but the first, how many words it begins with like the row before it."""
+    same = np.cumprod(rows[1:] == rows[:-1], axis=1, dtype=np.uint8).sum(axis=1, dtype=np.int64)
+    return np.minimum(same, np.minimum(n[1:], n[:-1]))
+
+
 def _equal(h: np.ndarray, row: np.ndarray) -> np.ndarray:
-    """Which hashes occur in two rows or more: neighbours after sorting."""
+    """Which classes occur in two rows or more: neighbours after sorting."""
     order = np.lexsort((row, h))
     h, row = h[order], row[order]
     first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
@@ -198,79 +213,108 @@ def _equal(h: np.ndarray, row: np.ndarray) -> np.ndarray:
     return out
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans (row_id, doc_id, start, after) in rows sorted by g; rows of one g are looked at together."""
-
-    def spans(t: pa.Table) -> pa.RecordBatch:
-        kind, row, doc = t["kind"].to_numpy(), t["row_id"].to_numpy(), t["doc_id"].combine_chunks()
-        place, more, g = t["place"].to_numpy().astype(np.int64), t["more"].to_numpy().astype(np.int64), t["g"].to_numpy()
-        ids, starts, afters = [], [], []
-        i = np.flatnonzero(kind == 3)
-        ids.append(i)
-        starts.append(place[i])
-        afters.append(place[i] + MIN_WORDS + more[i])
-        i = np.flatnonzero((kind == 1) | (kind == 2))
-        if len(i):
-            sure = np.unique(g[i][kind[i] == 2])
-            i = i[_equal(g[i], row[i]) | np.isin(g[i], sure)]
-            ids.append(i)
-            starts.append(place[i])
-            afters.append(place[i] + MIN_WORDS + more[i])
-        i = np.flatnonzero(kind == 0)
-        if len(i):
-            some = t.take(pa.array(i))
-            left = [np.frombuffer(x, ">u4") for x in some["left"].to_pylist()]
-            right = [np.frombuffer(x, ">u4") for x in some["right"].to_pylist()]
-            words = np.zeros((len(i), REACH - 1 + MIN_WORDS), np.uint64)
-            n_left, n_right = np.array([len(x) for x in left]), np.array([len(x) for x in right])
-            cols = np.arange(words.shape[1])[None, :]
-            words[(cols >= REACH - 1 - n_left[:, None]) & (cols < REACH - 1 + n_right[:, None])] = np.concatenate([w for pair in zip(left, right, strict=True) for w in pair])
-            power = _power(_BASE, words.shape[1])
-            sums = np.concatenate([np.zeros((len(i), 1), np.uint64), np.cumsum(_mix(words + np.uint64(1)) * power[None, : words.shape[1]], axis=1, dtype=np.uint64)], axis=1)
-            found = np.zeros((len(i), REACH + 1), bool)  # by window, the leftmost first
-            for l in range(REACH):  # noqa: E741  words to the left of the suffix
-                has = np.flatnonzero((n_left >= l) & (n_right >= MIN_WORDS - l))
-                if len(has) > 1:
-                    s = REACH - 1 - l
-                    h = _mix((sums[has, s + MIN_WORDS] - sums[has, s]) * power[l]) ^ _mix(g[i[has]].view(np.uint64))
-                    found[has, s] = _equal(h, row[i[has]])
-            r, s = np.nonzero(found & ~np.c_[np.zeros(len(i), bool), found[:, :-1]])
-            _, e = np.nonzero(found & ~np.c_[found[:, 1:], np.zeros(len(i), bool)])
-            ids.append(i[r])
-            starts.append(place[i[r]] - (REACH - 1) + s)
-            afters.append(place[i[r]] - (REACH - 1) + e + MIN_WORDS + more[i[r]])
-        at = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-        cat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(row[at]), doc.take(pa.array(at)), cat(starts), cat(afters)], ["row_id", "doc_id", "start", "after"])
-
-    held: list[pa.RecordBatch] = []
-    n = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        n += batch.num_rows
-        last = batch.column("g")[batch.num_rows - 1].as_py()
-        if n < 30_000 or held[0].column("g")[0].as_py() == last:
+def window_classes(right: np.ndarray, n_right: np.ndarray, left: np.ndarray, n_left: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each number l of words to the left: l, the suffixes with such a window, the class of each window, and the interval it lies in.
+
+    Rows are in suffix order.  Windows are equal where they are in the same
+    interval of that order at depth ``MIN_WORDS`` - l, and of the order of the
+    words to the left at depth l.
+    """
+    n = len(right)
+    follow = common_prefixes(right, n_right)
+    order = np.lexsort(left.T[::-1])
+    before = common_prefixes(left[order], n_left[order])
+    rank = np.zeros(n, np.int64)
+    for l in range(REACH):  # noqa: E741
+        has = np.flatnonzero((n_left >= l) & (n_right >= MIN_WORDS - l))
+        if not len(has):
             continue
-        t = pa.Table.from_batches(held)
-        cut = int(np.searchsorted(t["g"].to_numpy(), last))
-        yield spans(t.slice(0, cut).combine_chunks())
-        held = t.slice(cut).combine_chunks().to_batches()
-        n = t.num_rows - cut
-    if held:
-        yield spans(pa.Table.from_batches(held).combine_chunks())
+        interval = np.concatenate([[0], np.cumsum(follow < MIN_WORDS - l)])
+        rank[order] = np.concatenate([[0], np.cumsum(before < l)])
+        yield l, has, interval[has] * n + rank[has], interval
+
+
+_FOUND = "w binary, row_id long, doc_id long, start long, after long, sure boolean"
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans (start, after) of suffixes in order; ``w`` names a window that may occur in another task too, which ``sure`` says is shared."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    t = pa.Table.from_batches(held)
+    n, row, doc = t.num_rows, t["row_id"].to_numpy(), t["doc_id"].combine_chunks()
+    right, n_right = _matrix(t["right"].to_pylist(), MIN_WORDS)
+    left, n_left = _matrix(t["left"].to_pylist(), REACH - 1)
+    places, more = t["places"].combine_chunks(), t["more"].combine_chunks()
+    n_places = np.diff(places.offsets.to_numpy())
+    first = np.cumsum(n_places) - n_places
+    places, more = places.flatten().to_numpy().astype(np.int64), more.flatten().to_numpy().astype(np.int64)
+
+    def of_places(i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each suffix in ``i`` its places: which of ``i``, and the index of the place."""
+        which = np.repeat(np.arange(len(i)), n_places[i])
+        return which, first[i][which] + np.arange(len(which)) - np.repeat(np.cumsum(n_places[i]) - n_places[i], n_places[i])
+
+    def rows(i: np.ndarray, w: list | None, start: np.ndarray | None, after: np.ndarray | None, sure: bool) -> pa.RecordBatch:
+        none = lambda kind: pa.nulls(len(i), kind)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(w, pa.binary()) if w is not None else none(pa.binary()), pa.array(row[i]), doc.take(pa.array(i)),
+             pa.array(start, pa.int64()) if start is not None else none(pa.int64()), pa.array(after, pa.int64()) if after is not None else none(pa.int64()), pa.array(np.full(len(i), sure))],
+            ["w", "row_id", "doc_id", "start", "after", "sure"],
+        )
+
+    both = np.zeros((n, REACH - 1 + MIN_WORDS), np.uint64)
+    both[:, : REACH - 1] = left[:, ::-1]
+    both[:, REACH - 1 :] = right
+    found = np.zeros((n, REACH), bool)  # by window, the leftmost first
+    for l, has, kind, interval in window_classes(right, n_right, left, n_left):  # noqa: E741
+        twice = _equal(kind, row[has])
+        s = REACH - 1 - l
+        found[has, s] = twice
+        edge = (interval[has] == interval[0]) | (interval[has] == interval[-1])
+        _, told = np.unique(kind[edge & twice], return_index=True)
+        told, alone = has[edge & twice][told], has[edge & ~twice]
+        for i, sure in ((told, True), (alone, False)):
+            if len(i):
+                w = _mix(both[i, s : s + MIN_WORDS] + np.uint64(1))
+                pair = [_mix((w * _power(base, MIN_WORDS)[None, :MIN_WORDS]).sum(axis=1, dtype=np.uint64)) for base in (_BASE, _OTHER)]
+                names = [x.tobytes() for x in np.ascontiguousarray(np.stack(pair, axis=1))]
+                if sure:
+                    yield rows(i, names, None, None, True)
+                    continue
+                which, at = of_places(i)
+                if len(which):
+                    yield rows(i[which], [names[k] for k in which], places[at] - l, places[at] - l + MIN_WORDS + more[at], False)
+                if (n_places[i] == 0).any():
+                    yield rows(i[n_places[i] == 0], [names[k] for k in np.flatnonzero(n_places[i] == 0)], None, None, False)
+    no = np.zeros(n, bool)
+    i, s = np.nonzero(found & ~np.c_[no, found[:, :-1]])
+    _, e = np.nonzero(found & ~np.c_[found[:, 1:], no])
+    which, at = of_places(i)
+    if len(which):
+        yield rows(i[which], None, places[at] - (REACH - 1) + s[which], places[at] - (REACH - 1) + e[which] + MIN_WORDS + more[at], True)
+
+
+_KEPT = ("right", "left", "row_id", "doc_id", "places", "more")
 
 
 def shared_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per longest span of words, each in a window of ``MIN_WORDS`` that another row has too: doc_id, start, after, n_words (places count words from 0)."""
     rows = suffixes(docs, id_col, text_col)
     each = rows.select("row_id", F.explode(F.arrays_zip("at", "key")).alias("s")).select("row_id", "s.at", "s.key")
-    keys = each.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("a"), F.max("row_id").alias("b"))
-    keys = saved(keys.filter("a <> b").select("key", (F.col("n") > HOT).alias("hot")), "keys")
-    places = each.join(keys, "key").groupBy("row_id").agg(F.collect_list("at").alias("places"), F.collect_list("hot").alias("hot"))  # of one text
-    found = rows.select("row_id", "doc_id", "words").join(places, "row_id").mapInArrow(_contexts, _SHARED)
-    spans = found.repartition("g").sortWithinPartitions("g", "kind", "right", "row_id").mapInArrow(_shared, "row_id long, doc_id long, start long, after long")
+    keys = each.groupBy("key").agg(F.min("row_id").alias("a"), F.max("row_id").alias("b")).filter("a <> b").select("key")
+    places = each.join(keys, "key").groupBy("row_id").agg(F.collect_list("at").alias("places"))  # of one text
+    contexts = saved(rows.select("row_id", "doc_id", "words").join(places, "row_id").mapInArrow(_contexts, _CONTEXTS_SQL), "contexts")
+    entries = contexts.filter("start is null").select(*_KEPT)
+    in_order = entries.repartitionByRange(int(entries.count() // TASK_ROWS) + 1, "right", "left", "row_id").sortWithinPartitions("right", "left")
+    found = saved(in_order.mapInArrow(_shared, _FOUND), "found")
+    across = found.filter("w is not null")
+    shared = across.groupBy("w").agg(F.min("row_id").alias("a"), F.max("row_id").alias("b"), F.max("sure").alias("sure")).filter("sure or a <> b").select("w")
+    more = across.filter("start is not null").join(shared, "w", "left_semi")
+    spans = contexts.filter("start is not null").select("row_id", "doc_id", "start", "after")
+    for part in (found.filter("w is null"), more):
+        spans = spans.unionByName(part.select("row_id", "doc_id", "start", "after"))
     one = F.sort_array(F.collect_set(F.struct("start", "after")))  # of one text
     none = F.array().cast("array<struct<start:bigint,after:bigint>>")
 

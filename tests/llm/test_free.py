@@ -273,12 +273,14 @@ def shared_by_force(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("hot", [4096, 2])
-def test_suffix_dedup(spark, docs, monkeypatch, hot):
-    """``hot`` sends shared beginnings through the path for frequent ones."""
-    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+@pytest.mark.parametrize("rows", [40_000, 7])
+def test_suffix_dedup(spark, docs, monkeypatch, rows):
+    """With few ``rows`` a task, beginnings go over many tasks, and windows that only two tasks together can tell."""
+    monkeypatch.setattr(suffix_dedup, "TASK_ROWS", rows)
     passage = " ".join(f"p{i}" for i in range(57))
     more = [(10**6 + i, f"a{i} b{i} {passage} c{i} " + " ".join(f"t{i}x{k}" for k in range(60))) for i in range(9)]
+    more += [(4 * 10**6 + i, f"{'g ' * i} h{i % 3} {passage[:-40 + i]} k{i % 5}") for i in range(40)]
+    more += [(5 * 10**6, "one " + "z " * 50 + "two"), (5 * 10**6 + 1, "z " * 300), (5 * 10**6 + 2, "m n o " * 40), (5 * 10**6 + 3, "q " + "o m n " * 30)]
     more += [(2 * 10**6, "x " * 300), (2 * 10**6 + 1, "y " + "x " * 120 + "z"), (None, passage), (3 * 10**6, None), (3 * 10**6 + 1, "")]
     df = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
     got = sorted(((r["doc_id"], r["start"], r["after"]) for r in suffix_dedup.shared_spans(df).collect()), key=str)

@@ -1,18 +1,19 @@
 """Near-duplicates by SimHash, compared in bit-sliced form.
 
 Fingerprints are 64-bit majorities over the hashes of word shingles.  Distinct
-ones are dealt into buckets: 64 bits make six bands, two that differ in at most
-four bits share at least two bands, so every pair of bands is a table of its
-own.  Sorted by bucket, 64 fingerprints at a time are turned into 64 bit planes;
-one fingerprint is compared with all of a block by XOR on the planes, with
-counters that are bit-sliced too (carry-save), and blocks in which every lane is
-beyond the radius are abandoned.  Large buckets are searched breadth-first, so
-each fingerprint that is found is compared once with those not yet found.
+ones are dealt into buckets: 64 bits make some bands (``banding``), two that
+differ in at most four bits share all bands but four, so every choice of so many
+bands is a table of its own.  More fingerprints make more and narrower bands, so
+that buckets stay small.  Sorted by bucket, 64 fingerprints at a time are turned
+into 64 bit planes; one fingerprint is compared with all of a block by XOR on
+the planes, with bit-sliced counters of carry-save adders, and blocks in which
+every lane is beyond the radius are abandoned.  Of links between two groups
+of a large bucket one is given; buckets above ``CHUNK`` are cut into chunks, and
+every two chunks are a unit of work that any task may take.
 
 Links are merged to components by large-star and small-star rounds on tables.
 Equal fingerprints are one node throughout, so copies are never paired, and a
-bucket holds distinct fingerprints only: of any one kind of text at most the
-679,121 within four bits of each other's centre.
+bucket holds distinct fingerprints only.
 
 Defined results: a null or empty text has fingerprint zero, linked like any
 other; repeated rows share their component; a component of null doc_ids only
@@ -34,10 +35,10 @@ from .components import connected_components
 from .shared import broadcast_if_small, free_name, saved, text_digest
 
 SEED, RADIUS = 42, 4
-#: (first bit, bits) of each band; two bands are equal where at most four bits differ.
-BANDS = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
-#: Buckets from this size are searched breadth-first.
-LARGE = 2048
+#: Buckets from this size are searched one by one, those above CHUNK in units of two chunks; links connect the same in each way.
+LARGE, CHUNK = 2048, 1 << 14
+#: Fingerprints in a bucket, about, up to which bands are not made narrower; at most so many bands.
+FULL, MOST_BANDS = 64, 9
 WORDS = 4
 
 
@@ -74,12 +75,25 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(*columns, *digests).mapInArrow(run, ", ".join(["doc_id long, fp long", *(f"{c} binary" for c in more)]))
 
 
-def buckets(fp: Column) -> Column:
-    """The bucket of each table: the table's number above the bits of its two bands."""
-    band = lambda at, n: F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << n) - 1))
-    return F.array(*(
-        F.lit(t << 22).cast("long").bitwiseOR(F.shiftleft(band(*a), b[1])).bitwiseOR(band(*b)) for t, (a, b) in enumerate(combinations(BANDS, 2))
-    ))
+def banding(n: int) -> list[tuple[int, int]]:
+    """(first bit, bits) of each band for ``n`` fingerprints; all bands but four are equal where at most four bits differ."""
+    bands = RADIUS + 2
+    while bands < MOST_BANDS and n >> (64 * (bands - RADIUS) // bands) > FULL:
+        bands += 1
+    sizes = [64 // bands + (i < 64 % bands) for i in range(bands)]
+    return [(sum(sizes[:i]), sizes[i]) for i in range(bands)]
+
+
+def buckets(fp: Column, bands: list[tuple[int, int]]) -> Column:
+    """The bucket of each table: the table's number above the bits of its bands."""
+
+    def bucket(t: int, chosen: tuple[tuple[int, int], ...]) -> Column:
+        out = F.lit(t).cast("long")
+        for at, n in chosen:
+            out = F.shiftleft(out, n).bitwiseOR(F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << n) - 1)))
+        return out
+
+    return F.array(*(bucket(t, chosen) for t, chosen in enumerate(combinations(bands, len(bands) - RADIUS))))
 
 
 def planes(fps: np.ndarray) -> np.ndarray:
@@ -94,36 +108,44 @@ def planes(fps: np.ndarray) -> np.ndarray:
 _ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+def add(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A carry-save adder: sum and carry of three planes, lane by lane."""
+    u = a ^ b
+    return u ^ c, (a & b) | (u & c)
+
+
 def near(bits: np.ndarray, stored: np.ndarray, radius: int = RADIUS) -> np.ndarray:
     """For each query and block the lanes within the radius, as words.
 
     ``bits`` [64, q, k]: bit b of each query as a word of ones or zeros, for
     each block or (k = 1) for all; ``stored`` [64, k]: the planes.  Eight planes
-    are added by carry-save adders into four counter planes; a lane that counts
-    beyond the radius is dead, and blocks with dead lanes only are abandoned.
+    at a time go through seven carry-save adders into three counter planes; a
+    lane that counts beyond the radius is dead, and blocks with dead lanes only
+    are abandoned.
     """
     q, k = np.broadcast_shapes(bits.shape[1:], (1, stored.shape[1]))
     out = np.zeros((q, k), np.uint64)
     at = np.arange(k)
-    count = [np.zeros((q, k), np.uint64) for _ in range(3)]
-    dead = np.zeros((q, k), np.uint64)
+    ones, twos, fours, dead = (np.zeros((q, k), np.uint64) for _ in range(4))
     over = RADIUS_ABOVE[radius]
-    for b in range(64):
-        carry = bits[b] ^ stored[b]
-        for c, plane in enumerate(count):
-            count[c] = plane ^ carry
-            carry = carry & plane
-        dead |= carry  # eight or more
-        if b % 8 == 7:
-            dead |= over(*count)
-            live = (dead != _ONES).any(axis=0)
-            if not live.any():
-                return out
-            if live.mean() < 0.6 and b < 63:
-                at, dead, stored = at[live], dead[:, live], stored[:, live]
-                count = [c[:, live] for c in count]
-                if bits.shape[2] > 1:
-                    bits = bits[:, :, live]
+    for b in range(0, 64, 8):
+        x = [bits[b + i] ^ stored[b + i] for i in range(8)]
+        ones, c = add(ones, x[0], x[1])
+        ones, d = add(ones, x[2], x[3])
+        twos, e = add(twos, c, d)
+        ones, c = add(ones, x[4], x[5])
+        ones, d = add(ones, x[6], x[7])
+        twos, f = add(twos, c, d)
+        fours, eights = add(fours, e, f)
+        dead |= eights | over(ones, twos, fours)
+        live = (dead != _ONES).any(axis=0)
+        if not live.any():
+            return out
+        if live.mean() < 0.6 and b < 56:
+            at, dead, stored = at[live], dead[:, live], stored[:, live]
+            ones, twos, fours = ones[:, live], twos[:, live], fours[:, live]
+            if bits.shape[2] > 1:
+                bits = bits[:, :, live]
     out[:, at] = ~dead
     return out
 
@@ -184,28 +206,48 @@ def links_in_blocks(fps: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np
 
 
 def links_in_large(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect all within the radius, in one large bucket, breadth-first."""
-    left, right = [], []
-    rest = np.arange(len(fps))
-    while len(rest):
-        queue, rest = [rest[:1]], rest[1:]
-        while queue and len(rest):
-            ask = queue.pop()
-            ask, later = ask[:64], ask[64:]
-            if len(later):
-                queue.append(later)
-            hits = near(spread(fps[ask])[:, :, None], planes(fps[rest]))
-            row, at = lanes(hits)
-            ok = at < len(rest)
-            row, at = row[ok], at[ok]
-            found, where = np.unique(at, return_index=True)
-            if len(found):
-                left.append(ask[row[where]])
-                right.append(rest[found])
-                queue.append(rest[found])
-                rest = np.delete(rest, found)
-    none = np.zeros(0, np.int64)
-    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+    """Links that connect all within the radius, in one large bucket: each block against itself and those after it.
+
+    Of links between the same two groups of one block's search one is given, so copies of a kind don't give all their pairs.
+    """
+    n, stored, group = len(fps), planes(fps), np.arange(len(fps))
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k in range(stored.shape[1]):
+        words = near(spread(fps[64 * k : 64 * k + 64])[:, :, None], stored[:, k:])
+        row, block = np.nonzero(words)
+        i, lane = lanes(words[row, block][:, None])
+        a, b = 64 * k + row[i], 64 * (k + block[i]) + lane
+        good = (a < b) & (b < n)
+        a, b = a[good], b[good]
+        low, high = np.minimum(group[a], group[b]), np.maximum(group[a], group[b])
+        apart = np.flatnonzero(low != high)
+        if not len(apart):
+            continue
+        _, first = np.unique(low[apart] * n + high[apart], return_index=True)
+        one = apart[first]
+        left.append(a[one])
+        right.append(b[one])
+        group = merged(group, low[one], high[one])
+    return np.concatenate(left), np.concatenate(right)
+
+
+def merged(group: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Groups, each named by its least member, after the groups ``low`` and ``high`` of each pair are joined."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    for x, y in zip(low.tolist(), high.tolist(), strict=True):
+        x, y = find(x), find(y)
+        root[max(x, y)] = min(x, y)
+    names = np.arange(len(group))
+    for x in root:
+        names[x] = find(x)
+    return names[group]
 
 
 def _links_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +285,13 @@ def _links_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(nodes: DataFrame) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints ``fp`` at four or fewer differing bits."""
-    rows = nodes.select(F.explode(buckets(F.col("fp"))).alias("bucket"), "fp")
+    rows = nodes.select(F.explode(buckets(F.col("fp"), banding(nodes.count()))).alias("bucket"), "fp")
+    large = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CHUNK)
+    large = saved(large.select("bucket", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "large")
+    cut = rows.join(broadcast_if_small(large), "bucket", "left").withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: j != F.col("mine"))
+    units = F.transform(others, lambda j: F.xxhash64("bucket", F.least(j, F.col("mine")), F.greatest(j, F.col("mine"))))
+    rows = cut.select(F.explode(F.when(F.col("chunks").isNull(), F.array("bucket")).otherwise(units)).alias("bucket"), "fp")
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_links_of, "a long, b long")
 
 

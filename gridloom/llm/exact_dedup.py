@@ -3,7 +3,8 @@
 A Misra-Gries type frequent-items sketch over the digests of all rows proposes
 the frequent ones.  Their exact counts and winners, at most ``TOP`` rows, are
 broadcast, so that copies in a large group are decided where they are read.
-The remaining digests, none of which holds many rows, are shuffled.
+The remaining digests, none of which holds many rows, are counted with partial
+sums and shuffled; those that occur once need nothing more.
 
 Defined results: null text equals empty text; of rows that repeat a doc_id and
 a text exactly one stays; a null doc_id loses against any other; an empty table
@@ -13,7 +14,7 @@ returned as they are (``drop_exact_duplicates``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import broadcast_if_small, free_name, saved
@@ -33,6 +34,12 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(normalised(text), 256))
 
 
+def _grouped(rows: DataFrame) -> DataFrame:
+    """(digest, keep_id, keep_row, group_size) of the digests that occur twice or more."""
+    best = rows.groupBy("digest").agg(F.max(F.struct("doc_id", "row_id")).alias("best"), F.count(F.lit(1)).alias("group_size"))
+    return best.filter("group_size > 1").select("digest", F.col("best.doc_id").alias("keep_id"), F.col("best.row_id").alias("keep_row"), "group_size")
+
+
 def _frequent(rows: DataFrame) -> DataFrame:
     """(digest, keep_id, keep_row, group_size) of the verified frequent digests, at most TOP rows."""
     proposed = (
@@ -40,13 +47,7 @@ def _frequent(rows: DataFrame) -> DataFrame:
         .select(F.explode("found.item").alias("item"))
         .select(F.unhex("item").alias("digest"))
     )
-    return (
-        rows.join(F.broadcast(proposed), "digest", "left_semi")
-        .groupBy("digest")
-        .agg(F.max(F.struct("doc_id", "row_id")).alias("best"), F.count(F.lit(1)).alias("group_size"))
-        .filter("group_size > 1")
-        .select("digest", F.col("best.doc_id").alias("keep_id"), F.col("best.row_id").alias("keep_row"), "group_size")
-    )
+    return _grouped(rows.join(F.broadcast(proposed), "digest", "left_semi"))
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -57,13 +58,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
     frequent = F.broadcast(saved(_frequent(rows), "frequent"))
     hot = rows.join(frequent, "digest")
-    group = Window.partitionBy("digest")
-    rest = (
-        rows.join(frequent, "digest", "left_anti")
-        .withColumn("best", F.max(F.struct("doc_id", "row_id")).over(group))
-        .withColumn("group_size", F.count(F.lit(1)).over(group))
-        .select("digest", "doc_id", "row_id", F.col("best.doc_id").alias("keep_id"), F.col("best.row_id").alias("keep_row"), "group_size")
-    )
+    rest = rows.join(frequent, "digest", "left_anti")
+    groups = broadcast_if_small(saved(_grouped(rest), "rest"))
+    alone = [F.coalesce("keep_id", "doc_id"), F.coalesce("keep_row", "row_id"), F.coalesce("group_size", F.lit(1).cast("long"))]
+    rest = rest.join(groups, "digest", "left").select("digest", "doc_id", "row_id", *(c.alias(n) for c, n in zip(alone, ("keep_id", "keep_row", "group_size"), strict=True)))
     return hot.unionByName(rest).select(
         "doc_id", "keep_id", "group_size", (F.col("row_id") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
     )

@@ -8,8 +8,6 @@ that language that pass the rules, by the Jensen-Shannon distance (base 2, 0 to
 Defined results: a null or empty text has no words and fails the base rules;
 texts of a language without enough references, null included, are not compared;
 repeated rows are judged alike; an empty table gives an empty result.
-
-Trigrams are compared by 64-bit hashes within one text.
 """
 
 from __future__ import annotations
@@ -17,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import broadcast_if_small, free_name, saved
+from .shared import broadcast_if_small, free_name, saved, text_digest
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Common words by language.
@@ -35,42 +33,43 @@ MIN_CHARS_COMPARED, MIN_WORDS_COMPARED, MIN_REFERENCE_WORDS = 200, 100, 2000
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.32, 0.25
 
 
-#: Bits of a window's place in the sorted longs; longer texts are sorted as pairs.
-PLACE_BITS = 24
+def paired(a: Column, b: Column) -> Column:
+    """One hash of two."""
+    return F.xxhash64(a, b)
 
 
 def repeated_words(words: Column, trigrams: Column) -> Column:
     """Words inside 3-word windows that occur twice or more in the text.
 
     ``trigrams`` are the hashes of the windows in order.  Sorted with their
-    places, equal windows are neighbours, which is confirmed on the words; each
-    marked window then adds the words that the next marked one does not cover.
+    places, equal windows are neighbours, which is confirmed on the words; a
+    text in which two different windows share a hash is sorted by the words
+    themselves.  Each marked window then adds the words that the next marked one
+    does not cover.
     """
-    mask = (1 << PLACE_BITS) - 1
     none = F.array().cast("array<bigint>")
 
+    def equal_neighbours(s: Column) -> Column:
+        """Places of both ends of each pair of equal neighbours."""
+        pairs = F.arrays_zip(F.slice(s, 1, F.size(s) - 1).alias("a"), F.slice(s, 2, F.size(s)).alias("b"))
+        equal = F.filter(pairs, lambda e: e["a"]["h"] == e["b"]["h"])
+        return F.transform(equal, lambda e: F.struct(e["a"]["i"].alias("a"), e["b"]["i"].alias("b")))
+
     def same(p: Column, q: Column) -> Column:
         return (words[p] == words[q]) & (words[p + 1] == words[q + 1]) & (words[p + 2] == words[q + 2])
 
-    def marked(s: Column) -> Column:
-        """Places of twins: both ends of each pair of equal neighbours."""
-        pairs = F.filter(F.arrays_zip(F.slice(s, 1, F.size(s) - 1).alias("a"), F.slice(s, 2, F.size(s)).alias("b")), lambda e: F.shiftright(e["a"].bitwiseXOR(e["b"]), PLACE_BITS) == 0)
-        places = F.transform(pairs, lambda e: F.struct(e["a"].bitwiseAND(F.lit(mask)).cast("int").alias("a"), e["b"].bitwiseAND(F.lit(mask)).cast("int").alias("b")))
-        true = F.filter(places, lambda e: same(e["a"], e["b"]))
-        return F.sort_array(F.array_distinct(F.flatten(F.transform(true, lambda e: F.array(e["a"], e["b"])))))
+    def marked(pairs: Column) -> Column:
+        return F.sort_array(F.array_distinct(F.flatten(F.transform(pairs, lambda e: F.array(e["a"], e["b"])))))
 
     def covered(p: Column) -> Column:
         return F.aggregate(F.transform(p, lambda x, j: F.least(F.lit(3), F.coalesce(F.get(p, j + 1) - x, F.lit(3)))), F.lit(0), lambda a, x: a + x)
 
-    def long_marked(s: Column) -> Column:
-        twin = lambda e, j: F.coalesce(F.get(s, j - 1)["h"] == e["h"], F.lit(False)) | F.coalesce(F.get(s, j + 1)["h"] == e["h"], F.lit(False))
-        return F.sort_array(F.transform(F.filter(s, twin), lambda e: e["i"]))
-
-    packed = F.sort_array(F.transform(trigrams, lambda h, i: h.bitwiseAND(F.lit(~mask)).bitwiseOR(i.cast("long"))))
-    pairs = F.sort_array(F.transform(trigrams, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     # Arrays of one: each value is computed once.
-    places = F.when(F.size(trigrams) <= mask, F.transform(F.array(packed), marked)[0]).otherwise(F.transform(F.array(pairs), long_marked)[0])
-    found = F.transform(F.array(places), covered)[0]
+    once = lambda value, body: F.transform(F.array(value), body)[0]
+    hashed = F.sort_array(F.transform(trigrams, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    spelled = F.sort_array(F.transform(trigrams, lambda h, i: F.struct(F.concat_ws(" ", words[i], words[i + 1], words[i + 2]).alias("h"), i.alias("i"))))
+    exact = lambda pairs: F.when(F.forall(pairs, lambda e: same(e["a"], e["b"])), marked(pairs)).otherwise(marked(once(spelled, equal_neighbours)))
+    found = once(once(once(hashed, equal_neighbours), exact), covered)
     return F.when(F.size(F.array_distinct(F.coalesce(trigrams, none))) == F.size(trigrams), 0).otherwise(found)
 
 
@@ -81,9 +80,9 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     df = df.withColumn("words", F.regexp_extract_all("t", F.lit(WORD), F.lit(0))).withColumn("n_words", F.size("words").cast("long"))
     n, words = F.size("words"), F.col("words")
     df = df.withColumn("hashes", F.transform(words, lambda w: F.xxhash64(w)))
-    upto, pair = F.greatest(n - 2, F.lit(0)), lambda a, b: F.xxhash64(a, b)
+    upto = F.greatest(n - 2, F.lit(0))
     nth = lambda i: F.slice("hashes", i, upto)
-    grams = F.zip_with(F.zip_with(nth(1), nth(2), pair), nth(3), pair)
+    grams = F.zip_with(F.zip_with(nth(1), nth(2), paired), nth(3), paired)
     lines = F.filter(F.split("t", "\n", -1), lambda x: x.rlike(WORD))
     listed = F.when(F.lit(False), F.array().cast("array<string>"))
     for lang, known in COMMON.items():
@@ -135,8 +134,8 @@ def references(measured: DataFrame) -> DataFrame:
     return total.select("lang", "ref_words", shares(F.col("c")).alias("ref_classes"), shares(F.filter("w", lambda x: x.isNotNull())).alias("ref_common"))
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per row of ``docs``: doc_id, the measures, base_failed, kept, class_distance and word_distance (null where not compared)."""
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", with_lang: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, the measures, base_failed, kept, class_distance and word_distance (null where not compared); lang if asked for."""
     measured = saved(measures(docs, id_col, text_col, lang_col), "measures")
     refs = broadcast_if_small(references(measured).withColumnRenamed("lang", "ref_lang"))
     both = measured.join(refs, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
@@ -150,12 +149,14 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     far = (F.coalesce("class_distance", F.lit(0.0)) > MAX_CLASS_DISTANCE) | (F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE)
     return both.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"),
-        (~base_failed() & ~far).alias("kept"), "class_distance", "word_distance",
+        (~base_failed() & ~far).alias("kept"), "class_distance", "word_distance", *(["lang"] if with_lang else []),
     )
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` whose doc_id passes; rows that share an id pass if one of them does."""
-    key = free_name(docs, "gl_id")
-    good = quality_rules(docs, id_col, text_col, lang_col).groupBy(F.col("doc_id").alias(key)).agg(F.max("kept").alias("ok")).filter("ok").select(key)
-    return docs.join(good, docs[id_col].eqNullSafe(good[key]), "left_semi")
+    """The rows of ``docs`` that pass.  The verdict depends on text and language only, so rows are told by these, not by their id."""
+    key, lang = free_name(docs, "gl_id"), free_name(docs, "gl_lang")
+    told = docs.select(text_digest(F.col(text_col)).alias("digest"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    bad = quality_rules(told, "digest", "text", "lang", with_lang=True).filter("not kept").select(F.col("doc_id").alias(key), F.col("lang").alias(lang)).distinct()
+    same = (text_digest(docs[text_col]) == F.col(key)) & docs[lang_col].eqNullSafe(F.col(lang))
+    return docs.join(broadcast_if_small(saved(bad, "bad")), same, "left_anti")

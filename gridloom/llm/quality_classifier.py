@@ -10,8 +10,10 @@ their id) and ``PAIRS`` pairs; every text is scored.  Inputs of a score come
 from the text alone.
 
 Defined results: a null or empty text has all features zero and gets a score
-like any other; rows whose id is null are held out; repeated rows get the same
-score; without texts of both labels every score is 0.5; an empty table gives an
+like any other; a row whose id is null is held out by the remainder of the empty
+string and never learned from; of rows that repeat a labelled id the least text
+is learned from, and repeated rows get the same score; a label other than 0 and
+1 is not used; without texts of both labels every score is 0.5; an empty table gives an
 empty result.
 """
 
@@ -108,7 +110,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = labels.select(F.col(id_col).alias("k"), F.col(label_col).cast("int").alias("label")).filter("k is not null and label in (0, 1)").filter(~held_out(F.col("k")))
     some = [known.filter(F.col("label") == v).orderBy(F.xxhash64("k"), "k").limit(SAMPLE) for v in (0, 1)]
     sample = F.broadcast(some[0].unionByName(some[1]))  # at most 2 * SAMPLE rows
-    found = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("text")).join(sample, "k")
+    found = docs.select(F.col(id_col).alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(sample, "k")
+    found = found.groupBy("k", "label").agg(F.min("text").alias("text"))  # ids that repeat
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -117,7 +120,6 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = found.mapInPandas(run, "k long, label int, x array<double>").toPandas().sort_values(["k", "label"], kind="stable")
     if not len(rows):
         return None
-    rows = rows.groupby("label").head(2 * SAMPLE)  # ids that repeat
     return fit(np.stack(rows["x"].to_numpy()), rows["label"].to_numpy())
 
 

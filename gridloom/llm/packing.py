@@ -1,11 +1,16 @@
 """Packing token ids into sequences by deficit round-robin over source queues.
 
-Each window credits every source with its target share of the window's tokens;
-sources are then served in turn while their credit lasts.  What a source gets
+Each window credits every source with its target share of the window's tokens,
+by default its share of all tokens; sources are then served in turn while their
+credit lasts.  What a source gets
 too little or too much is carried on to the next window, and, since the sums
 before a partition are known, into the next partition.  Documents are cut where
 credit or window ends.  The last ids of a partition go to windows whose sizes
-are powers of two, so no sequence needs padding.
+are powers of two, so no sequence needs padding.  Where targets are other than
+the sources' own shares, a source that has run out leaves its room to the others.
+
+Rows are dealt to partitions by a number of their own, so neither ids, sources
+nor copies make one large.  A task works on its partitions one after the other.
 
 Defined results: a null or empty text has only the end id; a null source is a
 source of its own; repeated rows are packed each; an empty table gives no piece;
@@ -19,11 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .encoding import encoder, end_bytes
-from .shared import batch_rows, broadcast_if_small, saved
+from .shared import batch_rows, broadcast_if_small, running_sums, saved, tasks_for
 
 LENGTH = 4096
 #: Ids that a partition holds in memory at once, and the credit from which a source is served in its turn.
@@ -33,7 +38,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 def encoded(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, n and the ids with the end id, as bytes; computed once and written."""
+    """row_id, doc_id, source, n and the ids with the end id, as bytes; computed once and written."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
@@ -42,11 +47,11 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id
             for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
                 ids = [enc.encode(t) + end for t in part.column("text").to_pylist()]
                 n = pa.array([len(x) // enc.dtype.itemsize for x in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("source"), n, pa.array(ids, pa.binary())], ["doc_id", "source", "n", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column("row_id"), part.column("doc_id"), part.column("source"), n, pa.array(ids, pa.binary())], ["row_id", "doc_id", "source", "n", "ids"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
     with batch_rows(docs.sparkSession, 1024):
-        return saved(rows.mapInArrow(encode, "doc_id long, source string, n long, ids binary"), "ids")
+        return saved(rows.mapInArrow(encode, "row_id long, doc_id long, source string, n long, ids binary"), "ids")
 
 
 def window_sizes(tokens: int, length: int) -> Iterator[int]:
@@ -86,32 +91,44 @@ def round_robin(queues: list[list[int]], shares: list[float], credit: list[float
                     live.remove(q)
 
 
-def pack(rows: DataFrame, length: int = LENGTH, dtype: str = "<u2", with_ids: bool = False) -> DataFrame:
-    """Pieces of the sequences of ``encoded`` rows (schema ``PIECES``; with their ids as 32-bit integers if asked for)."""
+def shares_of(total: int, sums: DataFrame, weights: dict[str | None, float] | None) -> DataFrame:
+    """(s, share) of each source: of all tokens, or by ``weights``, in which a source that is not named has 0."""
+    sizes = sums.groupBy(F.col("source").alias("s")).agg(F.sum("n").alias("size"))
+    if weights is None:
+        return sizes.select("s", (F.col("size") / F.lit(max(1, total))).alias("share"))
+    if not weights or min(weights.values()) < 0 or sum(weights.values()) <= 0:
+        raise ValueError("weights must be 0 or more, and some above 0")
+    weight = F.lit(0.0)
+    for source, w in weights.items():
+        weight = F.when(F.col("s").eqNullSafe(F.lit(source)), F.lit(float(w))).otherwise(weight)
+    return sizes.select("s", (weight / F.lit(float(sum(weights.values())))).alias("share"))
+
+
+def pack(rows: DataFrame, length: int = LENGTH, dtype: str = "<u2", with_ids: bool = False, weights: dict[str | None, float] | None = None) -> DataFrame:
+    """Pieces of the sequences of ``encoded`` rows (schema ``PIECES``; with their ids as 32-bit integers if asked for).
+
+    ``weights`` names target proportions of sources in place of their own.
+    """
     if length & (length - 1):
         raise ValueError("length must be a power of two")
     total = rows.agg(F.sum("n")).first()[0] or 0
     parts = int(total // PART_TOKENS) + 1
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "n"), F.lit(parts)))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("row_id"), F.lit(parts)))
     # One row for each partition and source: what is owed to a source when a partition begins.
     sums = saved(rows.groupBy("part", "source").agg(F.sum("n").alias("n")), "sums")
-    by_part = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    by_source = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     windows = F.floor(F.col("all") / length) + F.bit_count(F.col("all") % length)
-    totals = (
-        sums.groupBy("part").agg(F.sum("n").alias("all"))
-        .withColumn("all_before", F.coalesce(F.sum("all").over(by_part), F.lit(0)))
-        .withColumn("first_sequence", F.coalesce(F.sum(windows).over(by_part), F.lit(0)).cast("long"))
-    )
-    shares = sums.groupBy("source").agg((F.sum("n") / F.lit(max(1, total))).alias("share"))
+    totals = running_sums(sums.groupBy("part").agg(F.sum("n").alias("all")).withColumn("windows", windows), "part", ["all", "windows"])
+    totals = totals.select("part", "all_before", F.col("windows_before").alias("first_sequence"))
+    shares = broadcast_if_small(saved(shares_of(total, sums, weights), "shares"))
     plan = (
-        sums.withColumn("before", F.coalesce(F.sum("n").over(by_source), F.lit(0)))
+        running_sums(sums, "part", ["n"], ["source"])
         .join(totals, "part")
-        .join(shares.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-        .select(F.col("part").alias("p"), F.col("source").alias("s"), "share", (F.col("share") * F.col("all_before") - F.col("before")).alias("owed"), "first_sequence")
+        .join(shares, F.col("source").eqNullSafe(F.col("s")))
+        .select(F.col("part").alias("p"), "s", "share", (F.col("share") * F.col("all_before") - F.col("n_before")).alias("owed"), "first_sequence")
     )
     dealt = rows.join(broadcast_if_small(saved(plan, "plan")), (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")), "left").drop("p", "s")
-    dealt = dealt.repartitionById(parts, F.col("part").cast("int")).sortWithinPartitions("part", "source", "doc_id", "n", "ids")
+    tasks = tasks_for(parts)
+    dealt = dealt.repartitionById(tasks, F.pmod("part", F.lit(tasks)).cast("int")).sortWithinPartitions("part", "source", "doc_id", "row_id")
     width = np.dtype(dtype)
 
     def one(part: list[tuple]) -> Iterator[dict]:
@@ -157,7 +174,7 @@ def pack(rows: DataFrame, length: int = LENGTH, dtype: str = "<u2", with_ids: bo
     return dealt.mapInArrow(run, schema)
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, length: int = LENGTH, with_ids: bool = False, weights: dict[str | None, float] | None = None) -> DataFrame:
     """Pieces of the sequences that hold all ids of ``docs``."""
     dtype = encoder(vocabulary).dtype.str
-    return pack(encoded(docs, vocabulary, end_id), length, dtype, with_ids)
+    return pack(encoded(docs, vocabulary, end_id), length, dtype, with_ids, weights)

@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows up to which a side that was counted is broadcast; larger ones are joined by a shuffle.
@@ -70,6 +70,33 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def running_sums(df: DataFrame, order: str, values: list[str], keys: list[str] | None = None, block: int = 4096) -> DataFrame:
+    """``df`` with ``<value>_before``: the sum of each value over the rows before it in ``order``, whole numbers from 0, within ``keys``.
+
+    Sums go by blocks of ``block`` numbers, then over the blocks, so that no
+    task sees more than a block of a key, or one row a block and key.
+    """
+    keys = keys or []
+    rows = df.withColumn("gl_block", F.floor(F.col(order) / block))
+    upto = (Window.unboundedPreceding, -1)
+    whole = rows.groupBy(*keys, "gl_block").agg(*(F.sum(v).alias(v) for v in values))
+    over = Window.partitionBy(*keys).orderBy("gl_block").rowsBetween(*upto)
+    whole = whole.select(*(F.col(k).alias(f"gl_key_{k}") for k in keys), F.col("gl_block").alias("gl_at"), *(F.coalesce(F.sum(v).over(over), F.lit(0)).alias(f"gl_{v}") for v in values))
+    inside = Window.partitionBy(*keys, "gl_block").orderBy(order).rowsBetween(*upto)
+    rows = rows.withColumns({f"{v}_before": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values})
+    same = F.col("gl_block") == F.col("gl_at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"gl_key_{k}"))
+    both = rows.join(broadcast_if_small(saved(whole, "blocks")), same).withColumns({f"{v}_before": (F.col(f"{v}_before") + F.col(f"gl_{v}")).cast("long") for v in values})
+    return both.drop("gl_block", "gl_at", *(f"gl_{v}" for v in values), *(f"gl_key_{k}" for k in keys))
+
+
+def tasks_for(pieces: int, most: int = 20_000) -> int:
+    """Tasks for ``pieces`` that are worked on one after the other: one a piece, beyond ``most`` several a task."""
+    per = -(-max(1, pieces) // most)
+    return -(-max(1, pieces) // per)
+
+
 def text_digest(text: Column) -> Column:
     """Which rows have the same text; null equals empty."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))

@@ -1,7 +1,7 @@
 """Token ids of whole texts by the tokenizers library, with a bounded cache of what is between white space.
 
-A tokenizer that drops white space and never looks across it gives a text the
-ids of its chunks in turn.  So each chunk is encoded once while it stays in the
+A tokenizer that drops white space and never looks across it, which some probes
+tell, gives a text the ids of its chunks in turn; any other gets whole texts.  So each chunk is encoded once while it stays in the
 cache of the Python worker.  Chunks of plain Latin letters, digits and signs
 are cut into pre-tokens, whose ids the library's model gives; all other chunks
 go through the whole tokenizer.
@@ -50,8 +50,9 @@ class Encoder:
         self.letters = {c: "".join(letters[b] for b in chr(c).encode()) for c in (*range(33, 127), *range(0xC0, 0x100))}
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.by_piece = True
+        self.by_chunk = self.by_piece = True
         self.by_piece = self._agrees()
+        self.by_chunk = self._apart()
         self.known.clear()
 
     def _library(self, chunk: str) -> bytes:
@@ -76,6 +77,11 @@ class Encoder:
         probes = ["Thatthtieror,", "ÉÇÄÖÜß", "a1b22", "x***$$$", "(743)", "best.54@mail3.example.com", '"a-b"!?', "ÿñ_é|", "%%A~Z"]
         return all(self._by_piece(x) == self._library(x) for x in probes)
 
+    def _apart(self) -> bool:
+        """Whether the tokenizer drops white space and never looks across it; if not, whole texts go through it."""
+        probes = ["the cat  sat.", " a\nb\tc ", "It's 1 2 33 é", "x\r\n\r\ny", "don 't , no"]
+        return all(self.encode(x) == self._library(x) for x in probes)
+
     def _ids(self, chunk: str) -> bytes:
         """Ids of a chunk, or of a pre-token, which is a chunk too, that the young generation does not have."""
         ids = self.old.get(chunk)
@@ -89,6 +95,8 @@ class Encoder:
 
     def encode(self, text: str | None) -> bytes:
         text = text or ""
+        if not self.by_chunk:
+            return self._library(text)
         known, out = self.known, []
         for chunk in _SPACE.split(text) if _CONTROLS.search(text) else text.split():
             ids = known.get(chunk)

@@ -7,16 +7,23 @@ others go on to the next level.  The number of bits set before a key's bit is
 its slot, so slots have no holes.  A slot stores a fingerprint of its key, which
 tells an absent key but for one in 2^32, and the place and number of ids.
 
+Each level keeps the number of bits set before every ``RANK_BITS``-th bit, so a
+key is found by a few small reads, whatever the size of the shard: opening a
+shard reads its last few hundred bytes, and ``get`` one stretch of bits and one
+count a level, one slot and the ids.  ``Corpus`` finds the shard of a key first.
+
 File: ids | keys int64 | flags uint8 (1: the key is null) | lengths int64 |
-bits of all levels | slots | JSON with the sections | its length, uint64 | magic.
+slots | bits and counts of all levels | JSON with the sections | its length,
+uint64 | magic.
 
 Defined results: a null or empty text has only the end id; rows with equal keys
 are adjacent, and a lookup gives the first; rows with a null key come last and
-are not in the index; an empty table writes no shard.
+are not in the index; other columns are ignored; an empty table writes no shard.
 """
 
 from __future__ import annotations
 
+import bisect
 import json
 import uuid
 import zlib
@@ -30,10 +37,12 @@ from pyspark.sql import functions as F
 from .encoding import encoder, end_bytes
 from .shared import batch_rows, new_path, saved
 
-MAGIC = b"GLTOKEN1"
+MAGIC = b"GLTOKEN2"
 SLOT = np.dtype([("fingerprint", "<u4"), ("records", "<u4"), ("offset", "<u8"), ("length", "<u8")])
-#: Bits of a level per key that reaches it, levels before the rest is listed, bytes of text in a shard.
-GAMMA, LEVELS, SHARD_BYTES = 2.0, 40, 32 << 20
+#: Bits of a level per key that reaches it, levels before the rest is listed, bits to a count.
+GAMMA, LEVELS, RANK_BITS = 2.0, 40, 512
+#: Bytes of text in a shard, about; beyond so many shards they grow with the input.
+SHARD_BYTES, MOST_SHARDS = 32 << 20, 50_000
 
 
 def mixed(keys: np.ndarray, seed: int) -> np.ndarray:
@@ -120,7 +129,8 @@ def write_shard(path: str, records: Iterator[tuple[int | None, bytes]], dtype: n
         slots["fingerprint"][at], slots["records"][at] = fingerprints(known), records_of
         slots["offset"][at], slots["length"][at] = offset[flag == 0][first], length[flag == 0][first]
         sections = {"keys": key, "flags": flag, "lengths": length, "slots": slots, "rest": index.rest}
-        sections |= {f"level{i}": np.packbits(bits) for i, bits in enumerate(index.levels)}
+        for i, bits in enumerate(index.levels):
+            sections |= {f"level{i}": np.packbits(bits, bitorder="little"), f"ranks{i}": index.before[i][:-1:RANK_BITS].astype("<i8")}
         told, place = {}, int(length.sum()) * dtype.itemsize
         for name, x in sections.items():
             told[name] = [place, x.nbytes]
@@ -136,7 +146,7 @@ def write_shard(path: str, records: Iterator[tuple[int | None, bytes]], dtype: n
 
 
 class Shard:
-    """A shard file: keyed access, and its records in order."""
+    """A shard file: keyed access by a few small reads, and its records in order."""
 
     def __init__(self, path: str):
         fs, target = filesystem(path)
@@ -147,18 +157,42 @@ class Shard:
             raise ValueError(f"{path} is not a token shard")
         n = int.from_bytes(tail[:8], "little")
         told = json.loads(self.file.read_at(n, size - 16 - n))
-        self.dtype = np.dtype(told["dtype"])
-        section = lambda name, dtype: np.frombuffer(self.file.read_at(told["sections"][name][1], told["sections"][name][0]), dtype)
-        self.keys, self.flags, self.lengths = section("keys", np.int64), section("flags", np.uint8), section("lengths", np.int64)
-        self.slots = section("slots", SLOT)
-        levels = [np.unpackbits(section(f"level{i}", np.uint8), count=k).astype(bool) for i, k in enumerate(told["levels"])]
-        self.index = PerfectHash(levels, section("rest", np.int64))
+        self.dtype, self.sections, self.levels = np.dtype(told["dtype"]), told["sections"], told["levels"]
+        self.slot_count = self.sections["slots"][1] // SLOT.itemsize
+
+    def section(self, name: str, dtype, first: int = 0, count: int | None = None) -> np.ndarray:
+        """A section, or ``count`` values from the ``first`` on."""
+        at, n = self.sections[name]
+        width = np.dtype(dtype).itemsize
+        count = n // width - first if count is None else count
+        return np.frombuffer(self.file.read_at(count * width, at + first * width), dtype)
+
+    def index(self) -> PerfectHash:
+        """The whole index, to look up many keys."""
+        levels = [np.unpackbits(self.section(f"level{i}", np.uint8), count=k, bitorder="little").astype(bool) for i, k in enumerate(self.levels)]
+        return PerfectHash(levels, self.section("rest", np.int64))
+
+    def slot_of(self, key: int) -> int:
+        """The slot of a key, of an absent one some slot or -1."""
+        one = np.asarray([key], np.int64)
+        for level, size in enumerate(self.levels):
+            at = int(mixed(one, level)[0] % np.uint64(size))
+            block = at // RANK_BITS
+            first, last = block * RANK_BITS // 8, min(-(-size // 8), (block + 1) * RANK_BITS // 8)
+            bits = np.unpackbits(self.section(f"level{level}", np.uint8, first, last - first), bitorder="little")
+            inside = at - block * RANK_BITS
+            if bits[inside]:
+                return int(self.section(f"ranks{level}", "<i8", block, 1)[0] + bits[:inside].sum())
+        rest = self.section("rest", np.int64)  # keys that no level parts: as good as always none
+        i = int(np.searchsorted(rest, key))
+        return self.slot_count - len(rest) + i if i < len(rest) and rest[i] == key else -1
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """The slot of each key, -1 where its fingerprint is another."""
-        at = self.index.slots(np.asarray(keys, np.int64))
+        """The slots of many keys, by the whole index; -1 where a slot's fingerprint is another."""
+        keys = np.asarray(keys, np.int64)
+        at = self.index().slots(keys)
         ok = at >= 0
-        ok[ok] = self.slots["fingerprint"][at[ok]] == fingerprints(np.asarray(keys, np.int64)[ok])
+        ok[ok] = self.section("slots", SLOT)["fingerprint"][at[ok]] == fingerprints(keys[ok])
         return np.where(ok, at, -1)
 
     def read(self, offset: int, length: int) -> np.ndarray:
@@ -166,20 +200,61 @@ class Shard:
 
     def get(self, key: int) -> np.ndarray | None:
         """The ids of a key, of its first record if it has several."""
-        at = self.find(np.asarray([key], np.int64))[0]
-        return None if at < 0 else self.read(self.slots["offset"][at], self.slots["length"][at])
+        at = self.slot_of(key)
+        if at < 0:
+            return None
+        slot = self.section("slots", SLOT, at, 1)[0]
+        if slot["fingerprint"] != fingerprints(np.asarray([key], np.int64))[0]:
+            return None
+        return self.read(slot["offset"], slot["length"])
+
+    def records(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Keys, flags, offsets and lengths of all records, those of known keys from their slots; of records that repeat a key from the second on, and of
+        null keys, by the lengths in order."""
+        keys, flags, lengths = self.section("keys", np.int64), self.section("flags", np.uint8), self.section("lengths", np.int64).copy()
+        offsets = np.cumsum(lengths) - lengths
+        known = np.flatnonzero(flags == 0)
+        first = known[np.flatnonzero(np.r_[True, keys[known][1:] != keys[known][:-1]])] if len(known) else known
+        at = self.find(keys[first])
+        if (at < 0).any():
+            raise ValueError("a key of the shard is not in its index")
+        slots = self.section("slots", SLOT)[at]
+        offsets[first], lengths[first] = slots["offset"], slots["length"]
+        return keys, flags, offsets, lengths
+
+
+class Corpus:
+    """Keyed access to all shards of a manifest (rows with path and first_key); shards are opened when first asked for."""
+
+    def __init__(self, manifest: DataFrame):
+        rows = manifest.select("path", "first_key").filter("first_key is not null").orderBy("first_key", "path").collect()  # one row a shard
+        self.paths, self.first = [r["path"] for r in rows], [r["first_key"] for r in rows]
+        self.open: dict[int, Shard] = {}
+
+    def get(self, key: int) -> np.ndarray | None:
+        """The ids of a key, of its first record if it has several; None if it is absent."""
+        after = bisect.bisect_right(self.first, key)
+        low = bisect.bisect_left(self.first, key)
+        for i in range(max(0, low - 1), after):  # a key that many records repeat may go over shards
+            if i not in self.open:
+                self.open[i] = Shard(self.paths[i])
+            ids = self.open[i].get(key)
+            if ids is not None:
+                return ids
+        return None
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write ``docs`` as shards in ``path``; one row a shard: shard, path, first_key, n_docs, n_tokens, start (ids in all shards before).
 
-    Texts are dealt out by ranges of the key, so that each task encodes and
-    writes one shard; nothing but the texts is shuffled, once.
+    Texts are dealt out by ranges of the key, and of a number that tells rows of
+    one key apart, so that each task encodes and writes one shard; nothing but the
+    texts is shuffled, once.
     """
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     key = F.col("doc_id").asc_nulls_last()
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange(int(size // SHARD_BYTES) + 1, key).sortWithinPartitions(key, "text")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row_id"), F.col(text_col).alias("text"))
+    rows = rows.repartitionByRange(min(MOST_SHARDS, int(size // SHARD_BYTES) + 1), key, "row_id").sortWithinPartitions(key, "row_id").drop("row_id")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -216,18 +291,13 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist(), strict=True):
                 shard = Shard(path)
-                offset = np.cumsum(shard.lengths) - shard.lengths
-                known = np.flatnonzero(shard.flags == 0)
-                at = shard.find(shard.keys[known])
-                first = np.searchsorted(shard.keys[known], shard.keys[known])
-                if (at < 0).any() or (shard.slots["offset"][at] != offset[known][first]).any():
-                    raise ValueError(f"the index of {path} does not match its records")
-                for i in range(0, len(offset), 4096):
+                keys, flags, offsets, lengths = shard.records()
+                for i in range(0, len(offsets), 4096):
                     some = slice(i, i + 4096)
-                    crcs = [zlib.crc32(shard.read(o, n).astype("<u4")) for o, n in zip(offset[some], shard.lengths[some], strict=True)]
+                    crcs = [zlib.crc32(shard.read(o, n).astype("<u4")) for o, n in zip(offsets[some], lengths[some], strict=True)]
                     yield pa.RecordBatch.from_pydict({
-                        "doc_id": pa.array(shard.keys[some], pa.int64(), mask=shard.flags[some] == 1), "start": offset[some] + start,
-                        "n_tokens": shard.lengths[some], "ids_crc32": pa.array(crcs, pa.int64()),
+                        "doc_id": pa.array(keys[some], pa.int64(), mask=flags[some] == 1), "start": offsets[some] + start,
+                        "n_tokens": lengths[some], "ids_crc32": pa.array(crcs, pa.int64()),
                     })
 
     n = max(1, manifest.count())

@@ -79,11 +79,10 @@ def distance_to(df: DataFrame, keys: list[str], target: Column, most: int = 10,
     return rows.withColumn(name, F.least(F.sqrt(F.coalesce(F.least(*parts), F.lit(float(most * most)))), F.lit(float(most)))).drop("gl_d")
 
 
-def forest_edges(df: DataFrame, keys: list[str], forest: Column, edge: int, cls: str = "class") -> DataFrame:
-    """Forest pixels beside a pixel that is none become ``edge``."""
-    rows = df.withColumn("gl_o", F.when(forest, 0).otherwise(1))
-    rows = focal_max(rows, keys, 1, "gl_o", "gl_e")
-    return rows.withColumn(cls, F.when((F.col("gl_o") == 0) & (F.col("gl_e") == 1), F.lit(edge)).otherwise(F.col(cls))).drop("gl_o", "gl_e")
+def forest_edges(df: DataFrame, keys: list[str], dense: list[int], mature: int, edge: int, cls: str = "class") -> DataFrame:
+    """``dense`` forest beside a pixel that is no forest (a class of ``mature`` or less) becomes ``edge``; other forest stays."""
+    rows = focal_max(df.withColumn("gl_o", F.when(F.col(cls) > mature, 0).otherwise(1)), keys, 1, "gl_o", "gl_e")
+    return rows.withColumn(cls, F.when(F.col(cls).isin(dense) & (F.col("gl_e") == 1), F.lit(edge)).otherwise(F.col(cls))).drop("gl_o", "gl_e")
 
 
 def small_fields(polys: DataFrame, area: str, least: float, small: float) -> DataFrame:
@@ -234,17 +233,29 @@ def resampled(df: DataFrame, keys: list[str], factor: int, value: str = "value",
     return out.groupBy(*keys, F.col("gl_r").alias("row"), F.col("gl_c").alias("col")).agg(agg.alias(value))
 
 
-def smallholder_context(df: DataFrame, crops: Column, low_crop: Column, high_veg: Column, big: Column, small_code: int, mixed_edge: int, crop_edge: int, sugar: int, edge_size: float = 3.0) -> DataFrame:
-    """Five decisions on ``class`` from ``majority``, ``poly``, ``buffer``, ``size`` (focal), ``distance`` and ``excluded``, in order."""
-    cls, rows = F.col("class"), df.withColumn("gl_orig", F.col("class"))
-    in_poly, in_buffer = F.col("poly") > 0, F.col("buffer") > 0
-    rows = rows.withColumn("class", F.when(in_poly & big & crops, F.col("majority")).otherwise(cls))
-    small = low_crop & (F.col("size") <= 50) & ~F.col("excluded")
-    rows = rows.withColumn("class", F.when(~in_poly & in_buffer & small, F.lit(small_code)).when(~in_poly & in_buffer & (F.col("size") > 30) & (F.col("buffer") == sugar) & crops, F.lit(sugar)).otherwise(cls))
-    rows = rows.withColumn("class", F.when(~in_poly & ~in_buffer & small, F.lit(small_code)).otherwise(cls))
-    away = (F.col("distance") > 1) & (high_veg | (~in_poly & in_buffer & F.col("big_buffer")))
-    alone = (F.col("distance") > edge_size) & ~in_buffer & ~F.col("was_low_crop")
-    rows = rows.withColumn("class", F.when((cls == small_code) & (away | alone), F.lit(mixed_edge)).otherwise(cls))
+def smallholder_context(
+    df: DataFrame, keys: list[str], crops: list[int], low_crops: list[int], big_crops: list[int], small: list[int], mixed_edge: int, crop_edge: int, sugar: int, edge_size: float = 3.0,
+) -> DataFrame:
+    """``class`` after five decisions in order, from ``majority`` (of the polygon; 0 outside), ``buffer`` (the crop of the polygon nearby; 0 without),
+    ``size`` (focal), ``distance`` (to a block of small fields), ``near_high`` (1 beside high vegetation) and ``excluded``; the first of ``small`` is stored.
+
+    1. In polygons crops become the polygon's crop.  2. In buffers of low crops, low crops in areas of small fields become small
+    fields; crops in the buffer of a larger sugar field become sugar.  3. So do low crops outside of both.  4. Small fields away
+    from a block become mixed edge: beside high vegetation, in the buffer of big crops, or alone.  5. Crop edge is what of the
+    mixed edge borders crops.
+    """
+    cls, was = F.col("class"), F.col("gl_was")
+    rows = df.withColumn("gl_was", cls)
+    in_poly, in_buffer, low = F.col("majority") > 0, F.col("buffer") > 0, was.isin(low_crops)
+    low_small = (F.col("size") <= 50) & low & ~F.col("excluded")
+    inside = F.when(F.col("majority").isin(crops) & was.isin(crops), F.col("majority")).otherwise(was)
+    nearby = F.when((F.col("size") > 30) & (F.col("buffer") == sugar) & was.isin(crops), F.lit(sugar)).when(low_small & F.col("buffer").isin(low_crops), F.lit(small[0])).otherwise(was)
+    outside = F.when(low_small, F.lit(small[0])).otherwise(was)
+    rows = rows.withColumn("class", F.when(~in_buffer, outside).when(in_poly, inside).otherwise(nearby))
+    far, is_small = F.col("distance") > 1, cls.isin(small)
+    halo = far & ((F.col("near_high") == 1) | (~in_poly & F.col("buffer").isin(big_crops)))
+    alone = (F.col("distance") > edge_size) & ~in_buffer & ~low
+    rows = rows.withColumn("class", F.when(is_small & (halo | alone), F.lit(mixed_edge)).otherwise(cls))
     rows = rows.withColumn("class", F.when(cls == crop_edge, F.lit(mixed_edge)).otherwise(cls))
-    near_crop = focal_max(rows.withColumn("gl_c", F.when(crops, 1).otherwise(0)), [], 1, "gl_c", "gl_n")
-    return near_crop.withColumn("class", F.when((cls == mixed_edge) & (F.col("gl_n") == 1), F.lit(crop_edge)).otherwise(cls)).drop("gl_c", "gl_n", "gl_orig")
+    near_crop = focal_max(rows.withColumn("gl_c", F.when(cls.isin(crops), 1).otherwise(0)), keys, 1, "gl_c", "gl_n")
+    return near_crop.withColumn("class", F.when((cls == mixed_edge) & (F.col("gl_n") == 1), F.lit(crop_edge)).otherwise(cls)).drop("gl_c", "gl_n", "gl_was")

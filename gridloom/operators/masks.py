@@ -65,10 +65,11 @@ def valid_percent(df: DataFrame, scene: str, value: str, pixels: int, most: int
     return df.groupBy(scene).agg((100 * F.count_if(F.col(value) < most) / pixels).cast("int").alias("valid_pix"))
 
 
-def skip_reasons(catalog: DataFrame, least_percent: int = 10, least_size: int = 0) -> DataFrame:
-    """``skip`` and ``skip_reason`` of scenes by file size and valid pixels (-99: not known)."""
+def skip_reasons(catalog: DataFrame, least_percent: int = 10, least_size: int = 0, least_pixels: int = 200_000) -> DataFrame:
+    """``skip`` and ``skip_reason`` of scenes by file size, valid pixels in percent (-99: not known) and number of pixels (``numpix``; null: not known)."""
     pct = F.coalesce("valid_pix", F.lit(-99))
-    reason = F.when(F.col("file_size") < least_size, "file size").when((pct >= 0) & (pct < least_percent), "no data")
+    few = ((pct > -1) & (pct < least_percent)) | F.coalesce(F.col("numpix") < least_pixels, F.lit(False))
+    reason = F.when(F.col("file_size") < least_size, "file size").when(few, "not enough valid data")
     return catalog.withColumn("skip_reason", reason).withColumn("skip", reason.isNotNull())
 
 

@@ -14,42 +14,48 @@ LOW, HIGH = 0, 10000
 
 def significant_change(
     df: DataFrame, keys: list[str], threshold: int, pre: tuple[int, int] = (LOW, HIGH), post: tuple[int, int] = (LOW, HIGH), fill: int = 2,
-    normalize: str | None = None, value: str = "value", day: str = "date",
+    normalize: str | None = None, value: str = "value", day: str = "date", season: tuple[int, int] | None = None,
 ) -> DataFrame:
     """keys, events (number), first_date, first_doy, change (largest value at an event, 0 if none).
 
+    first_doy is 0 without an event, on the day of the year of the last image, and outside ``season``, the first and last
+    day of the year without the padding of the series (the first after the last goes over the turn of the year).
+
     An event is a drop (a rise for a positive threshold) from the image before
     that still holds, at 0.7 of the threshold, two images later, and against the
     second and third image before.  Where the image and the one before it were
     missing, a drop that shows three images later does not count.
     """
     w, every = by(keys, day), Window.partitionBy(*keys)
-    rows = df.withColumn("v", valid(value).cast("double"))
+    rows = df.withColumn("gl_v", valid(value).cast("double"))
     if normalize:
-        mean, dev = F.avg("v").over(every), F.stddev_pop("v").over(every)
-        rows = rows.withColumn("v", F.col("v") - mean if normalize == "0m" else (F.col("v") - mean) / F.when(dev != 0, dev))
-    rows = rows.withColumn("gap", F.col("v").isNull()).withColumn("f", forward_fill("v", keys, fill, day))
+        mean, dev = F.avg("gl_v").over(every), F.stddev_pop("gl_v").over(every)
+        rows = rows.withColumn("gl_v", F.col("gl_v") - mean if normalize == "0m" else (F.col("gl_v") - mean) / F.when(dev != 0, dev))
+    rows = rows.withColumn("gl_gap", F.col("gl_v").isNull()).withColumn("gl_f", forward_fill("gl_v", keys, fill, day))
     if threshold > 0:
-        rows = rows.withColumn("f", LOW + HIGH - F.col("f"))
+        rows = rows.withColumn("gl_f", LOW + HIGH - F.col("gl_f"))
         pre, post, threshold = (LOW + HIGH - pre[1], LOW + HIGH - pre[0]), (LOW + HIGH - post[1], LOW + HIGH - post[0]), -threshold
-    within = lambda limits: F.when((F.col("f") > limits[0]) & (F.col("f") < limits[1]), F.col("f"))
-    rows = rows.withColumn("pre", within(pre)).withColumn("post", within(post))
-    after = [F.coalesce(F.lead("post", k).over(w) if k else F.col("post"), F.lit(HIGH)) for k in range(4)]
-    before = [None, *(F.coalesce(F.lag("pre", k).over(w), F.lit(LOW)) for k in (1, 2, 3))]
+    within = lambda limits: F.when((F.col("gl_f") > limits[0]) & (F.col("gl_f") < limits[1]), F.col("gl_f"))
+    rows = rows.withColumn("gl_pre", within(pre)).withColumn("gl_post", within(post))
+    after = [F.coalesce(F.lead("gl_post", k).over(w) if k else F.col("gl_post"), F.lit(HIGH)) for k in range(4)]
+    before = [None, *(F.coalesce(F.lag("gl_pre", k).over(w), F.lit(LOW)) for k in (1, 2, 3))]
     weak = 0.7 * threshold
     kept = (
         (after[0] - before[1] <= threshold) & (after[1] - before[1] <= weak) & (after[2] - before[1] <= weak)
         & (after[0] - before[2] < weak) & (after[0] - before[3] < weak)
     )
-    doubt = F.col("gap") & F.coalesce(F.lag("gap").over(w), F.lit(False)) & (after[3] - before[1] <= weak)
-    rows = rows.withColumn("hit", F.coalesce(kept & ~doubt & (F.col("f") > LOW), F.lit(False)))
-    rows = rows.withColumn("last", F.max(day).over(every))
-    first = F.min(F.when(F.col("hit"), F.col(day)))
+    doubt = F.col("gl_gap") & F.coalesce(F.lag("gl_gap").over(w), F.lit(False)) & (after[3] - before[1] <= weak)
+    rows = rows.withColumn("gl_hit", F.coalesce(kept & ~doubt & (F.col("gl_f") > LOW), F.lit(False)))
+    rows = rows.withColumn("gl_last", F.max(day).over(every))
+    first = F.min(F.when(F.col("gl_hit"), F.col(day)))
     out = rows.groupBy(*keys).agg(
-        F.count_if("hit").alias("events"), first.alias("first_date"), trunc(F.coalesce(F.max(F.when(F.col("hit"), F.col("f"))), F.lit(0))).alias("change"), F.max("last").alias("last")
+        F.count_if("gl_hit").alias("events"), first.alias("first_date"), trunc(F.coalesce(F.max(F.when(F.col("gl_hit"), F.col("gl_f"))), F.lit(0))).alias("change"), F.max("gl_last").alias("gl_last")
     )
     doy = F.coalesce(F.dayofyear("first_date"), F.lit(0))
-    return out.withColumn("first_doy", F.when(doy == F.dayofyear("last"), F.lit(0)).otherwise(doy)).drop("last")
+    inside = F.lit(True)
+    if season:
+        inside = (doy >= season[0]) & (doy <= season[1]) if season[0] < season[1] else (doy >= season[0]) | (doy <= season[1])
+    return out.withColumn("first_doy", F.when((doy == F.dayofyear("gl_last")) | ~inside, F.lit(0)).otherwise(doy)).drop("gl_last")
 
 
 def as_frequency(events: DataFrame, freq: str) -> Column:
@@ -62,31 +68,31 @@ def as_frequency(events: DataFrame, freq: str) -> Column:
 
 
 def suppressed(df: DataFrame, keys: list[str], rounds: int, inverted: bool, day: str) -> DataFrame:
-    """``c`` after ``rounds`` of suppression by the neighbours t steps ahead and behind."""
+    """``gl_c`` after ``rounds`` of suppression by the neighbours t steps ahead and behind."""
     w, mark = by(keys, day), 10000 if inverted else 1
     lost = 32767 if inverted else 0
     for t in range(1, rounds + 1):
         for step in (F.lead, F.lag):
-            other = step("c", t).over(w)
-            against = F.col("c") - F.coalesce(other, F.lit(lost))
-            flat = F.coalesce(step("c", t - 1).over(w) == mark, F.lit(False)) if t >= 2 else F.lit(False)
-            keep = (against <= 0 if inverted else against >= 0) | (F.col("c") == mark) | flat
-            df = df.withColumn("c", F.when(keep, F.col("c")).otherwise(lost))
+            other = step("gl_c", t).over(w)
+            against = F.col("gl_c") - F.coalesce(other, F.lit(lost))
+            flat = F.coalesce(step("gl_c", t - 1).over(w) == mark, F.lit(False)) if t >= 2 else F.lit(False)
+            keep = (against <= 0 if inverted else against >= 0) | (F.col("gl_c") == mark) | flat
+            df = df.withColumn("gl_c", F.when(keep, F.col("gl_c")).otherwise(lost))
     return df
 
 
 def peaks(df: DataFrame, keys: list[str], sigdif: int = 500, inverted: bool = False, rounds: int = 9, value: str = "value", day: str = "date") -> DataFrame:
     """keys, n, first_date, first_value, last_date, last_value, base: peaks (troughs) at least ``sigdif`` past the median of positive values."""
     base = F.median(F.when(F.col(value) > 0, F.col(value))).over(Window.partitionBy(*keys))
-    rows = df.withColumn("base", base)
+    rows = df.withColumn("gl_base", base)
     if inverted:
-        rows = rows.withColumn("c", F.when((F.col(value) < F.col("base")) & (F.col(value) > 0), F.col(value).cast("double")).otherwise(F.lit(10000.0)))
+        rows = rows.withColumn("gl_c", F.when((F.col(value) < F.col("gl_base")) & (F.col(value) > 0), F.col(value).cast("double")).otherwise(F.lit(10000.0)))
     else:
-        rows = rows.withColumn("c", F.when(F.col(value) > F.col("base"), F.col(value).cast("double")).otherwise(F.lit(1.0)))
+        rows = rows.withColumn("gl_c", F.when(F.col(value) > F.col("gl_base"), F.col(value).cast("double")).otherwise(F.lit(1.0)))
     rows = suppressed(rows, keys, rounds, inverted, day)
-    past = F.col("c") <= F.col("base") - sigdif if inverted else F.col("c") >= F.col("base") + sigdif
+    past = F.col("gl_c") <= F.col("gl_base") - sigdif if inverted else F.col("gl_c") >= F.col("gl_base") + sigdif
     at = F.when(past, F.struct(F.col(day).alias("d"), F.col(value).alias("v")))
-    out = rows.groupBy(*keys).agg(F.count_if(past).alias("n"), F.min(at).alias("a"), F.max(at).alias("b"), F.max("base").alias("base"))
+    out = rows.groupBy(*keys).agg(F.count_if(past).alias("n"), F.min(at).alias("a"), F.max(at).alias("b"), F.max("gl_base").alias("base"))
     return out.select(*keys, "n", F.col("a.d").alias("first_date"), F.col("a.v").alias("first_value"), F.col("b.d").alias("last_date"), F.col("b.v").alias("last_value"), "base")
 
 
@@ -100,13 +106,27 @@ def derivative(keys: list[str], value: str = "value", day: str = "date") -> Colu
     return F.coalesce(middle, (after - v) / b, (v - before) / a)
 
 
-def peaks_by_derivative(df: DataFrame, keys: list[str], least: int = 3000, value: str = "value", day: str = "date") -> DataFrame:
-    """keys, n, first_date: images where the slope turns from rising to falling at ``least`` or more; without any, the largest value if it is as high."""
-    rows = df.withColumn("g", derivative(keys, value, day))
-    rows = rows.withColumn("top", (F.col("g") <= 0) & (F.lag("g").over(by(keys, day)) > 0) & (F.col(value) >= least))
-    best = F.struct((-F.col(value)).alias("v"), F.col(day).alias("d"))
-    out = rows.groupBy(*keys).agg(F.count_if("top").alias("n"), F.min(F.when(F.col("top"), F.col(day))).alias("first"), F.min(best).alias("best"))
-    return out.select(*keys, "n", F.coalesce("first", F.when(-F.col("best.v") >= least, F.col("best.d"))).alias("first_date"))
+def peaks_by_derivative(df: DataFrame, keys: list[str], least: int = 3000, base: int = 1000, value: str = "value", day: str = "date", plain: int = 3000) -> DataFrame:
+    """keys, n, first_date of peaks.
+
+    A maximum is where the slope turns from rising to falling at ``least`` or more, a minimum where it turns to rising at ``base`` or
+    less.  Values at these are carried on to the next one (and back to the beginning); a maximum is a peak where that line steps by
+    ``least`` - ``base`` or more from the image before, or not at all.  Without a peak the largest value counts as one if it is
+    ``plain`` or more.  Series that stay below ``base`` have none.
+    """
+    w = by(keys, day)
+    rows = df.withColumn("gl_g", derivative(keys, value, day))
+    before = F.lag("gl_g").over(w)
+    rows = rows.withColumn("gl_top", F.coalesce((F.col("gl_g") < 0) & (before > 0) & (F.col(value) >= least), F.lit(False)))
+    rows = rows.withColumn("gl_turn", F.when(F.col("gl_top") | ((F.col("gl_g") > 0) & (before < 0) & (F.col(value) <= base)), F.col(value)))
+    last, following = F.last("gl_turn", ignorenulls=True).over(w), F.first("gl_turn", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    rows = rows.withColumn("gl_line", F.coalesce(last, following))
+    step = F.abs(F.col("gl_line") - F.lag("gl_line").over(w))
+    rows = rows.withColumn("gl_peak", F.coalesce(F.col("gl_top") & ((step >= least - base) | (step == 0)), F.lit(False)))
+    best = F.min(F.when(F.col(value) >= plain, F.struct((-F.col(value)).alias("v"), F.col(day).alias("d"))))
+    out = rows.groupBy(*keys).agg(F.count_if("gl_peak").alias("gl_n"), F.min(F.when(F.col("gl_peak"), F.col(day))).alias("gl_first"), best.alias("gl_best"), F.max(value).alias("gl_most"))
+    n = F.when(F.coalesce(F.col("gl_most") < base, F.lit(True)), 0).when(F.col("gl_n") > 0, F.col("gl_n")).when(F.col("gl_best").isNotNull(), 1).otherwise(0)
+    return out.select(*keys, n.cast("long").alias("n"), F.coalesce("gl_first", F.col("gl_best.d")).alias("first_date"))
 
 
 def greenup(df: DataFrame, peak: DataFrame, keys: list[str], method: str = "thresh", limit: int = 2000, value: str = "value", day: str = "date") -> DataFrame:

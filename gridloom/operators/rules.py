@@ -2,14 +2,16 @@
 
 A rule is a condition on a year's class, its neighbours and counts over the
 series, and a replacement.  Rules run in order, each on the result of the ones
-before; counts are those of the series as it came.  All windows partition by the
-pixel, so the chain needs one exchange.
+before.  The years of a class set are counted when a rule first needs them, on
+the series as it is then, and later rules use that count; sets that the stable
+base counts are counted before any rule.  All windows partition by the pixel, so
+the chain needs one exchange.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,13 +24,17 @@ CLASSES = {
     "Grass_all": [75, 51, 55, 58, 71, 72, 73, 74, 76, 77, 79, 80, 81, 82, 83, 84, 85, 86, 87, 88, 89, 91, 108],
     "dry_grass": [80, 75], "gtmix": [176], "MedVeg_noncrop": [161, *range(162, 170)], "MedVeg_wet": [164],
     "Trees_plantation": [207, 187, 217, 202, 203, 205, 206, 208, 209, 216], "TreePlant_young": [187, 182, 185], "TreePlant_start": [98],
-    "dense_for": [250], "open_for": [215], "palm_for": [221], "tree_water_mix": [184], "forest_open_stable": [226, 221],
+    "dense_for": [250], "open_for": [215], "shrub_for": [226], "palm_for": [221], "forest_Py36": [226, 215, 221, 220], "grass_Py36": [74, 75, 80, 91], "wet": [40, 74, 164, 184], "tree_water_mix": [184], "forest_open_stable": [226, 221],
     "Trees_nat": [220, 212, 213, 214, 215, 218, 219, 184, *range(221, 255)],
 }
 FIRST_VEG, FIRST_MEDVEG, FIRST_HIGHVEG, FIRST_MATURE = 50, 148, 180, 200
 HIGHVEG_NONE = 255
 
 
+#: Groups that should be stable through time; forests in the order in which they win.
+STABLE = ("shrub_for", "palm_for", "open_for", "dense_for", "wet", "grass_Py36")
+
+
 @dataclass
 class Series:
     """What a rule sees: this year's class, neighbours, counts and base classes."""
@@ -36,6 +42,7 @@ class Series:
     cls: Column
     near: Callable[[int, int], Column]
     end: Callable[[int], Column]
+    counted: set[str] = field(default_factory=set)
 
     def now(self, name: str) -> Column:
         return self.cls.isin(CLASSES[name])
@@ -51,6 +58,7 @@ class Series:
         return self.at(-1, *names) | self.at(1, *names)
 
     def count(self, *names: str) -> Column:
+        self.counted.update(names)
         total = F.lit(0)
         for n in names:
             total = total + F.col(f"n_{n}")
@@ -119,10 +127,17 @@ RULES: dict[str, list[Step]] = {
         (lambda s: (s.cls >= FIRST_VEG) & (s.cls < FIRST_MEDVEG) & s.at(1, "Trees_plantation"), lambda s: stored("TreePlant_start")),
     ],
 }
-COUNTED = ("palm_for", "Grass_all", "LowVeg_wet", "MedVeg_wet", "Trees_plantation", "NoVeg_water", "rice", "LowVeg_crop", "Trees_nat")
 
 
-def with_counts(df: DataFrame, keys: list[str], sets: tuple[str, ...] = COUNTED, cls: str = "class") -> DataFrame:
+def counted_by(name: str) -> list[str]:
+    """The class sets whose years a rule counts."""
+    probe = Series(F.lit(0), lambda k, fill: F.lit(fill), lambda k: F.lit(0))
+    for when, _ in RULES[name]:
+        when(probe)
+    return sorted(probe.counted)
+
+
+def with_counts(df: DataFrame, keys: list[str], sets: tuple[str, ...] | list[str], cls: str = "class") -> DataFrame:
     """``n_<set>``: years of a pixel in each class set."""
     w = Window.partitionBy(*keys)
     return df.withColumns({f"n_{n}": F.sum(F.col(cls).isin(CLASSES[n]).cast("int")).over(w) for n in sets})
@@ -136,46 +151,67 @@ def majority_in(df: DataFrame, keys: list[str], order: list[int], cls: str = "cl
     return n.groupBy(*keys).agg(F.coalesce(best["gl_c"], F.lit(0)).alias("majority"))
 
 
-def stable_base(df: DataFrame, keys: list[str], cls: str = "class") -> DataFrame:
-    """keys, base_forest, base_grass, base_wet: the class that each group keeps through time, and whether wet holds two years running.
+def stable_base(df: DataFrame, keys: list[str], groups: tuple[str, ...] = STABLE, region: Column | None = None, cls: str = "class") -> DataFrame:
+    """keys, base_<group> of each group that should be stable (0 where it has none), and base_forest, the first of the forest groups that is not 0.
 
-    Forest: palm, shrub or open forest where it has most forest years, else the commonest natural tree class.
+    Shrub forest wherever it occurs, or dense forest and shrub both do (inside ``region``, a column of ``df``, if given); palm forest where
+    it has more years than grass-tree mix and than tree crops; open forest where it and shrub have two years or more and all others are
+    dense forest; of any other group the commonest class, the first in its order of equal ones.  Also n_palm_for, for rules that count it.
+    """
+    in_set = lambda *names: F.col(cls).isin(sorted({c for n in names for c in CLASSES[n]}))
+    years = lambda *names: F.count_if(in_set(*names))
+    here = F.lit(True) if region is None else F.coalesce(F.max(region), F.lit(False))
+
+    def common(group: str) -> Column:
+        """The commonest class of a group from one count a class."""
+        best = [F.struct(F.count_if(F.col(cls) == c).alias("n"), F.lit(-i).alias("p"), F.lit(c).alias("c")) for i, c in enumerate(CLASSES[group])]
+        top = F.greatest(*best) if len(best) > 1 else best[0]
+        return F.when(top["n"] > 0, top["c"]).otherwise(0)
+
+    made = {
+        "shrub_for": lambda: F.when((years("shrub_for") > 0) | ((years("dense_for") > 0) & (years("MedVeg_noncrop") > 0) & here), stored("shrub_for")).otherwise(0),
+        "palm_for": lambda: F.when((years("palm_for") > years("gtmix")) & (years("palm_for") > years("med_crops")), stored("palm_for")).otherwise(0),
+        "open_for": lambda: F.when((years("open_for", "MedVeg_noncrop") >= 2) & (years("dense_for") == F.count(F.lit(1)) - years("open_for", "MedVeg_noncrop")), stored("open_for")).otherwise(0),
+    }
+    base = {g: made.get(g, lambda g=g: common(g))().cast("int").alias(f"base_{g}") for g in groups}
+    out = df.groupBy(*keys).agg(*base.values(), years("palm_for").cast("long").alias("n_palm_for"))
+    forests = [F.when(F.col(f"base_{g}") > 0, F.col(f"base_{g}")) for g in groups if g.endswith(("_for", "_forest"))]
+    return out.withColumn("base_forest", F.coalesce(*forests, F.lit(0)))
+
+
+def apply_rules(df: DataFrame, keys: list[str], names: list[str] | None = None, cls: str = "class", year: str = "year", where: Column | dict[str, Column] | None = None) -> DataFrame:
+    """``cls`` after the named rules, in order, on the rows where ``where`` (or that of a rule) holds.
+
+    ``df`` has base_forest and base_grass where rules need them, and may have ``n_<set>``, years that were counted before.
     """
-    w = Window.partitionBy(*keys).orderBy("year")
-    two = df.withColumn("gl_w", F.col(cls).isin(CLASSES["LowVeg_wet"] + CLASSES["MedVeg_wet"]) & F.coalesce(F.lag(cls).over(w) == F.col(cls), F.lit(False)))
-    some = lambda c: F.count_if(F.col(cls).isin(c))
-    counts = two.groupBy(*keys).agg(
-        some(CLASSES["Trees_nat"]).alias("trees"), some(CLASSES["palm_for"]).alias("palm"), some([226]).alias("shrub"), some(CLASSES["open_for"]).alias("open"), F.max("gl_w").alias("base_wet")
-    )
-    forest = majority_in(df, keys, CLASSES["Trees_nat"], cls).withColumnRenamed("majority", "gl_f")
-    grass = majority_in(df, keys, CLASSES["Grass_all"], cls).withColumnRenamed("majority", "base_grass")
-    most = lambda n: F.col(n) * 2 > F.col("trees")
-    chosen = F.when(most("palm"), 221).when(most("shrub"), 226).when(most("open"), 215).otherwise(F.col("gl_f"))
-    return counts.join(forest, keys).join(grass, keys).select(*keys, chosen.alias("base_forest"), "base_grass", "base_wet")
-
-
-def apply_rules(df: DataFrame, keys: list[str], names: list[str] | None = None, cls: str = "class", year: str = "year", where: Column | None = None) -> DataFrame:
-    """``cls`` after the named rules, in order, on the rows where ``where`` holds.  ``df`` has base_forest and base_grass where rules need them."""
     w = Window.partitionBy(*keys).orderBy(year)
     every = Window.partitionBy(*keys).orderBy(F.col(year).desc())
     columns = df.columns
-    rows = with_counts(df, keys, cls=cls).withColumn("gl_back", F.row_number().over(every))
+    rows = df.withColumn("gl_back", F.row_number().over(every))
+    near = lambda k, fill: F.coalesce(F.lag(cls, -k).over(w) if k < 0 else F.lead(cls, k).over(w), F.lit(fill))
+    end = lambda k: F.max(F.when(F.col("gl_back") == k + 1, F.col(cls))).over(Window.partitionBy(*keys))
     for name in names if names is not None else list(RULES):
+        rows = with_counts(rows, keys, [n for n in counted_by(name) if f"n_{n}" not in rows.columns], cls)
+        inside = where.get(name) if isinstance(where, dict) else where
         for when, then in RULES[name]:
-            near = lambda k, fill: F.coalesce(F.lag(cls, -k).over(w) if k < 0 else F.lead(cls, k).over(w), F.lit(fill))
-            end = lambda k: F.max(F.when(F.col("gl_back") == k + 1, F.col(cls))).over(Window.partitionBy(*keys))
             s = Series(F.col(cls), near, end)
-            hit = F.coalesce(when(s) if where is None else when(s) & where, F.lit(False))
+            hit = F.coalesce(when(s) if inside is None else when(s) & inside, F.lit(False))
             rows = rows.withColumn("gl_new", F.when(hit, then(s)).otherwise(F.col(cls))).drop(cls).withColumnRenamed("gl_new", cls)
     return rows.select(columns)
 
 
-def hold_to_base(df: DataFrame, cls: str = "class") -> DataFrame:
-    """Forest, grass and (where it does not hold) wet classes set to the pixel's base class."""
-    forest = F.col(cls).isin(CLASSES["Trees_nat"]) & (F.col("base_forest") > 0)
-    grass = F.col(cls).isin(CLASSES["Grass_all"]) & (F.col("base_grass") > 0)
-    wet = F.col(cls).isin(CLASSES["MedVeg_wet"]) & ~F.col("base_wet") & (F.col("base_grass") > 0)
-    return df.withColumn(cls, F.when(forest, F.col("base_forest")).when(grass | wet, F.col("base_grass")).otherwise(F.col(cls)))
+def hold_to_base(df: DataFrame, keys: list[str], group: str = "Py36", cls: str = "class", year: str = "year") -> DataFrame:
+    """Classes set to the pixel's base classes (base_forest, base_grass_<group>, base_wet), one group after the other.
+
+    Forest of the group where the base is mature forest; grass of the group where there is a base; wet classes where there
+    is a base, unless the year before or after has the same class.
+    """
+    w = Window.partitionBy(*keys).orderBy(year)
+    now, grass = F.col(cls), F.col(f"base_grass_{group}")
+    df = df.withColumn(cls, F.when(now.isin(CLASSES[f"forest_{group}"]) & (F.col("base_forest") >= FIRST_MATURE), F.col("base_forest")).otherwise(now))
+    df = df.withColumn(cls, F.when(now.isin(CLASSES[f"grass_{group}"]) & (grass > 0), grass).otherwise(now))
+    steady = (F.coalesce(F.lag(cls).over(w), F.lit(0)) == now) | (F.coalesce(F.lead(cls).over(w), F.lit(0)) == now)
+    return df.withColumn("gl_new", F.when(now.isin(CLASSES["wet"]) & (F.col("base_wet") > 0) & ~steady, F.col("base_wet")).otherwise(now)).drop(cls).withColumnRenamed("gl_new", cls)
 
 
 def keep_inside(edited: Column, original: Column, area: Column) -> Column:

@@ -81,15 +81,45 @@ def latest_scores(log: DataFrame, key: str, order: str) -> DataFrame:
     return best_models(log, [key], order, key)
 
 
+LEVELS = (5, 10, 20, 80, 90, 95)
+
+
 def pre_post_summary(rows: DataFrame, keys: list[str], season: str) -> DataFrame:
-    """Deltas, levels and separability of pre and post values by index, for all seasons together and each: one grouping-sets pass."""
-    d = F.col("post") - F.col("pre")
-    out = rows.withColumn("d", d).groupingSets([[F.col(k) for k in keys], [*(F.col(k) for k in keys), F.col(season)]], *(F.col(k) for k in keys), F.col(season)).agg(
-        F.count("d").alias("n"), F.avg("d").alias("delta_avg"), F.stddev_samp("d").alias("delta_std"),
-        *(F.percentile("d", q / 100).alias(f"delta_q{q}") for q in (5, 25, 50, 75, 95)),
-        *(f(s).alias(f"{s}_{n}") for s in ("pre", "post") for n, f in (("avg", F.avg), ("std", F.stddev_samp))),
+    """By index, for all seasons together and each: n, mean, sample deviation and quantiles of pre - post, levels (all truncated), and five
+    measures of separability of the two: M (population deviations), f divergence, Bhattacharyya, Jeffries-Matusita, Jensen-Shannon.
+
+    Equal pairs are counted first, so quantiles see one row a distinct pair; terms that are not numbers are left out of sums.
+    """
+    every = [[F.col(k) for k in keys], [*(F.col(k) for k in keys), F.col(season)]]
+    pairs = rows.filter("pre is not null and post is not null").groupBy(*keys, season, "pre", "post").agg(F.count(F.lit(1)).alias("gl_k"))
+    p, q, k = F.col("pre").cast("double"), F.col("post").cast("double"), F.col("gl_k")
+    d, m = p - q, (p + q) / 2
+
+    def total(x: Column) -> Column:
+        return F.sum(F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x * k).otherwise(0.0))
+
+    log = lambda a, b: F.when((a / F.when(b != 0, b)) > 0, F.ln(a / F.when(b != 0, b)))
+    sums = {"n": F.sum(k)}
+    for name, x in (("delta", d), ("pre", p), ("post", q)):
+        sums |= {f"{name}_s": F.sum(x * k), f"{name}_ss": F.sum(x * x * k)}
+    sums |= {
+        "f": total(p * log(p, q)), "bc": total(F.sqrt(F.when(p * q >= 0, p * q))), "js": (total(p * log(p, m)) + total(q * log(q, m))) / 2,
+        "levels": F.percentile(d, F.array(*(F.lit(x / 100) for x in LEVELS)), k),
+    }
+    out = pairs.groupingSets(every, *(F.col(c) for c in keys), F.col(season)).agg(*(c.alias(f"gl_{n}") for n, c in sums.items()))
+    n = F.col("gl_n")
+    mean = lambda x: F.col(f"gl_{x}_s") / n
+    dev = lambda x, less: F.sqrt(F.greatest(F.lit(0.0), (F.col(f"gl_{x}_ss") - n * mean(x) * mean(x)) / F.when(n > less, n - less)))
+    cut = lambda x: F.round(x, 9).cast("int")  # noqa: E731  noise must not cost a unit
+    down = dev("pre", 0) + dev("post", 0)
+    bhatt = F.round(-F.ln(F.when(F.col("gl_bc") > 0, F.col("gl_bc"))), 3)
+    return out.select(
+        *keys, F.coalesce(season, F.lit("ALL")).alias(season), n.alias("n"), cut(mean("delta")).alias("delta_avg"), cut(F.when(n > 1, dev("delta", 1))).alias("delta_std"),
+        *(cut(F.get("gl_levels", F.lit(i))).alias(f"delta_{x}") for i, x in enumerate(LEVELS)),
+        *(c.alias(f"{x}_{s}") for x in ("pre", "post") for s, c in (("avg", cut(mean(x))), ("std", cut(F.when(n > 1, dev(x, 1)))))),
+        F.round(F.abs(mean("pre") - mean("post")) / F.when(down != 0, down), 2).alias("sep_M"), cut(F.col("gl_f")).alias("sep_F1"), bhatt.alias("sep_bhatt"),
+        cut(2 * (1 - F.exp(-bhatt))).alias("sep_jm"), cut(F.col("gl_js")).alias("sep_jen"),
     )
-    return out.withColumn(season, F.coalesce(season, F.lit("ALL"))).withColumn("M", separability_m("pre_avg", "post_avg", "pre_std", "post_std"))
 
 
 def separability_m(mean_a: str, mean_b: str, dev_a: str, dev_b: str) -> Column:

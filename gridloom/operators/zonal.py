@@ -12,17 +12,41 @@ def reclassified(df: DataFrame, lut: dict[int, int], column: str, missing: int =
     return F.when(F.col(column) == 0, F.lit(0)).otherwise(F.coalesce(F.try_element_at(pairs, F.col(column)), F.lit(missing)))
 
 
-def class_shares(df: DataFrame, sets: DataFrame, zone: list[str], value: str = "class", edge: str | None = None) -> DataFrame:
-    """zone, name, n, percent (one decimal) of class sets among pixels that are not 0; the edge set counts half, truncated.
+#: Names of sets that share the crop edge.
+CROP_SETS = ("crop", "homogeneous crop", "no crop", "nocrop")
 
-    ``sets`` (name, value) is a dimension of a few hundred rows.
+
+def rolled_up(name: Column) -> Column:
+    """The total that a class set counts in: crop (but for non-crops), burned, grass or tree (forests too); none for sets that begin with no."""
+    low = F.lower(name)
+    crop = low.contains("crop")
+    return (
+        F.when(low.startswith("no"), F.lit(None)).when(crop & ~low.contains("noncrop"), "crop").when(low.contains("burn"), "burned")
+        .when(low.contains("grass"), "grass").when((low.contains("tree") & ~crop) | low.contains("forest"), "tree")
+    )
+
+
+def class_shares(df: DataFrame, sets: DataFrame, zone: list[str], value: str = "class", edge: int | None = None) -> DataFrame:
+    """zone, kind, name, n, numpix, percent (one decimal): class sets (kind class), and totals of crop, burned, grass and tree sets above 0 (kind total).
+
+    ``numpix`` is the sum of all sets' counts, so pixels of no set are left out.  Pixels of the class ``edge`` count half, truncated,
+    in each set of crop and of no crop.  ``sets`` (name, value) is a dimension of a few hundred rows; names without a pixel have n = 0.
     """
-    counts = df.filter(F.col(value) != 0).groupBy(*zone, value).agg(F.count(F.lit(1)).alias("gl_n"))
-    total = counts.groupBy(*zone).agg(F.sum("gl_n").alias("numpix"))
-    named = counts.join(F.broadcast(sets.select("name", F.col("value").alias(value))), value).groupBy(*zone, "name").agg(F.sum("gl_n").alias("n"))
-    if edge:
-        named = named.withColumn("n", F.when(F.col("name") == edge, F.floor(F.col("n") / 2)).otherwise(F.col("n")).cast("long"))
-    return named.join(total, zone).withColumn("percent", F.round(100 * F.col("n") / F.col("numpix"), 1))
+    shared = F.lower(F.col("name")).isin(*CROP_SETS) if edge is not None else F.lit(False)
+    named = F.broadcast(sets.filter(~(shared & (F.col("value") == F.lit(edge)))).select("name", F.col("value").alias(value)).distinct())
+    counts = df.groupBy(*zone, value).agg(F.count(F.lit(1)).alias("gl_n"))
+    edges = counts.groupBy(*zone).agg(F.floor(F.coalesce(F.sum(F.when(F.col(value) == F.lit(edge), F.col("gl_n"))), F.lit(0)) / 2).cast("long").alias("gl_e"))
+    found = counts.join(named, value).groupBy(*[F.col(z).alias(f"gl_{z}") for z in zone], F.col("name").alias("gl_name")).agg(F.sum("gl_n").alias("gl_n"))
+    every = edges.crossJoin(F.broadcast(sets.select("name").distinct()))  # a row a zone and set
+    same = F.col("name") == F.col("gl_name")
+    for z in zone:
+        same = same & F.col(z).eqNullSafe(F.col(f"gl_{z}"))
+    n = F.coalesce("gl_n", F.lit(0)) + F.when(shared, F.col("gl_e")).otherwise(0)
+    rows = every.join(found, same, "left").select(*zone, F.lit("class").alias("kind"), "name", n.cast("long").alias("n"))
+    total = rows.groupBy(*zone).agg(F.sum("n").alias("numpix"))
+    up = rows.groupBy(*zone, rolled_up(F.col("name")).alias("name")).agg(F.sum("n").alias("n")).filter("name is not null and n > 0")
+    both = rows.unionByName(up.withColumn("kind", F.lit("total")))
+    return both.join(total, zone).filter("numpix > 0").withColumn("percent", F.round(100 * F.col("n") / F.col("numpix"), 1))
 
 
 def missing_values(df: DataFrame, sets: DataFrame, zone: list[str], value: str = "class") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -66,12 +68,14 @@ def _(spark, sf):
     return table(spark, sf, "part").select("p_partkey", masks.qa_mask(c("p_size"), ["shadow", "cloud"]).alias("masked"))
 
 
-@query("op_P12_skip_reasons", """WITH s AS (SELECT l_suppkey AS scene, CAST(trunc(100 * count(*) FILTER (WHERE l_quantity < 25) / 600e0) AS INTEGER) AS valid_pix, count(*) AS file_size FROM lineitem GROUP BY l_suppkey)
- SELECT scene, valid_pix, file_size, CASE WHEN file_size < 560 THEN 'file size' WHEN valid_pix >= 0 AND valid_pix < 48 THEN 'no data' END AS skip_reason, file_size < 560 OR (valid_pix >= 0 AND valid_pix < 48) AS skip FROM s""")
+@query("op_P12_skip_reasons", """WITH s AS (SELECT l_suppkey AS scene, CAST(trunc(100 * count(*) FILTER (WHERE l_quantity < 25) / 600e0) AS INTEGER) AS valid_pix, count(*) AS file_size, CASE WHEN l_suppkey % 5 > 0 THEN CAST(sum(l_linenumber) AS BIGINT) * 100 END AS numpix FROM lineitem GROUP BY l_suppkey),
+ r AS (SELECT *, coalesce((valid_pix < 48 AND valid_pix > -1) OR numpix < 170000, false) AS weak FROM s)
+ SELECT scene, valid_pix, file_size, numpix, CASE WHEN file_size < 560 THEN 'file size' WHEN weak THEN 'not enough valid data' END AS skip_reason, file_size < 560 OR weak AS skip FROM r""")
 def _(spark, sf):
-    li = table(spark, sf, "lineitem").select(c("l_suppkey").alias("scene"), "l_quantity")
-    s = masks.valid_percent(li, "scene", "l_quantity", 600, 25).join(li.groupBy("scene").agg(F.count(F.lit(1)).alias("file_size")), "scene")
-    return masks.skip_reasons(s, 48, 560).select("scene", "valid_pix", "file_size", "skip_reason", "skip")
+    li = table(spark, sf, "lineitem").select(c("l_suppkey").alias("scene"), "l_quantity", "l_linenumber")
+    known = F.when(c("scene") % 5 > 0, F.sum("l_linenumber") * 100)
+    s = masks.valid_percent(li, "scene", "l_quantity", 600, 25).join(li.groupBy("scene").agg(F.count(F.lit(1)).alias("file_size"), known.alias("numpix")), "scene")
+    return masks.skip_reasons(s, 48, 560, 170_000).select("scene", "valid_pix", "file_size", "numpix", "skip_reason", "skip")
 
 
 @query("op_P13_valid_percent", "SELECT l_suppkey AS scene, CAST(trunc(100 * count(*) FILTER (WHERE l_extendedprice < 50000) / 700e0) AS INTEGER) AS valid_pix FROM lineitem GROUP BY l_suppkey")
@@ -361,13 +365,18 @@ def _(spark, sf):
     return scores.best_models(table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority", "o_orderkey", "o_totalprice"), ["o_orderstatus", "o_orderpriority"], "o_totalprice", "o_orderkey")
 
 
-@query("op_G20_pre_post_summary", """WITH r AS (SELECT l_returnflag AS si, CASE WHEN month(l_shipdate) BETWEEN 5 AND 10 THEN 'dry' ELSE 'wet' END AS season, l_quantity AS pre, l_extendedprice / 2000 AS post FROM lineitem),
- g AS (SELECT si, coalesce(season, 'ALL') AS season, count(post - pre) AS n, avg(post - pre) AS da, stddev_samp(post - pre) AS ds, quantile_cont(post - pre, 0.05) AS q5, median(post - pre) AS q50, avg(pre) AS a1, avg(post) AS a2, stddev_samp(pre) AS s1, stddev_samp(post) AS s2 FROM r GROUP BY GROUPING SETS ((si), (si, season)))
- SELECT si, season, n, round(da, 4) AS delta_avg, round(ds, 4) AS delta_std, round(q5, 4) AS delta_q5, round(q50, 4) AS delta_q50, round(abs(a1 - a2) / (s1 + s2), 2) AS M FROM g""")
+_LEVELS = ", ".join(f"CAST(trunc(round(quantile_cont(d, {x / 100}), 9)) AS INTEGER) AS delta_{x}" for x in (5, 10, 20, 80, 90, 95))
+
+
+@query("op_G20_pre_post_summary", f"""WITH r AS (SELECT l_returnflag AS si, CASE WHEN month(l_shipdate) BETWEEN 5 AND 10 THEN 'dry' ELSE 'wet' END AS season, CAST(l_quantity AS DOUBLE) AS p, CAST(l_extendedprice / 2000 AS DOUBLE) AS q FROM lineitem),
+ s AS (SELECT *, p - q AS d, (p + q) / 2 AS m FROM r), g AS (SELECT si, coalesce(season, 'ALL') AS season, count(*) AS n, CAST(trunc(round(avg(d), 9)) AS INTEGER) AS delta_avg, CAST(trunc(round(stddev_samp(d), 9)) AS INTEGER) AS delta_std, {_LEVELS},
+  CAST(trunc(round(avg(p), 9)) AS INTEGER) AS pre_avg, CAST(trunc(round(stddev_samp(p), 9)) AS INTEGER) AS pre_std, CAST(trunc(round(avg(q), 9)) AS INTEGER) AS post_avg, CAST(trunc(round(stddev_samp(q), 9)) AS INTEGER) AS post_std,
+  round(abs(avg(p) - avg(q)) / (stddev_pop(p) + stddev_pop(q)), 2) AS sep_M, CAST(trunc(round(sum(CASE WHEN p > 0 AND q > 0 THEN q * (p / q) * ln(p / q) ELSE 0 END), 9)) AS INTEGER) AS sep_F1, round(-ln(sum(sqrt(p * q))), 3) AS sep_bhatt,
+  CAST(trunc(round(0.5e0 * sum(CASE WHEN p > 0 THEN p * ln(p / m) ELSE 0 END) + 0.5e0 * sum(CASE WHEN q > 0 THEN q * ln(q / m) ELSE 0 END), 9)) AS INTEGER) AS sep_jen FROM s GROUP BY GROUPING SETS ((si), (si, season)))
+ SELECT *, CAST(trunc(2 * (1 - exp(-sep_bhatt))) AS INTEGER) AS sep_jm FROM g""")
 def _(spark, sf):
     r = table(spark, sf, "lineitem").select(c("l_returnflag").alias("si"), F.when(F.month("l_shipdate").between(5, 10), "dry").otherwise("wet").alias("season"), c("l_quantity").alias("pre"), (c("l_extendedprice") / 2000).alias("post"))
-    out = scores.pre_post_summary(r, ["si"], "season")
-    return out.select("si", "season", "n", *(F.round(x, 4).alias(x) for x in ("delta_avg", "delta_std", "delta_q5", "delta_q50")), "M")
+    return scores.pre_post_summary(r, ["si"], "season")
 
 
 @query("op_separability", """WITH h AS (SELECT l_returnflag, CAST(l_quantity AS INTEGER) AS bin, CAST(count(*) FILTER (WHERE l_linestatus = 'O') AS DOUBLE) AS p, CAST(count(*) FILTER (WHERE l_linestatus = 'F') AS DOUBLE) AS q FROM lineitem GROUP BY 1, 2),
@@ -492,7 +501,7 @@ def _(spark, sf):
 
 
 _IN = lambda name: "(" + ", ".join(map(str, sorted(set(rules.CLASSES[name])))) + ")"
-_N = lambda name: f"sum(CASE WHEN o IN {_IN(name)} THEN 1 ELSE 0 END) OVER (PARTITION BY px)"
+_N = lambda name: f"n_{name}"  # noqa: E731  years of a set, counted where a rule first needs them
 _AT = lambda f, name, k=1: f"coalesce({f}(class, {k}) OVER w, 0) IN {_IN(name)}"
 _BOTH = lambda name: f"({_AT('lag', name)} AND {_AT('lead', name)})"
 _EITHER = lambda name: f"({_AT('lag', name)} OR {_AT('lead', name)})"
@@ -525,11 +534,17 @@ _RULE_SQL = {
 }
 
 
-def _rule_sql(names: list[str]) -> str:
-    parts, n = [f"WITH {CLASSES}, q0 AS (SELECT px, year, class, class AS o, row_number() OVER (PARTITION BY px ORDER BY year DESC) AS back, 221 AS bf, 75 AS bg FROM cls)"], 0
+def _rule_sql(names: list[str], start: str = f"{CLASSES}, b0 AS (SELECT px, year, class, 221 AS bf, 75 AS bg FROM cls)", counted: tuple[str, ...] = ()) -> str:
+    """``start`` ends with b0 (px, year, class, bf, bg and n_<set> of those that are counted before)."""
+    parts, n, known = [f"WITH {start}, q0 AS (SELECT *, row_number() OVER (PARTITION BY px ORDER BY year DESC) AS back FROM b0)"], 0, set(counted)
     for name in names:
+        new = sorted({x for cond, _ in _RULE_SQL[name] for x in re.findall(r"\bn_(\w+)", cond)} - known)
+        if new:
+            counts = ", ".join(f"sum(CASE WHEN class IN {_IN(x)} THEN 1 ELSE 0 END) OVER (PARTITION BY px) AS n_{x}" for x in new)
+            parts.append(f"q{n + 1} AS (SELECT *, {counts} FROM q{n})")
+            n, known = n + 1, known | set(new)
         for cond, then in _RULE_SQL[name]:
-            parts.append(f"q{n + 1} AS (SELECT px, year, CASE WHEN coalesce({cond}, false) THEN {then} ELSE class END AS class, o, back, bf, bg FROM q{n} WINDOW w AS (PARTITION BY px ORDER BY year))")
+            parts.append(f"q{n + 1} AS (SELECT * REPLACE (CASE WHEN coalesce({cond}, false) THEN {then} ELSE class END AS class) FROM q{n} WINDOW w AS (PARTITION BY px ORDER BY year))")
             n += 1
     return ", ".join(parts) + f" SELECT px, year, CAST(class AS INTEGER) AS class FROM q{n}"
 
@@ -545,7 +560,12 @@ for _rule in rules.RULES:
         return rules.apply_rules(_based(spark, sf), PX, [rule]).select("px", "year", "class")
 
 
-_CHAIN = ["sugar-palm", "banana-wet", "rice-water", "wetgrass-crop", "built-non-built", "grass-to-forest", "twmix-medwet", "noplant-plant"]
+#: The rules in the order in which they run over a series.
+_CHAIN = [
+    "sugar-palm", "sugar-grass", "banana-wet", "palm_for-grass-aggressive", "palm_for-wetgrass", "grass-forest-aggressive", "tree_plant-med_crop", "rice-water", "rice-built",
+    "forest-treeplant", "forest-brieflow", "grass-to-forest", "grass-to-palmforest", "twmix-medwet", "noplant-plant", "wetgrass-built", "wetgrass-crop", "grass-built", "grass-crop",
+    "built-non-built", "medcrop-wetshrub", "medcrop-shrub", "singleton-crop",
+]
 
 
 @query("op_W14_rule_chain", _rule_sql(_CHAIN))
@@ -556,14 +576,19 @@ def _(spark, sf):
 def _top(name: str) -> str:
     """SQL of the commonest class of a set, the first in its order of equal ones, over rows of (class, n)."""
     order = " ".join(f"WHEN {k} THEN {-i}" for i, k in enumerate(rules.CLASSES[name]))
-    return f"coalesce(max(CASE WHEN class IN {_IN(name)} THEN {{'n': n, 'p': CASE class {order} END, 'c': class}} END).c, 0)"
+    return f"CAST(coalesce(max(CASE WHEN class IN {_IN(name)} THEN {{'n': n, 'p': CASE class {order} END, 'c': class}} END).c, 0) AS INTEGER)"
 
 
-_WET = "(" + ", ".join(map(str, rules.CLASSES["LowVeg_wet"] + rules.CLASSES["MedVeg_wet"])) + ")"
-_BASE = f"""{CLASSES}, n AS (SELECT px, class, count(*) AS n FROM cls GROUP BY px, class), m AS (SELECT px, {_top('Trees_nat')} AS f, {_top('Grass_all')} AS base_grass, sum(CASE WHEN class IN {_IN('Trees_nat')} THEN n ELSE 0 END) AS trees,
- sum(CASE WHEN class = 221 THEN n ELSE 0 END) AS palm, sum(CASE WHEN class = 226 THEN n ELSE 0 END) AS shrub, sum(CASE WHEN class = 215 THEN n ELSE 0 END) AS open FROM n GROUP BY px),
- w AS (SELECT px, class IN {_WET} AND coalesce(lag(class) OVER (PARTITION BY px ORDER BY year) = class, false) AS two FROM cls), v AS (SELECT px, bool_or(two) AS base_wet FROM w GROUP BY px),
- base AS (SELECT px, CAST(CASE WHEN palm * 2 > trees THEN 221 WHEN shrub * 2 > trees THEN 226 WHEN open * 2 > trees THEN 215 ELSE f END AS INTEGER) AS base_forest, CAST(base_grass AS INTEGER) AS base_grass, base_wet FROM m JOIN v USING (px))"""
+_YEARS = lambda *names: f"sum(CASE WHEN class IN ({', '.join(_IN(x)[1:-1] for x in names)}) THEN n ELSE 0 END)"
+_BASE = f"""{CLASSES}, n AS (SELECT px, class, count(*) AS n FROM cls GROUP BY px, class), m AS (SELECT px,
+  CASE WHEN {_YEARS('shrub_for')} > 0 OR ({_YEARS('dense_for')} > 0 AND {_YEARS('MedVeg_noncrop')} > 0) THEN 226 ELSE 0 END AS base_shrub_for,
+  CASE WHEN {_YEARS('palm_for')} > {_YEARS('gtmix')} AND {_YEARS('palm_for')} > {_YEARS('med_crops')} THEN 221 ELSE 0 END AS base_palm_for,
+  CASE WHEN {_YEARS('open_for', 'MedVeg_noncrop')} >= 2 AND {_YEARS('dense_for')} = sum(n) - {_YEARS('open_for', 'MedVeg_noncrop')} THEN 215 ELSE 0 END AS base_open_for,
+  {_top('dense_for')} AS base_dense_for, {_top('wet')} AS base_wet, {_top('grass_Py36')} AS base_grass_Py36, CAST({_YEARS('palm_for')} AS BIGINT) AS n_palm_for FROM n GROUP BY px),
+ base AS (SELECT *, CAST(CASE WHEN base_shrub_for > 0 THEN base_shrub_for WHEN base_palm_for > 0 THEN base_palm_for WHEN base_open_for > 0 THEN base_open_for ELSE base_dense_for END AS INTEGER) AS base_forest FROM m)"""
+_HELD = f"""{_BASE}, h1 AS (SELECT * REPLACE (CASE WHEN class IN {_IN('forest_Py36')} AND base_forest >= 200 THEN base_forest ELSE class END AS class) FROM cls JOIN base USING (px)),
+ h2 AS (SELECT * REPLACE (CASE WHEN class IN {_IN('grass_Py36')} AND base_grass_Py36 <> 0 THEN base_grass_Py36 ELSE class END AS class) FROM h1),
+ h3 AS (SELECT * REPLACE (CASE WHEN class IN (40, 74, 164, 184) AND base_wet <> 0 AND coalesce(lag(class) OVER w, 0) <> class AND coalesce(lead(class) OVER w, 0) <> class THEN base_wet ELSE class END AS class) FROM h2 WINDOW w AS (PARTITION BY px ORDER BY year))"""
 
 
 @query("op_W13_stable_base", f"WITH {_BASE} SELECT * FROM base")
@@ -571,17 +596,27 @@ def _(spark, sf):
     return rules.stable_base(classes(spark, sf), PX)
 
 
-@query("op_W14_held_to_base", f"""WITH {_BASE} SELECT px, year, CAST(CASE WHEN class IN {_IN('Trees_nat')} AND base_forest > 0 THEN base_forest WHEN (class IN {_IN('Grass_all')} OR (class IN {_IN('MedVeg_wet')} AND NOT base_wet)) AND base_grass > 0 THEN base_grass ELSE class END AS INTEGER) AS class FROM cls JOIN base USING (px)""")
+@query("op_W13_stable_base_region", f"""WITH {_BASE}, shrub AS (SELECT px, CASE WHEN {_YEARS('shrub_for')} > 0 OR ({_YEARS('dense_for')} > 0 AND {_YEARS('MedVeg_noncrop')} > 0 AND px % 3 = 1) THEN 226 ELSE 0 END AS base_shrub_for FROM n GROUP BY px)
+ SELECT px, base_shrub_for, CAST(CASE WHEN base_shrub_for > 0 THEN base_shrub_for WHEN base_dense_for > 0 THEN base_dense_for ELSE 0 END AS INTEGER) AS base_forest FROM shrub JOIN (SELECT px, base_dense_for FROM base) USING (px)""")
 def _(spark, sf):
     rows = classes(spark, sf)
-    return rules.hold_to_base(rows.join(rules.stable_base(rows, PX), PX)).select("px", "year", "class")
+    return rules.stable_base(rows, PX, ("shrub_for", "dense_for"), rules.in_region(c("px") % 3, [1])).select("px", "base_shrub_for", "base_forest")
 
 
-@query("op_W14_filtered_series")
+@query("op_W14_held_to_base", f"WITH {_HELD} SELECT px, year, CAST(class AS INTEGER) AS class FROM h3")
 def _(spark, sf):
     rows = classes(spark, sf)
-    based = rows.join(rules.stable_base(rows, PX), PX)
-    return rules.apply_rules(rules.hold_to_base(based), PX, _CHAIN).select("px", "year", "class")
+    return rules.hold_to_base(rows.join(rules.stable_base(rows, PX), PX), PX).select("px", "year", "class")
+
+
+def _held(spark, sf):
+    rows = classes(spark, sf)
+    return rules.hold_to_base(rows.join(rules.stable_base(rows, PX), PX), PX).withColumn("base_grass", c("base_grass_Py36"))
+
+
+@query("op_W14_filtered_series", _rule_sql(_CHAIN, f"{_HELD}, b0 AS (SELECT px, year, class, n_palm_for, base_forest AS bf, base_grass_Py36 AS bg FROM h3)", ("palm_for",)))
+def _(spark, sf):
+    return rules.apply_rules(_held(spark, sf), PX, _CHAIN).select("px", "year", "class")
 
 
 @query("op_W15_kept_in_polygons", f"WITH {CLASSES} SELECT px, year, CAST(CASE WHEN c_acctbal > 0 THEN class ELSE 0 END AS INTEGER) AS class FROM cls JOIN customer ON px = c_custkey")

@@ -266,6 +266,14 @@ for _word, _limit in (("drop", -800), ("rise", 800)):
         return pheno.significant_change(gappy(spark, sf), PX, limit)
 
 
+for _word, _season in (("inside", (5, 30)), ("over_new_year", (20, 10))):
+    _in = f"first_doy >= {_season[0]} {'AND' if _season[0] < _season[1] else 'OR'} first_doy <= {_season[1]}"
+
+    @query(f"op_W4_season_{_word}", f"SELECT px, events, first_date, change, CASE WHEN {_in} THEN first_doy ELSE 0 END AS first_doy FROM ({_change_sql(-800)})")
+    def _unpadded(spark, sf, season=_season):
+        return pheno.significant_change(gappy(spark, sf), PX, -800, season=season)
+
+
 def _peaks_sql(inverted: bool, rounds: int = 9) -> str:
     mark, lost = (10000, 32767) if inverted else (1, 0)
     start = "CASE WHEN value < base AND value > 0 THEN CAST(value AS DOUBLE) ELSE 1e4 END" if inverted else "CASE WHEN value > base THEN CAST(value AS DOUBLE) ELSE 1e0 END"
@@ -291,8 +299,11 @@ _DERIV = f"""WITH {DAILY}, n AS (SELECT *, lag(value) OVER w AS p, lead(value) O
  g AS (SELECT *, coalesce((a * a * q + (b * b - a * a) * value - b * b * p) / CAST(a * b * (a + b) AS DOUBLE), (q - value) / CAST(b AS DOUBLE), (value - p) / CAST(a AS DOUBLE)) AS g FROM n)"""
 
 
-@query("op_W6_derivative_peaks", f"""{_DERIV}, t AS (SELECT *, g <= 0 AND lag(g) OVER (PARTITION BY px ORDER BY date) > 0 AND value >= 3000 AS top FROM g)
- SELECT px, count(*) FILTER (WHERE top) AS n, coalesce(min(CASE WHEN top THEN date END), CASE WHEN max(value) >= 3000 THEN min({{'v': -value, 'd': date}}).d END) AS first_date FROM t GROUP BY px""")
+@query("op_W6_derivative_peaks", f"""{_DERIV}, h AS (SELECT *, lag(g) OVER (PARTITION BY px ORDER BY date) AS g0 FROM g), t AS (SELECT *, coalesce(g < 0 AND g0 > 0 AND value >= 3000, false) AS top, coalesce(g > 0 AND g0 < 0 AND value <= 1000, false) AS low FROM h),
+ l AS (SELECT *, coalesce(last_value(CASE WHEN top OR low THEN value END IGNORE NULLS) OVER (PARTITION BY px ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), first_value(CASE WHEN top OR low THEN value END IGNORE NULLS) OVER (PARTITION BY px ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS line FROM t),
+ s AS (SELECT *, abs(line - lag(line) OVER (PARTITION BY px ORDER BY date)) AS step FROM l), k AS (SELECT *, top AND coalesce(step >= 2000 OR step = 0, false) AS peak FROM s),
+ o AS (SELECT px, count(*) FILTER (WHERE peak) AS c, min(CASE WHEN peak THEN date END) AS d, min(CASE WHEN value >= 3000 THEN {{'v': -value, 'd': date}} END).d AS alt, max(value) AS most FROM k GROUP BY px)
+ SELECT px, CAST(CASE WHEN most < 1000 THEN 0 WHEN c > 0 THEN c WHEN alt IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) AS n, coalesce(d, alt) AS first_date FROM o""")
 def _(spark, sf):
     return pheno.peaks_by_derivative(daily(spark, sf), PX)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import catalog, focal, fusion, masks, scores, segments, zonal
+from ..operators import catalog, focal, fusion, masks, rules, scores, segments, zonal
 from .base import N_COLS, RASTER, n_rows, query, raster, table
 
 r6 = lambda c: F.round(c, 6)
@@ -84,22 +84,26 @@ def _(spark, sf):
     return focal.small_fields(table(spark, sf, "part"), "p_retailprice", 930, 970).select("p_partkey", "field")
 
 
-@query("op_F9_smallholder_context")
-def _(spark, sf):
+def _context(spark, sf):
     r = raster(spark, sf)
     rows = focal.focal_mean(r.withColumn("size0", c("value")), [], 2, n_rows(r), N_COLS, "size0", "size")
-    code = F.when(c("value") < 10, 75).when(c("value") < 30, 137).when(c("value") < 40, 143).when(c("value") < 45, 96).otherwise(220)
-    rows = rows.withColumn("class", code).withColumn("poly", F.when(c("price") > 975, 1).otherwise(0)).withColumn("buffer", F.when(c("price") > 940, 143).otherwise(0))
-    rows = rows.withColumn("majority", F.lit(137)).withColumn("excluded", F.lit(False)).withColumn("big_buffer", c("buffer") == 143).withColumn("was_low_crop", c("class").between(100, 147))
-    rows = focal.distance_to(rows, [], c("value") > 47, 6)
-    crops, low = c("class").isin(137, 143, 96), c("class").between(100, 147)
-    return focal.smallholder_context(rows, crops, low, c("class") == 220, c("majority") == 137, 100, 86, 96, 143).select("row", "col", "class")
+    code = F.when(c("value") < 10, 75).when(c("value") < 30, 137).when(c("value") < 35, 125).when(c("value") < 40, 143).when(c("value") < 45, 96).otherwise(220)
+    rows = rows.withColumn("class", code).withColumn("majority", F.when(c("price") > 975, 143).otherwise(0)).withColumn("buffer", F.when(c("price") > 940, 143).when(c("price") > 930, 161).otherwise(0))
+    rows = rows.withColumn("excluded", c("col") < 4)
+    rows = focal.focal_max(rows.withColumn("high", F.when(c("class") == 220, 1).otherwise(0)), [], 1, "high", "near_high")
+    return focal.distance_to(rows, [], c("value") > 47, 6).select("row", "col", "class", "majority", "buffer", "size", "distance", "near_high", "excluded")
+
+
+@query("op_F9_smallholder_context")
+def _(spark, sf):
+    return focal.smallholder_context(_context(spark, sf), [], [137, 143, 125], list(range(100, 148)), [143], [125, 137], 86, 96, 143).select("row", "col", "class")
 
 
-@query("op_F10_forest_edges", f"WITH {RASTER}, o AS (SELECT row, col, value, CASE WHEN value > 25 THEN 0 ELSE 1 END AS open FROM ras) SELECT a.row, a.col, CAST(CASE WHEN a.open = 0 AND max(b.open) = 1 THEN 99 ELSE a.value END AS INTEGER) AS class FROM o a JOIN o b ON abs(a.row - b.row) <= 1 AND abs(a.col - b.col) <= 1 GROUP BY a.row, a.col, a.open, a.value")
+@query("op_F10_forest_edges", f"""WITH {RASTER}, f AS (SELECT row, col, CASE WHEN value > 35 THEN 250 WHEN value > 25 THEN 221 ELSE value END AS class FROM ras)
+ SELECT a.row, a.col, CAST(CASE WHEN a.class = 250 AND max(CASE WHEN b.class > 200 THEN 1 ELSE 9 END) = 9 THEN 215 ELSE a.class END AS INTEGER) AS class FROM f a JOIN f b ON abs(a.row - b.row) <= 1 AND abs(a.col - b.col) <= 1 GROUP BY a.row, a.col, a.class""")
 def _(spark, sf):
-    r = raster(spark, sf).select("row", "col", c("value").alias("class"))
-    return focal.forest_edges(r, [], c("class") > 25, 99)
+    r = raster(spark, sf).select("row", "col", F.when(c("value") > 35, 250).when(c("value") > 25, 221).otherwise(c("value")).alias("class"))
+    return focal.forest_edges(r, [], rules.CLASSES["dense_for"], rules.FIRST_MATURE, rules.CLASSES["open_for"][0])
 
 
 _NEAR = lambda dr, dc: f"(SELECT value FROM ras b WHERE b.row = a.row + {dr} AND b.col = a.col + {dc})"
@@ -199,7 +203,7 @@ def _(spark, sf):
 
 # Zones.
 
-_SETS = [("small", v) for v in range(1, 11)] + [("edge", v) for v in (10, 11, 12)] + [("large", v) for v in range(40, 51)]
+_SETS = [("Homogeneous crop", v) for v in (*range(1, 9), 12)] + [("Tree crop", v) for v in (9, 10)] + [("No crop", v) for v in (12, *range(20, 26))] + [("Grass", v) for v in (26, 27)] + [("Forest", v) for v in range(40, 46)] + [("Burn", 46), ("Trees", 47), ("Nothing", 99)]
 _SETS_SQL = "sets(name, v) AS (VALUES " + ", ".join(f"('{n}', {v})" for n, v in _SETS) + ")"
 
 
@@ -207,9 +211,14 @@ def _sets(spark):
     return spark.createDataFrame(_SETS, "name string, value int")
 
 
-@query("op_G1_class_shares", f"WITH {RASTER}, {_SETS_SQL}, t AS (SELECT zone, count(*) AS numpix FROM ras WHERE value <> 0 GROUP BY zone), n AS (SELECT zone, name, count(*) AS k FROM ras JOIN sets ON value = v GROUP BY zone, name), h AS (SELECT zone, name, CAST(CASE WHEN name = 'edge' THEN k // 2 ELSE k END AS BIGINT) AS n FROM n) SELECT zone, name, n, numpix, round(100 * n / CAST(numpix AS DOUBLE), 1) AS percent FROM h JOIN t USING (zone)")
+@query("op_G1_class_shares", f"""WITH {RASTER}, {_SETS_SQL}, z AS (SELECT zone, count(*) FILTER (WHERE value = 12) // 2 AS half FROM ras GROUP BY zone), names AS (SELECT DISTINCT name FROM sets),
+ n AS (SELECT zone, name, CAST((SELECT count(*) FROM ras JOIN sets s ON value = v WHERE ras.zone = z.zone AND s.name = names.name AND NOT (v = 12 AND s.name IN ('Homogeneous crop', 'No crop'))) + CASE WHEN name IN ('Homogeneous crop', 'No crop') THEN half ELSE 0 END AS BIGINT) AS n FROM z, names),
+ t AS (SELECT zone, CAST(sum(n) AS BIGINT) AS numpix FROM n GROUP BY zone),
+ u AS (SELECT zone, CASE WHEN name IN ('Homogeneous crop', 'Tree crop') THEN 'crop' WHEN name = 'Burn' THEN 'burned' WHEN name = 'Grass' THEN 'grass' WHEN name IN ('Forest', 'Trees') THEN 'tree' END AS up, CAST(sum(n) AS BIGINT) AS n FROM n GROUP BY 1, 2),
+ b AS (SELECT zone, 'class' AS kind, name, n FROM n UNION ALL SELECT zone, 'total', up, n FROM u WHERE up IS NOT NULL AND n > 0)
+ SELECT zone, kind, name, n, numpix, round(100 * n / CAST(numpix AS DOUBLE), 1) AS percent FROM b JOIN t USING (zone) WHERE numpix > 0""")
 def _(spark, sf):
-    return zonal.class_shares(raster(spark, sf), _sets(spark), ["zone"], "value", "edge")
+    return zonal.class_shares(raster(spark, sf), _sets(spark), ["zone"], "value", 12)
 
 
 @query("op_G1_missing_values", f"WITH {RASTER}, {_SETS_SQL}, n AS (SELECT zone, value, count(*) AS n FROM ras WHERE value <> 0 AND value NOT IN (SELECT v FROM sets) GROUP BY zone, value) SELECT zone, value, n FROM n")

@@ -7,8 +7,8 @@ bands is a table of its own.  More fingerprints make more and narrower bands, so
 that buckets stay small.  Sorted by bucket, 64 fingerprints at a time are turned
 into 64 bit planes; one fingerprint is compared with all of a block by XOR on
 the planes, with bit-sliced counters of carry-save adders, and blocks in which
-every lane is beyond the radius are abandoned.  Of links between two groups
-of a large bucket one is given; buckets above ``CHUNK`` are cut into chunks, and
+every lane is beyond the radius are abandoned.  Of a group that is
+found each member gives one link; buckets above ``CHUNK`` are cut into chunks, and
 every two chunks are a unit of work that any task may take.
 
 Links are merged to components by large-star and small-star rounds on tables.
@@ -36,7 +36,7 @@ from .shared import broadcast_if_small, free_name, saved, text_digest
 
 SEED, RADIUS = 42, 4
 #: Buckets from this size are searched one by one, those above CHUNK in units of two chunks; links connect the same in each way.
-LARGE, CHUNK = 2048, 1 << 14
+LARGE, CHUNK = 256, 1 << 14
 #: Fingerprints in a bucket, about, up to which bands are not made narrower; at most so many bands.
 FULL, MOST_BANDS = 64, 9
 WORDS = 4
@@ -97,12 +97,17 @@ def buckets(fp: Column, bands: list[tuple[int, int]]) -> Column:
 
 
 def planes(fps: np.ndarray) -> np.ndarray:
-    """64 bit planes of the blocks of 64 fingerprints: word [b, k] has bit b of the 64 in block k.  The last block is filled with zeros."""
-    blocks = -(-len(fps) // 64)
-    x = np.zeros(blocks * 64, np.uint64)
-    x[: len(fps)] = fps
-    bits = np.unpackbits(x.view(np.uint8).reshape(blocks, 64, 8), axis=2, bitorder="little")  # block, lane, bit
-    return np.ascontiguousarray(np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little")).view(np.uint64)[:, :, 0]
+    """Bit planes of the blocks of 64 fingerprints, each of one word or a row of words: word [b, k] has bit b of the 64 in block k.  The last block is filled with zeros."""
+    fps = fps.reshape(len(fps), -1)
+    blocks, width = -(-len(fps) // 64), fps.shape[1]
+    out = np.zeros((64 * width, blocks), np.uint64)
+    for k in range(0, blocks, 256):
+        some = fps[64 * k : 64 * (k + 256)]
+        x = np.zeros((-(-len(some) // 64) * 64, width), np.uint64)
+        x[: len(some)] = some
+        bits = np.unpackbits(x.view(np.uint8).reshape(-1, 64, 8 * width), axis=2, bitorder="little")  # block, lane, bit
+        out[:, k : k + len(bits)] = np.ascontiguousarray(np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little")).view(np.uint64)[:, :, 0]
+    return out
 
 
 _ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -114,55 +119,67 @@ def add(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.nda
     return u ^ c, (a & b) | (u & c)
 
 
+def above(counters: list[np.ndarray], limit: int) -> np.ndarray:
+    """Lanes whose count, the lowest bit first, is above the limit."""
+    more, equal = np.zeros_like(counters[0]), np.full_like(counters[0], _ONES)
+    for k in reversed(range(len(counters))):
+        if limit >> k & 1:
+            equal &= counters[k]
+        else:
+            more |= equal & counters[k]
+            equal &= ~counters[k]
+    return more
+
+
 def near(bits: np.ndarray, stored: np.ndarray, radius: int = RADIUS) -> np.ndarray:
     """For each query and block the lanes within the radius, as words.
 
-    ``bits`` [64, q, k]: bit b of each query as a word of ones or zeros, for
-    each block or (k = 1) for all; ``stored`` [64, k]: the planes.  Eight planes
-    at a time go through seven carry-save adders into three counter planes; a
-    lane that counts beyond the radius is dead, and blocks with dead lanes only
-    are abandoned.
+    ``bits`` [bits, q, k]: bit b of each query as a word of ones or zeros, for
+    each block or (k = 1) for all; ``stored`` [bits, k]: the planes.  Eight
+    planes at a time go through seven carry-save adders into three counter
+    planes, and what they carry into as many more as the radius needs; a lane
+    that counts beyond the radius is dead, and blocks with dead lanes only are
+    abandoned.
     """
     q, k = np.broadcast_shapes(bits.shape[1:], (1, stored.shape[1]))
     out = np.zeros((q, k), np.uint64)
-    at = np.arange(k)
-    ones, twos, fours, dead = (np.zeros((q, k), np.uint64) for _ in range(4))
-    over = RADIUS_ABOVE[radius]
-    for b in range(0, 64, 8):
+    at, total = np.arange(k), len(stored)
+    count = [np.zeros((q, k), np.uint64) for _ in range(max(3, radius.bit_length()))]
+    dead = np.zeros((q, k), np.uint64)
+    look = 8 if total <= 64 else 64
+    for b in range(0, total, 8):
         x = [bits[b + i] ^ stored[b + i] for i in range(8)]
+        ones, twos, fours = count[:3]
         ones, c = add(ones, x[0], x[1])
         ones, d = add(ones, x[2], x[3])
         twos, e = add(twos, c, d)
         ones, c = add(ones, x[4], x[5])
         ones, d = add(ones, x[6], x[7])
         twos, f = add(twos, c, d)
-        fours, eights = add(fours, e, f)
-        dead |= eights | over(ones, twos, fours)
-        live = (dead != _ONES).any(axis=0)
-        if not live.any():
-            return out
-        if live.mean() < 0.6 and b < 56:
-            at, dead, stored = at[live], dead[:, live], stored[:, live]
-            ones, twos, fours = ones[:, live], twos[:, live], fours[:, live]
-            if bits.shape[2] > 1:
-                bits = bits[:, :, live]
+        fours, carry = add(fours, e, f)
+        count[:3] = ones, twos, fours
+        for i in range(3, len(count)):
+            count[i], carry = count[i] ^ carry, count[i] & carry
+        dead |= carry
+        if (b + 8) % look == 0 or b + 8 == total:
+            dead |= above(count, radius)
+            live = (dead != _ONES).any(axis=0)
+            if not live.any():
+                return out
+            if live.mean() < 0.6 and b + 8 < total:
+                at, dead, stored = at[live], dead[:, live], stored[:, live]
+                count = [c[:, live] for c in count]
+                if bits.shape[2] > 1:
+                    bits = bits[:, :, live]
     out[:, at] = ~dead
     return out
 
 
-#: Lanes whose three-bit count is above the radius.
-RADIUS_ABOVE = {
-    3: lambda a, b, c: c,
-    4: lambda a, b, c: c & (a | b),
-    5: lambda a, b, c: c & b,
-    6: lambda a, b, c: c & b & a,
-}
-
-
 def spread(fps: np.ndarray) -> np.ndarray:
-    """[64, n]: each bit of each fingerprint as a word of ones or zeros."""
-    bits = (fps[None, :] >> np.arange(64, dtype=np.uint64)[:, None]) & np.uint64(1)
-    return np.where(bits == 1, _ONES, np.uint64(0))
+    """[bits, n]: each bit of each fingerprint as a word of ones or zeros."""
+    words = fps.reshape(len(fps), -1).T
+    bits = (words[:, None, :] >> np.arange(64, dtype=np.uint64)[None, :, None]) & np.uint64(1)
+    return (np.uint64(0) - bits).reshape(-1, len(fps))
 
 
 def lanes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,25 +188,24 @@ def lanes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(bits)
 
 
-def links_in_blocks(fps: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def links_in_blocks(fps: np.ndarray, bucket: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of equal bucket within the radius, of rows sorted by bucket: all blocks at once, block against the d-th after it."""
     stored, n = planes(fps), len(fps)
     blocks = stored.shape[1]
     first, last = bucket[::64], bucket[np.minimum(np.arange(blocks) * 64 + 63, n - 1)]
-    lane_of = np.zeros(blocks * 64, np.int64)
-    lane_of[:n] = np.arange(n)
     left, right = [], []
     d, some = 0, np.arange(blocks)
     while len(some):
+        others = stored[:, some + d]
         for lane in range(64):
             i = some * 64 + lane
             ok = i < n
             if d:
                 ok[ok] = bucket[i[ok]] == first[some[ok] + d]
-            i, other = i[ok], some[ok] + d
-            if not len(i):
+            if not ok.any():
                 continue
-            hits = near(spread(fps[i])[:, None, :], stored[:, other])[0]
+            i, other = i[ok], some[ok] + d
+            hits = near(spread(fps[i])[:, None, :], others if ok.all() else others[:, ok], radius)[0]
             if hits.any():
                 row, at = lanes(hits[:, None])
                 a, b = i[row], other[row] * 64 + at
@@ -205,7 +221,7 @@ def links_in_blocks(fps: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
-def links_in_large(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def links_in_large(fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect all within the radius, in one large bucket: each block against itself and those after it.
 
     Of links between the same two groups of one block's search one is given, so copies of a kind don't give all their pairs.
@@ -213,7 +229,7 @@ def links_in_large(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n, stored, group = len(fps), planes(fps), np.arange(len(fps))
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for k in range(stored.shape[1]):
-        words = near(spread(fps[64 * k : 64 * k + 64])[:, :, None], stored[:, k:])
+        words = near(spread(fps[64 * k : 64 * k + 64])[:, :, None], stored[:, k:], radius)
         row, block = np.nonzero(words)
         i, lane = lanes(words[row, block][:, None])
         a, b = 64 * k + row[i], 64 * (k + block[i]) + lane
@@ -231,6 +247,21 @@ def links_in_large(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(left), np.concatenate(right)
 
 
+def groups_of(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The least member of each row's group, of ``n`` rows that the pairs link."""
+    group = np.arange(n)
+    while True:
+        least = np.minimum(group[a], group[b])
+        new = group.copy()
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        np.minimum.at(new, group, new)
+        new = new[new]
+        if (new == group).all():
+            return group
+        group = new
+
+
 def merged(group: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Groups, each named by its least member, after the groups ``low`` and ``high`` of each pair are joined."""
     root: dict[int, int] = {}
@@ -250,49 +281,68 @@ def merged(group: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return names[group]
 
 
-def _links_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links in rows (bucket, fp) sorted by bucket; a bucket may go over batches."""
+def _links_of(batches: Iterator[pa.RecordBatch], radius: int = RADIUS) -> Iterator[pa.RecordBatch]:
+    """Links in rows (bucket, node, fp) sorted by bucket, each member of a group with its least; a bucket may go over batches.  Without fp the node is the fingerprint."""
 
-    def found(fps: np.ndarray, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def found(node: np.ndarray, fps: np.ndarray, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         sizes = np.diff(np.r_[starts, len(bucket)])
-        pairs = [(s + a, s + b) for s, n in zip(starts[sizes >= LARGE], sizes[sizes >= LARGE], strict=True) for a, b in [links_in_large(fps[s : s + n])]]
+        for s, n in zip(starts[sizes >= LARGE], sizes[sizes >= LARGE], strict=True):
+            yield from told(node[s : s + n], *links_in_large(fps[s : s + n], radius))
         small = np.flatnonzero(np.repeat((sizes > 1) & (sizes < LARGE), sizes))
-        for at in range(0, len(small), 1 << 18):  # a bucket that is cut here is read again with the next
-            some = small[max(0, at - LARGE) : at + (1 << 18)]
-            a, b = links_in_blocks(fps[some], bucket[some])
-            pairs.append((some[a], some[b]))
-        for a, b in pairs:
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(fps[a].view(np.int64)), pa.array(fps[b].view(np.int64))], ["a", "b"])
-
-    held_f, held_b = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    held = 0
+        for at in range(0, len(small), most):  # a bucket that is cut here is read again with the next
+            some = small[max(0, at - LARGE) : at + most]
+            yield from told(node[some], *links_in_blocks(fps[some], bucket[some], radius))
+
+    def told(node: np.ndarray, a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(a):
+            group = groups_of(a, b, len(node))
+            i = np.flatnonzero(group != np.arange(len(group)))
+            yield pa.RecordBatch.from_arrays([pa.array(node[group[i]]), pa.array(node[i])], ["a", "b"])
+
+    held: list[pa.RecordBatch] = []
+    rows, most = 0, 1 << 18
+
+    def arrays() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        t = pa.Table.from_batches(held).combine_chunks()
+        node = t["node"].to_numpy()
+        fps = np.frombuffer(b"".join(t["fp"].to_pylist()), np.uint64).reshape(len(node), -1) if "fp" in t.column_names else node.view(np.uint64)
+        return node, fps, t["bucket"].to_numpy()
+
     for batch in batches:
-        held_b.append(batch.column("bucket").to_numpy())
-        held_f.append(batch.column("fp").to_numpy().view(np.uint64))
-        held += batch.num_rows
-        if held < 1 << 18 or held_b[-1][0] == held_b[-1][-1]:
+        if not batch.num_rows:
             continue
-        fps, bucket = np.concatenate(held_f), np.concatenate(held_b)
-        cut = int(np.searchsorted(bucket, bucket[-1]))
-        yield from found(fps[:cut], bucket[:cut])
-        held_f, held_b, held = [fps[cut:]], [bucket[cut:]], len(fps) - cut
-    fps, bucket = np.concatenate(held_f), np.concatenate(held_b)
-    if len(fps):
-        yield from found(fps, bucket)
+        if not held and "fp" in batch.schema.names:
+            most = (1 << 18) // max(1, len(batch.column("fp")[0].as_py()) // 8)
+        held.append(batch)
+        rows += batch.num_rows
+        last = batch.column("bucket")[batch.num_rows - 1].as_py()
+        if rows < most or held[0].column("bucket")[0].as_py() == last:
+            continue
+        node, fps, bucket = arrays()
+        cut = int(np.searchsorted(bucket, last))
+        yield from found(node[:cut], fps[:cut], bucket[:cut])
+        held = pa.Table.from_batches(held).slice(cut).to_batches()
+        rows -= cut
+    if held:
+        yield from found(*arrays())
 
 
-def links(nodes: DataFrame) -> DataFrame:
-    """Links (a, b) that connect all distinct fingerprints ``fp`` at four or fewer differing bits."""
-    rows = nodes.select(F.explode(buckets(F.col("fp"), banding(nodes.count()))).alias("bucket"), "fp")
+def links_in_buckets(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Links (a, b) that connect all nodes of a bucket within the radius, of ``rows`` (bucket, node, and fp if it is not the node)."""
     large = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CHUNK)
     large = saved(large.select("bucket", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "large")
-    cut = rows.join(broadcast_if_small(large), "bucket", "left").withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
+    cut = rows.join(broadcast_if_small(large), "bucket", "left").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     others = F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: j != F.col("mine"))
     units = F.transform(others, lambda j: F.xxhash64("bucket", F.least(j, F.col("mine")), F.greatest(j, F.col("mine"))))
-    rows = cut.select(F.explode(F.when(F.col("chunks").isNull(), F.array("bucket")).otherwise(units)).alias("bucket"), "fp")
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_links_of, "a long, b long")
+    rest = [c for c in rows.columns if c != "bucket"]
+    rows = cut.select(F.explode(F.when(F.col("chunks").isNull(), F.array("bucket")).otherwise(units)).alias("bucket"), *rest)
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda batches: _links_of(batches, radius), "a long, b long")
+
+
+def links(nodes: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all distinct fingerprints ``fp`` at four or fewer differing bits."""
+    return links_in_buckets(nodes.select(F.explode(buckets(F.col("fp"), banding(nodes.count()))).alias("bucket"), F.col("fp").alias("node")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, by_text: bool = False) -> DataFrame:

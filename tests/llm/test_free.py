@@ -64,11 +64,23 @@ def test_counters():
     """The carry-save counters against plain popcounts, for each radius."""
     r = np.random.default_rng(3)
     f = np.concatenate([clustered(300), r.integers(0, 2**63, 200, dtype=np.uint64)])
-    for radius in simhash.RADIUS_ABOVE:
+    for radius in (0, 3, 4, 5, 6, 7, 8, 30, 40):
         row, lane = simhash.lanes(simhash.near(simhash.spread(f)[:, :, None], simhash.planes(f), radius))
         got = np.zeros((len(f), -(-len(f) // 64) * 64), bool)
         got[row, lane] = True
         assert (got[:, : len(f)] == (distances(f) <= radius)).all()
+    wide = r.integers(0, 2**63, (300, 16), dtype=np.uint64)
+    wide[1::2] = wide[::2]
+    for i in range(1, 300, 2):
+        for bit in r.permutation(1024)[: i + 120]:
+            wide[i, bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    far = np.bitwise_count(wide[:, None, :] ^ wide[None, :, :]).sum(axis=2)
+    want = union(300, zip(*np.nonzero(far <= 272), strict=True))
+    for a, b in (simhash.links_in_blocks(wide, np.zeros(300, np.int64), 272), simhash.links_in_large(wide, 272)):
+        assert (far[a, b] <= 272).all()
+        got = union(300, zip(a, b, strict=True))
+        assert len(set(zip(got, want, strict=True))) == len(set(got)) == len(set(want))
+        assert len(set(zip(simhash.groups_of(a, b, 300).tolist(), want, strict=True))) == len(set(want))
 
 
 @pytest.mark.parametrize(("chunk", "full"), [(1 << 15, 64), (20, 64), (1 << 15, 0)])
@@ -167,6 +179,29 @@ def test_token_files(docs, odd, vocabulary, spark, monkeypatch, tmp_path):
     assert token_files.token_files(spark, odd.limit(0), v, 1).count() == 0
 
 
+def test_corpus(spark, vocabulary, monkeypatch, tmp_path):
+    """Keyed access over shards, with keys that repeat over several; the lazy lookup equals the whole index."""
+    monkeypatch.setattr(token_files, "SHARD_BYTES", 2000)
+    rows = [(i * 3 if i % 4 else 21, f"text {i} " * (i % 9)) for i in range(400)] + [(None, f"none {i}") for i in range(40)] + [(21, "again " * 9)] * 200
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
+    manifest = token_files.write_tokens(df, str(tmp_path / "t"), vocabulary("word_bpe_49k.json"), 1)
+    corpus = token_files.Corpus(manifest)
+    assert len(corpus.paths) > 5
+    by = defaultdict(list)
+    for i, t in rows:
+        by[i].append(t)
+    for i, ts in by.items():
+        if i is not None:
+            assert corpus.get(i).tolist() in [ids_of(vocabulary, t, 1).tolist() for t in ts]
+    assert corpus.get(1) is None and corpus.get(-5) is None and corpus.get(10**9) is None
+    for path in corpus.paths:
+        shard = token_files.Shard(path)
+        keys = np.unique(shard.section("keys", np.int64)[shard.section("flags", np.uint8) == 0])
+        assert [shard.slot_of(int(k)) for k in keys] == shard.find(keys).tolist()
+    sums = sum(r["n_tokens"] for r in token_files.read_tokens(manifest).collect())
+    assert sums == sum(len(ids_of(vocabulary, t, 1)) for _, t in rows)
+
+
 def test_perfect_hash():
     keys = np.unique(np.random.default_rng(1).integers(-(2**62), 2**62, 20_000))
     index = token_files.PerfectHash.of(keys)
@@ -199,6 +234,50 @@ def test_packing(docs, odd, vocabulary, monkeypatch):
     assert packing.pack_documents(odd.limit(0), v, 2).count() == 0
 
 
+def test_round_robin_owes():
+    """Credit from before is served first, and a source that runs out leaves its room to others."""
+    first = {}
+    for q, _, _, n, window, _, _ in packing.round_robin([[4096] * 4, [4096] * 4], [0.5, 0.5], [2048.0, -2048.0], 4096):
+        first[window, q] = first.get((window, q), 0) + n
+    assert first[0, 0] == 4096 and (0, 1) not in first and first[1, 0] == first[1, 1] == 2048
+    got = list(packing.round_robin([[100], [8000]], [0.9, 0.1], [0.0, 0.0], 4096))
+    assert sum(x[3] for x in got) == 8100
+
+
+def test_packing_targets(spark, vocabulary, monkeypatch):
+    """Windows over several partitions keep target proportions while sources last, whatever ids rows have."""
+    monkeypatch.setattr(packing, "PART_TOKENS", 60_000)
+    r = np.random.default_rng(5)
+    rows = [(None if k % 2 else 7, " ".join(f"{x}" for x in r.integers(0, 9, 300)), "ab"[k % 2]) for k in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    v = vocabulary("word_bpe_49k.json")
+    own = packing.pack(packing.encoded(df, v, 2), 4096, "<u2", True)
+    total = own.groupBy("sequence_id").agg({"length": "sum"}).count()
+    sizes = [x["n"] for x in packing.encoded(df, v, 2).collect()]
+    assert own.agg({"length": "sum"}).first()[0] == sum(sizes) and total >= sum(sizes) // 4096
+    assert own.agg({"sequence_id": "max"}).first()[0] == total - 1
+    # source b is the null ids; targets 3 to 1
+    got = packing.pack_documents(df, v, 2, weights={"a": 3.0, "b": 1.0}).collect()
+    assert sum(p["length"] for p in got) == sum(sizes)
+    share = defaultdict(lambda: [0, 0])
+    for p in got:
+        share[p["sequence_id"]][p["doc_id"] is None] += p["length"]
+    both = [a / (a + b) for a, b in share.values() if a and b and a + b == 4096]
+    assert len(both) > 20 and abs(np.median(both) - 0.75) < 0.1
+    with pytest.raises(ValueError, match="weights"):
+        packing.pack_documents(df, v, 2, weights={"a": -1.0})
+
+
+def test_running_sums(spark):
+    from gridloom.llm import shared
+
+    r = np.random.default_rng(6)
+    rows = [(int(i), "ab"[int(r.integers(2))] if i % 5 else None, int(r.integers(100))) for i in r.permutation(500)]
+    got = shared.running_sums(spark.createDataFrame(rows, "i long, k string, v long"), "i", ["v"], ["k"], block=16).collect()
+    assert len(got) == 500 and all(x["v_before"] == sum(v for i, k, v in rows if i < x["i"] and k == x["k"]) for x in got)
+    assert [shared.tasks_for(n, 10) for n in (0, 1, 10, 11, 25)] == [1, 1, 10, 6, 9]
+
+
 def test_round_robin_keeps_proportions():
     r = np.random.default_rng(4)
     queues = [list(map(int, r.integers(50, 900, n))) for n in (600, 300, 100)]
@@ -233,9 +312,44 @@ def test_mixing(docs, odd, monkeypatch):
     assert mixing.mix_digest(odd.limit(0)).count() == 0 and mixing.mix(odd.limit(0)).count() == 0
 
 
+def test_mixing_by_source(spark, docs, odd, monkeypatch):
+    """Each source's words against the targets worked out here, and blocks, quotas and shards that grow."""
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", 2)
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 700)
+    monkeypatch.setattr(mixing, "SUBTREE", 5)
+    for most in (1 << 18, 3):
+        monkeypatch.setattr(mixing, "MOST_BLOCKS", most)
+        monkeypatch.setattr(mixing, "MOST_SHARDS", most)
+        for df in (docs, odd):
+            size, taken = defaultdict(int), defaultdict(int)
+            for r in df.select("source", "text").collect():
+                size[r["source"]] += len(words_of(r["text"]))
+            for r in mixing.mix(df).collect():
+                taken[r["source"]] += len(words_of(r["text"]))
+            order = sorted(size, key=lambda s: (s is None, s or ""))
+            w, left, free, want = [(5, 2, 1)[i % 3] for i in range(len(order))], 1.5 * sum(size.values()), set(range(len(order))), {}
+            while free:
+                per = left / sum(w[i] for i in free)
+                full = {i for i in free if per * w[i] > 2 * size[order[i]]}
+                for i in full or free:
+                    want[order[i]] = 2 * size[order[i]] if full else per * w[i]
+                left -= sum(2 * size[order[i]] for i in full)
+                free -= full or set(free)
+            assert all(abs(taken[s] - want[s]) <= 1 for s in order)
+            told = {(r["source_size"], r["target"]) for r in mixing.mix_digest(df).collect()}
+            assert {t for _, t in told} == {float(x) for x in want.values()} or all(any(abs(t - x) < 1e-6 for x in want.values()) for _, t in told)
+    named = docs.withColumn("gl_order", docs["doc_id"]).withColumn("gl_shard", docs["doc_id"]).withColumn("gl_order_", docs["doc_id"]).withColumn("a.b", docs["doc_id"])
+    assert mixing.mix(named).columns == named.columns and mixing.mix(named).count() > 0
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 1)
+    with pytest.raises(ValueError, match="sources"):
+        mixing.mix_digest(docs)
+
+
 def test_targets():
     t = mixing.targets([10, 100, 100])
     assert t[0] == 20 and sum(t) == 315 and all(x <= 2 * s for x, s in zip(t, [10, 100, 100], strict=True))
+    whole = mixing.split_tree([500, 70, 3], 37)
+    assert all((mixing.split_tree([500, 70, 3], 37, low=a, high=min(37, a + 5)) == whole[:, a : a + 5]).all() for a in range(0, 37, 5))
     q = mixing.split_tree([50, 7, 0], 6)
     assert q.sum(axis=1).tolist() == [50, 7, 0] and (mixing.split_tree([50, 7, 0], 6) == q).all() and q.sum(axis=0).max() - q.sum(axis=0).min() <= 3
 
@@ -255,6 +369,35 @@ def test_quality_classifier(spark, docs, labels, odd):
     assert quality_classifier.score_quality(odd.limit(0), labels).count() == 0
 
 
+def test_pair_loss():
+    """The fit is where the logistic loss on differences, with its penalty, has no slope; the threshold parts the labels as well as any quantile."""
+    r = np.random.default_rng(8)
+    label = r.integers(0, 2, 400)
+    x = r.normal(size=(400, 6)) + label[:, None] * np.array([1.0, 0.5, 0, 0, -0.7, 0])
+    m = quality_classifier.fit(x, label)
+    z = (x - m.centre) / m.scale
+    good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
+    rng = np.random.default_rng(quality_classifier.SEED)
+    n = min(quality_classifier.PAIRS, 20 * max(len(good), len(bad)))
+    diff = z[good[rng.integers(0, len(good), n)]] - z[bad[rng.integers(0, len(bad), n)]]
+    loss = lambda w: np.log1p(np.exp(-diff @ w)).mean() + quality_classifier.PENALTY / 2 * w @ w
+    for k in range(6):
+        for step in (1e-3, -1e-3):
+            assert loss(m.weights + step * np.eye(6)[k]) > loss(m.weights)
+    raw = m.raw(x)
+    best = max((raw[good] >= c).mean() + (raw[bad] < c).mean() for c in np.quantile(raw, np.linspace(0, 1, 1001)))
+    assert (raw[good] >= m.threshold).mean() + (raw[bad] < m.threshold).mean() >= best - 0.02
+    assert ((m.scores(x) >= quality_classifier.CUT) == (raw >= m.threshold)).mean() > 0.99
+
+
+def test_classifier_on_repeated_ids(spark, docs, labels):
+    """A labelled id that very many rows repeat gives one text, and the same model each time."""
+    some = docs.join(labels, "doc_id").select(docs.columns)
+    many = some.unionByName(spark.range(500).selectExpr(f"{some.first()['doc_id']} AS doc_id", "concat('zz ', id) AS text", "'en' AS lang", "'s' AS source", "1 AS n_chars").select(docs.columns))
+    a, b = (quality_classifier.learn(df, labels) for df in (many, many.repartition(5)))
+    assert (a.weights == b.weights).all() and a.threshold == b.threshold
+
+
 def test_token_counts(docs, odd, vocabulary, monkeypatch):
     v = vocabulary("piece_bpe_32k.model")
     scores = token_counts.scores_of(v)
@@ -269,10 +412,14 @@ def test_token_counts(docs, odd, vocabulary, monkeypatch):
             best.append(max(c, key=lambda x: (x[0], -x[1])))
         return best[-1][1]
 
-    texts = dict(docs.select("doc_id", "text").filter("length(text) < 3000").collect())
-    for r in token_counts.token_counts(docs.filter("length(text) < 3000"), v).collect():
-        w = texts[r["doc_id"]].split()
-        assert (r["n_pretokens"], r["n_tokens"]) == (len(w), sum(map(slow, w)))
+    known = {}
+    for df in (docs, odd.filter("doc_id is not null").dropDuplicates(["doc_id"]).filter("length(text) < 200000")):
+        texts = dict(df.select("doc_id", "text").collect())
+        for r in token_counts.token_counts(df, v).collect():
+            w = (texts[r["doc_id"]] or "").split()
+            for x in set(w) - known.keys():
+                known[x] = slow(x)
+            assert (r["n_pretokens"], r["n_tokens"]) == (len(w), sum(known[x] for x in w))
     monkeypatch.setattr(token_counts, "NODES", 50)
     assert all(t.count(w) == slow(w) for w in ("日本\U0001f600", "a" * 60, "theft", "the", "then"))
     assert token_counts.token_counts(odd, v).count() == odd.count() and token_counts.token_counts(odd.limit(0), v).count() == 0

@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from gridloom.llm import jaccard, simhash
 
@@ -52,14 +53,46 @@ def near(spark, docs):
     return docs.withColumn("doc_id", docs["doc_id"] + 100).select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
 
 
-@pytest.mark.parametrize("stars", [4, 1])
-def test_near_copies(near, monkeypatch, stars):
-    monkeypatch.setattr(jaccard, "STARS", stars)
+@pytest.mark.parametrize("chunk", [1_000_000, 300])
+def test_near_copies(near, monkeypatch, chunk):
+    """The same components where a cell is one unit and where it is many."""
+    monkeypatch.setattr(jaccard, "CHUNK", chunk)
     want = components_by_force(near.collect())
     assert len(set(want.values())) < near.count() - 200
     assert {r["doc_id"]: r["component_id"] for r in jaccard.near_copies(near).collect()} == want
 
 
+@pytest.mark.parametrize("dense", [8, 1, 10**9])
+def test_alike(monkeypatch, dense):
+    """Lists, bits and both give the components of all pairs."""
+    monkeypatch.setattr(jaccard, "DENSE", dense)
+    r = np.random.default_rng(11)
+    sets = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.array([5], np.uint64)]
+    for _ in range(12):
+        base = r.integers(0, 4000, r.integers(3, 90))
+        for _ in range(r.integers(1, 12)):
+            x = base.copy()
+            x[r.random(len(x)) < 0.07] = r.integers(0, 4000)
+            sets.append(np.unique(x).astype(np.uint64))
+    links = [(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets[:i]) if 5 * len(np.intersect1d(x, y)) >= 4 * len(np.union1d(x, y))]
+    a, b = jaccard.alike(sets)
+    assert {(max(p), min(p)) for p in zip(a.tolist(), b.tolist(), strict=True)} <= set(links)
+    got, want = union(len(sets), zip(a, b, strict=True)), union(len(sets), links)
+    assert len(set(zip(got, want, strict=True))) == len(set(got)) == len(set(want))
+
+
+def test_radius():
+    """Pairs at 0.8, of small and large sets, are well within the radius."""
+    r = np.random.default_rng(12)
+    for n, m in ((4, 5), (8, 10), (40, 50), (400, 500)):
+        for k in range(60):
+            x = r.integers(0, 2**63, m, dtype=np.uint64)
+            y = x[:n] if k % 2 else np.r_[x[: n - (m - n) // 2], r.integers(0, 2**63, (m - n) // 2, dtype=np.uint64)]
+            both = len(np.intersect1d(x, y))
+            if 5 * both >= 4 * (len(x) + len(y) - both):
+                assert np.bitwise_count(jaccard.fingerprint(x) ^ jaccard.fingerprint(y)).sum() <= jaccard.RADIUS - 20
+
+
 def test_odd(odd):
     got = jaccard.near_copies(odd)
     assert got.count() == odd.count() and jaccard.near_copies(odd.limit(0)).count() == 0

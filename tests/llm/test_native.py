@@ -65,6 +65,42 @@ def test_pii_more_kinds_and_redaction(spark):
     assert {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}[3] == "mail <email> now"
 
 
+@pytest.mark.parametrize(
+    ("text", "spans"),
+    [
+        ('token = "f33e61083db5dbdf4bd2369d2f80176e57f7fda2" on', "secret:9:49"), ("f33e61083db5dbdf4bd2369d2f80176e57f7fda2", ""), ("password: aaaaaaaaaaaaaaaaaaaaaaaa", ""),
+        ("AKIA" + "Q7" * 8, "access_key:0:20"), ("ssn 219-09-9999 or 219-00-9999, social 900-12-1234", "ssn:4:15"), ("219-09-9999", ""),
+        ("-----BEGIN RSA PRIVATE KEY-----\nabc=\n-----END RSA PRIVATE KEY----- x", "private_key:0:65"), ("-----BEGIN PUBLIC KEY-----", ""),
+        ("see ftp://joe:pw1@host/x", "login:4:18"), ("http://host:80/x@y", ""), ("DE89 3704 0044 0532 0130 00 iban", "iban:0:27"), ("DE88 3704 0044 0532 0130 00 iban", ""),
+    ],
+)
+def test_pii_kinds(spark, text, spans):
+    r = pii.pii_digest(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    got = ",".join(x for x in r["spans"].split(",") if x.split(":")[0] not in KINDS)
+    assert got == spans and r["n_spans"] == len(r["spans"].split(",")) * bool(r["spans"]) == len(r["scores"].split(",")) * bool(r["scores"])
+
+
+def redacted(text, spans):
+    out, at = "", 0
+    for x in filter(None, spans.split(",")):
+        kind, start, end = x.split(":")
+        if int(start) < at:
+            at = max(at, int(end))
+            continue
+        out, at = out + text[at : int(start)] + f"<{kind}>", int(end)
+    return out + text[at:]
+
+
+def test_redact_by_row(spark):
+    """Rows that repeat an id, or have none, and texts with very many spans."""
+    rows = [(None, "mail a@b.co now"), (None, "plain"), (1, "hello"), (1, "write to somebody@example.org please"), (2, None), (3, "x@y.zz 1.2.3.4 é +1 234 567 8901;" * 400), (4, "u://a:b@c.de 4111111111111111")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = [(r["doc_id"], r["spans"]) for r in pii.pii_digest(df).collect()]  # in the order of the rows
+    got = [(r["doc_id"], r["text"]) for r in pii.redact(df).collect()]
+    assert got == [(i, redacted(t or "", s)) for (i, t), (_, s) in zip(rows, spans, strict=True)]
+    assert got[0] == (None, "mail <email> now") and got[3][1] == "write to <email> please"
+
+
 def test_pii_odd(odd):
     got = pii.pii_digest(odd)
     assert got.count() == odd.count() and got.filter("n_email = 1").count() == 1
@@ -123,6 +159,29 @@ def test_quality_rules(docs, odd):
     assert quality_rules.keep_good(odd).columns == odd.columns
 
 
+def test_equal_hashes(docs, monkeypatch):
+    """Windows that share a hash are told apart by their words."""
+    from pyspark.sql import functions as F
+
+    texts = {i: t for i, t in docs.select("doc_id", "text").collect() if len(t or "") < 5000}
+    some = docs.filter("length(text) < 5000")
+    monkeypatch.setattr(quality_rules, "paired", lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(40)))
+    got = {r["doc_id"]: r["n_repeat_words"] for r in quality_rules.measures(some).collect()}
+    assert got == {i: measures(texts[i])[4] for i in got}
+
+
+def test_keep_good_by_row(spark, docs):
+    """A good and a bad text under one id, and under none."""
+    passed = {r["doc_id"]: r["kept"] for r in quality_rules.quality_rules(docs).collect()}
+    rows = [(r["text"], r["lang"], passed[r["doc_id"]]) for r in docs.collect()]
+    want = sorted((t or "", lang or "") for t, lang, ok in rows if ok)
+    for i in (5, None):
+        from pyspark.sql import functions as F
+
+        kept = quality_rules.keep_good(docs.withColumn("doc_id", F.lit(i).cast("long")))
+        assert sorted((r["text"] or "", r["lang"] or "") for r in kept.collect()) == want
+
+
 def test_divergence(spark):
     df = spark.createDataFrame([([0.5, 0.5, 0.0], [0.5, 0.5, 0.0], [0.0, 0.0, 1.0])], "p array<double>, q array<double>, r array<double>")
     r = df.select(quality_rules.distance(df.p, df.q).alias("same"), quality_rules.distance(df.p, df.r).alias("far")).first()

@@ -1,17 +1,18 @@
 """The pipeline's stages, one after the other, against brute force."""
 
-import zlib
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+import pytest
 from gridloom.llm import quality_classifier
 
 from .conftest import SF
-from .test_free import words_of
+from .test_free import ids_of, words_of
+from .test_jaccard import components_by_force
 from .test_native import low
 
 
-def test_stages(spark, docs, labels, tmp_path):
+def test_stages(spark, docs, labels, tmp_path, vocabulary):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "exact_dedup", "simhash_near_dedup", "mixing", "packing"]
     tables, now = [docs], docs
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
@@ -31,10 +32,36 @@ def test_stages(spark, docs, labels, tmp_path):
     assert max(Counter(ids[4]).values()) <= 2 and set(ids[4]) <= set(ids[3])
     size = sum(len(words_of(r["text"])) for r in tables[3].collect())
     assert abs(sum(len(words_of(r["text"])) for r in tables[4].collect()) - 1.5 * size) <= 20
-    assert set(ids[5]) == set(ids[4])
-    assert zlib.crc32(b"") == 0
+    near = components_by_force(tables[2].collect())
+    assert sorted(ids[3]) == sorted(set(near.values()))
+    v = vocabulary("word_bpe_49k.json")
+    want = Counter()
+    for r in tables[4].collect():
+        x = ids_of(vocabulary, r["text"], 2)
+        want[r["doc_id"], len(x)] += len(x)
+    got = Counter()
+    for p in tables[5].collect():
+        got[p["doc_id"], p["doc_tokens"]] += p["length"]
+    assert got == want and v
 
 
 def test_run(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.count() > 0 and "sequence_id" in got.columns
+
+
+@pytest.mark.parametrize("rows", [None, 0])
+def test_odd_and_empty(spark, docs, odd, tmp_path, rows):
+    """Nulls in any column, empty and long texts, rows that repeat, columns with names that stages use; and no row at all."""
+    now = odd.unionByName(docs.limit(40), allowMissingColumns=True)
+    now = now.limit(0) if rows == 0 else now
+    names = now.columns
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        before = now
+        stage(spark, now, SF).write.parquet(str(tmp_path / str(i)))
+        now = spark.read.parquet(str(tmp_path / str(i)))
+        if i < 4:
+            assert now.columns == names
+        if i < 3:
+            assert now.count() <= before.count()
+        assert (now.count() == 0) == (rows == 0)

@@ -55,14 +55,22 @@ def limit_batches(spark: SparkSession, rows: int = 1024) -> None:
 
 
 @contextmanager
-def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Arrow batches of at most ``rows`` rows for what runs inside: whole texts are large rows."""
-    before = spark.conf.get(BATCH_KEY)
-    limit_batches(spark, rows)
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session for what runs inside."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(BATCH_KEY, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for what runs inside: whole texts are large rows."""
+    now = int(spark.conf.get(BATCH_KEY))
+    with setting(spark, BATCH_KEY, str(rows if now <= 0 or now > rows else now)):
+        yield
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -36,12 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import saved
+from .shared import saved, setting
 
 MIN_WORDS, K = 50, 16
 REACH = MIN_WORDS - K + 1
 #: Suffixes that a task sorts, about, and contexts that a task remembers, so that copies are sent once; results depend on neither.
 TASK_ROWS, KNOWN = 40_000, 100_000
+#: Keys of 336 bytes that the driver sees for each task, to set the ranges; Spark takes 3 million at most.
+SAMPLES = "20"
 SLICE = 256
 
 _SPACE = np.zeros(256, bool)
@@ -303,12 +305,13 @@ def shared_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per longest span of words, each in a window of ``MIN_WORDS`` that another row has too: doc_id, start, after, n_words (places count words from 0)."""
     rows = suffixes(docs, id_col, text_col)
     each = rows.select("row_id", F.explode(F.arrays_zip("at", "key")).alias("s")).select("row_id", "s.at", "s.key")
-    keys = each.groupBy("key").agg(F.min("row_id").alias("a"), F.max("row_id").alias("b")).filter("a <> b").select("key")
+    keys = saved(each.groupBy("key").agg(F.min("row_id").alias("a"), F.max("row_id").alias("b")).filter("a <> b").select("key"), "keys")  # so that the join can split a frequent one
     places = each.join(keys, "key").groupBy("row_id").agg(F.collect_list("at").alias("places"))  # of one text
     contexts = saved(rows.select("row_id", "doc_id", "words").join(places, "row_id").mapInArrow(_contexts, _CONTEXTS_SQL), "contexts")
     entries = contexts.filter("start is null").select(*_KEPT)
     in_order = entries.repartitionByRange(int(entries.count() // TASK_ROWS) + 1, "right", "left", "row_id").sortWithinPartitions("right", "left")
-    found = saved(in_order.mapInArrow(_shared, _FOUND), "found")
+    with setting(docs.sparkSession, "spark.sql.execution.rangeExchange.sampleSizePerPartition", SAMPLES):
+        found = saved(in_order.mapInArrow(_shared, _FOUND), "found")
     across = found.filter("w is not null")
     shared = across.groupBy("w").agg(F.min("row_id").alias("a"), F.max("row_id").alias("b"), F.max("sure").alias("sure")).filter("sure or a <> b").select("w")
     more = across.filter("start is not null").join(shared, "w", "left_semi")

@@ -160,9 +160,54 @@ def reflectance(raw: Column, nodata: int = 65535, scale: float = 1e-4) -> Column
     return F.when(raw.isNull() | (raw == nodata), F.lit(0.0)).otherwise(clipped(raw * scale, 0.0, 1.0))
 
 
-def point_index(name: str) -> Column:
-    """The index times 10000, truncated, as sampled at points."""
-    return F.floor(index(name) * 10000).cast("int")
+#: Bands of the point forms, the first in the place of nir.
+POINT_BANDS = {
+    "evi2": ("nir", "red"), "gcvi": ("nir", "green"), "ndvi": ("nir", "red"), "nbr": ("nir", "swir2"), "nbr2": ("swir1", "swir2"), "cai": ("swir1", "swir2"), "savi": ("nir", "red"),
+    "msavi": ("nir", "red"), "ndmi": ("nir", "swir1"), "kndvi": ("nir", "red"), "bai": ("nir", "red"), "baim": ("nir", "swir2"), "gemi": ("nir", "red"), "ndwi": ("nir", "green"),
+    "wi": ("swir1", "red"), "mirbi": ("swir1", "swir2"), "nir": ("nir", "nir"), "red": ("nir", "red"), "green": ("nir", "green"), "swir1": ("nir", "swir1"), "swir2": ("nir", "swir2"),
+}
+
+
+def point_index(name: str, most: int = 10_000, bands: dict[str, str] | None = None) -> Column:
+    """``name`` or ``savi.param`` at a point, from bands in whole numbers below ``most`` (others are null, and so is the index).
+
+    These forms are not those of images: gcvi is a normalised difference, ndmi and ndwi are scaled twice, wi takes bands in
+    whole numbers as if they were shares, msavi halves its root's argument.
+    """
+    base, _, param = name.partition(".")
+    s = float(most)
+    n, b = (F.when(F.col((bands or {}).get(x, x)) < most, F.col((bands or {}).get(x, x)).cast("double")) for x in POINT_BANDS[base])
+    diff = (n - b) / (n + b + EPS)
+    unit = lambda x: F.when(x == 0, 0.0).otherwise((x + 1) * (s / 2))
+    if base in ("gcvi", "ndvi", "nbr", "nbr2"):
+        return unit(diff)
+    if base == "evi2":
+        return 2.5 * s * ((n / s - b / s) / (n / s + 1.0 + 2.4 * b / s))
+    if base == "cai":
+        return s * b / (n + EPS)
+    if base == "savi":
+        soil = (-int(param[1:]) if param.startswith("n") else int(param)) / 100 if param else 0.5
+        return unit((1 + soil) * ((n / s - b / s) / (n / s + b / s + soil)))
+    if base == "msavi":
+        level = 2 * n / s + 1
+        return s / 2 * level - (level * level - 8 * (n / s - b / s)) / 2
+    if base in ("ndmi", "ndwi"):
+        return ((s * diff if base == "ndmi" else -s * diff) + 1) * (s / 2)
+    if base == "kndvi":
+        return s * F.tanh(diff * diff)
+    if base in ("bai", "baim"):
+        x, y = (0.06, 0.1) if base == "bai" else (0.05, 0.2)
+        return F.when(n + b > 0, s / (F.pow(x - n / s, F.lit(2)) + F.pow(y - b / s, F.lit(2)))).when(n + b <= 0, 0.0)
+    if base == "gemi":
+        x, y = n / s, b / s
+        eta = (2 * (x * x - y * y) + 1.5 * x + 0.5 * y) / (x + y + 0.5)
+        return s * (eta * (1 - 0.25 * eta) - (y - 0.125) / (1 - y))
+    if base == "wi":
+        total = F.when((n > 0) & (n < 1), n + b).when(n.isNotNull(), 0.0)
+        return F.when(total > 0.5, 0.001 * s).otherwise(s * (1.0 - total / 0.5))
+    if base == "mirbi":
+        return F.when(n + b == 0, 0.0).otherwise(s / 5 * (10 * b / s - 9.8 * n / s + 2))
+    return b
 
 
 def burn_difference(pre: Column, post: Column) -> Column:

@@ -26,6 +26,21 @@ def rebuilt(catalog: DataFrame, files: DataFrame, key: str) -> DataFrame:
     return both.select(key, F.when(F.col("gl_a").isNull(), "new").when(F.col("gl_b").isNull(), "missing").otherwise("kept").alias("state"))
 
 
+def records(files: DataFrame, name: str = "name") -> DataFrame:
+    """Records of files by their names (level_sensor_place_date...): the scene's download id, its file without the part that
+    co-registration adds, and flags; notes, pixel counts and shifts can't be had from names."""
+    part = lambda i: F.get(F.split(F.col(name), "_"), F.lit(i))
+    place = part(2)
+    landsat = F.concat_ws("_", part(1), F.lit("L2SP"), F.substring(place, 5, 6), part(3), F.substring(place, 11, 2), F.substring(place, 13, 2))
+    other = F.concat_ws("_", part(1), F.substring(place, 5, 5), part(3), F.substring(place, 10, 1), F.substring(place, 11, 3))
+    brdf = F.concat(F.element_at(F.split(F.element_at(F.split(F.col(name), "_coreg"), 1), "X"), 1), F.lit(".tif"))
+    return files.select(
+        F.when(part(1).startswith("L"), landsat).otherwise(other).alias("scene_id"), brdf.alias("brdf_id"), F.lit(True).alias("brdf"),
+        F.when(part(0) == "L3B", True).when(part(0) == "L3A", False).alias("bandpass"), F.lit(True).alias("beforeDB"), F.lit(False).alias("redownload"),
+        F.col(name).contains("_coreg").alias("coreg"),
+    )
+
+
 def merged(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``new``, and rows of ``old`` whose key it lacks: an upsert by key."""
     return new.unionByName(old.join(new.select(*keys), keys, "left_anti"), allowMissingColumns=True)
@@ -92,3 +107,39 @@ def min_max_scaled(df: DataFrame, value: str, name: str, low: float = 0.0, high:
     both = df.crossJoin(F.broadcast(limits))
     part = (F.col(value) - F.col("gl_a")) / F.when(F.col("gl_b") > F.col("gl_a"), F.col("gl_b") - F.col("gl_a"))
     return both.withColumn(name, low + (high - low) * part).drop("gl_a", "gl_b")
+
+
+def runtime_totals(runs: DataFrame, cell: str, seconds: str, cores: str | None = None) -> DataFrame:
+    """Hours and core minutes of each cell's runs; a run without cores has one."""
+    n = F.coalesce(F.col(cores), F.lit(1)) if cores else F.lit(1)
+    return runs.groupBy(cell).agg((F.sum(seconds) / 3600).alias("dltime"), (F.sum(F.col(seconds) * n) / 60).alias("dlcoremin"))
+
+
+def log_states(lines: DataFrame, job: str = "job", line: str = "line", order: str = "at") -> DataFrame:
+    """The state of each job by the lines of its log: failed with the first error, done, running, and its last line."""
+    low = F.lower(F.col(line))
+    error, done = low.contains("error") | low.contains("traceback"), low.contains("all done")
+    out = lines.groupBy(job).agg(
+        F.min(F.when(error, F.struct(order, line))).alias("gl_e"), F.max(done).alias("gl_d"), F.max(F.struct(order, line)).alias("gl_l"), F.count(F.lit(1)).alias("lines")
+    )
+    state = F.when(F.col("gl_e").isNotNull(), "failed").when(F.col("gl_d"), "done").otherwise("running")
+    return out.select(job, state.alias("state"), F.col(f"gl_e.{line}").alias("error"), F.col(f"gl_l.{line}").alias("last"), "lines")
+
+
+def clipped_to_polygons(pixels: DataFrame, polys: DataFrame, key: str, box: list[str], ring: str, x: str, y: str, cell: float) -> DataFrame:
+    """Pixels whose centre lies in a polygon, with its key; a pixel in two polygons comes twice."""
+    from .joins import point_in_polygon, points_in_boxes
+
+    near = points_in_boxes(pixels, polys.select(key, *box, ring), x, y, box, cell)
+    return near.filter(point_in_polygon(F.col(x).cast("double"), F.col(y).cast("double"), F.col(ring))).drop(*box, ring)
+
+
+def chip_pixels(cells: DataFrame, chips: DataFrame, box: list[str], x: str, y: str, size: float) -> DataFrame:
+    """Pixels of each chip (half-open boxes), from all cells that it straddles; of a pixel that cells share one, of the smallest cell."""
+    from .joins import points_in_boxes
+
+    near = points_in_boxes(cells, chips, x, y, box, size).filter((F.col(x) < F.col(box[2])) & (F.col(y) < F.col(box[3])))
+    names = [c for c in chips.columns if c not in box]
+    rest = [c for c in cells.columns if c not in ("cell_id", x, y)]
+    one = near.groupBy(*names, x, y).agg(F.min(F.struct("cell_id", *rest)).alias("gl_p"))
+    return one.select(*names, x, y, *(F.col(f"gl_p.{c}").alias(c) for c in ("cell_id", *rest)))

@@ -85,9 +85,30 @@ def forest_edges(df: DataFrame, keys: list[str], dense: list[int], mature: int,
     return rows.withColumn(cls, F.when(F.col(cls).isin(dense) & (F.col("gl_e") == 1), F.lit(edge)).otherwise(F.col(cls))).drop("gl_o", "gl_e")
 
 
-def small_fields(polys: DataFrame, area: str, least: float, small: float) -> DataFrame:
-    """Fields below the mapping unit are 0, small ones 1, others 2."""
-    return polys.withColumn("field", F.when(F.col(area) < least, 0).when(F.col(area) < small, 1).otherwise(2))
+def small_fields(df: DataFrame, low_crops: list[int], big_crops: list[int], small: int, cls: str = "majority", size: str = "size", around: str = "around") -> DataFrame:
+    """``cls`` with small fields as ``small``: low crops below 5 ha, and big crops of 2 ha or less where fields around are below 20 ha on average.
+
+    Sizes are in tenths of a hectare; big crops where fields around are above 20 ha are left alone.
+    """
+    big = F.col(cls).isin(big_crops)
+    low = F.col(cls).isin(low_crops) & (F.col(size) < 50) & ~(big & (F.col(around) > 200))
+    return df.withColumn(cls, F.when((big & (F.col(size) <= 20) & (F.col(around) < 200)) | low, F.lit(small)).otherwise(F.col(cls)))
+
+
+def refined_area(df: DataFrame, keys: list[str], buffer: int = 0, area: str = "area", shape: str | None = "APrEf", name: str = "area10") -> DataFrame:
+    """Field areas a tenth as large, to whole numbers (half to even), of polygons that hold several fields a half (shape of 200 or more) or
+    a third (400 or more), and spread by ``buffer`` pixels."""
+    part = F.col(area).cast("double")
+    if shape:
+        part = F.when(F.col(shape) >= 400, part / 3).when(F.col(shape) >= 200, part / 2).otherwise(part)
+    rows = df.withColumn(name, F.bround(part / 10, 0).cast("int"))
+    return square(rows, keys, buffer, F.max, name, name) if buffer else rows
+
+
+def mean_field_size(df: DataFrame, keys: list[str], half: int, n_rows: int, n_cols: int, area: str = "area10", name: str = "around") -> DataFrame:
+    """Mean area over a neighbourhood with mirrored edges, to whole numbers; none is 0."""
+    rows = focal_mean(df.withColumn("gl_a", F.coalesce(F.col(area), F.lit(0))), keys, half, n_rows, n_cols, "gl_a", name)
+    return rows.withColumn(name, F.bround(F.round(name, 9), 0).cast("int")).drop("gl_a")
 
 
 def slope_aspect(df: DataFrame, keys: list[str], res: float, value: str = "elev") -> DataFrame:
@@ -110,21 +131,80 @@ def self_shadow(light: Column) -> Column:
     return F.when(light <= 0, 1).otherwise(0)
 
 
-def cast_shadow(df: DataFrame, keys: list[str], elevation_angle: float, toward: str, res: float, value: str = "elev") -> DataFrame:
-    """``shadow`` where terrain towards the sun stands above the ray; the sun in the north, south, east or west.
+TOWARD = {"north": 0.0, "east": 90.0, "south": 180.0, "west": 270.0}
+
+
+def cast_shadow(df: DataFrame, keys: list[str], elevation_angle: float, toward: str | float, res: float, value: str = "elev") -> DataFrame:
+    """``shadow`` where terrain towards the sun stands above the ray; the sun's azimuth in degrees from north, clockwise, or a name.
 
-    Along a line towards the sun a pixel is dark if some pixel before it has
-    z + distance * tan(angle) above its own: a running maximum.
+    Pixels of one ray towards the sun are told by the line they lie on, to the nearest pixel across it.  A pixel is dark if some
+    pixel before it on its ray has a height, less distance * tan(angle), above its own: a running maximum.  A sun that is not above the
+    horizon leaves all dark.
     """
-    along, back = ("row", toward == "south") if toward in ("north", "south") else ("col", toward == "east")
-    rise = F.col(along) * res * float(np.tan(np.deg2rad(elevation_angle)))
+    if elevation_angle <= 0:
+        return df.withColumn("shadow", F.lit(1))
+    azimuth = np.deg2rad(TOWARD[toward] if isinstance(toward, str) else float(toward))
+    east, north = float(np.round(np.sin(azimuth), 12)), float(np.round(np.cos(azimuth), 12))
+    if abs(north) >= abs(east):  # one step is a row; northwards rows fall
+        along, across, slope, step, back = "row", "col", east / north, abs(north), north < 0
+    else:
+        along, across, slope, step, back = "col", "row", north / east, abs(east), east > 0
+    ray = F.round(F.col(across) + F.col(along) * slope).cast("long")
+    rise = F.col(along) * (res / step * float(np.tan(np.deg2rad(elevation_angle))))
     level = F.col(value) - rise if back else F.col(value) + rise
-    across = "col" if along == "row" else "row"
     order = F.col(along).desc() if back else F.col(along).asc()
-    w = Window.partitionBy(*keys, across).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    # Towards the sun the ray rises by tan(angle) a pixel.
-    height = F.col(value) + rise if not back else F.col(value) - rise
-    return df.withColumn("shadow", F.when(F.max(height).over(w) > level, 1).otherwise(0))
+    w = Window.partitionBy(*keys, "gl_ray").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    dark = F.max("gl_level").over(w) > F.col("gl_level")
+    return df.withColumn("gl_ray", ray).withColumn("gl_level", level).withColumn("shadow", F.when(dark, 1).otherwise(0)).drop("gl_ray", "gl_level")
+
+
+def saliency(df: DataFrame, keys: list[str], n_rows: int, n_cols: int, value: str = "value", name: str = "saliency") -> DataFrame:
+    """How far a smoothed image (weights 1, 4, 6, 4, 1 each way, edges mirrored without the edge pixel) lies from the mean of its values that are not 0,
+    with values of 0 to 10,000 as 0 to 255."""
+    rows = df.withColumn("gl_v", F.col(value) * 0.0255)
+    mean = rows.groupBy(*keys).agg(F.avg(F.when(F.col("gl_v") != 0, F.col("gl_v"))).alias("gl_mean")) if keys else rows.agg(F.avg(F.when(F.col("gl_v") != 0, F.col("gl_v"))).alias("gl_mean"))
+    rows = mirrored(rows, 2, n_rows, n_cols, repeat_edge=False)
+    for along in ("col", "row"):
+        taps = [F.max("gl_v").over(lines(keys, along, k, k)) * x for k, x in zip(range(-2, 3), (1, 4, 6, 4, 1), strict=True)]
+        rows = rows.withColumn("gl_v", (taps[0] + taps[1] + taps[2] + taps[3] + taps[4]) / 16)
+    rows = cropped(rows, n_rows, n_cols)
+    both = rows.join(F.broadcast(mean), keys) if keys else rows.crossJoin(F.broadcast(mean))  # a row a cell
+    return both.withColumn(name, F.abs(F.col("gl_v") - F.col("gl_mean"))).drop("gl_v", "gl_mean")
+
+
+def padded(df: DataFrame, pad: int, n_rows: int, n_cols: int, value: str = "value", scale: float = 1.0) -> DataFrame:
+    """Pixels and their mirror images, the edge pixel repeated, up to ``pad`` beyond the edges; values scaled."""
+    return mirrored(df, pad, n_rows, n_cols, repeat_edge=True).withColumn(value, F.col(value).cast("double") * scale)
+
+
+def cubic_weights(n: int, m: int) -> list[tuple[int, int, float]]:
+    """(out, source, weight) from ``n`` to ``m`` pixels by cubic convolution (a = -0.75), with edge pixels repeated."""
+    out: dict[tuple[int, int], float] = {}
+    for i in range(m):
+        at = (i + 0.5) * n / m - 0.5
+        first = int(np.floor(at))
+        for k in range(first - 1, first + 3):
+            x = abs(at - k)
+            w = 1.25 * x**3 - 2.25 * x**2 + 1 if x <= 1 else -0.75 * x**3 + 3.75 * x**2 - 6 * x + 3
+            key = (i, min(max(k, 0), n - 1))
+            out[key] = out.get(key, 0.0) + w
+    return [(i, k, w) for (i, k), w in out.items()]
+
+
+def cubic(df: DataFrame, keys: list[str], size: tuple[int, int], to: tuple[int, int], value: str = "value", bad: Column | None = None, nodata: float | None = None) -> DataFrame:
+    """An image of ``size`` (rows, columns) resampled to ``to`` by cubic convolution; values where ``bad`` holds, or outside 0 to 10,000, are ``nodata`` first if that is given.
+
+    Weights are four a row and four a column of the new image.
+    """
+    spark = df.sparkSession
+    v = F.col(value).cast("double")
+    if nodata is not None:
+        v = F.when((v < 0) | (v > 10_000) | (F.lit(False) if bad is None else bad), F.lit(float(nodata))).otherwise(v)
+    rows = df.select(*keys, "row", "col", v.alias("gl_v"))
+    for along, other, n, m in (("row", "col", size[0], to[0]), ("col", "row", size[1], to[1])):
+        weights = F.broadcast(spark.createDataFrame(cubic_weights(n, m), f"gl_new int, {along} int, gl_w double"))
+        rows = rows.join(weights, along).groupBy(*keys, other, F.col("gl_new").alias(along)).agg(F.sum(F.col("gl_v") * F.col("gl_w")).alias("gl_v"))
+    return rows.select(*keys, "row", "col", F.col("gl_v").alias(value))
 
 
 def topographic_correction(df: DataFrame, scene: list[str], value: str, light: str, zenith: float) -> DataFrame:

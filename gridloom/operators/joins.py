@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,3 +127,41 @@ def largest_overlap(pairs: DataFrame, ref: str, pred: str) -> DataFrame:
     """Per reference the prediction that shares most pixels, the smaller id of equal ones: ref, pred, shared."""
     n = pairs.groupBy(ref, pred).agg(F.count(F.lit(1)).alias("shared"))
     return n.groupBy(ref).agg(F.max(F.struct("shared", (-F.col(pred)).alias("p"))).alias("m")).select(ref, (-F.col("m.p")).alias(pred), "m.shared")
+
+
+def clipped_ring(ring: Column, box: list[Column]) -> Column:
+    """A ring (array of struct(x, y)) cut to a box (x0, y0, x1, y1), side by side; empty if nothing is left."""
+
+    def side(points: Column, axis: str, limit: Column, upper: bool) -> Column:
+        inside = lambda p: p[axis] <= limit if upper else p[axis] >= limit
+        other = "y" if axis == "x" else "x"
+
+        def crossing(p: Column, q: Column) -> Column:
+            part = (limit - p[axis]) / (q[axis] - p[axis])
+            at = p[other] + (q[other] - p[other]) * part
+            return F.struct(limit.alias("x"), at.alias("y")) if axis == "x" else F.struct(at.alias("x"), limit.alias("y"))
+
+        def step(p: Column, i: Column) -> Column:
+            q = F.element_at(points, (i + 1) % F.size(points) + 1)
+            mixed = F.array(crossing(p, q))
+            none = F.array().cast("array<struct<x:double,y:double>>")
+            return F.when(inside(p) & inside(q), F.array(q)).when(inside(p), mixed).when(inside(q), F.concat(mixed, F.array(q))).otherwise(none)
+
+        return F.flatten(F.transform(points, step))
+
+    def cut(axis: str, limit: Column, upper: bool) -> Callable[[Column], Column]:
+        return lambda points: side(points, axis, limit, upper)
+
+    # Arrays of one: each ring is computed once.
+    out = ring
+    for axis, limit, upper in (("x", box[0], False), ("x", box[2], True), ("y", box[1], False), ("y", box[3], True)):
+        out = F.transform(F.array(out), cut(axis, limit, upper))[0]
+    return out
+
+
+def clipped_to_cells(polys: DataFrame, cells: DataFrame, ring: str, box: list[str], cell_box: list[str], size: float, year: str | None = None, years: list[int] | None = None) -> DataFrame:
+    """Polygons (of some years) and the cells that they overlap, with ``ring`` cut to the cell and its ``area``; what only touches a cell is left out."""
+    rows = polys.filter(F.col(year).isin(years)) if year and years else polys
+    both = overlapping_boxes(rows, cells, box, size, cell_box)
+    both = both.withColumn(ring, clipped_ring(F.col(ring), [F.col(b).cast("double") for b in cell_box]))
+    return both.withColumn("area", F.when(F.size(ring) > 2, F.abs(ring_area(F.col(ring)))).otherwise(0.0)).filter("area > 0")

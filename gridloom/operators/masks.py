@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Bits of the quality band.
@@ -92,3 +92,51 @@ def probability_mask(probs: list[Column], codes: list[int], least: float) -> Col
     for p, code in zip(probs, codes, strict=True):
         out = out.when(p == top, F.lit(code))
     return out
+
+
+def sliding_batches(scenes: DataFrame, keys: list[str], n: int = 7, day: str = "date", name: str = "scene_id") -> DataFrame:
+    """keys, batch, scene, day: batches of scenes with ``n`` days each, one from every scene on but the last ``n``, in order of day and name, and one of the last ``n`` scenes.
+
+    A batch holds all scenes of its days from its first scene on.
+    """
+    order = Window.partitionBy(*keys).orderBy(day, name)
+    rows = scenes.select(*keys, day, name).withColumn("gl_i", F.row_number().over(order) - 1).withColumn("gl_d", F.dense_rank().over(Window.partitionBy(*keys).orderBy(day)))
+    rows = rows.withColumn("gl_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    # The scenes of the last n days up to a scene's own are the batches that it may be in.
+    starts = F.collect_list("gl_i").over(Window.partitionBy(*keys).orderBy("gl_d").rangeBetween(1 - n, 0))
+    rows = rows.withColumn("batch", F.filter(starts, lambda s: (s <= F.col("gl_i")) & (s < F.col("gl_n") - n)))
+    last = F.when(F.col("gl_i") >= F.col("gl_n") - n, F.array(F.greatest(F.col("gl_n") - n, F.lit(0)))).otherwise(F.array().cast("array<bigint>"))
+    return rows.select(*keys, F.explode(F.array_distinct(F.concat(F.col("batch").cast("array<bigint>"), last.cast("array<bigint>")))).alias("batch"), name, day)
+
+
+def probability_over(prob: Column, limit: float = 60, nodata: int = 255) -> Column:
+    """1 where a cloud probability in percent is above the limit, 0 elsewhere, and nodata where it is nodata or missing."""
+    return F.when(prob.isNull() | (prob == nodata), nodata).when(prob > limit, 1).otherwise(0)
+
+
+def shade_mask(dem: DataFrame, scenes: list[tuple[str, float | None, float | None]], keys: list[str], res: float, buffer: int = 1, value: str = "elev") -> DataFrame:
+    """keys, scene_id, row, col, mask: cast or own shadow in each scene (its name, sun zenith and azimuth), spread by ``buffer`` pixels.
+
+    Scenes without sun angles have no mask.  All scenes share the slopes of the terrain; each is one pass over its rays.
+    """
+    from . import focal
+
+    slopes = focal.slope_aspect(dem, keys, res, value)
+    out = None
+    for scene, zenith, azimuth in scenes:
+        if zenith is None or azimuth is None:
+            continue
+        dark = focal.cast_shadow(slopes, keys, 90.0 - zenith, azimuth, res, value)
+        own = F.coalesce(focal.self_shadow(focal.illumination(F.col("slope"), F.col("aspect"), zenith, azimuth)), F.lit(0))
+        rows = focal.dilated(dark.withColumn("gl_m", F.greatest("shadow", own)), keys, buffer, "gl_m", "mask")
+        rows = rows.select(*keys, F.lit(scene).alias("scene_id"), "row", "col", F.col("mask").cast("smallint").alias("mask"))
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        raise MaskError("no scene has sun angles")
+    return out
+
+
+def on_template(mask: DataFrame, template: DataFrame, keys: list[str], column: str = "mask", nodata: int = 255) -> DataFrame:
+    """A mask on the grid of a template: pixels that the mask lacks are nodata, pixels outside the template go."""
+    grid = template.select(*keys, "row", "col").distinct()
+    return grid.join(mask.select(*keys, "row", "col", column), [*keys, "row", "col"], "left").withColumn(column, F.coalesce(F.col(column), F.lit(nodata)).cast("smallint"))

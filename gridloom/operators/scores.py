@@ -163,3 +163,24 @@ def chip_accuracy(polys: DataFrame, region: str, kind: str, area: str) -> DataFr
 def field_shape(area: Column, perimeter: Column) -> list[Column]:
     """APR (area over perimeter) and APrEf (100 perimeter / (4 sqrt area))."""
     return [(area / F.when(perimeter > 0, perimeter)).alias("APR"), (100 * perimeter / F.when(area > 0, 4 * F.sqrt(area))).alias("APrEf")]
+
+
+def segmentation_accuracy(pixels: DataFrame, ref: str, pred: str, region: str, x: str, y: str) -> tuple[DataFrame, DataFrame]:
+    """Scores of predicted against reference segments: by reference (``overlap_scores`` with region and iou >= 0.5 as ``hit``), and by region:
+    mean iou, share of hits, number of both, signed error of their number."""
+    home = pixels.filter(F.col(ref).isNotNull()).groupBy(ref).agg(F.min(region).alias(region))
+    by_ref = overlap_scores(pixels, ref, pred, x, y).join(home, ref).withColumn("hit", F.col("iou") >= 0.5)
+    n = pixels.groupBy(region).agg(F.count_distinct(ref).alias("n_ref"), F.count_distinct(pred).alias("n_pred"))
+    means = by_ref.groupBy(region).agg(F.avg("iou").alias("iou"), F.sum(F.col("hit").cast("int")).alias("hits"))
+    out = n.join(means, region, "left")
+    hits = F.coalesce("hits", F.lit(0)) / F.when(F.col("n_ref") > 0, F.col("n_ref"))
+    return by_ref, out.select(region, "n_ref", "n_pred", "iou", hits.alias("hits"), relative_error(F.col("n_pred"), F.col("n_ref")).alias("n_error"))
+
+
+def holdout_scores(preds: DataFrame, group: str, hits: list, pred: str = "pred", obs: str = "label") -> DataFrame:
+    """Accuracy and recall (share predicted as one of ``hits``) of each hold-out group, and of all (``ALL``)."""
+    out = preds.groupingSets([[F.col(group)], []], F.col(group)).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col(pred) == F.col(obs)).cast("double")), 3).alias("OA"), F.round(F.avg(F.col(pred).isin(hits).cast("double")), 3).alias("recall"),
+        F.grouping(group).alias("gl_all"),
+    )
+    return out.select(F.when(F.col("gl_all") == 1, "ALL").otherwise(F.col(group).cast("string")).alias(group), "n", "OA", "recall")

@@ -106,6 +106,15 @@ def clamped(value: Column, fitted: Column, limit: float) -> Column:
     return F.least(F.greatest(value, fitted - limit), fitted + limit)
 
 
+def side_by_side(parts: dict[str, DataFrame], keys: list[str], value: str = "value", day: str = "date") -> DataFrame:
+    """keys, day and a column for each index: series from several places, one row a key and day that any of them has; of rows that repeat a day the largest value."""
+    every = None
+    for name, df in parts.items():
+        rows = df.select(*keys, day, F.lit(name).alias("gl_si"), F.col(value).cast("double").alias("gl_v"))
+        every = rows if every is None else every.unionByName(rows)
+    return every.groupBy(*keys, day).agg(*(F.max(F.when(F.col("gl_si") == name, F.col("gl_v"))).alias(name) for name in parts))
+
+
 # Smoothers: functions of days and values (no nulls) to values on output days.
 
 

@@ -98,3 +98,41 @@ def number_of_classes(df: DataFrame, value: str, nodata: int = 0) -> DataFrame:
 def class_counts(df: DataFrame, value: str, priority: str, most: int = 4) -> DataFrame:
     """Rows of each class, in all and by priority."""
     return df.groupBy(value).agg(F.count(F.lit(1)).alias("n"), *(F.count_if(F.col(priority) == k).alias(f"n{k}") for k in range(1, most + 1)))
+
+
+KINDS = {"cat": "cat", "categorical": "cat", "class": "cat", "classes": "cat", "cont": "cont", "continuous": "cont"}
+
+
+def map_kind(asked: str | None, setting: str | None, entry: dict | None, sets: bool) -> str:
+    """cat or cont: as asked, else as set, else by the product's ``type``, else cat where there are classes to sum."""
+    for value in (asked, setting, (entry or {}).get("type")):
+        if value not in (None, "", "None"):
+            if str(value).lower() not in KINDS:
+                raise ValueError(f"unknown kind of map: {value}")
+            return KINDS[str(value).lower()]
+    return "cat" if sets or (entry or {}).get("classes") else "cont"
+
+
+def summarised(df: DataFrame, zone: list[str], value: str, asked: str | None = None, setting: str | None = None, entry: dict | None = None, sets: DataFrame | None = None, edge: int | None = None, decimals: int | None = None) -> DataFrame:
+    """The summary of a map product by zone: class shares or statistics, by its kind.  Classes are ``sets`` or those of the product's entry (name: codes)."""
+    if map_kind(asked, setting, entry, sets is not None) == "cont":
+        return summary(df, zone, value, decimals=decimals)
+    if sets is None and (entry or {}).get("classes"):
+        codes = [(name, int(c)) for name, cs in entry["classes"].items() for c in (cs if isinstance(cs, (list, tuple)) else [cs])]
+        sets = df.sparkSession.createDataFrame(codes, "name string, value int")
+    if sets is None:  # every code is a class of its own
+        sets = df.select(F.col(value).cast("string").alias("name"), F.col(value).alias("value")).distinct()
+    return class_shares(df, sets, zone, value, edge)
+
+
+def temporal_statistic(df: DataFrame, poly: str, day: str, value: str, stat: str) -> DataFrame:
+    """poly, day and a statistic of a polygon's pixels on each day: avg, var (population), cv (in percent) or per<X>."""
+    v = F.col(value)
+    made = {"avg": F.avg(v), "var": F.var_pop(v), "cv": 100 * F.stddev_pop(v) / F.when(F.avg(v) != 0, F.avg(v))}
+    agg = F.percentile(v, int(stat[3:]) / 100) if stat.startswith("per") else made[stat]
+    return df.groupBy(poly, day).agg(agg.alias(stat))
+
+
+def to_polygons(polys: DataFrame, stats: DataFrame, key: str) -> DataFrame:
+    """Polygons with the statistics of their zone; polygons without pixels stay."""
+    return polys.join(stats, key, "left")

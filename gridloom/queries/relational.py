@@ -7,8 +7,8 @@ import re
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import geo, grammar
-from ..operators import catalog, fusion, joins, masks, models, rules, sampling, scores, zonal
+from ..functions import geo, grammar, indices
+from ..operators import catalog, fusion, joins, masks, models, rules, sampling, scores, series, zonal
 from ..sources.shared import new_folder
 from ..streaming import streams
 from .base import CLASSES, CODES, DAILY, GAPPY, OBS, TS, classes, daily, gappy, obs, query, table, ts
@@ -296,9 +296,10 @@ def _(spark, sf):
     return sampling.purest(table(spark, sf, "orders"), ["o_custkey", "o_orderpriority"], "o_totalprice", "o_orderkey").select("o_custkey", "o_orderpriority", "o_orderkey")
 
 
-@query("op_T3_top_features", "SELECT p_partkey, p_retailprice FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 20")
+@query("op_T3_top_features", "SELECT p_type AS feature, round(sum(p_retailprice), 4) AS importance FROM part GROUP BY p_type ORDER BY importance DESC, feature LIMIT 3")
 def _(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", "p_retailprice").orderBy(c("p_retailprice").desc(), "p_partkey").limit(20)
+    imp = table(spark, sf, "part").groupBy(c("p_type").alias("feature")).agg(F.round(F.sum("p_retailprice"), 4).alias("importance"))
+    return models.top_features(imp, 3).select("feature", "importance")
 
 
 # Scores.
@@ -712,10 +713,9 @@ def _(spark, sf):
 
 @query("op_S15_index_at_points", f"WITH {OBS}, p AS (SELECT c_custkey, c_custkey % 100 AS px FROM customer) SELECT c_custkey, date, CAST(floor(max(CASE WHEN nir - red = 0 THEN 0e0 ELSE (1 + (nir - red) / (nir + red + 1e-9)) / 2 END * 10000)) AS INTEGER) AS value FROM p JOIN obs USING (px) GROUP BY c_custkey, date")
 def _(spark, sf):
-    from ..functions.indices import point_index
 
     pts = table(spark, sf, "customer").select("c_custkey", (c("c_custkey") % 100).alias("px"))
-    return pts.join(obs(spark, sf).groupBy("px", "date").agg(F.max(point_index("ndvi")).alias("value")), "px").select("c_custkey", "date", "value")
+    return pts.join(obs(spark, sf).groupBy("px", "date").agg(F.max(F.floor(indices.index("ndvi") * 10000).cast("int")).alias("value")), "px").select("c_custkey", "date", "value")
 
 
 @query("op_S17_write_stack", "SELECT p_partkey, p_size AS \"b1-yr\", p_retailprice AS \"b2-yr\" FROM part")
@@ -726,10 +726,13 @@ def _(spark, sf):
     return models.ordered_bands(spark.read.parquet(path), ["p_partkey"], ["b1-yr", "b2-yr"])
 
 
-@query("op_S18_write_mask", "SELECT p_partkey AS row, CAST(CASE WHEN p_size > 25 THEN 1 ELSE 0 END AS SMALLINT) AS mask FROM part")
+@query("op_S18_write_mask", "SELECT CAST(p_partkey // 50 AS INTEGER) AS row, CAST(p_partkey % 50 AS INTEGER) AS col, CAST(CASE WHEN p_size > 40 THEN 255 WHEN p_size > 25 THEN 1 ELSE 0 END AS SMALLINT) AS mask FROM part WHERE p_partkey % 50 < 45")
 def _(spark, sf):
+    """A mask written on the grid of a template: what it lacks there is nodata."""
+    p = table(spark, sf, "part").select(F.floor(c("p_partkey") / 50).cast("int").alias("row"), (c("p_partkey") % 50).cast("int").alias("col"), "p_size")
+    mask = p.filter("p_size <= 40").withColumn("mask", F.when(c("p_size") > 25, 1).otherwise(0))
     path = f"{new_folder(spark)}/mask"
-    table(spark, sf, "part").select(c("p_partkey").alias("row"), F.when(c("p_size") > 25, 1).otherwise(0).cast("smallint").alias("mask")).write.parquet(path)
+    masks.on_template(mask, p.filter("col < 45"), []).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -742,10 +745,40 @@ def _(spark, sf):
     return spark.read.parquet(f"{path}/zstd")
 
 
-@query("op_S24_clip_to_box", "SELECT p_partkey FROM part WHERE p_partkey // 50 BETWEEN 1 AND 3 AND p_partkey % 50 BETWEEN 10 AND 29")
+_PX = "px AS (SELECT p_partkey // 50 AS row, p_partkey % 50 AS col, p_size AS value, (p_partkey % 50) * 1e0 AS x, (p_partkey // 50) * 1e0 AS y FROM part)"
+
+
+def _pixels(spark, sf):
+    k = c("p_partkey")
+    return table(spark, sf, "part").select(F.floor(k / 50).alias("row"), (k % 50).alias("col"), c("p_size").alias("value"), (k % 50).cast("double").alias("x"), F.floor(k / 50).cast("double").alias("y"))
+
+
+def _triangles(spark, sf):
+    """A triangle for each nation, some of them over the raster."""
+    pt = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    x, y = c("n_nationkey") * 2 + 0.5, c("n_regionkey") * 7 + 0.25
+    return table(spark, sf, "nation").select("n_nationkey", x.alias("x0"), y.alias("y0"), (x + 8).alias("x1"), (y + 6).alias("y1"), F.array(pt(x, y), pt(x + 8, y), pt(x, y + 6)).alias("ring"))
+
+
+@query("op_S24_clip_to_box", f"WITH {_PX} SELECT row, col, value FROM px WHERE row BETWEEN 1 AND 3 AND col BETWEEN 10 AND 29")
 def _(spark, sf):
-    p = table(spark, sf, "part").select("p_partkey", F.floor(c("p_partkey") / 50).alias("r"), (c("p_partkey") % 50).alias("k"))
-    return p.filter(c("r").between(1, 3) & c("k").between(10, 29)).select("p_partkey")
+    p = _pixels(spark, sf)
+    return catalog.in_box(p.withColumns({"w": c("col"), "s": c("row"), "e": c("col"), "n": c("row")}), (10, 1, 29, 3), ["w", "s", "e", "n"]).select("row", "col", "value")
+
+
+@query("op_S24_clip_to_polygons", f"WITH {_PX} SELECT n_nationkey, row, col, value FROM px JOIN nation ON x > n_nationkey * 2 + 0.5 AND y > n_regionkey * 7 + 0.25 AND (x - n_nationkey * 2 - 0.5) / 8 + (y - n_regionkey * 7 - 0.25) / 6 < 1")
+def _(spark, sf):
+    return catalog.clipped_to_polygons(_pixels(spark, sf), _triangles(spark, sf), "n_nationkey", ["x0", "y0", "x1", "y1"], "ring", "x", "y", 8.0).select("n_nationkey", "row", "col", "value")
+
+
+@query("op_S24_clip_to_chips", f"WITH {_PX}, chips AS (SELECT n_nationkey AS chip, n_nationkey * 2 AS x0, n_regionkey * 5 AS y0 FROM nation) SELECT chip, x, y, CAST(CASE WHEN col <= 25 THEN 1 ELSE 2 END AS INTEGER) AS cell_id, value FROM px JOIN chips ON x >= x0 AND x < x0 + 10 AND y >= y0 AND y < y0 + 5")
+def _(spark, sf):
+    """Two cells that share a column; chips straddle them."""
+    p = _pixels(spark, sf).select("col", "value", "x", "y")
+    cells = p.filter("col <= 25").withColumn("cell_id", F.lit(1)).unionByName(p.filter("col >= 25").withColumn("cell_id", F.lit(2))).drop("col")
+    x, y = c("n_nationkey") * 2.0, c("n_regionkey") * 5.0
+    chips = table(spark, sf, "nation").select(c("n_nationkey").alias("chip"), x.alias("x0"), y.alias("y0"), (x + 10).alias("x1"), (y + 5).alias("y1"))
+    return catalog.chip_pixels(cells, chips, ["x0", "y0", "x1", "y1"], "x", "y", 10.0)
 
 
 @query("op_P5_julian_slice", "SELECT o_orderkey FROM orders WHERE CAST(strftime(o_orderdate, '%Y%j') AS INTEGER) BETWEEN 1996001 AND 1996366")
@@ -755,33 +788,41 @@ def _(spark, sf):
     return table(spark, sf, "orders").filter(year_day(c("o_orderdate")).between(1996001, 1996366)).select("o_orderkey")
 
 
-@query("op_J3_variables_of_points", "SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
+@query("op_J3_variables_of_points", "SELECT c_custkey, c_nationkey, any_value(o_orderstatus) AS var_one, round(avg(o_totalprice), 4) AS var_avg FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderstatus = 'F' GROUP BY ALL")
 def _(spark, sf):
-    return table(spark, sf, "customer").join(F.broadcast(table(spark, sf, "nation")), c("c_nationkey") == c("n_nationkey")).select("c_custkey", "n_name")
+    o = table(spark, sf, "orders").filter("o_orderstatus = 'F'").groupBy(c("o_custkey").alias("c_custkey")).agg(F.min("o_orderstatus").alias("var_one"), F.round(F.avg("o_totalprice"), 4).alias("var_avg"), F.lit(0).alias("c_nationkey"))
+    return sampling.with_variables(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), o, "c_custkey")
 
 
-@query("op_J11_boxes_clipped_to_cells", f"SELECT k, CAST(cell AS BIGINT) AS cell, round(least(x1, (cell + 1) * 500) - greatest(x0, cell * 500), 6) AS width FROM ({_BOX}) b, (SELECT unnest(range(-4, 24)) AS cell) WHERE x0 <= (cell + 1) * 500 AND x1 >= cell * 500 AND floor(x0 / 500) <= cell AND floor(x1 / 500) >= cell")
+@query("op_J11_polygons_clipped_to_cells", """WITH t AS (SELECT n_nationkey AS k, n_nationkey * 2 + 0.5e0 AS x0, n_regionkey * 7 + 0.25e0 AS y0 FROM nation WHERE 1990 + n_nationkey % 3 IN (1990, 1992)), g AS (SELECT cx, cy FROM (SELECT unnest(range(0, 8)) AS cx), (SELECT unnest(range(0, 6)) AS cy)),
+ b AS (SELECT k, cx, cy, greatest(cx * 8e0 - x0, 0) AS a, least(cx * 8e0 + 8 - x0, 8) AS z, greatest(cy * 8e0 - y0, 0) AS u, least(cy * 8e0 + 8 - y0, 6) AS v FROM t, g), s AS (SELECT *, unnest(range(0, 4000)) AS i FROM b WHERE a < z AND u < v),
+ h AS (SELECT k, cx, cy, (z - a) / 4000 AS w, greatest(least(v, 6 * (1 - (a + (i + 0.5e0) * (z - a) / 4000) / 8)) - u, 0) AS h FROM s) SELECT k, cx, cy, round(sum(w * h) * 0.9713e0, 2) AS area FROM h GROUP BY ALL HAVING sum(w * h) > 0.01""")
 def _(spark, sf):
-    b = _boxes(spark, sf).withColumn("cell", F.explode(F.sequence(F.floor(c("x0") / 500).cast("long"), F.floor(c("x1") / 500).cast("long"))))
-    return b.select("k", "cell", r6(F.least("x1", ((c("cell") + 1) * 500).cast("double")) - F.greatest("x0", (c("cell") * 500).cast("double"))).alias("width"))
+    """Areas of triangles in cells of 8 by 8; SQL sums them strip by strip."""
+    polys = _triangles(spark, sf).withColumnRenamed("n_nationkey", "k").withColumn("year", 1990 + c("k") % 3)
+    g = spark.range(48).select((c("id") % 8).alias("cx"), F.floor(c("id") / 8).alias("cy"))
+    cells = g.withColumns({"w": c("cx") * 8.0, "s": c("cy") * 8.0, "e": c("cx") * 8.0 + 8, "n": c("cy") * 8.0 + 8})
+    out = joins.clipped_to_cells(polys, cells, "ring", ["x0", "y0", "x1", "y1"], ["w", "s", "e", "n"], 8.0, "year", [1990, 1992])
+    return out.filter("area > 0.01").select("k", "cx", "cy", F.round(c("area") * 0.9713, 2).alias("area"))
 
 
-@query("op_J16_statistics_to_polygons", "SELECT s_suppkey, n, round(q, 6) AS q FROM supplier LEFT JOIN (SELECT l_suppkey, count(*) AS n, avg(l_quantity) AS q FROM lineitem GROUP BY 1) ON l_suppkey = s_suppkey")
+@query("op_J16_statistics_to_polygons", "SELECT s_suppkey, avg, med FROM supplier LEFT JOIN (SELECT l_suppkey, round(avg(l_quantity), 4) AS avg, round(median(l_quantity), 4) AS med FROM lineitem WHERE l_quantity > 49 GROUP BY 1) ON l_suppkey = s_suppkey")
 def _(spark, sf):
-    stats = table(spark, sf, "lineitem").groupBy(c("l_suppkey").alias("s_suppkey")).agg(F.count(F.lit(1)).alias("n"), r6(F.avg("l_quantity")).alias("q"))
-    return table(spark, sf, "supplier").select("s_suppkey").join(stats, "s_suppkey", "left")
+    stats = zonal.summary(table(spark, sf, "lineitem").filter("l_quantity > 49").withColumnRenamed("l_suppkey", "s_suppkey"), ["s_suppkey"], "l_quantity", decimals=4)
+    return zonal.to_polygons(table(spark, sf, "supplier").select("s_suppkey"), stats, "s_suppkey").select("s_suppkey", "avg", "med")
 
 
-@query("op_J17_indices_by_date", f"WITH {OBS} SELECT px, date, round(max(red), 6) AS red, round(max(nir), 6) AS nir FROM obs GROUP BY px, date")
+@query("op_J17_indices_by_date", f"WITH {OBS}, a AS (SELECT px, date, max(red) AS r FROM obs WHERE scene % 3 > 0 GROUP BY 1, 2), b AS (SELECT px, date, max(nir) AS n FROM obs WHERE scene % 5 > 0 GROUP BY 1, 2) SELECT coalesce(a.px, b.px) AS px, coalesce(a.date, b.date) AS date, round(r, 6) AS red, round(n, 6) AS nir FROM a FULL JOIN b ON a.px = b.px AND a.date = b.date")
 def _(spark, sf):
     o = obs(spark, sf)
-    long = o.select("px", "date", F.lit("red").alias("si"), c("red").alias("v")).unionByName(o.select("px", "date", F.lit("nir").alias("si"), c("nir").alias("v")))
-    return long.groupBy("px", "date").pivot("si", ["red", "nir"]).agg(r6(F.max("v")))
+    out = series.side_by_side({"red": o.filter("scene % 3 > 0").withColumn("value", c("red")), "nir": o.filter("scene % 5 > 0").withColumn("value", c("nir"))}, PX)
+    return out.select("px", "date", r6("red").alias("red"), r6("nir").alias("nir"))
 
 
-@query("op_G24_runtime_totals", "SELECT user_id AS cell, round(sum(value) / 60, 4) AS minutes FROM events GROUP BY user_id")
+@query("op_G24_runtime_totals", "SELECT user_id AS cell, round(sum(value) / 3600, 6) AS dltime, round(sum(value * coalesce(CASE WHEN event_id % 3 > 0 THEN event_id % 3 END, 1)) / 60, 4) AS dlcoremin FROM events GROUP BY user_id")
 def _(spark, sf):
-    return table(spark, sf, "events").groupBy(c("user_id").alias("cell")).agg(F.round(F.sum("value") / 60, 4).alias("minutes"))
+    runs = table(spark, sf, "events").select(c("user_id").alias("cell"), "value", F.when(c("event_id") % 3 > 0, c("event_id") % 3).alias("cores"))
+    return catalog.runtime_totals(runs, "cell", "value", "cores").select("cell", r6("dltime").alias("dltime"), F.round("dlcoremin", 4).alias("dlcoremin"))
 
 
 @query("op_T5_first_match", "SELECT o_custkey, min(o_orderkey) AS first FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey")
@@ -812,10 +853,14 @@ def _(spark, sf):
     return y.select(c("quality").alias("class")).union(y.select("toxic")).distinct()
 
 
-@query("op_M4_point_feature_set", "SELECT l_orderkey, round(avg(l_quantity), 6) AS var_q, any_value(o_orderstatus) AS label FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P' GROUP BY l_orderkey")
+@query("op_M4_point_feature_set", """WITH p AS (SELECT o_custkey AS k, any_value(c_mktsegment) AS label FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1), a AS (SELECT o_custkey AS k, avg(o_totalprice) AS m, max(CASE WHEN o_orderstatus = 'P' THEN o_totalprice END) AS p FROM orders GROUP BY 1),
+ b AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) SELECT k, label, round(m, 4) AS var_mean, p AS var_p, n AS var_n FROM p JOIN a USING (k) JOIN b USING (k) WHERE label <> 'BUILDING' AND p IS NOT NULL""")
 def _(spark, sf):
-    feats = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(r6(F.avg("l_quantity")).alias("var_q"))
-    return feats.join(table(spark, sf, "orders").filter("o_orderstatus <> 'P'").select(c("o_orderkey").alias("l_orderkey"), c("o_orderstatus").alias("label")), "l_orderkey")
+    o = table(spark, sf, "orders").withColumnRenamed("o_custkey", "k")
+    pts = table(spark, sf, "customer").select(c("c_custkey").alias("k"), c("c_mktsegment").alias("label"))
+    a = o.groupBy("k").agg(F.round(F.avg("o_totalprice"), 4).alias("var_mean"), F.max(F.when(c("o_orderstatus") == "P", c("o_totalprice"))).alias("var_p"), F.lit(1).alias("other"))
+    b = o.filter("o_orderpriority = '1-URGENT'").groupBy("k").agg(F.count(F.lit(1)).alias("var_n"))
+    return sampling.feature_set(pts, [a, b], "k", "label", skip=["BUILDING"])
 
 
 @query("op_M10_temporal_classes")
@@ -854,9 +899,119 @@ def _(spark, sf):
     return fusion.shifts(p.join(moved, ["row", "col"]).withColumn("cell", F.lit(1)), "cell", "ref", "img")
 
 
-@query("op_R18_cloud_probability_mask", "SELECT p_partkey, CAST(CASE WHEN p_size * 2 > 60 THEN 1 ELSE 0 END AS INTEGER) AS mask FROM part")
+@query("op_R18_cloud_probability_mask", "SELECT p_partkey, CAST(CASE WHEN p_size % 10 = 7 THEN 255 WHEN p_size * 2 > 60 THEN 1 ELSE 0 END AS INTEGER) AS mask FROM part")
+def _(spark, sf):
+    prob = F.when(c("p_size") % 10 != 7, F.when(c("p_size") % 20 == 3, 255).otherwise(c("p_size") * 2))
+    return table(spark, sf, "part").filter("p_size % 20 <> 3").select("p_partkey", masks.probability_over(prob).alias("mask")).unionByName(
+        table(spark, sf, "part").filter("p_size % 20 = 3").select("p_partkey", masks.probability_over(c("p_size") * 2).alias("mask")))
+
+
+_BATCH = """r AS (SELECT l_suppkey % 5 AS cell, CAST(l_shipdate AS DATE) AS date, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS scene_id FROM lineitem WHERE l_quantity > 49),
+ i AS (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY date, scene_id) - 1 AS i, dense_rank() OVER (PARTITION BY cell ORDER BY date) AS d, count(*) OVER (PARTITION BY cell) AS n FROM r)"""
+
+
+@query("op_R17_sliding_batches", f"WITH {_BATCH} SELECT a.cell, a.i AS batch, b.scene_id, b.date FROM i a JOIN i b ON a.cell = b.cell AND b.i >= a.i AND b.d < a.d + 7 WHERE a.i < a.n - 7 UNION SELECT cell, greatest(n - 7, 0), scene_id, date FROM i WHERE i >= n - 7")
+def _(spark, sf):
+    rows = table(spark, sf, "lineitem").filter("l_quantity > 49").select((c("l_suppkey") % 5).alias("cell"), c("l_shipdate").cast("date").alias("date"), (c("l_orderkey") * 10 + c("l_linenumber")).alias("scene_id"))
+    return masks.sliding_batches(rows, ["cell"])
+
+
+@query("op_S15_nearest_pixels", "WITH p AS (SELECT c_custkey, (c_acctbal + 1000) / 10 AS x, c_nationkey * 17e0 AS y FROM customer), r AS (SELECT p_partkey // 50 AS row, p_partkey % 50 AS col, p_size FROM part), n AS (SELECT *, CAST(floor((x - 5) / 20 + 0.5) AS BIGINT) AS k, CAST(floor((395 - y) / 20 + 0.5) AS BIGINT) AS w FROM p) SELECT c_custkey, p_size FROM n LEFT JOIN r ON col = k AND row = w AND abs(x - (5 + k * 20)) <= 8 AND abs(y - (395 - w * 20)) <= 8")
+def _(spark, sf):
+    pts = table(spark, sf, "customer").select("c_custkey", ((c("c_acctbal") + 1000) / 10).alias("x"), (c("c_nationkey") * 17.0).alias("y"))
+    ras = table(spark, sf, "part").select(F.floor(c("p_partkey") / 50).alias("row"), (c("p_partkey") % 50).alias("col"), "p_size")
+    return sampling.nearest_pixels(pts, ras, "x", "y", 5.0, 395.0, 20.0, 8.0).select("c_custkey", "p_size")
+
+
+@query("op_S11_records_of_names", """WITH f AS (SELECT CASE s_suppkey % 3 WHEN 0 THEN 'L3B' WHEN 1 THEN 'L3A' ELSE 'L1C' END || '_' || CASE WHEN s_suppkey % 2 = 0 THEN 'LC08' ELSE 'S2A' END || '_grid' || lpad(CAST(s_suppkey AS VARCHAR), 10, '0') || '_20200101' || CASE WHEN s_suppkey % 5 = 0 THEN '_coregX' ELSE 'X_' END || '.nc' AS name, s_suppkey AS k, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS z FROM supplier)
+ SELECT CASE WHEN k % 2 = 0 THEN 'LC08_L2SP_' || substr(z, 1, 6) || '_' || d || '_' || substr(z, 7, 2) || '_' || substr(z, 9, 2) ELSE 'S2A_' || substr(z, 1, 5) || '_' || d || '_' || substr(z, 6, 1) || '_' || substr(z, 7, 3) END AS scene_id,
+  string_split(string_split(name, '_coreg')[1], 'X')[1] || '.tif' AS brdf_id, true AS brdf, CASE k % 3 WHEN 0 THEN true WHEN 1 THEN false END AS bandpass, k % 5 = 0 AS coreg FROM (SELECT *, string_split(name, '_')[4] AS d FROM f)""")
+def _(spark, sf):
+    k = c("s_suppkey")
+    name = F.concat(
+        F.when(k % 3 == 0, "L3B").when(k % 3 == 1, "L3A").otherwise("L1C"), F.lit("_"), F.when(k % 2 == 0, "LC08").otherwise("S2A"), F.lit("_grid"), F.lpad(k.cast("string"), 10, "0"), F.lit("_20200101"),
+        F.when(k % 5 == 0, "_coregX").otherwise("X_"), F.lit(".nc"),
+    )
+    return catalog.records(table(spark, sf, "supplier").select(name.alias("name"))).select("scene_id", "brdf_id", "brdf", "bandpass", "coreg")
+
+
+@query("op_S12_scene_index", "SELECT o_orderkey AS scene, CAST(o_orderdate AS DATE) AS date, o_orderpriority AS sensor FROM orders WHERE o_custkey % 90 - 45 <= 10 AND o_custkey % 90 - 40 >= -5 AND o_orderkey % 180 - 90 <= 60 AND o_orderkey % 180 - 80 >= -60 AND o_orderdate BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' AND o_orderpriority IN ('1-URGENT', '2-HIGH')")
+def _(spark, sf):
+    """A gzipped index of scenes, cut to a box, dates and sensors."""
+    from ..sources import tables
+
+    k, n = c("o_custkey") % 90, c("o_orderkey") % 180
+    rows = table(spark, sf, "orders").select(c("o_orderkey").alias("scene"), c("o_orderdate").cast("date").alias("date"), c("o_orderpriority").alias("sensor"), (n - 90.0).alias("west"), (k - 45.0).alias("south"), (n - 80.0).alias("east"), (k - 40.0).alias("north"))
+    path = new_folder(spark)
+    rows.write.option("header", True).option("compression", "gzip").csv(f"{path}/index")
+    schema = "scene long, date date, sensor string, west double, south double, east double, north double"
+    return tables.scene_index(spark, f"{path}/index", schema, (-60.0, -5.0, 60.0, 10.0), "1995-01-01", "1996-12-31", ["1-URGENT", "2-HIGH"], f"{path}/cut").select("scene", "date", "sensor")
+
+
+@query("op_S20_json_and_scores", "SELECT o_orderpriority AS model, round(avg(o_totalprice), 4) AS score FROM orders WHERE o_orderstatus = 'O' GROUP BY 1 UNION ALL SELECT 'old', 1e0")
+def _(spark, sf):
+    """Scores through JSON into a log; the last entry of a model counts."""
+    from ..sources import tables
+
+    o = table(spark, sf, "orders")
+    made = lambda s: o.filter(c("o_orderstatus") == s).groupBy(c("o_orderpriority").alias("model")).agg(F.round(F.avg("o_totalprice"), 4).alias("score"))
+    path = new_folder(spark)
+    tables.append_scores(made("F").unionByName(spark.createDataFrame([("old", 1.0)], "model string, score double")), f"{path}/log")
+    tables.write_json(made("O"), f"{path}/json")
+    tables.append_scores(tables.json_lines(spark, f"{path}/json", "model string, score double"), f"{path}/log")
+    return tables.latest(spark, f"{path}/log", ["model"])
+
+
+@query("op_progress_merged", "SELECT CAST(o_custkey AS VARCHAR) AS grid, o_orderpriority AS step, CASE WHEN max(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) = 1 THEN 'y' ELSE 'n' END AS status FROM orders GROUP BY 1, 2")
+def _(spark, sf):
+    from ..sources import tables
+
+    o = table(spark, sf, "orders").select(c("o_custkey").cast("string").alias("grid"), c("o_orderpriority").alias("step"), "o_orderstatus")
+    path = f"{new_folder(spark)}/progress"
+    tables.merge_progress(spark, path, o.groupBy("grid", "step").agg(F.lit("n").alias("status")))
+    return tables.merge_progress(spark, path, o.filter("o_orderstatus = 'F'").select("grid", "step").distinct().withColumn("status", F.lit("y")))
+
+
+@query("op_log_states", "WITH l AS (SELECT o_custkey AS job, o_orderkey AS t, CASE WHEN o_orderstatus = 'P' THEN 'ERROR: x' || CAST(o_orderkey AS VARCHAR) WHEN o_orderpriority = '5-LOW' THEN 'ALL DONE!' ELSE 'step' END AS line FROM orders) SELECT job, CASE WHEN bool_or(line LIKE 'ERROR%') THEN 'failed' WHEN bool_or(line = 'ALL DONE!') THEN 'done' ELSE 'running' END AS state, min(CASE WHEN line LIKE 'ERROR%' THEN {'a': t, 'l': line} END).l AS error, max({'a': t, 'l': line}).l AS last, count(*) AS lines FROM l GROUP BY job")
+def _(spark, sf):
+    line = F.when(c("o_orderstatus") == "P", F.concat(F.lit("ERROR: x"), c("o_orderkey").cast("string"))).when(c("o_orderpriority") == "5-LOW", "ALL DONE!").otherwise("step")
+    return catalog.log_states(table(spark, sf, "orders").select(c("o_custkey").alias("job"), c("o_orderkey").alias("at"), line.alias("line")))
+
+
+@query("op_M7_holdout_scores", "SELECT coalesce(CAST(o_orderstatus AS VARCHAR), 'ALL') AS o_orderstatus, count(*) AS n, round(avg(CASE WHEN o_orderpriority = CASE WHEN o_totalprice > 150000 THEN '1-URGENT' ELSE '2-HIGH' END THEN 1e0 ELSE 0e0 END), 3) AS OA, round(avg(CASE WHEN o_orderpriority IN ('1-URGENT') THEN 1e0 ELSE 0e0 END), 3) AS recall FROM orders GROUP BY GROUPING SETS ((o_orderstatus), ())")
+def _(spark, sf):
+    rows = table(spark, sf, "orders").select("o_orderstatus", c("o_orderpriority").alias("pred"), F.when(c("o_totalprice") > 150000, "1-URGENT").otherwise("2-HIGH").alias("label"))
+    return scores.holdout_scores(rows, "o_orderstatus", ["1-URGENT"])
+
+
+_RAW = """s AS (SELECT l_orderkey, l_linenumber, CAST(trunc(l_tax * 100000) AS INTEGER) AS blue, CAST(trunc(l_discount * 100000) AS INTEGER) AS green, CAST(trunc(l_quantity * 200) AS INTEGER) AS red, CAST(trunc(l_extendedprice / 10) AS INTEGER) AS nir, CAST(l_orderkey % 100 * 100 AS INTEGER) AS swir1, CAST(l_partkey % 101 * 100 AS INTEGER) AS swir2 FROM lineitem),
+ v AS (SELECT l_orderkey, l_linenumber, CASE WHEN green < 10000 THEN CAST(green AS DOUBLE) END AS g, CASE WHEN red < 10000 THEN CAST(red AS DOUBLE) END AS r, CASE WHEN nir < 10000 THEN CAST(nir AS DOUBLE) END AS n, CASE WHEN swir1 < 10000 THEN CAST(swir1 AS DOUBLE) END AS s1, CASE WHEN swir2 < 10000 THEN CAST(swir2 AS DOUBLE) END AS s2 FROM s)"""
+_ND = lambda a, b: f"({a} - {b}) / ({a} + {b} + 1e-9)"
+_HALF = lambda o: f"CASE WHEN {o} = 0 THEN 0e0 ELSE ({o} + 1) * 5e3 END"
+_POINT_SQL = {
+    "ndvi": _HALF(_ND("n", "r")), "gcvi": _HALF(_ND("n", "g")), "nbr": _HALF(_ND("n", "s2")), "nbr2": _HALF(_ND("s1", "s2")), "evi2": "1e4 * 2.5e0 * ((n / 1e4 - r / 1e4) / (n / 1e4 + 1 + 2.4e0 * r / 1e4))", "cai": "CASE WHEN 1e4 * s2 / (s1 + 1e-9) > 1e9 THEN 1e9 ELSE 1e4 * s2 / (s1 + 1e-9) END",
+    "savi": _HALF("(1.5e0 * ((n / 1e4 - r / 1e4) / (n / 1e4 + r / 1e4 + 0.5e0)))"), "msavi": "5e3 * (2 * n / 1e4 + 1) - (pow(2 * n / 1e4 + 1, 2) - 8 * (n / 1e4 - r / 1e4)) / 2", "ndmi": f"(1e4 * ({_ND('n', 's1')}) + 1) * 5e3", "ndwi": f"(1e4 * ({_ND('g', 'n')}) + 1) * 5e3",
+    "kndvi": f"1e4 * tanh(pow({_ND('n', 'r')}, 2))", "bai": "CASE WHEN r + n > 0 THEN 1e4 / (pow(0.06e0 - n / 1e4, 2) + pow(0.1e0 - r / 1e4, 2)) WHEN r + n <= 0 THEN 0e0 END", "baim": "CASE WHEN s2 + n > 0 THEN least(1e9, 1e4 / nullif(pow(0.05e0 - n / 1e4, 2) + pow(0.2e0 - s2 / 1e4, 2), 0)) WHEN s2 + n <= 0 THEN 0e0 END",
+    "gemi": "1e4 * (eta * (1 - 0.25e0 * eta) - ((r / 1e4 - 0.125e0) / (1 - r / 1e4)))", "mirbi": "CASE WHEN s2 + s1 = 0 THEN 0e0 ELSE 2e3 * ((10 * s2 / 1e4) - (9.8e0 * s1 / 1e4) + 2) END", "swir2": "s2", "nir": "n",
+}
+
+
+@query("op_29_point_indices", f"WITH {_RAW}, e AS (SELECT *, (2 * (pow(n / 1e4, 2) - pow(r / 1e4, 2)) + 1.5e0 * (n / 1e4) + 0.5e0 * (r / 1e4)) / ((n / 1e4) + (r / 1e4) + 0.5e0) AS eta FROM v) SELECT l_orderkey, l_linenumber, {', '.join(f'round({x}, 4) AS {n}' for n, x in _POINT_SQL.items())} FROM e")
+def _(spark, sf):
+    li = table(spark, sf, "lineitem")
+    raw = li.select("l_orderkey", "l_linenumber", (c("l_tax") * 100000).cast("int").alias("blue"), (c("l_discount") * 100000).cast("int").alias("green"), (c("l_quantity") * 200).cast("int").alias("red"), (c("l_extendedprice") / 10).cast("int").alias("nir"), (c("l_orderkey") % 100 * 100).cast("int").alias("swir1"), (c("l_partkey") % 101 * 100).cast("int").alias("swir2"))
+    return raw.select("l_orderkey", "l_linenumber", *(F.round(F.when(indices.point_index(n) > 1e9, 1e9).otherwise(indices.point_index(n)) if n in ("baim", "cai") else indices.point_index(n), 4).alias(n) for n in _POINT_SQL))
+
+
+@query("op_M13_training_chips", "WITH ch AS (SELECT n_nationkey AS region, n_nationkey * 40e0 AS x0, n_nationkey * 40e0 + CASE n_nationkey % 3 WHEN 0 THEN 30e0 WHEN 1 THEN 30.5e0 ELSE 33e0 END AS x1 FROM nation) SELECT region, x0, CASE WHEN region % 3 = 1 THEN x0 + 30 ELSE x1 END AS x1, CASE region % 3 WHEN 0 THEN 'ready' WHEN 1 THEN 'adjusted' ELSE 'skipped' END AS state, CAST(coalesce(n, 0) AS BIGINT) AS polys FROM ch LEFT JOIN (SELECT region, CASE WHEN count(*) FILTER (WHERE c_nationkey % 4 > 0) > 0 THEN count(*) ELSE 1 END AS n FROM ch JOIN customer ON (c_custkey * 7) % 1000 <= x0 + 30 AND (c_custkey * 7) % 1000 + 2 >= x0 AND c_nationkey <= 30 WHERE region % 3 < 2 GROUP BY region) USING (region)")
 def _(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", F.when(c("p_size") * 2 > 60, 1).otherwise(0).alias("mask"))
+    k = c("n_nationkey")
+    chips = table(spark, sf, "nation").select(k.alias("region"), (k * 40.0).alias("x0"), F.lit(0.0).alias("y0"), (k * 40.0 + F.when(k % 3 == 0, 30.0).when(k % 3 == 1, 30.5).otherwise(33.0)).alias("x1"), F.lit(30.0).alias("y1"))
+    x = (c("c_custkey") * 7 % 1000).cast("double")
+    polys = table(spark, sf, "customer").select((c("c_nationkey") % 4).alias("class"), x.alias("x0"), c("c_nationkey").cast("double").alias("y0"), (x + 2).alias("x1"), (c("c_nationkey") + 1.0).alias("y1"), "c_custkey")
+    out, fields = sampling.training_chips(chips, polys, 30.0)
+    n = fields.groupBy("region").agg(F.count(F.lit(1)).alias("polys"))
+    return out.join(n, "region", "left").select("region", "x0", "x1", "state", F.coalesce("polys", F.lit(0)).alias("polys"))
 
 
 def _unique() -> str:

@@ -79,9 +79,29 @@ def _(spark, sf):
     return out.select("row", "col", *(r6(n).alias(n) for n in names))
 
 
-@query("op_F8_small_fields", "SELECT p_partkey, CAST(CASE WHEN p_retailprice < 930 THEN 0 WHEN p_retailprice < 970 THEN 1 ELSE 2 END AS INTEGER) AS field FROM part")
+_FIELDS = f"{RASTER}, f AS (SELECT row, col, CASE WHEN value < 15 THEN 104 WHEN value < 30 THEN 125 WHEN value < 40 THEN 96 ELSE 75 END AS majority, value * 3 AS size, CAST(floor(price - 800) AS INTEGER) AS around FROM ras)"
+
+
+def _fields(spark, sf):
+    code = F.when(c("value") < 15, 104).when(c("value") < 30, 125).when(c("value") < 40, 96).otherwise(75)
+    return raster(spark, sf).select("row", "col", code.alias("majority"), (c("value") * 3).alias("size"), F.floor(c("price") - 800).cast("int").alias("around"))
+
+
+@query("op_F8_small_fields", f"WITH {_FIELDS} SELECT row, col, CAST(CASE WHEN majority IN (104, 96) AND size <= 20 AND around < 200 THEN 137 WHEN majority BETWEEN 100 AND 147 AND size < 50 AND NOT (majority IN (104, 96) AND around > 200) THEN 137 ELSE majority END AS INTEGER) AS majority FROM f")
 def _(spark, sf):
-    return focal.small_fields(table(spark, sf, "part"), "p_retailprice", 930, 970).select("p_partkey", "field")
+    return focal.small_fields(_fields(spark, sf), list(range(100, 148)), [104, 96], 137).select("row", "col", "majority")
+
+
+@query("op_F8_refined_area", f"WITH {_FIELDS}, a AS (SELECT row, col, CAST(round_even(CASE WHEN around >= 400 THEN size * 25 / 3e0 WHEN around >= 200 THEN size * 25 / 2e0 ELSE size * 25e0 END / 10, 0) AS INTEGER) AS v FROM f) SELECT a.row, a.col, max(b.v) AS area10 FROM a JOIN a b ON abs(a.row - b.row) <= 2 AND abs(a.col - b.col) <= 2 GROUP BY ALL")
+def _(spark, sf):
+    rows = _fields(spark, sf).withColumn("area", c("size") * 25)
+    return focal.refined_area(rows, [], 2, "area", "around").select("row", "col", "area10")
+
+
+@query("op_F8_mean_field_size", f"WITH {RASTER}, {_halo(3, 1)}, m AS ({_window('avg({v})', 3, src='halo')}) SELECT row, col, CAST(round_even(round(focal, 9), 0) AS INTEGER) AS around FROM m WHERE (row, col) IN (SELECT (row, col) FROM ras)")
+def _(spark, sf):
+    r = raster(spark, sf)
+    return focal.mean_field_size(r, [], 3, n_rows(r), N_COLS, "value").select("row", "col", "around")
 
 
 def _context(spark, sf):
@@ -166,6 +186,55 @@ def _(spark, sf):
     return segments.cut_fields(raster(spark, sf).withColumn("m", F.when(c("value") > 8, 1).otherwise(0)), [], "m", N_COLS)
 
 
+@query("op_F17_saliency", f"""WITH {RASTER}, s AS (SELECT row, col, value * 200 * 0.0255e0 AS value FROM ras), mean AS (SELECT avg(CASE WHEN value <> 0 THEN value END) AS m FROM s), {_halo(2, 0, src='s')},
+ g AS (SELECT a.row, a.col, sum(b.value * [1, 4, 6, 4, 1][b.row - a.row + 3] * [1, 4, 6, 4, 1][b.col - a.col + 3]) / 256e0 AS v FROM s a JOIN halo b ON abs(a.row - b.row) <= 2 AND abs(a.col - b.col) <= 2 GROUP BY a.row, a.col) SELECT row, col, round(abs(v - m), 6) AS saliency FROM g, mean""")
+def _(spark, sf):
+    r = raster(spark, sf).select("row", "col", (c("value") * 200).alias("value"))
+    return focal.saliency(r, [], n_rows(r), N_COLS).select("row", "col", r6("saliency").alias("saliency"))
+
+
+@query("op_F18_padded", f"WITH {RASTER}, {_halo(4, 1)} SELECT row, col, value * 0.5e0 AS value FROM halo WHERE row BETWEEN -4 AND (SELECT max(row) + 4 FROM ras) AND col BETWEEN -4 AND 53")
+def _(spark, sf):
+    r = raster(spark, sf).select("row", "col", "value")
+    return focal.padded(r, 4, n_rows(r), N_COLS, scale=0.5)
+
+
+@query("op_F18_cubic", f"""WITH {RASTER}, nr AS (SELECT max(row) + 1 AS n FROM ras), taps AS (SELECT o, n, unnest(range(-1, 3)) AS k, (o + 0.5e0) * n / m - 0.5e0 AS z, axis FROM (SELECT unnest(range(0, 13)) AS o, n, 13 AS m, 'r' AS axis FROM nr UNION ALL SELECT unnest(range(0, 70)), 50, 70, 'c')),
+ w AS (SELECT axis, o, least(greatest(CAST(floor(z) AS BIGINT) + k, 0), n - 1) AS src, abs(z - floor(z) - k) AS x FROM taps), q AS (SELECT axis, o, src, CASE WHEN x <= 1 THEN 1.25e0 * x * x * x - 2.25e0 * x * x + 1 ELSE -0.75e0 * x * x * x + 3.75e0 * x * x - 6 * x + 3 END AS w FROM w)
+ SELECT CAST(a.o AS INTEGER) AS row, CAST(b.o AS INTEGER) AS col, round(sum(value * a.w * b.w), 5) AS value FROM ras JOIN q a ON a.axis = 'r' AND a.src = row JOIN q b ON b.axis = 'c' AND b.src = col GROUP BY 1, 2""")
+def _(spark, sf):
+    r = raster(spark, sf).select("row", "col", "value")
+    return focal.cubic(r, [], (n_rows(r), N_COLS), (13, 70)).select("row", "col", F.round("value", 5).alias("value"))
+
+
+@query("op_G6_dispatched", f"WITH {RASTER}, a AS (SELECT zone, 'cont' AS how, 'avg' AS name, round(avg(value), 4) AS v FROM ras GROUP BY zone), n AS (SELECT zone, CASE WHEN value <= 10 THEN 'Crop' WHEN value <= 30 THEN 'Grass' END AS name, count(*) AS k FROM ras WHERE value <= 30 GROUP BY 1, 2), z AS (SELECT zone, name FROM (SELECT DISTINCT zone FROM ras), (VALUES ('Crop'), ('Grass')) s(name)) SELECT * FROM a UNION ALL SELECT z.zone, 'cat', z.name, CAST(coalesce(k, 0) AS DOUBLE) FROM z LEFT JOIN n ON z.zone = n.zone AND z.name = n.name")
+def _(spark, sf):
+    r = raster(spark, sf)
+    cont = zonal.summarised(r, ["zone"], "value", setting="continuous", entry={"classes": {"x": 1}}, decimals=4)
+    cat = zonal.summarised(r, ["zone"], "value", entry={"classes": {"Crop": list(range(1, 11)), "Grass": list(range(11, 31))}}).filter("kind = 'class'")
+    return cont.select("zone", F.lit("cont").alias("how"), F.lit("avg").alias("name"), c("avg").cast("double").alias("v")).unionByName(cat.select("zone", F.lit("cat").alias("how"), "name", c("n").cast("double").alias("v")))
+
+
+@query("op_F16_segmentation_accuracy", f"""WITH {RASTER}, p AS (SELECT row, col, CASE WHEN value > 5 THEN value // 10 END AS ref, CASE WHEN price < 980 THEN CAST(floor(price / 10) AS BIGINT) END AS pred, col // 25 AS region FROM ras), g AS (SELECT region, count(DISTINCT ref) AS n_ref, count(DISTINCT pred) AS n_pred FROM p GROUP BY region),
+ n AS (SELECT ref, pred, count(*) AS k FROM p WHERE ref IS NOT NULL AND pred IS NOT NULL GROUP BY 1, 2), b AS (SELECT ref, max({{'k': k, 'p': -pred}}) AS m FROM n GROUP BY ref), h AS (SELECT ref, count(*) AS nr, min(region) AS region FROM p WHERE ref IS NOT NULL GROUP BY ref), q AS (SELECT pred, count(*) AS np FROM p WHERE pred IS NOT NULL GROUP BY pred),
+ i AS (SELECT h.region, m.k / CAST(nr + np - m.k AS DOUBLE) AS iou FROM b JOIN h USING (ref) JOIN q ON q.pred = -m.p), s AS (SELECT region, avg(iou) AS iou, count(*) FILTER (WHERE iou >= 0.5) AS k FROM i GROUP BY region)
+ SELECT CAST(g.region AS BIGINT) AS region, n_ref, n_pred, round(iou, 6) AS iou, round(coalesce(k, 0) / CAST(n_ref AS DOUBLE), 6) AS hits, round(CASE WHEN n_pred >= n_ref THEN n_pred / CAST(n_ref AS DOUBLE) - 1 ELSE 1 - n_ref / CAST(n_pred AS DOUBLE) END, 6) AS n_error FROM g LEFT JOIN s ON g.region = s.region""")
+def _(spark, sf):
+    p = raster(spark, sf).select("row", "col", F.when(c("value") > 5, F.floor(c("value") / 10)).alias("ref"), F.when(c("price") < 980, F.floor(c("price") / 10)).alias("pred"), F.floor(c("col") / 25).alias("region"))
+    _, out = scores.segmentation_accuracy(p, "ref", "pred", "region", "col", "row")
+    return out.select("region", "n_ref", "n_pred", r6("iou").alias("iou"), r6("hits").alias("hits"), r6("n_error").alias("n_error"))
+
+
+@query("op_R18_shade_mask", f"""WITH {RASTER}, h AS (SELECT row, col, value, value + row * 10 * tan(radians(30)) AS h FROM ras), d AS (SELECT row, col, CASE WHEN max(h) OVER (PARTITION BY col ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > h THEN 1 ELSE 0 END AS s FROM h),
+ n AS (SELECT a.row, a.col, {', '.join(f"max(CASE WHEN b.row = a.row + {i} AND b.col = a.col + {j} THEN b.value END) AS n{i + 1}{j + 1}" for i in (-1, 0, 1) for j in (-1, 0, 1))} FROM ras a JOIN ras b ON abs(a.row - b.row) <= 1 AND abs(a.col - b.col) <= 1 GROUP BY a.row, a.col),
+ g AS (SELECT row, col, ((n02 + 2 * n12 + n22) - (n00 + 2 * n10 + n20)) / 80e0 AS dx, ((n20 + 2 * n21 + n22) - (n00 + 2 * n01 + n02)) / 80e0 AS dy FROM n),
+ m AS (SELECT d.row, d.col, greatest(s, CASE WHEN cos(atan(sqrt(dx * dx + dy * dy))) * cos(radians(60)) + sin(atan(sqrt(dx * dx + dy * dy))) * sin(radians(60)) * cos(0 - atan2(dy, -dx)) <= 0 THEN 1 ELSE 0 END) AS s FROM d JOIN g ON d.row = g.row AND d.col = g.col)
+ SELECT 'a' AS scene_id, a.row, a.col, CAST(max(b.s) AS SMALLINT) AS mask FROM m a JOIN m b ON abs(a.row - b.row) <= 1 AND abs(a.col - b.col) <= 1 GROUP BY a.row, a.col""")
+def _(spark, sf):
+    r = raster(spark, sf).select("row", "col", c("value").alias("elev"))
+    return masks.shade_mask(r, [("a", 60.0, 0.0), ("b", None, None)], [], 10.0)
+
+
 @query("op_F17_histogram_matched", """WITH a AS (SELECT p_size AS v, count(*) AS n FROM part GROUP BY 1), b AS (SELECT p_size AS v, count(*) AS n FROM part WHERE p_size > 10 GROUP BY 1),
  x AS (SELECT v, round(sum(n) OVER (ORDER BY v) / CAST(sum(n) OVER () AS DOUBLE), 12) AS s FROM a), y AS (SELECT v, round(sum(n) OVER (ORDER BY v) / CAST(sum(n) OVER () AS DOUBLE), 12) AS s FROM b), l AS (SELECT x.v, min(y.v) AS matched FROM x JOIN y ON y.s >= x.s GROUP BY x.v) SELECT p_partkey, CAST(matched AS INTEGER) AS matched FROM part JOIN l ON p_size = v""")
 def _(spark, sf):
@@ -281,11 +350,13 @@ def _(spark, sf):
     return out.select("ref", "pred", *(r6(x).alias(x) for x in ("iou", "over", "under", "shift")))
 
 
-@query("op_A27_polygon_series", "SELECT l_suppkey AS poly, round(avg(l_quantity), 6) AS avg, round(var_pop(l_quantity), 4) AS var, round(100 * stddev_pop(l_quantity) / avg(l_quantity), 4) AS cv, round(quantile_cont(l_quantity, 0.9), 6) AS per90 FROM lineitem GROUP BY l_suppkey")
-def _(spark, sf):
-    g = table(spark, sf, "lineitem").groupBy(c("l_suppkey").alias("poly"))
-    v = "l_quantity"
-    return g.agg(r6(F.avg(v)).alias("avg"), F.round(F.var_pop(v), 4).alias("var"), F.round(100 * F.stddev_pop(v) / F.avg(v), 4).alias("cv"), r6(F.percentile(v, 0.9)).alias("per90"))
+_A27 = {"avg": "avg(l_quantity)", "var": "var_pop(l_quantity)", "cv": "100 * stddev_pop(l_quantity) / avg(l_quantity)", "per90": "quantile_cont(l_quantity, 0.9)"}
+for _stat, _sql in _A27.items():
+
+    @query(f"op_A27_polygon_{_stat}", f"SELECT l_suppkey AS poly, CAST(date_trunc('month', l_shipdate) AS DATE) AS date, round({_sql}, 4) AS {_stat} FROM lineitem GROUP BY 1, 2")
+    def _stat_of(spark, sf, stat=_stat):
+        rows = table(spark, sf, "lineitem").select(c("l_suppkey").alias("poly"), F.trunc("l_shipdate", "month").alias("date"), "l_quantity")
+        return zonal.temporal_statistic(rows, "poly", "date", "l_quantity", stat).select("poly", "date", F.round(stat, 4).alias(stat))
 
 
 # Mosaics and samples.

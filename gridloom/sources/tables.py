@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,22 +62,28 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_json(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").json(path)
+
+
+def append_log(df: DataFrame, path: str) -> None:
+    """Entries of an append-only log with the time of the call: one atomic write, which parallel writers don't disturb."""
+    df.withColumn("logged", F.lit(datetime.now(UTC).replace(tzinfo=None))).write.mode("append").parquet(path)
+
+
+def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The last entry of each key in such a log, the largest of equal times."""
+    rows = spark.read.parquet(path)
+    rest = [c for c in rows.columns if c not in (*keys, "logged")]
+    return rows.groupBy(*keys).agg(F.max(F.struct("logged", *rest)).alias("gl_e")).select(*keys, *(F.col(f"gl_e.{c}").alias(c) for c in rest))
+
+
 def append_scores(df: DataFrame, path: str) -> None:
-    """An append-only log; the last entry of a model counts."""
-    df.withColumn("logged", F.current_timestamp()).write.mode("append").parquet(path)
+    """Scores of models (``model`` and measures); the last entry of a model counts."""
+    append_log(df, path)
 
 
 def merge_progress(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
-    """A progress table (grid, step, status) with ``rows`` put in by key; the new version is written beside the old, then takes its place in ``current``."""
-    from ..operators.catalog import merged
-
-    try:
-        old = spark.read.parquet(path)
-    except Exception as e:  # no table yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        old = rows.limit(0)
-    new = merged(old, rows, ["grid", "step"])
-    collected = spark.createDataFrame(new.collect(), new.schema)  # a row a cell and step
-    collected.coalesce(1).write.mode("overwrite").parquet(path)
-    return collected
+    """``rows`` (grid, step, status) put into a progress table by key: appended, the last entry of a key counts.  The table as it is then."""
+    append_log(rows, path)
+    return latest(spark, path, ["grid", "step"])

@@ -146,3 +146,16 @@ def shifts(pairs: DataFrame, cell: str, ref: str, img: str) -> DataFrame:
         return pd.DataFrame({cell: [key[0]], "shift_row": [int(r - n if r > n // 2 else r)], "shift_col": [int(c - m if c > m // 2 else c)]})
 
     return pairs.groupBy(cell).applyInPandas(one, f"`{cell}` {pairs.schema[cell].dataType.simpleString()}, shift_row int, shift_col int")
+
+
+def fused(sensors: dict[str, DataFrame], keys: list[str], value: str = "value", day: str = "date", linear: dict[str, tuple[float, float]] | None = None, most: int = 0) -> DataFrame:
+    """keys, day, value, sensor of several sensors' series: of each day the first sensor, in the order given, that has a value; values of a sensor
+    in ``linear`` are adjusted by its (gain, offset) first.  Days on which all are missing are filled from the nearest day, up to ``most`` days away."""
+    every = None
+    for i, (name, df) in enumerate(sensors.items()):
+        gain, offset = (linear or {}).get(name, (1.0, 0.0))
+        rows = df.select(*keys, day, (F.col(value) * gain + offset).alias(value), F.lit(i).alias("gl_i"), F.lit(name).alias("sensor"))
+        every = rows if every is None else every.unionByName(rows)
+    best = F.min(F.when(F.col(value).isNotNull(), F.struct("gl_i", value, "sensor")))
+    out = every.groupBy(*keys, day).agg(best.alias("gl_b")).select(*keys, day, F.col(f"gl_b.{value}").alias(value), "gl_b.sensor")
+    return fill_from_nearest(out, keys, value, day, most) if most else out

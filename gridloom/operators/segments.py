@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,3 +73,63 @@ def cut_fields(df: DataFrame, keys: list[str], mask: str, width: int, shrink: in
     grown = eroded.filter(F.col(mask) == 1).select(*keys, "row", "col").join(core, [*keys, "row", "col"], "left")
     grown = square(grown, keys, shrink, F.max, "segment", "gl_near")
     return grown.select(*keys, "row", "col", F.coalesce("segment", "gl_near").alias("segment")).filter("segment is not null")
+
+
+def extent_mask(extent: Column, boundary: Column, boundary_over: float, extent_over: float, most: float = 1000.0) -> Column:
+    """1 where the extent is above its limit and the boundary is not above its own, both as shares of ``most``."""
+    return F.when((extent > extent_over * most) & ~(boundary > boundary_over * most), 1).otherwise(0)
+
+
+def flooded(height: np.ndarray, mask: np.ndarray, seed: int) -> np.ndarray:
+    """Basins of an image: markers are the largest pixels of the mask in a square of ``seed`` pixels (touching ones are one marker), numbered
+    by rows; from them pixels join the basin of the neighbour that reaches them first, the highest first and of equal ones the earliest."""
+    n, m = height.shape
+    half = int(seed) // 2
+    markers = np.zeros((n, m), np.int64)
+    tops = np.zeros((n, m), bool)
+    for r, c in zip(*np.nonzero(mask), strict=True):
+        box = (slice(max(0, r - half), r + half + 1), slice(max(0, c - half), c + half + 1))
+        near = mask[box] > 0
+        tops[r, c] = height[r, c] >= height[box][near].max()
+    count = 0
+    for r, c in zip(*np.nonzero(tops), strict=True):
+        if markers[r, c]:
+            continue
+        count += 1
+        todo = [(r, c)]
+        markers[r, c] = count
+        while todo:
+            i, j = todo.pop()
+            for a, b in ((i - 1, j), (i + 1, j), (i, j - 1), (i, j + 1)):
+                if 0 <= a < n and 0 <= b < m and tops[a, b] and not markers[a, b]:
+                    markers[a, b] = count
+                    todo.append((a, b))
+    heap = [(-height[r, c], i, r, c) for i, (r, c) in enumerate(zip(*np.nonzero(markers), strict=True))]
+    heapq.heapify(heap)
+    order = len(heap)
+    while heap:
+        _, _, r, c = heapq.heappop(heap)
+        for a, b in ((r - 1, c), (r + 1, c), (r, c - 1), (r, c + 1)):
+            if 0 <= a < n and 0 <= b < m and mask[a, b] and not markers[a, b]:
+                markers[a, b] = markers[r, c]
+                heapq.heappush(heap, (-height[a, b], order, a, b))
+                order += 1
+    return markers
+
+
+def watershed(df: DataFrame, keys: list[str], height: str, mask: str, seed: int = 5) -> DataFrame:
+    """keys, row, col, basin of masked pixels by flooding from local tops of ``height``; basins are numbered from 1 in each image.
+
+    An image is one group, bounded by its size; keys name the images.
+    """
+
+    def one(px: pd.DataFrame) -> pd.DataFrame:
+        r0, c0 = px["row"].min(), px["col"].min()
+        size = (px["row"].max() - r0 + 1, px["col"].max() - c0 + 1)
+        h, inside = np.full(size, -np.inf), np.zeros(size, np.int64)
+        at = (px["row"] - r0, px["col"] - c0)
+        h[at], inside[at] = px[height].fillna(-np.inf), px[mask].fillna(0) > 0
+        return px[[*keys, "row", "col"]].assign(basin=flooded(h, inside, seed)[at]).query("basin > 0")
+
+    schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in (*keys, "row", "col"))
+    return df.select(*keys, "row", "col", height, mask).groupBy(*keys).applyInPandas(one, schema + ", basin long")

@@ -271,13 +271,131 @@ SMOOTHERS: dict[str, Callable] = {
 }
 
 
+def spikes(x: np.ndarray, y: np.ndarray, days: int = 120, limit: float = 0.1, rounds: int = 1) -> np.ndarray:
+    """Which values lie off the line between their neighbours, both within ``days``, by more than a share ``limit`` of it; a round drops those found before."""
+    out = np.zeros(len(x), bool)
+    for _ in range(rounds):
+        at = np.flatnonzero(~out)
+        if len(at) < 3:
+            break
+        a, b, c = at[:-2], at[1:-1], at[2:]
+        line = y[a] + (y[c] - y[a]) * (x[b] - x[a]) / (x[c] - x[a])
+        off = (x[b] - x[a] <= days) & (x[c] - x[b] <= days) & (np.abs(y[b] - line) > limit * np.abs(line))
+        out[b[off]] = True
+    return out
+
+
+def prefilled(x: np.ndarray, y: np.ndarray, days: int = 30, years: int = 2, least: int = 2) -> np.ndarray:
+    """Missing values (nan) as the mean of the values within ``days`` of the same day of the year in at most ``years`` years before
+    or after, where there are ``least`` of them; others stay missing."""
+    out, known = y.copy(), np.flatnonzero(~np.isnan(y))
+    for i in np.flatnonzero(np.isnan(y)):
+        away = x[known] - x[i]
+        turns = np.round(away / 365.25)
+        near = (np.abs(away - 365.25 * turns) <= days) & (np.abs(turns) >= 1) & (np.abs(turns) <= years)
+        if near.sum() >= least:
+            out[i] = y[known[near]].mean()
+    return out
+
+
+def prepared(x: np.ndarray, y: np.ndarray, low: float = 50.0, prefill: bool = True, outliers: bool = True, extreme: float = 0.0, limits: tuple[float, float] = (0.1, 0.2), days: int = 120, fill_days: int = 30, fill_years: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """Days and values that a smoother gets, in the order of the steps: values up to ``low`` are missing; spikes beyond the first of
+    ``limits`` are, and gaps are filled from other years (prefill); values above the median by more than a share ``extreme`` are
+    missing (0: none); spikes beyond the second limit go (outliers); what is missing goes."""
+    y = np.where(y <= low, np.nan, y.astype(float))
+    some = np.flatnonzero(~np.isnan(y))
+    if prefill and len(some):
+        y[some[spikes(x[some], y[some], days, limits[0])]] = np.nan
+        y = prefilled(x, y, fill_days, fill_years)
+        some = np.flatnonzero(~np.isnan(y))
+    if extreme and len(some):
+        middle = np.median(y[some])
+        y[some[(y[some] - middle) / middle > extreme]] = np.nan
+        some = np.flatnonzero(~np.isnan(y))
+    if outliers and len(some):
+        y[some[spikes(x[some], y[some], days, limits[1])]] = np.nan
+        some = np.flatnonzero(~np.isnan(y))
+    return x[some], y[some]
+
+
+def _fitted(method: str, xs: list[np.ndarray], ys: list[np.ndarray], days: np.ndarray, least: int, **options) -> list[np.ndarray]:
+    """Values of many series on the output days; series with fewer than ``least`` values by straight lines, those without any as nan."""
+    fit = SMOOTHERS[method]
+    long = [i for i, x in enumerate(xs) if len(x) >= least]
+    z = [np.interp(days, x, y) if len(x) else np.full(len(days), np.nan) for x, y in zip(xs, ys, strict=True)]
+    if long and method == "wh":
+        for i, row in zip(long, whittaker_rows([xs[i] for i in long], [ys[i] for i in long], days, **options), strict=True):
+            z[i] = row
+    else:
+        for i in long:
+            z[i] = fit(xs[i], ys[i], days, **options)
+    return z
+
+
+def reconstructed(
+    df: DataFrame, keys: list[str], slices: dict[int, tuple[date, date, list[date]]], method: str = "wh", value: str = "value", day: str = "date", least: int = 3,
+    steps: dict | None = None, done: DataFrame | None = None, **options,
+) -> DataFrame:
+    """keys, year, date, value: series smoothed year by year.
+
+    ``slices`` gives for each year the first and last day of its padded slice and its output days; a value is in every slice that holds
+    its day.  ``steps`` are options of ``prepared``.  Keys and years in ``done`` are left out, so a run goes on where another ended.
+    Series without a value left in a slice give none.
+    """
+    out_days = {year: np.array([d.toordinal() for d in days], np.int64) for year, (_, _, days) in slices.items()}
+    epoch, steps = date(1970, 1, 1).toordinal(), steps or {}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for year, rows in b.groupby("year", sort=False):
+                for at in range(0, len(rows), 500):
+                    some = rows.iloc[at : at + 500]
+                    made = [prepared(np.asarray(x, np.int64) + epoch, np.asarray(y, float), **steps) for x, y in zip(some["gl_x"], some["gl_y"], strict=True)]
+                    z = _fitted(method, [m[0] for m in made], [m[1] for m in made], out_days[year], least, **options)
+                    keep = [i for i, m in enumerate(made) if len(m[0])]
+                    days = (out_days[year] - epoch).tolist()
+                    yield some[[*keys, "year"]].iloc[keep].assign(gl_d=[days] * len(keep), gl_z=[z[i] for i in keep])
+
+    years = [F.struct(F.lit(y).alias("y"), F.lit(a).alias("a"), F.lit(b).alias("b")) for y, (a, b, _) in slices.items()]
+    held = F.filter(F.array(*years), lambda s: (F.col(day) >= s["a"]) & (F.col(day) <= s["b"]))
+    rows = df.filter(F.col(value).isNotNull()).withColumn("year", F.explode(F.transform(held, lambda s: s["y"])))
+    if done is not None:
+        rows = rows.join(done.select(*keys, "year").distinct(), [*keys, "year"], "left_anti")
+    pairs = F.sort_array(F.collect_list(F.struct(F.unix_date(day).alias("x"), F.col(value).cast("double").alias("y"))))  # of one series and year
+    rows = rows.groupBy(*keys, "year").agg(pairs.alias("p")).select(*keys, "year", F.col("p.x").alias("gl_x"), F.col("p.y").alias("gl_y"))
+    schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    out = rows.mapInPandas(run, schema + ", year int, gl_d array<int>, gl_z array<double>")
+    each = F.explode(F.arrays_zip(F.col("gl_d").alias("d"), F.col("gl_z").alias("v"))).alias("p")
+    return out.select(*keys, "year", each).select(*keys, "year", F.date_from_unix_date("p.d").alias("date"), F.col("p.v").alias("value"))
+
+
+def spatio_temporal(df: DataFrame, keys: list[str], value: str = "value", day: str = "date", half: int = 1, steps: int = 1, time: float = 1.0, colour: float = 1000.0, space: float = 1.0) -> DataFrame:
+    """``value`` as the mean of the pixels around it, ``half`` each way, on the ``steps`` images before and after, weighed by normal curves of
+    their distance in images, in value and in pixels; missing neighbours have no weight, missing values stay missing."""
+    at = lambda along, k: Window.partitionBy(*keys, day, "col" if along == "row" else "row").orderBy(along).rangeBetween(k, k)
+    span, own = range(-half, half + 1), Window.partitionBy(*keys, "row", "col").orderBy(day)
+    rows = df.withColumn("gl_line", F.array(*(F.first(F.col(value).cast("double")).over(at("col", k)) for k in span)))
+    rows = rows.withColumn("gl_box", F.array(*(F.first("gl_line").over(at("row", k)) for k in span)))
+    times = {s: F.lag("gl_box", -s).over(own) if s < 0 else F.lead("gl_box", s).over(own) if s else F.col("gl_box") for s in range(-steps, steps + 1)}
+    rows = rows.withColumns({f"gl_t{s + steps}": c for s, c in times.items()})
+    total, weights = F.lit(0.0), F.lit(0.0)
+    for s in range(-steps, steps + 1):
+        for i, r in enumerate(span):
+            for j, c in enumerate(span):
+                v = F.get(F.get(F.col(f"gl_t{s + steps}"), F.lit(i)), F.lit(j))
+                away = float(np.exp(-0.5 * ((s / time) ** 2 + (r * r + c * c) / space**2)))
+                w = away * F.exp(-0.5 * F.pow((v - F.col(value)) / colour, F.lit(2)))
+                total, weights = total + F.coalesce(w * v, F.lit(0.0)), weights + F.coalesce(w, F.lit(0.0))
+    names = ["gl_line", "gl_box", *(f"gl_t{s}" for s in range(2 * steps + 1))]
+    return rows.withColumn(value, F.when(F.col(value).isNotNull(), total / weights)).drop(*names)
+
+
 def smoothed(df: DataFrame, keys: list[str], out_dates: list[date], method: str = "wh", value: str = "value", day: str = "date", least: int = 3, **options) -> DataFrame:
     """Series on regular days: keys, date, value.
 
     Each series is one row with two arrays, so the Python side gets whole
     batches of series and no group is a call of its own.
     """
-    fit = SMOOTHERS[method]
     days = np.array([d.toordinal() for d in out_dates], np.int64)
     epoch = date(1970, 1, 1).toordinal()
 
@@ -286,15 +404,7 @@ def smoothed(df: DataFrame, keys: list[str], out_dates: list[date], method: str
             for at in range(0, len(b), 500):
                 some = b.iloc[at : at + 500]
                 xs, ys = [np.asarray(x, np.int64) + epoch for x in some["gl_x"]], [np.asarray(y, float) for y in some["gl_y"]]
-                long = [i for i, x in enumerate(xs) if len(x) >= least]
-                z = [np.interp(days, x, y) for x, y in zip(xs, ys, strict=True)]
-                if long and method == "wh":
-                    for i, row in zip(long, whittaker_rows([xs[i] for i in long], [ys[i] for i in long], days, **options), strict=True):
-                        z[i] = row
-                else:
-                    for i in long:
-                        z[i] = fit(xs[i], ys[i], days, **options)
-                yield some[keys].assign(gl_z=z)
+                yield some[keys].assign(gl_z=_fitted(method, xs, ys, days, least, **options))
 
     pairs = F.sort_array(F.collect_list(F.struct(F.unix_date(day).alias("x"), F.col(value).cast("double").alias("y"))))
     rows = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(pairs.alias("p")).select(*keys, F.col("p.x").alias("gl_x"), F.col("p.y").alias("gl_y"))

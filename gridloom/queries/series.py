@@ -424,12 +424,46 @@ for _method in series.SMOOTHERS:
         return series.smoothed(gappy(spark, sf), PX, OUT_DATES, method).withColumn("value", r6("value"))
 
 
+def _slices(pad: int = 60) -> dict:
+    from datetime import timedelta
+
+    return {y: (CALENDAR.year(y)[0] - timedelta(pad), CALENDAR.year(y)[1] + timedelta(pad), _regular(y)) for y in YEARS}
+
+
 @query("op_R1_reconstruct")
 def _(spark, sf):
-    """Scenes to index, one a day, low values out, smoothed to regular days, season by season."""
-    out = [d for y in YEARS for d in _regular(y)]
-    rows = series.low_values_to_zero(ts(spark, sf), PX).withColumn("value", F.when(F.col("value") > 0, F.col("value")))
-    return series.smoothed(rows, PX, out, "wh").withColumn("value", F.round("value").cast("int"))
+    """Scenes to an index, one a day; then year by year, padded by 60 days: low values, gaps, spikes, and a smoother to regular days."""
+    return series.reconstructed(ts(spark, sf), PX, _slices(), "wh", steps={"extreme": 1.5}).withColumn("value", F.round("value").cast("int"))
+
+
+@query("op_R1_resumed", f"WITH {TS}, y AS (SELECT px, date, value, unnest([{', '.join(str(y) for y in YEARS)}]) AS year FROM ts) SELECT DISTINCT px, CAST(year AS INTEGER) AS year FROM y WHERE value > 50 AND date BETWEEN make_date(year, 6, 1) - 60 AND make_date(year, 6, 1) + 424 AND NOT (px % 2 = 0 AND year < 1996)")
+def _(spark, sf):
+    """Only years and pixels that another run has not done."""
+    rows = ts(spark, sf)
+    done = rows.select("px").distinct().filter("px % 2 = 0").withColumn("year", F.explode(F.array(F.lit(1994), F.lit(1995))))
+    return series.reconstructed(rows, PX, _slices(), "linear", steps={"prefill": False, "outliers": False}, done=done).select("px", "year").distinct()
+
+
+@query("op_R3_prepared_lines", f"""WITH {TS}, v AS (SELECT px, date, CASE WHEN value > 50 THEN CAST(value AS DOUBLE) END AS v FROM ts), a AS (SELECT px, date, v, lag(v) OVER w AS p, lead(v) OVER w AS q, lag(date) OVER w AS dp, lead(date) OVER w AS dq FROM v WHERE v IS NOT NULL WINDOW w AS (PARTITION BY px ORDER BY date)),
+ l AS (SELECT *, p + (q - p) * ((date - dp) / CAST(dq - dp AS DOUBLE)) AS line FROM a), k AS (SELECT px, date AS d, v FROM l WHERE NOT coalesce(date - dp <= 120 AND dq - date <= 120 AND abs(v - line) > 0.2 * abs(line), false)),
+ o AS (SELECT px, dd AS date FROM (SELECT DISTINCT px FROM k), (SELECT unnest([DATE '1996-06-01', DATE '1996-09-14', DATE '1997-02-28']) AS dd)), n AS (SELECT o.px, date, max(CASE WHEN d <= date THEN {{'d': d, 'v': v}} END) AS a, min(CASE WHEN d >= date THEN {{'d': d, 'v': v}} END) AS b FROM o JOIN k ON o.px = k.px GROUP BY o.px, date)
+ SELECT px, date, round(coalesce(a.v + (b.v - a.v) * ((date - a.d) / CAST(nullif(b.d - a.d, 0) AS DOUBLE)), a.v, b.v), 5) AS value FROM n""")
+def _(spark, sf):
+    """Low values and spikes out, then straight lines between what is left."""
+    days = [date(1996, 6, 1), date(1996, 9, 14), date(1997, 2, 28)]
+    whole = {1996: (date(1900, 1, 1), date(2100, 1, 1), days)}
+    out = series.reconstructed(ts(spark, sf), PX, whole, "linear", least=1, steps={"prefill": False})
+    return out.select("px", "date", F.round("value", 5).alias("value"))
+
+
+@query("op_R9_fused", f"""WITH {TS}, a AS (SELECT px, date, value * 1.1e0 + 20 AS v FROM ts WHERE date < DATE '1996-01-01' OR px % 2 = 0), b AS (SELECT px, date, CAST(value AS DOUBLE) AS v FROM ts WHERE value > 3000),
+ j AS (SELECT coalesce(a.px, b.px) AS px, coalesce(a.date, b.date) AS date, coalesce(b.v, a.v) AS value, CASE WHEN b.v IS NOT NULL THEN 'fine' ELSE 'coarse' END AS sensor FROM a FULL JOIN b ON a.px = b.px AND a.date = b.date) SELECT px, date, round(value, 4) AS value, sensor FROM j""")
+def _(spark, sf):
+    from ..operators.fusion import fused
+
+    rows = ts(spark, sf)
+    both = {"fine": rows.filter("value > 3000"), "coarse": rows.filter("date < date'1996-01-01' or px % 2 = 0")}
+    return fused(both, PX, linear={"coarse": (1.1, 20.0)}).select("px", "date", F.round("value", 4).alias("value"), "sensor")
 
 
 def _regular(year: int) -> list[date]:

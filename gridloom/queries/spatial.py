@@ -186,6 +186,30 @@ def _(spark, sf):
     return segments.cut_fields(raster(spark, sf).withColumn("m", F.when(c("value") > 8, 1).otherwise(0)), [], "m", N_COLS)
 
 
+@query("op_F15_watershed")
+def _(spark, sf):
+    """Basins of the smoothed raster inside fields, in four images."""
+    r = raster(spark, sf)
+    rows = focal.focal_mean(r, [], 1, n_rows(r), N_COLS, "value", "height").withColumn("cell", F.floor(c("col") / 13))
+    rows = rows.withColumn("m", segments.extent_mask(c("height") * 20, c("price"), 0.98, 0.2))
+    return segments.watershed(rows, ["cell"], "height", "m", 5)
+
+
+@query("op_F15_extent_mask", f"WITH {RASTER} SELECT row, col, CAST(CASE WHEN price > 950 THEN 0 WHEN value * 20 > 300 THEN 1 ELSE 0 END AS INTEGER) AS mask FROM ras")
+def _(spark, sf):
+    return raster(spark, sf).select("row", "col", segments.extent_mask(c("value") * 20, c("price"), 0.95, 0.3).alias("mask"))
+
+
+@query("op_R3_spatio_temporal", f"""WITH {RASTER}, s AS (SELECT row, col, unnest([1, 2, 3]) AS t, value, price FROM ras WHERE row < 20), v AS (SELECT row, col, t, value * 10e0 + t * 40 + price % 7 AS v FROM s),
+ w AS (SELECT a.row, a.col, a.t, b.v, exp(-0.5e0 * (pow(b.t - a.t, 2) + pow(b.row - a.row, 2) + pow(b.col - a.col, 2) + pow((b.v - a.v) / 100, 2))) AS w FROM v a JOIN v b ON abs(a.row - b.row) <= 1 AND abs(a.col - b.col) <= 1 AND abs(a.t - b.t) <= 1) SELECT row, col, t, round(sum(w * v) / sum(w), 5) AS value FROM w GROUP BY row, col, t""")
+def _(spark, sf):
+    from ..operators.series import spatio_temporal
+
+    rows = raster(spark, sf).filter("row < 20").withColumn("t", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    rows = rows.select("row", "col", "t", (c("value") * 10.0 + c("t") * 40 + c("price") % 7).alias("value"))
+    return spatio_temporal(rows, [], day="t", colour=100.0).select("row", "col", "t", F.round("value", 5).alias("value"))
+
+
 @query("op_F17_saliency", f"""WITH {RASTER}, s AS (SELECT row, col, value * 200 * 0.0255e0 AS value FROM ras), mean AS (SELECT avg(CASE WHEN value <> 0 THEN value END) AS m FROM s), {_halo(2, 0, src='s')},
  g AS (SELECT a.row, a.col, sum(b.value * [1, 4, 6, 4, 1][b.row - a.row + 3] * [1, 4, 6, 4, 1][b.col - a.col + 3]) / 256e0 AS v FROM s a JOIN halo b ON abs(a.row - b.row) <= 2 AND abs(a.col - b.col) <= 2 GROUP BY a.row, a.col) SELECT row, col, round(abs(v - m), 6) AS saliency FROM g, mean""")
 def _(spark, sf):

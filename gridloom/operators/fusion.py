@@ -101,7 +101,8 @@ def fill_from_nearest(df: DataFrame, keys: list[str], value: str, day: str, most
     w = Window.partitionBy(*keys).orderBy(day)
     known = F.when(F.col(value).isNotNull(), F.struct(F.col(day).alias("d"), F.col(value).alias("v")))
     a = F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    b = F.first(known, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    falling = Window.partitionBy(*keys).orderBy(F.col(day).desc())
+    b = F.last(known, ignorenulls=True).over(falling.rowsBetween(Window.unboundedPreceding, 0))
     rows = df.withColumn("gl_a", a).withColumn("gl_b", b)
     da, db = F.datediff(F.col(day), F.col("gl_a.d")), F.datediff(F.col("gl_b.d"), F.col(day))
     use_a = F.col("gl_b").isNull() | (F.col("gl_a").isNotNull() & (da <= db))

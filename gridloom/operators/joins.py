@@ -10,38 +10,39 @@ from pyspark.sql import functions as F
 from ..functions.dates import day_distance
 
 
-def as_of(events: DataFrame, obs: DataFrame, keys: list[str], event_day: str, obs_day: str, value: str, direction: str = "backward", strict: bool = False) -> DataFrame:
-    """Every event with ``asof_day`` and ``asof_value``: the latest observation up to it (``backward``) or the earliest from it on (``forward``).
+def beside(events: DataFrame, obs: DataFrame, keys: list[str], event_day: str, obs_day: str, value: str, before: str | None, after: str | None) -> DataFrame:
+    """Every event with ``gl_a``, the latest observation before it, and ``gl_b``, the earliest after it: struct(d, v).  Each side is None, "near" (the
+    event's own day counts) or "strict".
 
-    Events and observations are put in one order per key and the last (next)
-    observation is carried along, so an event never meets all observations of
-    its key: one shuffle, one sort, no pairs.  ``strict`` leaves out the same day.
+    Events and observations are put in one order per key and the last observation is carried along, onwards and backwards, so an event
+    never meets all observations of its key: one shuffle, a sort for each side, no pairs.  Of one day the larger value counts.
     """
     carried = [c for c in events.columns if c not in keys]
     e = events.select(*keys, F.struct(*carried).alias("gl_e"), F.col(event_day).alias("gl_t"), F.lit(None).cast(obs.schema[value].dataType).alias("gl_v"), F.lit(False).alias("gl_is"))
     o = obs.filter(F.col(value).isNotNull()).select(*keys, F.lit(None).cast(e.schema["gl_e"].dataType).alias("gl_e"), F.col(obs_day).alias("gl_t"), F.col(value).alias("gl_v"), F.lit(True).alias("gl_is"))
-    back = direction == "backward"
-    # Of one day, observations come where they count for the event and ties keep the larger value.
-    first = F.col("gl_is").desc() if back != strict else F.col("gl_is").asc()
-    order = [F.col("gl_t").asc(), first, F.col("gl_v").asc()]
-    w = Window.partitionBy(*keys).orderBy(*order)
     found = F.when(F.col("gl_is"), F.struct(F.col("gl_t").alias("d"), F.col("gl_v").alias("v")))
     rows = e.unionByName(o)
-    if back:
-        rows = rows.withColumn("gl_f", F.last(found, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    else:
-        first = F.col("gl_is").asc() if not strict else F.col("gl_is").desc()
-        w = Window.partitionBy(*keys).orderBy(F.col("gl_t").asc(), first, F.col("gl_v").desc())
-        rows = rows.withColumn("gl_f", F.first(found, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
-    out = rows.filter(~F.col("gl_is"))
-    return out.select(*keys, *(F.col(f"gl_e.`{c}`").alias(c) for c in carried), F.col("gl_f.d").alias("asof_day"), F.col("gl_f.v").alias("asof_value"))
+    for side, time, name in ((before, F.col("gl_t").asc(), "gl_a"), (after, F.col("gl_t").desc(), "gl_b")):
+        if side:
+            first = F.col("gl_is").desc() if side == "near" else F.col("gl_is").asc()
+            w = Window.partitionBy(*keys).orderBy(time, first, F.col("gl_v").asc()).rowsBetween(Window.unboundedPreceding, 0)
+            rows = rows.withColumn(name, F.last(found, ignorenulls=True).over(w))
+    sides = [n for n, s in (("gl_a", before), ("gl_b", after)) if s]
+    return rows.filter(~F.col("gl_is")).select(*keys, *(F.col(f"gl_e.`{c}`").alias(c) for c in carried), *sides)
+
+
+def as_of(events: DataFrame, obs: DataFrame, keys: list[str], event_day: str, obs_day: str, value: str, direction: str = "backward", strict: bool = False) -> DataFrame:
+    """Every event with ``asof_day`` and ``asof_value``: the latest observation up to it (``backward``) or the earliest from it on (``forward``); ``strict`` leaves out the same day."""
+    side = "strict" if strict else "near"
+    back = direction == "backward"
+    out, name = beside(events, obs, keys, event_day, obs_day, value, side if back else None, None if back else side), "gl_a" if back else "gl_b"
+    return out.withColumn("asof_day", F.col(f"{name}.d")).withColumn("asof_value", F.col(f"{name}.v")).drop(name)
 
 
 def pre_post(events: DataFrame, obs: DataFrame, keys: list[str], event_day: str, obs_day: str, value: str) -> DataFrame:
     """Events with the latest positive value before them and the earliest from them on, and the days between (pre negative)."""
-    good = obs.filter(F.col(value) > 0)
-    pre = as_of(events, good, keys, event_day, obs_day, value, "backward", strict=True).withColumnsRenamed({"asof_day": "pre_day", "asof_value": "pre"})
-    both = as_of(pre, good, keys, event_day, obs_day, value, "forward").withColumnsRenamed({"asof_day": "post_day", "asof_value": "post"})
+    both = beside(events, obs.filter(F.col(value) > 0), keys, event_day, obs_day, value, "strict", "near")
+    both = both.withColumns({"pre_day": F.col("gl_a.d"), "pre": F.col("gl_a.v"), "post_day": F.col("gl_b.d"), "post": F.col("gl_b.v")}).drop("gl_a", "gl_b")
     return both.withColumn("predelta", F.datediff("pre_day", event_day)).withColumn("postdelta", F.datediff("post_day", event_day))
 
 
@@ -50,12 +51,11 @@ def usable(prepost: DataFrame, max_pre: int, max_post: int) -> DataFrame:
 
 
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], left_day: str, right_day: str, value: str) -> DataFrame:
-    """Each row of ``left`` with the value of the nearest day, the earlier of two: the nearer of both as-of values."""
-    a = as_of(left, right, keys, left_day, right_day, value, "backward").withColumnsRenamed({"asof_day": "gl_ad", "asof_value": "gl_av"})
-    b = as_of(a, right, keys, left_day, right_day, value, "forward").withColumnsRenamed({"asof_day": "gl_bd", "asof_value": "gl_bv"})
-    da, db = F.datediff(left_day, "gl_ad"), F.datediff("gl_bd", left_day)
-    use_a = F.col("gl_bd").isNull() | (F.col("gl_ad").isNotNull() & (da <= db))
-    return b.withColumn("near_day", F.when(use_a, F.col("gl_ad")).otherwise(F.col("gl_bd"))).withColumn("near_value", F.when(use_a, F.col("gl_av")).otherwise(F.col("gl_bv"))).drop("gl_ad", "gl_av", "gl_bd", "gl_bv")
+    """Each row of ``left`` with the value of the nearest day, the earlier of two."""
+    both = beside(left, right, keys, left_day, right_day, value, "near", "near")
+    da, db = F.datediff(left_day, "gl_a.d"), F.datediff("gl_b.d", left_day)
+    near = F.when(F.col("gl_b").isNull() | (da <= db), F.col("gl_a")).otherwise(F.col("gl_b"))
+    return both.withColumn("gl_n", near).withColumn("near_day", F.col("gl_n.d")).withColumn("near_value", F.col("gl_n.v")).drop("gl_a", "gl_b", "gl_n")
 
 
 def within_days_of_year(left: DataFrame, right: DataFrame, keys: list[str], left_day: str, right_day: str, days: int, years: int) -> DataFrame:

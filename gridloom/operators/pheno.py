@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import season_day
-from .series import by, forward_fill
+from .series import by, by_falling, forward_fill
 from .stats import trunc, valid
 
 LOW, HIGH = 0, 10000
@@ -67,33 +67,42 @@ def as_frequency(events: DataFrame, freq: str) -> Column:
     return F.col("first_doy") if freq == "doy" else F.when(F.col("first_doy") == 0, 0).otherwise(F.month("first_date"))
 
 
-def suppressed(df: DataFrame, keys: list[str], rounds: int, inverted: bool, day: str) -> DataFrame:
-    """``gl_c`` after ``rounds`` of suppression by the neighbours t steps ahead and behind."""
+def suppressed(df: DataFrame, keys: list[str], rounds: int, inverted: bool, day: str, name: str = "gl_c") -> DataFrame:
+    """``name`` after ``rounds`` of suppression by the neighbours t steps ahead and behind."""
     w, mark = by(keys, day), 10000 if inverted else 1
     lost = 32767 if inverted else 0
     for t in range(1, rounds + 1):
         for step in (F.lead, F.lag):
-            other = step("gl_c", t).over(w)
-            against = F.col("gl_c") - F.coalesce(other, F.lit(lost))
-            flat = F.coalesce(step("gl_c", t - 1).over(w) == mark, F.lit(False)) if t >= 2 else F.lit(False)
-            keep = (against <= 0 if inverted else against >= 0) | (F.col("gl_c") == mark) | flat
-            df = df.withColumn("gl_c", F.when(keep, F.col("gl_c")).otherwise(lost))
+            other = step(name, t).over(w)
+            against = F.col(name) - F.coalesce(other, F.lit(lost))
+            flat = F.coalesce(step(name, t - 1).over(w) == mark, F.lit(False)) if t >= 2 else F.lit(False)
+            keep = (against <= 0 if inverted else against >= 0) | (F.col(name) == mark) | flat
+            df = df.withColumn(name, F.when(keep, F.col(name)).otherwise(lost))
     return df
 
 
-def peaks(df: DataFrame, keys: list[str], sigdif: int = 500, inverted: bool = False, rounds: int = 9, value: str = "value", day: str = "date") -> DataFrame:
-    """keys, n, first_date, first_value, last_date, last_value, base: peaks (troughs) at least ``sigdif`` past the median of positive values."""
-    base = F.median(F.when(F.col(value) > 0, F.col(value))).over(Window.partitionBy(*keys))
-    rows = df.withColumn("gl_base", base)
+def marked_peaks(df: DataFrame, keys: list[str], sigdif: int, inverted: bool, rounds: int, value: str, day: str, name: str) -> DataFrame:
+    """``name``: struct(d, v) at peaks (troughs) at least ``sigdif`` past ``gl_base``, which is there; null elsewhere."""
+    v = F.col(value)
     if inverted:
-        rows = rows.withColumn("gl_c", F.when((F.col(value) < F.col("gl_base")) & (F.col(value) > 0), F.col(value).cast("double")).otherwise(F.lit(10000.0)))
+        start = F.when((v < F.col("gl_base")) & (v > 0), v.cast("double")).otherwise(F.lit(10000.0))
     else:
-        rows = rows.withColumn("gl_c", F.when(F.col(value) > F.col("gl_base"), F.col(value).cast("double")).otherwise(F.lit(1.0)))
-    rows = suppressed(rows, keys, rounds, inverted, day)
-    past = F.col("gl_c") <= F.col("gl_base") - sigdif if inverted else F.col("gl_c") >= F.col("gl_base") + sigdif
-    at = F.when(past, F.struct(F.col(day).alias("d"), F.col(value).alias("v")))
-    out = rows.groupBy(*keys).agg(F.count_if(past).alias("n"), F.min(at).alias("a"), F.max(at).alias("b"), F.max("gl_base").alias("base"))
-    return out.select(*keys, "n", F.col("a.d").alias("first_date"), F.col("a.v").alias("first_value"), F.col("b.d").alias("last_date"), F.col("b.v").alias("last_value"), "base")
+        start = F.when(v > F.col("gl_base"), v.cast("double")).otherwise(F.lit(1.0))
+    rows = suppressed(df.withColumn(name, start), keys, rounds, inverted, day, name)
+    past = F.col(name) <= F.col("gl_base") - sigdif if inverted else F.col(name) >= F.col("gl_base") + sigdif
+    return rows.withColumn(name, F.when(past, F.struct(F.col(day).alias("d"), v.alias("v"))))
+
+
+def with_base(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``gl_base``: the median of a series' positive values."""
+    return df.withColumn("gl_base", F.median(F.when(F.col(value) > 0, F.col(value))).over(Window.partitionBy(*keys)))
+
+
+def peaks(df: DataFrame, keys: list[str], sigdif: int = 500, inverted: bool = False, rounds: int = 9, value: str = "value", day: str = "date") -> DataFrame:
+    """keys, n, first_date, first_value, last_date, last_value, base: peaks (troughs) at least ``sigdif`` past the median of positive values."""
+    rows = marked_peaks(with_base(df, keys, value), keys, sigdif, inverted, rounds, value, day, "gl_c")
+    out = rows.groupBy(*keys).agg(F.count("gl_c").alias("n"), F.min("gl_c").alias("gl_a"), F.max("gl_c").alias("gl_b"), F.max("gl_base").alias("base"))
+    return out.select(*keys, "n", F.col("gl_a.d").alias("first_date"), F.col("gl_a.v").alias("first_value"), F.col("gl_b.d").alias("last_date"), F.col("gl_b.v").alias("last_value"), "base")
 
 
 def derivative(keys: list[str], value: str = "value", day: str = "date") -> Column:
@@ -119,7 +128,7 @@ def peaks_by_derivative(df: DataFrame, keys: list[str], least: int = 3000, base:
     before = F.lag("gl_g").over(w)
     rows = rows.withColumn("gl_top", F.coalesce((F.col("gl_g") < 0) & (before > 0) & (F.col(value) >= least), F.lit(False)))
     rows = rows.withColumn("gl_turn", F.when(F.col("gl_top") | ((F.col("gl_g") > 0) & (before < 0) & (F.col(value) <= base)), F.col(value)))
-    last, following = F.last("gl_turn", ignorenulls=True).over(w), F.first("gl_turn", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    last, following = F.last("gl_turn", ignorenulls=True).over(w), F.last("gl_turn", ignorenulls=True).over(by_falling(keys, day))
     rows = rows.withColumn("gl_line", F.coalesce(last, following))
     step = F.abs(F.col("gl_line") - F.lag("gl_line").over(w))
     rows = rows.withColumn("gl_peak", F.coalesce(F.col("gl_top") & ((step >= least - base) | (step == 0)), F.lit(False)))
@@ -162,14 +171,25 @@ def _side(rows: DataFrame, keys: list[str], method: str, limit: int, value: str,
     return out.select(*keys, F.col("at.d").alias("sos" if before else "eos"), F.col("at.v").alias("sosv" if before else "eosv"))
 
 
-def season_features(df: DataFrame, keys: list[str], first_day: int, sigdif: int = 500, value: str = "value", day: str = "date") -> DataFrame:
-    """numrot, posd, posv, numlow, tosd, tosv, p1amp, sosd, sosv, eosd, eosv, rog, ros, los by key; 0 (values: the median) where there is no peak."""
-    up, down = peaks(df, keys, sigdif, False, value=value, day=day), peaks(df, keys, sigdif, True, value=value, day=day)
-    sos, eos = greenup(df, up.filter("n > 0"), keys, value=value, day=day), senescence(df, up.filter("n > 0"), keys, value=value, day=day)
+def season_features(df: DataFrame, keys: list[str], first_day: int, sigdif: int = 500, value: str = "value", day: str = "date", rounds: int = 9, limit: int = 2000) -> DataFrame:
+    """numrot, posd, posv, numlow, tosd, tosv, p1amp, sosd, sosv, eosd, eosv, rog, ros, los by key; 0 (values: the median) where there is no peak.
+
+    Peaks and troughs are marked in one order of the series; the first peak then parts its images, and one aggregation
+    gives all features.
+    """
+    rows = with_base(df, keys, value)
+    for name, inverted in (("gl_up", False), ("gl_down", True)):
+        rows = marked_peaks(rows, keys, sigdif, inverted, rounds, value, day, name)
+    rows = rows.withColumn("gl_first", F.min("gl_up").over(Window.partitionBy(*keys)))
+    at, peak = F.struct(F.col(day).alias("d"), F.col(value).alias("v")), F.col("gl_first.d")
+    before, after, under = F.col(day) < peak, F.col(day) > peak, F.col(value) < limit
+    both = rows.groupBy(*keys).agg(
+        F.count("gl_up").alias("numrot"), F.max("gl_first").alias("gl_p"), F.max("gl_base").alias("gl_m"), F.count("gl_down").alias("numlow"), F.max("gl_down").alias("gl_t"),
+        F.coalesce(F.max(F.when(before & under, at)), F.min(F.when(before, at))).alias("gl_s"), F.coalesce(F.min(F.when(after & under, at)), F.max(F.when(after, at))).alias("gl_e"),
+    )
+    names = {"pd": "gl_p.d", "pv": "gl_p.v", "td": "gl_t.d", "tv": "gl_t.v", "sos": "gl_s.d", "sosv": "gl_s.v", "eos": "gl_e.d", "eosv": "gl_e.v"}
+    both = both.select(*keys, "numrot", "numlow", trunc(F.col("gl_m")).alias("mid"), *(F.col(c).alias(n) for n, c in names.items()))
     has, low = F.col("numrot") > 0, F.col("numlow") > 0
-    both = up.select(*keys, F.col("n").alias("numrot"), F.col("first_date").alias("pd"), F.col("first_value").alias("pv"), trunc(F.col("base")).alias("mid"))
-    both = both.join(down.select(*keys, F.col("n").alias("numlow"), F.col("last_date").alias("td"), F.col("last_value").alias("tv")), keys)
-    both = both.join(sos, keys, "left").join(eos, keys, "left")
     date_or_0 = lambda c, ok: F.when(ok, F.coalesce(season_day(F.col(c), first_day), F.lit(0))).otherwise(0)
     both = both.withColumn("posd", date_or_0("pd", has)).withColumn("posv", F.when(has, F.col("pv")).otherwise(F.col("mid")))
     both = both.withColumn("tosd", date_or_0("td", low)).withColumn("tosv", F.when(low, F.col("tv")).otherwise(F.col("mid")))

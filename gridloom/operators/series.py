@@ -19,6 +19,11 @@ def by(keys: list[str], day: str = "date"):
     return Window.partitionBy(*keys).orderBy(day)
 
 
+def by_falling(keys: list[str], day: str = "date"):
+    """From each image on to the last: what comes after is behind in this order, so that a frame grows row by row."""
+    return Window.partitionBy(*keys).orderBy(F.col(day).desc()).rowsBetween(Window.unboundedPreceding, 0)
+
+
 def merge_same_day(df: DataFrame, keys: list[str], value: Column, day: str = "date", name: str = "value") -> DataFrame:
     """Scenes of one day merged by the largest value of an index."""
     return df.groupBy(*keys, day).agg(F.max(value).alias(name))
@@ -58,8 +63,10 @@ def forward_fill(value: str | Column, keys: list[str], limit: int | None = None,
 
 
 def backward_fill(value: str | Column, keys: list[str], limit: int | None = None, day: str = "date") -> Column:
-    frame = by(keys, day).rowsBetween(0, Window.unboundedFollowing if limit is None else limit)
-    return F.first(value, ignorenulls=True).over(frame)
+    """The next value that is not null, at most ``limit`` images on."""
+    if limit is None:
+        return F.last(value, ignorenulls=True).over(by_falling(keys, day))
+    return F.first(value, ignorenulls=True).over(by(keys, day).rowsBetween(0, limit))
 
 
 def nulls_in_last(value: str, keys: list[str], n: int, day: str = "date") -> Column:
@@ -74,7 +81,7 @@ def interpolated(value: str, keys: list[str], day: str = "date") -> Column:
     w = by(keys, day)
     known = F.when(F.col(value).isNotNull(), F.struct(F.col(day).alias("d"), F.col(value).cast("double").alias("v")))
     before = F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(known, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    after = F.last(known, ignorenulls=True).over(by_falling(keys, day))
     span = F.datediff(after["d"], before["d"])
     part = F.datediff(F.col(day), before["d"]) / F.when(span > 0, span)
     line = before["v"] + (after["v"] - before["v"]) * part

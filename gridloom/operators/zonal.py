@@ -70,8 +70,10 @@ def shown(x: Column, decimals: int | None) -> Column:
 def summary(df: DataFrame, zone: list[str], value: str, nodata: int | None = None, decimals: int | None = None) -> DataFrame:
     """avg, med, std (population) and quartiles by zone; zones without a value give 0."""
     v = F.col(value) if nodata is None else F.when(F.col(value) != nodata, F.col(value))
-    stats = {"avg": F.avg(v), "med": F.median(v), "std": F.stddev_pop(v), "q10": F.percentile(v, 0.1), "q25": F.percentile(v, 0.25), "q75": F.percentile(v, 0.75), "q90": F.percentile(v, 0.9)}
-    return df.groupBy(*zone).agg(*(F.coalesce(shown(s, decimals), F.lit(0)).alias(n) for n, s in stats.items()))
+    rows = df.groupBy(*zone).agg(F.avg(v).alias("gl_avg"), F.stddev_pop(v).alias("gl_std"), F.percentile(v, F.array(*(F.lit(x) for x in (0.1, 0.25, 0.5, 0.75, 0.9)))).alias("gl_q"))
+    level = lambda i: F.get("gl_q", F.lit(i))
+    stats = {"avg": F.col("gl_avg"), "med": level(2), "std": F.col("gl_std"), "q10": level(0), "q25": level(1), "q75": level(3), "q90": level(4)}
+    return rows.select(*zone, *(F.coalesce(shown(s, decimals), F.lit(0)).alias(n) for n, s in stats.items()))
 
 
 def majority(df: DataFrame, zone: list[str], value: str) -> DataFrame:

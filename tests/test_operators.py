@@ -191,3 +191,52 @@ def test_row_order_does_not_matter(spark):
     a = pheno.significant_change(days(spark, v), ["px"], -800).collect()
     b = pheno.significant_change(days(spark, v).repartition(3).orderBy(F.rand(1)), ["px"], -800).collect()
     assert a == b
+
+
+def test_season_features(spark):
+    """All features against plain Python."""
+    import random
+
+    r = random.Random(12)
+    data = {px: [r.choice([int(3000 + 2500 * math.sin(i / r.choice([2, 3])) + r.randint(0, 900)), r.randint(1, 6000)]) for i in range(r.randint(3, 40))] for px in range(60)}
+    df = spark.createDataFrame([(px, D0 + timedelta(5 * i), v) for px, s in data.items() for i, v in enumerate(s)], "px int, date date, value int")
+    day = lambda i: (D0 + timedelta(5 * i)).timetuple().tm_yday
+    for row in pheno.season_features(df, ["px"], 1).collect():
+        v = data[row["px"]]
+        base = float(np.median([x for x in v if x > 0]))
+        up = [i for i, x in enumerate(suppress(v, base, False)) if x >= base + 500]
+        down = [i for i, x in enumerate(suppress(v, base, True)) if x <= base - 500]
+        mid = int(base)
+        posd, posv = (day(up[0]), v[up[0]]) if up else (0, mid)
+        tosd, tosv = (day(down[-1]), v[down[-1]]) if down else (0, mid)
+        amp = posv - tosv if up and down else mid - tosv if down else posv - mid if up else 0
+        sos = eos = None
+        if up:
+            b, a = range(up[0]), range(up[0] + 1, len(v))
+            sos = max((i for i in b if v[i] < 2000), default=min(b, default=None))
+            eos = min((i for i in a if v[i] < 2000), default=max(a, default=None))
+        sosd, eosd = (day(i) if i is not None else 0 for i in (sos, eos))
+        rate = lambda i, d: 0 if d == 0 or posd == d else int((posv - v[i]) / (posd - d))  # noqa: B023, E731
+        want = (len(up), posd, posv, len(down), tosd, tosv, max(amp, 0), sosd, eosd, rate(sos, sosd), rate(eos, eosd), 0 if 0 in (sosd, eosd) else eosd - sosd)
+        got = tuple(row[c] for c in ("numrot", "posd", "posv", "numlow", "tosd", "tosv", "p1amp", "sosd", "eosd", "rog", "ros", "los"))
+        assert got == want, row["px"]
+
+
+def test_nearest_and_sides(spark):
+    """Ties of days and values, and both sides at once, against plain Python."""
+    import random
+
+    r = random.Random(13)
+    obs = [(r.randint(0, 3), D0 + timedelta(r.randint(0, 30)), r.choice([None, -5, 7, 9, 11])) for _ in range(60)]
+    ev = [(r.randint(0, 4), i, D0 + timedelta(r.randint(0, 30))) for i in range(80)]
+    o, e = spark.createDataFrame(obs, "px int, date date, value int"), spark.createDataFrame(ev, "px int, id int, day date")
+    near = {x["id"]: (x["near_day"], x["near_value"]) for x in joins.nearest(e, o, ["px"], "day", "date", "value").collect()}
+    sides = {x["id"]: (x["pre_day"], x["pre"], x["post_day"], x["post"]) for x in joins.pre_post(e, o, ["px"], "day", "date", "value").collect()}
+    for px, i, day in ev:
+        mine = [(d, v) for p, d, v in obs if p == px and v is not None]
+        best = min(mine, key=lambda x: (abs((x[0] - day).days), x[0], -x[1]), default=(None, None))  # noqa: B023
+        assert near[i] == best
+        good = [x for x in mine if x[1] > 0]
+        a = max((x for x in good if x[0] < day), default=(None, None))
+        b = min((x for x in good if x[0] >= day), key=lambda x: (x[0], -x[1]), default=(None, None))
+        assert sides[i] == (*a, *b)

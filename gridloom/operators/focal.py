@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import checked_broadcast, kept
+
 
 def mirrored(df: DataFrame, half: int, n_rows: int, n_cols: int, repeat_edge: bool = True) -> DataFrame:
     """Pixels and their mirror images up to ``half`` beyond the edges; the edge pixel itself is repeated or not."""
@@ -168,7 +170,7 @@ def saliency(df: DataFrame, keys: list[str], n_rows: int, n_cols: int, value: st
         taps = [F.max("gl_v").over(lines(keys, along, k, k)) * x for k, x in zip(range(-2, 3), (1, 4, 6, 4, 1), strict=True)]
         rows = rows.withColumn("gl_v", (taps[0] + taps[1] + taps[2] + taps[3] + taps[4]) / 16)
     rows = cropped(rows, n_rows, n_cols)
-    both = rows.join(F.broadcast(mean), keys) if keys else rows.crossJoin(F.broadcast(mean))  # a row a cell
+    both = rows.join(checked_broadcast(mean), keys) if keys else rows.crossJoin(F.broadcast(mean))  # a row a cell
     return both.withColumn(name, F.abs(F.col("gl_v") - F.col("gl_mean"))).drop("gl_v", "gl_mean")
 
 
@@ -296,14 +298,29 @@ def glcm_properties(p: np.ndarray, names: list[str]) -> dict[str, np.ndarray]:
 def equalised(df: DataFrame, ref: DataFrame, value: str, name: str = "matched") -> DataFrame:
     """Histogram matching: each value becomes the smallest reference value whose cumulative share is at least its own.
 
-    Both histograms are tables of distinct values; the shares meet in one sort.
+    Both histograms are tables of distinct values.  Cumulative counts go by ranges of values, so that no task orders them all;
+    each reference value owns the shares from that of the one before it, and a value looks its share up there.
     """
-    share = lambda t: t.groupBy(value).agg(F.count(F.lit(1)).alias("n")).withColumn("s", F.sum("n").over(Window.orderBy(value)) / F.sum("n").over(Window.partitionBy()))  # noqa: E731  a row a value
-    a = share(df).select(F.round("s", 12).alias("s"), F.col(value).alias("from"), F.lit(None).cast(ref.schema[value].dataType).alias("to"))
-    b = share(ref).select(F.round("s", 12).alias("s"), F.lit(None).cast(df.schema[value].dataType).alias("from"), F.col(value).alias("to"))
-    after = Window.orderBy(F.col("s"), F.col("to").isNotNull()).rowsBetween(0, Window.unboundedFollowing)
-    lut = a.unionByName(b).withColumn("to", F.first("to", ignorenulls=True).over(after)).filter(F.col("from").isNotNull())
-    return df.join(F.broadcast(lut.select(F.col("from").alias(value), F.col("to").alias(name))), value, "left")
+
+    def shares(t: DataFrame) -> DataFrame:
+        counts = kept(t.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n")))
+        total = counts.agg(F.sum("n").alias("n")).first()["n"] or 1
+        parts = kept(counts.repartitionByRange(64, value).withColumn("part", F.spark_partition_id()))
+        before = parts.groupBy("part").agg(F.sum("n").alias("sum")).withColumn("before", F.coalesce(F.sum("sum").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # 64 rows
+        upto = F.sum("n").over(Window.partitionBy("part").orderBy(value))
+        return parts.withColumn("upto", upto).join(F.broadcast(before.select("part", "before")), "part").select(value, F.round((F.col("upto") + F.col("before")) / total, 12).alias("s"))
+
+    # The shares of both meet in one order: of 1,000 ranges of shares each, so that a range is a key of its own.
+    a = shares(df).select("s", F.col(value).alias("from"), F.lit(None).cast(ref.schema[value].dataType).alias("to"))
+    b = shares(ref).select("s", F.lit(None).cast(df.schema[value].dataType).alias("from"), F.col(value).alias("to"))
+    both = kept(a.unionByName(b).withColumn("bin", F.floor(F.col("s") * 1000).cast("int")))
+    bins = both.groupBy("bin").agg(F.min(F.when(F.col("to").isNotNull(), F.struct("s", "to")))["to"].alias("least"))
+    falling = Window.orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    following = bins.withColumn("next", F.last("least", ignorenulls=True).over(falling)).select(F.col("bin").alias("b"), "next")  # 1,001 rows
+    inside = Window.partitionBy("bin").orderBy(F.col("s").desc(), F.col("to").isNotNull().desc()).rowsBetween(Window.unboundedPreceding, 0)
+    lut = both.withColumn("own", F.last("to", ignorenulls=True).over(inside)).filter(F.col("from").isNotNull()).join(F.broadcast(following), F.col("bin") == F.col("b"))
+    lut = lut.select(F.col("from").alias(value), F.coalesce("own", "next").alias(name))
+    return df.join(checked_broadcast(kept(lut)), value, "left")
 
 
 def resampled(df: DataFrame, keys: list[str], factor: int, value: str = "value", how: str = "avg") -> DataFrame:

@@ -70,10 +70,10 @@ def permutation_importance(model, test: DataFrame, label: str, seed: int = 88) -
     hit = lambda df: predict(model, df).agg(F.avg((F.col("pred") == F.col(label)).cast("double")).alias("a"))
     test = test.withColumn("gl_i", F.xxhash64(F.struct(*test.columns), F.lit(0)))
     base = hit(test).select(F.col("a").alias("base"))
+    groups = test.count() // 20_000 + 1  # values move within groups of rows that a hash deals out
     rows = []
     for c in feature_columns(test):
-        n = 64  # values move within groups of rows that a hash deals out
-        group = F.pmod("gl_i", F.lit(n))
+        group = F.pmod("gl_i", F.lit(groups))
         from pyspark.sql import Window
 
         a = Window.partitionBy("gl_g").orderBy("gl_i")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, grammar, indices
 from ..operators import catalog, fusion, joins, masks, models, rules, sampling, scores, series, zonal
-from ..sources.shared import new_folder
+from ..sources.shared import checked_broadcast, new_folder
 from ..streaming import streams
 from .base import CLASSES, CODES, DAILY, GAPPY, OBS, TS, classes, daily, gappy, obs, query, table, ts
 
@@ -102,7 +102,7 @@ def _(spark, sf):
 
 @query("op_P17_region_filter", "SELECT c_custkey, CASE WHEN n_regionkey IN (1, 3) THEN 0e0 ELSE c_acctbal END AS value FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def _(spark, sf):
-    both = table(spark, sf, "customer").join(F.broadcast(table(spark, sf, "nation")), c("c_nationkey") == c("n_nationkey"))
+    both = table(spark, sf, "customer").join(checked_broadcast(table(spark, sf, "nation")), c("c_nationkey") == c("n_nationkey"))
     return both.select("c_custkey", F.when(rules.in_region(c("n_regionkey"), [1, 3]), 0.0).otherwise(c("c_acctbal")).alias("value"))
 
 
@@ -150,7 +150,7 @@ def _(spark, sf):
 @query("op_J4_two_roles", "SELECT l.doc_id, a.r_name AS obs_name, b.r_name AS pred_name FROM labels l LEFT JOIN region a ON l.quality = a.r_regionkey LEFT JOIN region b ON l.toxic = b.r_regionkey")
 def _(spark, sf):
     names = table(spark, sf, "region")
-    role = lambda key, name: F.broadcast(names.select(c("r_regionkey").alias(key), c("r_name").alias(name)))
+    role = lambda key, name: checked_broadcast(names.select(c("r_regionkey").alias(key), c("r_name").alias(name)))
     return table(spark, sf, "labels").join(role("quality", "obs_name"), "quality", "left").join(role("toxic", "pred_name"), "toxic", "left").select("doc_id", "obs_name", "pred_name")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import catalog, focal, fusion, masks, rules, scores, segments, zonal
+from ..sources.shared import checked_broadcast
 from .base import N_COLS, RASTER, n_rows, query, raster, table
 
 r6 = lambda c: F.round(c, 6)
@@ -336,7 +337,7 @@ def _(spark, sf):
 
 @query("op_G4_zone_summary", f"WITH n AS (SELECT n_name AS zone, c_mktsegment, c_acctbal AS v FROM customer JOIN nation ON c_nationkey = n_nationkey) SELECT zone, c_mktsegment, {', '.join(f'coalesce(round({s}, 5), 0) AS {n}' for n, s in _Q.items())} FROM n GROUP BY zone, c_mktsegment")
 def _(spark, sf):
-    both = table(spark, sf, "customer").join(F.broadcast(table(spark, sf, "nation")), c("c_nationkey") == c("n_nationkey")).select(c("n_name").alias("zone"), "c_mktsegment", "c_acctbal")
+    both = table(spark, sf, "customer").join(checked_broadcast(table(spark, sf, "nation")), c("c_nationkey") == c("n_nationkey")).select(c("n_name").alias("zone"), "c_mktsegment", "c_acctbal")
     return zonal.summary(both, ["zone", "c_mktsegment"], "c_acctbal", decimals=5)
 
 

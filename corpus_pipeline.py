@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the one before
 it kept; all but the last return the columns of ``documents``.
+
+Defined results of every stage: a null text counts as empty; rows are told by
+doc_id and text, so rows that repeat an id, or have none, stay unless their texts
+are copies; rows that repeat an id and a text are copies; other columns are
+carried along, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -14,13 +19,13 @@ from gridloom.llm.shared import limit_batches, saved
 
 
 def rank_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score passes; learned from the labels of those in ``docs``."""
+    """Documents whose score passes, learned from the labels of those in ``docs``; without labels of both kinds all pass."""
     limit_batches(spark)
     return quality_classifier.keep_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal documents the one with the largest doc_id."""
+    """Of documents equal but for the case of A-Z the one with the largest doc_id; one without an id loses against any other."""
     return exact_dedup.drop_exact_duplicates(docs)
 
 
@@ -31,12 +36,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated, left out or cut so that sources come near their targets, shuffled."""
+    """Documents repeated, left out or cut so that sources come near their targets, shuffled; a null source is a source, a document without words is left out."""
     return mixing.mix(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences, each with the mixture of the corpus."""
+    """Pieces of token sequences, each with the mixture of the corpus; an empty text is its end id."""
     limit_batches(spark)
     return packing.pack_documents(docs, vocabulary(), end_id=2)
 

@@ -44,7 +44,7 @@ BANDS, ROWS = 32, 4
 #: Words of a fingerprint, and the bits in which those of one cell differ at most.
 WIDTH, RADIUS = 16, 272
 #: Shingles of a chunk of a cell, about; shares of a unit's texts from which a shingle is a bit of a row, not a list.
-CHUNK, DENSE = 1_000_000, 8
+CHUNK, DENSE = 250_000, 8
 
 _FACTORS = np.random.default_rng(5).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SEEDS = np.random.default_rng(6).integers(0, 2**63, WIDTH, dtype=np.uint64)
@@ -119,16 +119,17 @@ def alike(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     shingle, of = shingle[kept], of[kept]
     dense = times > max(1, n // DENSE)
     column = np.cumsum(dense) - 1
+    del times
     bits = np.zeros((n, -(-max(1, int(dense.sum())) // 64) * 64), np.uint8)
     is_dense = dense[shingle]
     bits[of[is_dense], column[shingle[is_dense]]] = 1
     rows = np.packbits(bits, axis=1).view(np.uint64)
     del bits
-    by_shingle = np.lexsort((of[~is_dense], shingle[~is_dense]))
-    listed, members = shingle[~is_dense][by_shingle], of[~is_dense][by_shingle]
-    begin, after = np.searchsorted(listed, np.arange(len(times))), np.searchsorted(listed, np.arange(len(times)), side="right")
-    own = np.searchsorted(of[~is_dense], np.arange(n + 1))
-    rare = shingle[~is_dense]
+    rare, of = shingle[~is_dense], of[~is_dense]
+    by_shingle = np.argsort(rare, kind="stable")
+    listed, members = rare[by_shingle], of[by_shingle]
+    begin, after = np.searchsorted(listed, np.arange(len(dense))), np.searchsorted(listed, np.arange(len(dense)), side="right")
+    own = np.searchsorted(of, np.arange(n + 1))
     end = np.searchsorted(size * LEAST[0], size * LEAST[1], side="right")  # the first that is too large
     group, left, right = np.arange(n), [], []
     for i in range(n - 1):
@@ -182,7 +183,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nodes = saved(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     each = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = saved(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket"), "buckets")
-    members = nodes.select("node", "fp", F.explode("bands").alias("bucket")).join(broadcast_if_small(shared), "bucket").select("bucket", "node", "fp")
+    members = saved(each.join(broadcast_if_small(shared), "bucket").select("bucket", "node"), "members")
+    members = members.join(nodes.select("node", "fp"), "node").select("bucket", "node", "fp")  # fingerprints of shared buckets only
     cells = saved(connected_components(saved(links_in_buckets(members, RADIUS), "near")), "cells")
 
     some = broadcast_if_small(saved(nodes.join(cells, "node").select("digest", "node", "component"), "some"))

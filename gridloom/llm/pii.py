@@ -41,7 +41,7 @@ KINDS = {
 }
 BASE = ("email", "ip", "card", "phone")
 #: The score that a pattern alone gives, and words near a span.
-PRIOR = {"email": 0.7, "ip": 0.5, "card": 0.4, "phone": 0.6, "iban": 0.4, "phone_local": 0.4, "ssn": 0.2, "secret": 0.2, "access_key": 0.4, "private_key": 0.4, "login": 0.4}
+PRIOR = {"email": 0.7, "ip": 0.5, "card": 0.4, "phone": 0.6, "iban": 0.3, "phone_local": 0.4, "ssn": 0.2, "secret": 0.2, "access_key": 0.4, "private_key": 0.4, "login": 0.4}
 NEAR = {
     "email": ["mail", "contact", "write"],
     "ip": ["ip", "host", "server", "address"],

@@ -229,21 +229,23 @@ def links_in_large(fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, n
     n, stored, group = len(fps), planes(fps), np.arange(len(fps))
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for k in range(stored.shape[1]):
-        words = near(spread(fps[64 * k : 64 * k + 64])[:, :, None], stored[:, k:], radius)
-        row, block = np.nonzero(words)
-        i, lane = lanes(words[row, block][:, None])
-        a, b = 64 * k + row[i], 64 * (k + block[i]) + lane
-        good = (a < b) & (b < n)
-        a, b = a[good], b[good]
-        low, high = np.minimum(group[a], group[b]), np.maximum(group[a], group[b])
-        apart = np.flatnonzero(low != high)
-        if not len(apart):
-            continue
-        _, first = np.unique(low[apart] * n + high[apart], return_index=True)
-        one = apart[first]
-        left.append(a[one])
-        right.append(b[one])
-        group = merged(group, low[one], high[one])
+        ask = spread(fps[64 * k : 64 * k + 64])[:, :, None]
+        for j in range(k, stored.shape[1], 64):  # at most 2^18 pairs at once
+            words = near(ask, stored[:, j : j + 64], radius)
+            row, block = np.nonzero(words)
+            i, lane = lanes(words[row, block][:, None])
+            a, b = 64 * k + row[i], 64 * (j + block[i]) + lane
+            good = (a < b) & (b < n)
+            a, b = a[good], b[good]
+            low, high = np.minimum(group[a], group[b]), np.maximum(group[a], group[b])
+            apart = np.flatnonzero(low != high)
+            if not len(apart):
+                continue
+            _, first = np.unique(low[apart] * n + high[apart], return_index=True)
+            one = apart[first]
+            left.append(a[one])
+            right.append(b[one])
+            group = merged(group, low[one], high[one])
     return np.concatenate(left), np.concatenate(right)
 
 

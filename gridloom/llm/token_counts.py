@@ -6,8 +6,10 @@ with fewer pieces.  The best score of a prefix does not depend on what follows,
 so distinct pre-tokens are inserted into a trie and every node, a shared prefix,
 is computed once; the count at a terminal node is the pre-token's.
 
-Scores are log-probabilities by rank (Zipf) in a public vocabulary; a character
-outside it costs one piece for each of its bytes.
+Scores are read from a table of pieces and log-probabilities (``.vocab`` or
+``.tsv``), as unigram tokenizers come with.  For a public vocabulary without
+such scores they are log-probabilities by rank (Zipf); no tokenizer is trained.
+A character outside the vocabulary costs one piece for each of its bytes.
 
 The trie belongs to a Python worker and starts anew at ``NODES`` nodes, which
 changes no result.  Pre-tokens beyond ``LONG`` characters are computed without it.
@@ -32,7 +34,12 @@ _tries: dict[str, Trie] = {}
 
 
 def scores_of(path: str) -> dict[str, float]:
-    """Pieces of a sentencepiece vocabulary (its bytes and controls left out) with log(1 / rank), normalised."""
+    """Pieces with their scores: a table ``piece<tab>score`` as it is (controls and bytes, in angle brackets, left out), or the pieces of a
+    sentencepiece vocabulary (its bytes and controls left out) with log(1 / rank), normalised."""
+    if path.endswith((".vocab", ".tsv")):
+        with open(path, encoding="utf-8") as lines:
+            rows = (line.rstrip("\n").split("\t") for line in lines if line.strip("\n"))
+            return {piece: float(score) for piece, score in rows if not (piece.startswith("<") and piece.endswith(">") and len(piece) > 2)}
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)

@@ -425,6 +425,16 @@ def test_token_counts(docs, odd, vocabulary, monkeypatch):
     assert token_counts.token_counts(odd, v).count() == odd.count() and token_counts.token_counts(odd.limit(0), v).count() == 0
 
 
+def test_token_counts_by_a_table(spark, tmp_path):
+    """Scores of a unigram table, as they stand in it."""
+    path = tmp_path / "scores.vocab"
+    path.write_text("<unk>\t0\n<s>\t0\n▁\t-2\na\t-3\nb\t-3\nab\t-4\n▁ab\t-9\nba\t-20\n")
+    assert token_counts.scores_of(str(path)) == {"▁": -2, "a": -3, "b": -3, "ab": -4, "▁ab": -9, "ba": -20}
+    df = spark.createDataFrame([(1, "ab ba aba"), (2, "c")], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(df, str(path)).collect()}
+    assert got == {1: 2 + 3 + 3, 2: 2}  # ▁ ab, ▁ b a, ▁ ab a; ▁ and one byte
+
+
 def shared_by_force(rows):
     texts = [words_of(t) for _, t in rows]
     seen = defaultdict(set)

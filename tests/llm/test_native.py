@@ -70,7 +70,7 @@ def test_pii_more_kinds_and_redaction(spark):
     [
         ('token = "f33e61083db5dbdf4bd2369d2f80176e57f7fda2" on', "secret:9:49"), ("f33e61083db5dbdf4bd2369d2f80176e57f7fda2", ""), ("password: aaaaaaaaaaaaaaaaaaaaaaaa", ""),
         ("AKIA" + "Q7" * 8, "access_key:0:20"), ("ssn 219-09-9999 or 219-00-9999, social 900-12-1234", "ssn:4:15"), ("219-09-9999", ""),
-        ("-----BEGIN RSA PRIVATE KEY-----\nabc=\n-----END RSA PRIVATE KEY----- x", "private_key:0:65"), ("-----BEGIN PUBLIC KEY-----", ""),
+        ("-----BEGIN RSA PRIVATE KEY-----\nabc=\n-----END RSA PRIVATE KEY----- x", "private_key:0:66"), ("-----BEGIN PUBLIC KEY-----", ""),
         ("see ftp://joe:pw1@host/x", "login:4:18"), ("http://host:80/x@y", ""), ("DE89 3704 0044 0532 0130 00 iban", "iban:0:27"), ("DE88 3704 0044 0532 0130 00 iban", ""),
     ],
 )

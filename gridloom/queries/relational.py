@@ -1005,6 +1005,12 @@ def _(spark, sf):
     return raw.select("l_orderkey", "l_linenumber", *(F.round(0.9713 * known(n), 3).alias(n) for n in _POINT_SQL))  # a factor, so that no value lies on a tie
 
 
+@query("op_29_burn_differences", "SELECT l_orderkey, l_linenumber, round(l_discount - l_tax, 6) AS dnbr, round(CASE WHEN l_discount = 0 THEN 0e0 ELSE (l_discount - l_tax) / sqrt(abs(l_discount)) END, 6) AS rdnbr FROM lineitem")
+def _(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", r6(indices.burn_difference(c("l_discount"), c("l_tax"))).alias("dnbr"), r6(indices.burn_ratio(c("l_discount"), c("l_tax"))).alias("rdnbr"))
+
+
 @query("op_M13_training_chips", "WITH ch AS (SELECT n_nationkey AS region, n_nationkey * 40e0 AS x0, n_nationkey * 40e0 + CASE n_nationkey % 3 WHEN 0 THEN 30e0 WHEN 1 THEN 30.5e0 ELSE 33e0 END AS x1 FROM nation) SELECT region, x0, CASE WHEN region % 3 = 1 THEN x0 + 30 ELSE x1 END AS x1, CASE region % 3 WHEN 0 THEN 'ready' WHEN 1 THEN 'adjusted' ELSE 'skipped' END AS state, CAST(coalesce(n, 0) AS BIGINT) AS polys FROM ch LEFT JOIN (SELECT region, CASE WHEN count(*) FILTER (WHERE c_nationkey % 4 > 0) > 0 THEN count(*) ELSE 1 END AS n FROM ch JOIN customer ON (c_custkey * 7) % 1000 <= x0 + 30 AND (c_custkey * 7) % 1000 + 2 >= x0 AND c_nationkey <= 30 WHERE region % 3 < 2 GROUP BY region) USING (region)")
 def _(spark, sf):
     k = c("n_nationkey")

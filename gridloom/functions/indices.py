@@ -197,7 +197,8 @@ def point_index(name: str, most: int = 10_000, bands: dict[str, str] | None = No
         return s * F.tanh(diff * diff)
     if base in ("bai", "baim"):
         x, y = (0.06, 0.1) if base == "bai" else (0.05, 0.2)
-        return F.when(n + b > 0, s / (F.pow(x - n / s, F.lit(2)) + F.pow(y - b / s, F.lit(2)))).when(n + b <= 0, 0.0)
+        far = F.pow(x - n / s, F.lit(2)) + F.pow(y - b / s, F.lit(2))
+        return F.when(n + b > 0, s / F.when(far > 0, far)).when(n + b <= 0, 0.0)
     if base == "gemi":
         x, y = n / s, b / s
         eta = (2 * (x * x - y * y) + 1.5 * x + 0.5 * y) / (x + y + 0.5)

@@ -788,9 +788,9 @@ def _(spark, sf):
     return table(spark, sf, "orders").filter(year_day(c("o_orderdate")).between(1996001, 1996366)).select("o_orderkey")
 
 
-@query("op_J3_variables_of_points", "SELECT c_custkey, c_nationkey, any_value(o_orderstatus) AS var_one, round(avg(o_totalprice), 4) AS var_avg FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderstatus = 'F' GROUP BY ALL")
+@query("op_J3_variables_of_points", "SELECT c_custkey, c_nationkey, any_value(o_orderstatus) AS var_one, round(avg(o_totalprice) * 0.9713e0, 3) AS var_avg FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderstatus = 'F' GROUP BY ALL")
 def _(spark, sf):
-    o = table(spark, sf, "orders").filter("o_orderstatus = 'F'").groupBy(c("o_custkey").alias("c_custkey")).agg(F.min("o_orderstatus").alias("var_one"), F.round(F.avg("o_totalprice"), 4).alias("var_avg"), F.lit(0).alias("c_nationkey"))
+    o = table(spark, sf, "orders").filter("o_orderstatus = 'F'").groupBy(c("o_custkey").alias("c_custkey")).agg(F.min("o_orderstatus").alias("var_one"), F.round(F.avg("o_totalprice") * 0.9713, 3).alias("var_avg"), F.lit(0).alias("c_nationkey"))
     return sampling.with_variables(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), o, "c_custkey")
 
 
@@ -854,11 +854,11 @@ def _(spark, sf):
 
 
 @query("op_M4_point_feature_set", """WITH p AS (SELECT o_custkey AS k, any_value(c_mktsegment) AS label FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1), a AS (SELECT o_custkey AS k, avg(o_totalprice) AS m, max(CASE WHEN o_orderstatus = 'P' THEN o_totalprice END) AS p FROM orders GROUP BY 1),
- b AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) SELECT k, label, round(m, 4) AS var_mean, p AS var_p, n AS var_n FROM p JOIN a USING (k) JOIN b USING (k) WHERE label <> 'BUILDING' AND p IS NOT NULL""")
+ b AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) SELECT k, label, round(m * 0.9713e0, 3) AS var_mean, p AS var_p, n AS var_n FROM p JOIN a USING (k) JOIN b USING (k) WHERE label <> 'BUILDING' AND p IS NOT NULL""")
 def _(spark, sf):
     o = table(spark, sf, "orders").withColumnRenamed("o_custkey", "k")
     pts = table(spark, sf, "customer").select(c("c_custkey").alias("k"), c("c_mktsegment").alias("label"))
-    a = o.groupBy("k").agg(F.round(F.avg("o_totalprice"), 4).alias("var_mean"), F.max(F.when(c("o_orderstatus") == "P", c("o_totalprice"))).alias("var_p"), F.lit(1).alias("other"))
+    a = o.groupBy("k").agg(F.round(F.avg("o_totalprice") * 0.9713, 3).alias("var_mean"), F.max(F.when(c("o_orderstatus") == "P", c("o_totalprice"))).alias("var_p"), F.lit(1).alias("other"))
     b = o.filter("o_orderpriority = '1-URGENT'").groupBy("k").agg(F.count(F.lit(1)).alias("var_n"))
     return sampling.feature_set(pts, [a, b], "k", "label", skip=["BUILDING"])
 
@@ -948,13 +948,13 @@ def _(spark, sf):
     return tables.scene_index(spark, f"{path}/index", schema, (-60.0, -5.0, 60.0, 10.0), "1995-01-01", "1996-12-31", ["1-URGENT", "2-HIGH"], f"{path}/cut").select("scene", "date", "sensor")
 
 
-@query("op_S20_json_and_scores", "SELECT o_orderpriority AS model, round(avg(o_totalprice), 4) AS score FROM orders WHERE o_orderstatus = 'O' GROUP BY 1 UNION ALL SELECT 'old', 1e0")
+@query("op_S20_json_and_scores", "SELECT o_orderpriority AS model, round(avg(o_totalprice) * 0.9713e0, 3) AS score FROM orders WHERE o_orderstatus = 'O' GROUP BY 1 UNION ALL SELECT 'old', 1e0")
 def _(spark, sf):
     """Scores through JSON into a log; the last entry of a model counts."""
     from ..sources import tables
 
     o = table(spark, sf, "orders")
-    made = lambda s: o.filter(c("o_orderstatus") == s).groupBy(c("o_orderpriority").alias("model")).agg(F.round(F.avg("o_totalprice"), 4).alias("score"))
+    made = lambda s: o.filter(c("o_orderstatus") == s).groupBy(c("o_orderpriority").alias("model")).agg(F.round(F.avg("o_totalprice") * 0.9713, 3).alias("score"))
     path = new_folder(spark)
     tables.append_scores(made("F").unionByName(spark.createDataFrame([("old", 1.0)], "model string, score double")), f"{path}/log")
     tables.write_json(made("O"), f"{path}/json")
@@ -991,7 +991,7 @@ _HALF = lambda o: f"CASE WHEN {o} = 0 THEN 0e0 ELSE ({o} + 1) * 5e3 END"  # noqa
 _POINT_SQL = {
     "ndvi": _HALF(_ND("n", "r")), "gcvi": _HALF(_ND("n", "g")), "nbr": _HALF(_ND("n", "s2")), "nbr2": _HALF(_ND("s1", "s2")), "evi2": "1e4 * 2.5e0 * ((n / 1e4 - r / 1e4) / (n / 1e4 + 1 + 2.4e0 * r / 1e4))", "cai": "CASE WHEN 1e4 * s2 / (s1 + 1e-9) > 1e9 THEN 1e9 ELSE 1e4 * s2 / (s1 + 1e-9) END",
     "savi": _HALF("(1.5e0 * ((n / 1e4 - r / 1e4) / (n / 1e4 + r / 1e4 + 0.5e0)))"), "msavi": "5e3 * (2 * n / 1e4 + 1) - (pow(2 * n / 1e4 + 1, 2) - 8 * (n / 1e4 - r / 1e4)) / 2", "ndmi": f"(1e4 * ({_ND('n', 's1')}) + 1) * 5e3", "ndwi": f"(1e4 * ({_ND('g', 'n')}) + 1) * 5e3",
-    "kndvi": f"1e4 * tanh(pow({_ND('n', 'r')}, 2))", "bai": "CASE WHEN r + n > 0 THEN 1e4 / (pow(0.06e0 - n / 1e4, 2) + pow(0.1e0 - r / 1e4, 2)) WHEN r + n <= 0 THEN 0e0 END", "baim": "CASE WHEN s2 + n > 0 THEN least(1e9, 1e4 / nullif(pow(0.05e0 - n / 1e4, 2) + pow(0.2e0 - s2 / 1e4, 2), 0)) WHEN s2 + n <= 0 THEN 0e0 END",
+    "kndvi": f"1e4 * tanh(pow({_ND('n', 'r')}, 2))", "bai": "CASE WHEN r + n > 0 THEN CASE WHEN pow(0.06e0 - n / 1e4, 2) + pow(0.1e0 - r / 1e4, 2) > 0 THEN least(1e9, 1e4 / (pow(0.06e0 - n / 1e4, 2) + pow(0.1e0 - r / 1e4, 2))) END WHEN r + n <= 0 THEN 0e0 END", "baim": "CASE WHEN s2 + n > 0 THEN CASE WHEN pow(0.05e0 - n / 1e4, 2) + pow(0.2e0 - s2 / 1e4, 2) > 0 THEN least(1e9, 1e4 / (pow(0.05e0 - n / 1e4, 2) + pow(0.2e0 - s2 / 1e4, 2))) END WHEN s2 + n <= 0 THEN 0e0 END",
     "gemi": "1e4 * (eta * (1 - 0.25e0 * eta) - ((r / 1e4 - 0.125e0) / (1 - r / 1e4)))", "mirbi": "CASE WHEN s2 + s1 = 0 THEN 0e0 ELSE 2e3 * ((10 * s2 / 1e4) - (9.8e0 * s1 / 1e4) + 2) END", "swir2": "s2", "nir": "n",
 }
 
@@ -1000,7 +1000,7 @@ _POINT_SQL = {
 def _(spark, sf):
     li = table(spark, sf, "lineitem")
     raw = li.select("l_orderkey", "l_linenumber", (c("l_tax") * 100000).cast("int").alias("blue"), (c("l_discount") * 100000).cast("int").alias("green"), (c("l_quantity") * 200).cast("int").alias("red"), (c("l_extendedprice") / 10).cast("int").alias("nir"), (c("l_orderkey") % 100 * 100).cast("int").alias("swir1"), (c("l_partkey") % 101 * 100).cast("int").alias("swir2"))
-    point = lambda n: F.least(F.lit(1e9), indices.point_index(n)) if n in ("baim", "cai") else indices.point_index(n)
+    point = lambda n: F.least(F.lit(1e9), indices.point_index(n)) if n in ("bai", "baim", "cai") else indices.point_index(n)
     known = lambda n: F.when(indices.point_index(n).isNotNull(), point(n))
     return raw.select("l_orderkey", "l_linenumber", *(F.round(0.9713 * known(n), 3).alias(n) for n in _POINT_SQL))  # a factor, so that no value lies on a tie
 

@@ -673,7 +673,7 @@ def _(spark, sf):
 
 @query("op_S16_write_series", f"WITH {TS} SELECT CAST(px AS INTEGER) AS cell_id, 'ndvi' AS si, CAST(year(date) AS INTEGER) AS year, count(*) AS n, CAST(sum(value) AS BIGINT) AS total FROM ts GROUP BY 1, 2, 3")
 def _(spark, sf):
-    """Written in folders by cell, index and year, read back."""
+    """Written in folders by index and year, read back."""
     from ..sources import tables
 
     rows = ts(spark, sf).select(c("px").cast("int").alias("cell_id"), F.lit(0).alias("row"), F.lit(0).alias("col"), F.lit("ndvi").alias("si"), "date", "value")

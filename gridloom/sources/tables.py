@@ -44,9 +44,13 @@ def scene_index(spark: SparkSession, path: str, schema: str, box: tuple[float, f
 
 
 def write_series(df: DataFrame, path: str) -> None:
-    """A series table in folders by cell, index and year, sorted by pixel so that a window of pixels is a few row groups."""
+    """A series table in folders by index and year, in files of neighbouring cells sorted by pixel, so that a cell or a window of pixels is a few row groups.
+
+    Files follow the size of the data and not the number of cells, which may be many.
+    """
+    order = ["si", "year", "cell_id", "row", "col"]
     rows = df.withColumn("year", F.year("date"))
-    rows.repartition("cell_id", "si", "year").sortWithinPartitions("cell_id", "si", "year", "row", "col").write.mode("overwrite").partitionBy("cell_id", "si", "year").parquet(path)
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("si", "year").parquet(path)
 
 
 def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int) -> None:

@@ -77,9 +77,12 @@ def longest_gap(df: DataFrame, keys: list[str], value: str = "value", day: str =
     return rows.groupBy(*keys).agg(F.max("gl_gap").alias("gapmax"))
 
 
-def change_share(df: DataFrame, keys: list[str], threshold: int, value: str = "value", day: str = "date", limit: int = 2) -> DataFrame:
-    """numdelta: percent of steps past a threshold (down if negative) among observations, after short gaps are filled."""
-    filled = df.withColumn("gl_v", valid(value)).withColumn("gl_f", forward_fill("gl_v", keys, limit, day))
+def change_share(df: DataFrame, keys: list[str], threshold: int, value: str = "value", day: str = "date", limit: int = 2, checked: bool = True) -> DataFrame:
+    """numdelta: percent of steps past a threshold (down if negative) among observations, after short gaps are filled.
+
+    Values outside of ``VALID`` are gaps; with ``checked`` False only nulls are.
+    """
+    filled = df.withColumn("gl_v", valid(value) if checked else F.col(value)).withColumn("gl_f", forward_fill("gl_v", keys, limit, day))
     filled = filled.withColumn("gl_f", F.coalesce("gl_f", backward_fill("gl_f", keys, limit, day)))
     step = F.col("gl_f") - F.lag("gl_f").over(by(keys, day))
     filled = filled.withColumn("gl_s", step)

@@ -1,7 +1,5 @@
 """Edges that the driver's larger tables reach: queries against their SQL on small tables of such rows."""
 
-import datetime
-
 import duckdb
 import pytest
 
@@ -43,3 +41,34 @@ EVENTS = "SELECT i AS event_id, TIMESTAMP '2024-01-01' + to_days(CAST(i AS INTEG
 def test_values_beyond_the_valid_range(against, name):
     got, want = against(name, events=EVENTS)
     assert got == want
+
+
+def test_points_on_the_edges_of_polygons(against):
+    """Points on every edge of a triangle, where differences of two decimals round."""
+    points = "SELECT row_number() OVER () AS c_custkey, '' AS c_name, n::INTEGER AS c_nationkey, round(b + d, 2) AS c_acctbal, '' AS c_mktsegment FROM (SELECT unnest([10.03, 884.56, 1234.56, 57.1, 4811.07]) AS b), (SELECT unnest([0.0, 50.0, 150.0, 250.0, 350.0, 49.99, 350.01]) AS d), range(0, 8) t(n)"
+    boxes = "SELECT row_number() OVER () AS s_suppkey, '' AS s_name, n::INTEGER AS s_nationkey, b AS s_acctbal FROM (SELECT unnest([10.03, 884.56, 1234.56, 57.1, 4811.07]) AS b), range(0, 4) t(n)"
+    got, want = against("op_J12_points_in_polygons", customer=points, supplier=boxes)
+    assert got == want
+
+
+def test_low_values_at_the_limit(spark, tmp_path):
+    """Series whose 5th percentile makes a limit that a value meets."""
+    from gridloom.operators import series
+
+    con = duckdb.connect()
+    # By series n values: some at 3/4 of v, then one below v and others above it, so that the percentile is v or next to it.
+    con.execute("""CREATE TABLE t AS WITH p AS (SELECT px, 20 + px % 400 AS n, 4 * (1 + px % 97) AS v, px % 3 * 4 AS less FROM range(3000) r(px)), q AS (SELECT *, (n - 1) * 5 // 100 AS low, ((n - 1) * 5 % 100) / 100e0 AS part FROM p)
+     SELECT px, DATE '2000-01-01' + CAST(i AS INTEGER) AS date, CAST(CASE WHEN i < low THEN v * 3 // 4 WHEN i = low THEN v - less WHEN part > 0 THEN v - less + round(less / part) ELSE v END AS INTEGER) AS value FROM q, range(419) s(i) WHERE i < n""")
+    con.execute(f"COPY t TO '{tmp_path}/t.parquet' (FORMAT parquet)")
+    sql = SQL["op_R6_low_values"]
+    want = con.execute("WITH ts AS (SELECT * FROM t), " + sql[sql.index(" p AS (") :]).fetchall()
+    got = series.low_values_to_zero(spark.read.parquet(f"{tmp_path}/t.parquet"), ["px"]).select("px", "date", "value").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+@pytest.mark.parametrize("name", ["op_index_bai", "op_index_baim"])
+def test_burned_next_to_its_point(against, name):
+    """Distances of a few units of the last digit, and none."""
+    price = "6300.0 + (i - 50) / 100e0" if name == "op_index_bai" else "5250.0 + (i - 50) / 100e0"
+    got, want = against(name, lineitem=f"SELECT i AS l_orderkey, {'0' if name == 'op_index_bai' else '20'}::BIGINT AS l_partkey, i % 7 AS l_suppkey, 1 AS l_linenumber, 5e0 AS l_quantity, round({price}, 2) AS l_extendedprice, 0e0 AS l_discount, 0e0 AS l_tax, TIMESTAMP '1995-01-01' + to_days(CAST(i AS INTEGER)) AS l_shipdate FROM range(101) r(i)")
+    assert got == want

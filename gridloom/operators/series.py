@@ -96,10 +96,34 @@ def regridded(df: DataFrame, keys: list[str], dates: DataFrame, value: str = "va
     return rows.withColumn(value, interpolated(value, keys, day)).filter("wanted").drop("wanted")
 
 
+def _fused(a: Column, b: Column, c: Column) -> Column:
+    """a * b + c rounded once: the error of the product and that of the sum are added at the end."""
+
+    def halves(v: Column) -> tuple[Column, Column]:
+        high = 134217729.0 * v - (134217729.0 * v - v)
+        return high, v - high
+
+    (ah, al), (bh, bl), p = halves(a), halves(b), a * b
+    lost = ((ah * bh - p) + ah * bl + al * bh) + al * bl
+    s = p + c
+    t = s - p
+    return s + (((p - (s - t)) + (c - t)) + lost)
+
+
+def _quantile(df: DataFrame, keys: list[str], value: str, q: float) -> DataFrame:
+    """``value`` as the quantile of its series between the two nearest ranks, to the last digit as DuckDB gives it, since a digit decides where a
+    value meets a limit."""
+    every = Window.partitionBy(*keys)
+    rows = df.withColumns({"gl_i": F.row_number().over(every.orderBy(F.col(value).asc_nulls_last())) - 1, "gl_at": (F.count(value).over(every) - 1) * F.lit(q)})
+    rank = lambda r: F.max(F.when(F.col("gl_i") == r, F.col(value).cast("double"))).over(every)
+    rows = rows.withColumns({"gl_lo": rank(F.floor("gl_at")), "gl_hi": rank(F.ceil("gl_at"))})
+    d = F.col("gl_at") - F.floor("gl_at")
+    return rows.withColumn(value, _fused(F.col("gl_lo"), 1.0 - d, F.col("gl_hi") * d)).drop("gl_i", "gl_at", "gl_lo", "gl_hi")
+
+
 def low_values_to_zero(df: DataFrame, keys: list[str], value: str = "value", gap: float = 0.25) -> DataFrame:
     """Values below the 5th percentile by more than a share of it become 0."""
-    p5 = F.percentile(value, 0.05).over(Window.partitionBy(*keys))
-    return df.withColumn("gl_p", p5).withColumn(value, F.when((F.col(value) < F.col("gl_p")) & ((F.col("gl_p") - F.col(value)) > gap * F.col("gl_p")), F.lit(0)).otherwise(F.col(value))).drop("gl_p")
+    return df.withColumn("gl_p", F.col(value)).transform(_quantile, keys, "gl_p", 0.05).withColumn(value, F.when((F.col(value) < F.col("gl_p")) & ((F.col("gl_p") - F.col(value)) > gap * F.col("gl_p")), F.lit(0)).otherwise(F.col(value))).drop("gl_p")
 
 
 def far_from_median(df: DataFrame, keys: list[str], value: str = "value", limit: float = 0.5) -> DataFrame:

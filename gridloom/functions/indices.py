@@ -52,7 +52,7 @@ def savi(b: dict[str, Column], param: str | None = None) -> Column:
 
 
 def burned(b: dict[str, Column], x: str, y: str, at: tuple[float, float]) -> Column:
-    far = F.pow(at[0] - b[x], F.lit(2)) + F.pow(at[1] - b[y], F.lit(2))
+    far = (at[0] - b[x]) * (at[0] - b[x]) + (at[1] - b[y]) * (at[1] - b[y])  # products are rounded once, powers of Java are not
     return F.when(b[x] + b[y] == 0, F.lit(0.0)).otherwise(over(F.lit(1.0), far))
 
 

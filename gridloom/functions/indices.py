@@ -211,6 +211,12 @@ def point_index(name: str, most: int = 10_000, bands: dict[str, str] | None = No
     return b
 
 
+def apart(x: Column) -> Column:
+    """``x`` itself.  A lambda in a projection makes Spark compile its columns as functions of their own and not as one method, which Java would
+    only interpret beyond 8,000 bytes: of many indices one is put in this."""
+    return F.get(F.transform(F.array(x), lambda v: v), F.lit(0))
+
+
 def burn_difference(pre: Column, post: Column) -> Column:
     return pre - post
 

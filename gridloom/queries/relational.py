@@ -1002,7 +1002,8 @@ def _(spark, sf):
     raw = li.select("l_orderkey", "l_linenumber", (c("l_tax") * 100000).cast("int").alias("blue"), (c("l_discount") * 100000).cast("int").alias("green"), (c("l_quantity") * 200).cast("int").alias("red"), (c("l_extendedprice") / 10).cast("int").alias("nir"), (c("l_orderkey") % 100 * 100).cast("int").alias("swir1"), (c("l_partkey") % 101 * 100).cast("int").alias("swir2"))
     point = lambda n: F.least(F.lit(1e9), indices.point_index(n)) if n in ("bai", "baim", "cai") else indices.point_index(n)
     known = lambda n: F.when(indices.point_index(n).isNotNull(), point(n))
-    return raw.select("l_orderkey", "l_linenumber", *(F.round(0.9713 * known(n), 3).alias(n) for n in _POINT_SQL))  # a factor, so that no value lies on a tie
+    split = lambda n, x: indices.apart(x) if n == "nir" else x
+    return raw.select("l_orderkey", "l_linenumber", *(split(n, F.round(0.9713 * known(n), 3)).alias(n) for n in _POINT_SQL))  # a factor, so that no value lies on a tie
 
 
 @query("op_29_burn_differences", "SELECT l_orderkey, l_linenumber, round(l_discount - l_tax, 6) AS dnbr, round(CASE WHEN l_discount = 0 THEN 0e0 ELSE (l_discount - l_tax) / sqrt(abs(l_discount)) END, 6) AS rdnbr FROM lineitem")

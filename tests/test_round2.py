@@ -75,3 +75,10 @@ def test_burned_next_to_its_point(against, name):
     assert any(r[2] is None for r in want)
     for (*_, a), (*_, b) in zip(got, want, strict=True):
         assert a == b or (a is not None and b is not None and abs(a - b) <= 3e-16 * abs(b))
+
+
+def test_many_indices_are_no_single_method(spark):
+    """Java interprets methods of more than 8,000 bytes."""
+    plan = QUERIES["op_29_point_indices"](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+    parts = plan.debug().codegenToSeq()
+    assert max([parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())], default=0) < 8000

@@ -85,21 +85,55 @@ def boxes_overlap(a: list[Column], b: list[Column]) -> Column:
     return (a[0] <= b[2]) & (a[2] >= b[0]) & (a[1] <= b[3]) & (a[3] >= b[1])
 
 
+#: Pairs of rows in one cell that a task compares, about.
+TASK_PAIRS = 5_000_000
+
+
+def _cell_sides(sides: list[tuple[DataFrame, list[str]]], most: float, share: float) -> list[float]:
+    """Width and height of the cells of a grid: a share of the root mean square of the boxes' sides, ``most`` at most.
+
+    Cells fit the boxes on each axis, so few pairs of a cell do not meet; by the mean of squares all boxes together touch at most a few cells a box.
+    """
+    out = [0.0, 0.0]
+    for df, box in sides:
+        row = df.agg(*(F.sqrt(F.avg(F.pow(F.col(box[k + 2]).cast("double") - F.col(box[k]), F.lit(2)))) for k in (0, 1))).first()
+        out = [max(o, share * (r or 0.0)) for o, r in zip(out, row, strict=True)]
+    return [min(most, o) if o > 0 else most for o in out]
+
+
+def _gridded(df: DataFrame, box: list[str], size: list[float]) -> DataFrame:
+    """Rows once for each cell that their box touches."""
+    over = lambda k: F.explode(F.sequence(F.floor(F.col(box[k]) / size[k]).cast("long"), F.floor(F.col(box[k + 2]) / size[k]).cast("long")))
+    return df.withColumn("gl_cx", over(0)).withColumn("gl_cy", over(1))
+
+
+def _in_cells(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Pairs of rows in the same cell.  Cells are counted first: tasks grow with the pairs, not with the rows that make them, and rows of crowded
+    cells are dealt out over several tasks."""
+    cell = ["gl_cx", "gl_cy"]
+    n = a.groupBy(*cell).agg(F.count(F.lit(1)).cast("double").alias("n")).join(b.groupBy(*cell).agg(F.count(F.lit(1)).cast("double").alias("m")), cell)
+    total, most = n.agg(F.sum(F.col("n") * F.col("m")), F.max(F.col("n") * F.col("m"))).first()
+    parts = max(a.sparkSession.sparkContext.defaultParallelism, min(int((total or 0) // TASK_PAIRS) + 1, 20_000))
+    deals = min(int((most or 0) // (4 * TASK_PAIRS)) + 1, 1000)
+    if deals > 1:
+        a, b = a.withColumn("gl_s", F.pmod(F.xxhash64(*a.columns), F.lit(deals))), b.withColumn("gl_s", F.explode(F.sequence(F.lit(0), F.lit(deals - 1)).cast("array<long>")))
+        cell = [*cell, "gl_s"]
+    return a.repartition(parts, *cell).join(b.repartition(parts, *cell), cell).drop("gl_s")
+
+
 def points_in_boxes(points: DataFrame, boxes: DataFrame, x: str, y: str, box: list[str], cell: float) -> DataFrame:
-    """Points with the boxes that hold them, by the grid cells that a box touches."""
-    over = lambda lo, hi: F.sequence(F.floor(F.col(lo) / cell).cast("long"), F.floor(F.col(hi) / cell).cast("long"))
-    b = boxes.withColumn("gl_cx", F.explode(over(box[0], box[2]))).withColumn("gl_cy", F.explode(over(box[1], box[3])))
-    p = points.withColumn("gl_cx", F.floor(F.col(x) / cell).cast("long")).withColumn("gl_cy", F.floor(F.col(y) / cell).cast("long"))
+    """Points with the boxes that hold them, by the grid cells (sides up to ``cell``) that a box touches."""
+    size = _cell_sides([(boxes, box)], cell, 0.5)
+    p = points.withColumn("gl_cx", F.floor(F.col(x) / size[0]).cast("long")).withColumn("gl_cy", F.floor(F.col(y) / size[1]).cast("long"))
     inside = F.col(x).between(F.col(box[0]), F.col(box[2])) & F.col(y).between(F.col(box[1]), F.col(box[3]))
-    return p.join(b, ["gl_cx", "gl_cy"]).filter(inside).drop("gl_cx", "gl_cy")
+    return _in_cells(p, _gridded(boxes, box, size)).filter(inside).drop("gl_cx", "gl_cy")
 
 
 def overlapping_boxes(a: DataFrame, b: DataFrame, box: list[str], cell: float, other: list[str]) -> DataFrame:
-    """Pairs of boxes that share a point, each pair once: it counts in the cell of the corner where they begin to overlap."""
-    over = lambda lo, hi: F.sequence(F.floor(F.col(lo) / cell).cast("long"), F.floor(F.col(hi) / cell).cast("long"))
-    grid = lambda df, c: df.withColumn("gl_cx", F.explode(over(c[0], c[2]))).withColumn("gl_cy", F.explode(over(c[1], c[3])))
-    both = grid(a, box).join(grid(b, other), ["gl_cx", "gl_cy"])
-    first = (F.floor(F.greatest(box[0], other[0]) / cell) == F.col("gl_cx")) & (F.floor(F.greatest(box[1], other[1]) / cell) == F.col("gl_cy"))
+    """Pairs of boxes that share a point, each pair once: it counts in the cell (sides up to ``cell``) of the corner where they begin to overlap."""
+    size = _cell_sides([(a, box), (b, other)], cell, 1.0)
+    both = _in_cells(_gridded(a, box, size), _gridded(b, other, size))
+    first = (F.floor(F.greatest(box[0], other[0]) / size[0]) == F.col("gl_cx")) & (F.floor(F.greatest(box[1], other[1]) / size[1]) == F.col("gl_cy"))
     return both.filter(boxes_overlap([F.col(c) for c in box], [F.col(c) for c in other]) & first).drop("gl_cx", "gl_cy")
 
 

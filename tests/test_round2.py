@@ -82,3 +82,34 @@ def test_many_indices_are_no_single_method(spark):
     plan = QUERIES["op_29_point_indices"](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
     parts = plan.debug().codegenToSeq()
     assert max([parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())], default=0) < 8000
+
+
+def test_series_tasks_grow_with_rows(spark, monkeypatch):
+    from gridloom.operators import series
+    from gridloom.queries import base
+
+    monkeypatch.setattr(series, "TASK_ROWS", 100)
+    rows = base.ts(spark, "/root/testdata/sf0.001")
+    n = base.obs(spark, "/root/testdata/sf0.001").count()
+    assert rows.rdd.getNumPartitions() == n // 100 + 1
+    plan = QUERIES["op_A8_maxd"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("name", ["op_J10_points_in_boxes", "op_J18_overlapping_boxes", "op_J12_points_in_polygons"])
+def test_crowded_cells_are_dealt_out(spark, against, monkeypatch, name):
+    from gridloom.operators import joins
+
+    monkeypatch.setattr(joins, "TASK_PAIRS", 50)
+    points = "SELECT i AS c_custkey, i % 5 AS c_nationkey, i % 50 * 10e0 AS c_acctbal FROM range(500) r(i)"
+    boxes = "SELECT i AS s_suppkey, i % 3 AS s_nationkey, i % 4 * 100e0 AS s_acctbal FROM range(60) r(i)"
+    got, want = against(name, customer=points, supplier=boxes)
+    assert got == want and len(want) > 1000
+
+
+def test_cells_fit_boxes(spark):
+    """Flat boxes: cells as low as they are."""
+    from gridloom.operators import joins
+
+    boxes = spark.range(100).selectExpr("id", "0.0 x0", "cast(id as double) y0", "300.0 x1", "id + 2.0 y1")
+    assert joins._cell_sides([(boxes, ["x0", "y0", "x1", "y1"])], 500.0, 0.5) == [150.0, 1.0]

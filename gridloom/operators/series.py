@@ -24,9 +24,19 @@ def by_falling(keys: list[str], day: str = "date"):
     return Window.partitionBy(*keys).orderBy(F.col(day).desc()).rowsBetween(Window.unboundedPreceding, 0)
 
 
-def merge_same_day(df: DataFrame, keys: list[str], value: Column, day: str = "date", name: str = "value") -> DataFrame:
-    """Scenes of one day merged by the largest value of an index."""
-    return df.groupBy(*keys, day).agg(F.max(value).alias(name))
+#: Rows of a task where series are dealt out by their number.
+TASK_ROWS = 300_000
+
+
+def tasks(df: DataFrame) -> int:
+    """Tasks for the series of a table: they grow with its rows, so that what one of them holds does not."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, df.count() // TASK_ROWS + 1)
+
+
+def merge_same_day(df: DataFrame, keys: list[str], value: Column, day: str = "date", name: str = "value", parts: int | None = None) -> DataFrame:
+    """Scenes of one day merged by the largest value of an index; with ``parts`` in as many tasks by key, which what follows by key goes on in."""
+    rows = df.select(*keys, day, value.alias(name))
+    return (rows.repartition(parts, *keys) if parts else rows).groupBy(*keys, day).agg(F.max(name).alias(name))
 
 
 def merge_same_day_bands(df: DataFrame, keys: list[str], bands: list[str], day: str = "date") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.indices import index
-from ..operators.series import merge_same_day
+from ..operators.series import merge_same_day, tasks
 from ..plans.calendar import Calendar
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,7 +54,8 @@ NDVI = "CASE WHEN nir - red = 0 THEN 0e0 ELSE (1 + (nir - red) / (nir + red + 1e
 
 def ts(spark: SparkSession, sf: str) -> DataFrame:
     """px, date, value: scenes of a day merged, scaled to whole numbers."""
-    return merge_same_day(obs(spark, sf), ["px"], (index("ndvi") * 10000).cast("int"))
+    rows = obs(spark, sf)
+    return merge_same_day(rows, ["px"], (index("ndvi") * 10000).cast("int"), parts=tasks(rows))
 
 
 TS = f"{OBS}, ts AS (SELECT px, date, max(CAST(trunc(({NDVI}) * 10000) AS INTEGER)) AS value FROM obs GROUP BY px, date)"

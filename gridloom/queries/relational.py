@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, grammar, indices
 from ..operators import catalog, fusion, joins, masks, models, rules, sampling, scores, series, zonal
-from ..sources.shared import checked_broadcast, new_folder
+from ..sources.shared import checked_broadcast, kept, new_folder
 from ..streaming import streams
 from .base import CLASSES, CODES, DAILY, GAPPY, OBS, TS, classes, daily, gappy, obs, query, table, ts
 
@@ -483,7 +483,7 @@ def _(spark, sf):
 
 
 def _split(spark, sf):
-    rows = _features(spark, sf)
+    rows = kept(_features(spark, sf))  # fits and scores read it many times
     r = sampling.stable_random(c("l_orderkey"), 88)
     return rows.filter(r >= 0.2), rows.filter(r < 0.2)
 

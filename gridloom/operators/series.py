@@ -326,16 +326,23 @@ def spikes(x: np.ndarray, y: np.ndarray, days: int = 120, limit: float = 0.1, ro
     return out
 
 
+#: Pairs of a missing and a known value that are compared at once.
+FILL_CELLS = 250_000
+
+
 def prefilled(x: np.ndarray, y: np.ndarray, days: int = 30, years: int = 2, least: int = 2) -> np.ndarray:
     """Missing values (nan) as the mean of the values within ``days`` of the same day of the year in at most ``years`` years before
     or after, where there are ``least`` of them; others stay missing."""
-    out, known = y.copy(), np.flatnonzero(~np.isnan(y))
-    for i in np.flatnonzero(np.isnan(y)):
-        away = x[known] - x[i]
+    out, known, missing = y.copy(), np.flatnonzero(~np.isnan(y)), np.flatnonzero(np.isnan(y))
+    step = max(1, FILL_CELLS // max(len(known), 1))
+    for at in range(0, len(missing), step):  # all pairs of a missing and a known value in blocks
+        some = missing[at : at + step]
+        away = x[known] - x[some, None]
         turns = np.round(away / 365.25)
         near = (np.abs(away - 365.25 * turns) <= days) & (np.abs(turns) >= 1) & (np.abs(turns) <= years)
-        if near.sum() >= least:
-            out[i] = y[known[near]].mean()
+        n = near.sum(axis=1)
+        filled = n >= least
+        out[some[filled]] = np.where(near[filled], y[known], 0.0).sum(axis=1) / n[filled]
     return out
 
 

@@ -113,3 +113,25 @@ def test_cells_fit_boxes(spark):
 
     boxes = spark.range(100).selectExpr("id", "0.0 x0", "cast(id as double) y0", "300.0 x1", "id + 2.0 y1")
     assert joins._cell_sides([(boxes, ["x0", "y0", "x1", "y1"])], 500.0, 0.5) == [150.0, 1.0]
+
+
+def test_gaps_are_filled_in_blocks(monkeypatch):
+    """A few steps for all missing values of a series, not one each; the same values by single ones."""
+    import numpy as np
+
+    from gridloom.operators import series
+
+    r = np.random.default_rng(4)
+    x = np.sort(r.choice(3000, 1200, replace=False))
+    y = np.where(r.random(1200) < 0.5, np.nan, r.integers(100, 9000, 1200).astype(float))
+    calls, plain = [], np.round
+    monkeypatch.setattr(np, "round", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    got = series.prefilled(x, y)
+    assert len(calls) < 10
+    monkeypatch.setattr(series, "FILL_CELLS", 5000)
+    assert np.array_equal(series.prefilled(x, y), got, equal_nan=True)
+    for i in np.flatnonzero(np.isnan(y))[::10]:
+        near = [b for a, b in zip(x, y, strict=True) if b == b and 1 <= abs(t := round((a - x[i]) / 365.25)) <= 2 and abs(a - x[i] - 365.25 * t) <= 30]
+        assert got[i] == np.mean(near) if len(near) >= 2 else np.isnan(got[i])
+    # The spans that count: none known, none missing.
+    assert np.isnan(series.prefilled(x, y * np.nan)).all() and series.prefilled(x[:0], y[:0]).size == 0

@@ -84,29 +84,65 @@ def latest_scores(log: DataFrame, key: str, order: str) -> DataFrame:
 LEVELS = (5, 10, 20, 80, 90, 95)
 
 
+#: Parts into which a round of ``pre_post_summary`` cuts the values between the least and the largest that are left.
+CELLS = 65_536
+
+
+def _wanted(hist: DataFrame, part: list[str]) -> DataFrame:
+    """Bins (gl_bin, rows gl_k) that hold a rank of ``gl_want``, with the ranks counted from their own first row."""
+    below = F.sum("gl_k").over(Window.partitionBy(*part).orderBy("gl_bin")) - F.col("gl_k")
+    inside = F.filter("gl_want", lambda w: (w["rank"] >= F.col("gl_below")) & (w["rank"] < F.col("gl_below") + F.col("gl_k")))
+    moved = F.transform(inside, lambda w: F.struct(w["i"].alias("i"), (w["rank"] - F.col("gl_below")).alias("rank")))
+    return hist.withColumn("gl_below", below).withColumn("gl_want", moved).filter(F.size("gl_want") > 0)
+
+
 def pre_post_summary(rows: DataFrame, keys: list[str], season: str) -> DataFrame:
     """By index, for all seasons together and each: n, mean, sample deviation and quantiles of pre - post, levels (all truncated), and five
     measures of separability of the two: M (population deviations), f divergence, Bhattacharyya, Jeffries-Matusita, Jensen-Shannon.
 
-    Equal pairs are counted first, so quantiles see one row a distinct pair; terms that are not numbers are left out of sums.
+    Quantiles are exact: rows are counted in bins that rise with pre - post (64 to a power of two, which the sums go by as well), those bins that
+    hold a quantile again in ``CELLS`` parts, twice, and then by value, of which a part has at most some 16,000. So the rows are read four
+    times, and what is kept of them does not grow. Terms that are not numbers are left out of sums.
     """
-    every = [[F.col(k) for k in keys], [*(F.col(k) for k in keys), F.col(season)]]
-    pairs = rows.filter("pre is not null and post is not null").groupBy(*keys, season, "pre", "post").agg(F.count(F.lit(1)).alias("gl_k"))
-    p, q, k = F.col("pre").cast("double"), F.col("post").cast("double"), F.col("gl_k")
-    d, m = p - q, (p + q) / 2
-
-    def total(x: Column) -> Column:
-        return F.sum(F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x * k).otherwise(0.0))
-
+    p, q, d = F.col("pre"), F.col("post"), F.col("gl_d")
+    x = rows.filter("pre is not null and post is not null").select(*keys, F.col(season).alias("gl_s"), p.cast("double").alias("pre"), q.cast("double").alias("post"))
+    x = x.withColumn("gl_d", p - q + 0.0)  # no -0.0
+    m = (p + q) / 2
     log = lambda a, b: F.when((a / F.when(b != 0, b)) > 0, F.ln(a / F.when(b != 0, b)))
-    sums = {"n": F.sum(k)}
-    for name, x in (("delta", d), ("pre", p), ("post", q)):
-        sums |= {f"{name}_s": F.sum(x * k), f"{name}_ss": F.sum(x * x * k)}
-    sums |= {
-        "f": total(p * log(p, q)), "bc": total(F.sqrt(F.when(p * q >= 0, p * q))), "js": (total(p * log(p, m)) + total(q * log(q, m))) / 2,
-        "levels": F.percentile(d, F.array(*(F.lit(x / 100) for x in LEVELS)), k),
-    }
-    out = pairs.groupingSets(every, *(F.col(c) for c in keys), F.col(season)).agg(*(c.alias(f"gl_{n}") for n, c in sums.items()))
+    number = lambda c: F.when(~F.isnan(c) & (F.abs(c) < float("inf")), F.col(c)).otherwise(0.0)
+    terms = {"gl_tf": p * log(p, q), "gl_tbc": F.sqrt(F.when(p * q >= 0, p * q)), "gl_tp": p * log(p, m), "gl_tq": q * log(q, m)}
+    octave = F.when(F.isnan(d), 300_000).when(d == 0, 0).otherwise(F.signum(d).cast("int") * F.when(F.abs(d) < float("inf"), F.floor(F.log2(F.abs(d)) * 64) + 70_000).otherwise(200_000))
+    sums = {f"gl_{name}_{s}": F.sum(v) for name, c in (("delta", d), ("pre", p), ("post", q)) for s, v in (("s", c), ("ss", c * c))}
+    sums |= {f"gl_{n}": F.sum(number(f"gl_t{n}")) for n in ("f", "bc", "p", "q")}
+    hist = x.withColumns({**terms, "gl_bin": octave.cast("long")}).groupBy(*keys, "gl_s", "gl_bin").agg(F.count(F.lit(1)).alias("gl_k"), F.min("gl_d").alias("gl_lo"), F.max("gl_d").alias("gl_hi"), *(c.alias(n) for n, c in sums.items()))
+
+    # Each bin counts for its season and for all.  ``gl_own`` has the seasons that a group takes rows of, ``gl_sums`` what else is asked of it.
+    group = [*keys, "gl_all", "gl_g"]
+    hist = hist.withColumn("gl_all", F.explode(F.array(F.lit(False), F.lit(True)))).withColumn("gl_g", F.when(~F.col("gl_all"), F.col("gl_s")))
+    hist = hist.groupBy(*group, "gl_bin").agg(F.sum("gl_k").alias("gl_k"), F.min("gl_lo").alias("gl_lo"), F.max("gl_hi").alias("gl_hi"), F.collect_set(F.struct("gl_s")).alias("gl_own"), *(F.sum(n).alias(n) for n in sums))
+    every = Window.partitionBy(*group)
+    own = F.array_sort(F.array_distinct(F.flatten(F.collect_set("gl_own").over(every))))
+    hist = hist.withColumns({"gl_own": own, "gl_sums": F.struct(F.sum("gl_k").over(every).alias("gl_n"), *(F.sum(n).over(every).alias(n) for n in sums))}).drop(*sums)
+    at = [(F.col("gl_sums.gl_n") - 1) * F.lit(level / 100) for level in LEVELS]
+    ranks = [r(c).cast("long") for c in at for r in (F.floor, F.ceil)]
+    hist = hist.withColumn("gl_want", F.array(*(F.struct(F.lit(i).alias("i"), r.alias("rank")) for i, r in enumerate(ranks))))
+    carried = [*group, "gl_own", "gl_sums", "gl_want"]
+    found = _wanted(hist, group).select(*carried, "gl_lo", "gl_hi")
+    for last in (False, False, True):
+        cells = F.broadcast(found.select(*(F.col(k).alias(f"gl_k{i}") for i, k in enumerate(keys)), "gl_all", "gl_g", "gl_own", "gl_sums", "gl_want", "gl_lo", "gl_hi", F.explode("gl_own.gl_s").alias("gl_o")))
+        same = F.col("gl_s").eqNullSafe(F.col("gl_o")) & (d >= F.col("gl_lo")) & (d <= F.col("gl_hi"))
+        for i, k in enumerate(keys):
+            same &= F.col(k).eqNullSafe(F.col(f"gl_k{i}"))
+        part = (d - F.col("gl_lo")) / (F.col("gl_hi") - F.col("gl_lo")) * (CELLS - 1)
+        cell = d if last else F.when(F.col("gl_hi") > F.col("gl_lo"), F.floor(part)).otherwise(0)
+        hist = x.select(*keys, "gl_s", "gl_d").join(cells, same).groupBy(*carried, F.col("gl_lo").alias("gl_cell"), cell.alias("gl_bin")).agg(F.count(F.lit(1)).alias("gl_k"), F.min("gl_d").alias("gl_lo"), F.max("gl_d").alias("gl_hi"))
+        found = _wanted(hist, [*group, "gl_cell"]).select(*carried, "gl_lo", "gl_hi")
+    ends = found.select(*keys, "gl_g", "gl_all", "gl_sums", "gl_lo", F.explode("gl_want.i").alias("i")).groupBy(*keys, "gl_g", "gl_all", "gl_sums").agg(*(F.max(F.when(F.col("i") == i, F.col("gl_lo"))).alias(f"gl_{i}") for i in range(2 * len(LEVELS))))
+    levels = []
+    for i, c in enumerate(at):
+        low, high = F.col(f"gl_{2 * i}"), F.col(f"gl_{2 * i + 1}")
+        levels.append(F.when(low == high, low).otherwise((F.ceil(c) - c) * low + (c - F.floor(c)) * high))
+    out = ends.select(*keys, F.col("gl_g").alias(season), "gl_sums.*", F.array(*levels).alias("gl_levels")).withColumn("gl_js", (F.col("gl_p") + F.col("gl_q")) / 2)
     n = F.col("gl_n")
     mean = lambda x: F.col(f"gl_{x}_s") / n
     dev = lambda x, less: F.sqrt(F.greatest(F.lit(0.0), (F.col(f"gl_{x}_ss") - n * mean(x) * mean(x)) / F.when(n > less, n - less)))

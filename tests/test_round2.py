@@ -135,3 +135,41 @@ def test_gaps_are_filled_in_blocks(monkeypatch):
         assert got[i] == np.mean(near) if len(near) >= 2 else np.isnan(got[i])
     # The spans that count: none known, none missing.
     assert np.isnan(series.prefilled(x, y * np.nan)).all() and series.prefilled(x[:0], y[:0]).size == 0
+
+
+@pytest.mark.parametrize("cells", [3, 65_536])
+def test_summary_keeps_no_values(spark, monkeypatch, cells):
+    """No group's values in one place; quantiles of crowded, spread and repeated values are those of a sorted list, without a season and an index as well."""
+    import math
+
+    from gridloom.operators import scores
+
+    monkeypatch.setattr(scores, "CELLS", cells)
+    rows = spark.range(6000).selectExpr(
+        "case when id % 5 > 1 then 'a' when id % 5 = 1 then 'b' end si", "case id % 3 when 0 then 'dry' when 1 then 'wet' end season",
+        "case when id % 5 = 1 then 7e8 + pmod(hash(id), 1000) when id % 7 = 0 then 0e0 else pow(-1, id) * pow(10, pmod(hash(id), 90) / 10) end pre", "case id % 4 when 0 then 0e0 when 1 then 3e0 else -pmod(hash(id, 1), 100000) / 7e0 end post",
+    )
+    out = scores.pre_post_summary(rows, ["si"], "season").select("si", "season", "n", *(f"delta_{level}" for level in scores.LEVELS))
+    assert "percentile" not in out._jdf.queryExecution().optimizedPlan().toString()
+    # An index has one row for all seasons and one for rows without a season; they are told apart by their number.
+    data, got = rows.collect(), {(r["si"], r["season"], r["n"]): r for r in out.collect()}
+    want = {}
+    for si in ("a", "b", None):
+        for every, season in ((True, None), (False, None), (False, "dry"), (False, "wet")):
+            d = sorted(r["pre"] - r["post"] for r in data if r["si"] == si and (every or r["season"] == season))
+            want[si, season or "ALL", len(d)] = d
+    assert got.keys() == want.keys()
+    for k, d in want.items():
+        for level in scores.LEVELS:
+            at = (len(d) - 1) * (level / 100)
+            low, high = d[math.floor(at)], d[math.ceil(at)]
+            x = low if low == high else (math.ceil(at) - at) * low + (at - math.floor(at)) * high
+            assert abs(got[k][f"delta_{level}"] - x) <= 1, (k, level)
+
+
+def test_summary_of_values_without_end(spark, monkeypatch):
+    from gridloom.operators import scores
+
+    rows = spark.sql("SELECT 'a' si, 'dry' season, explode(array(-double('inf'), -1e300, -1e-310, -0e0, 0e0, 5e-324, 12e0, 1.7976931348623157e308, double('inf'))) pre, 0e0 post")
+    monkeypatch.setattr(scores, "LEVELS", (50, 75))
+    assert {tuple(r) for r in scores.pre_post_summary(rows, ["si"], "season").select("season", "n", "delta_50", "delta_75").collect()} == {("ALL", 9, 0, 12), ("dry", 9, 0, 12)}

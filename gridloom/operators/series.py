@@ -266,24 +266,59 @@ def gaussian_process(x: np.ndarray, y: np.ndarray, out: np.ndarray, scale: float
     return y.mean() + k(out, x) @ np.linalg.solve(k(x, x) + noise * np.eye(len(x)), y - y.mean())
 
 
-def double_logistic(x: np.ndarray, y: np.ndarray, out: np.ndarray, steps: int = 40) -> np.ndarray:
-    """Rise and fall by two logistic curves, fitted by damped least squares; a line where it does not fit."""
-    if len(x) < 7:
-        return np.interp(out, x, y)
-    span = float(x[-1] - x[0]) or 1.0
-    f = lambda p, t: p[0] + p[1] * (1 / (1 + np.exp(-np.clip(p[3] * (t - p[2]), -50, 50))) - 1 / (1 + np.exp(-np.clip(p[5] * (t - p[4]), -50, 50))))
-    u, v = (x - x[0]) / span, (out - x[0]) / span
-    p, damp = np.array([y.min(), np.ptp(y), 0.3, 12.0, 0.7, 12.0]), 1e-2
-    best = ((f(p, u) - y) ** 2).sum()
+#: Derivatives that are held at once where double logistic curves are fitted.
+FIT_CELLS = 2_000_000
+
+
+def double_logistic_rows(xs: list[np.ndarray], ys: list[np.ndarray], out: np.ndarray, steps: int = 40) -> np.ndarray:
+    """Rise and fall by two logistic curves, fitted by damped least squares, for many series at once: [series, out]; a line where it does not fit."""
+    z, sizes = np.empty((len(xs), len(out))), np.array([len(x) for x in xs])
+    for n in np.unique(sizes):
+        at = np.flatnonzero(sizes == n)  # series of one length are fitted together
+        step = max(1, FIT_CELLS // (6 * max(int(n), len(out))))
+        for k in range(0, len(at), step):
+            some = at[k : k + step]
+            if n < 7:
+                z[some] = [np.interp(out, xs[i], ys[i]) for i in some]
+            else:
+                z[some] = _double_logistic(np.stack([xs[i] for i in some]), np.stack([ys[i] for i in some]), out, steps)
+    return z
+
+
+def _double_logistic(x: np.ndarray, y: np.ndarray, out: np.ndarray, steps: int) -> np.ndarray:
+    span = (x[:, -1:] - x[:, :1]).astype(float)
+    span[span == 0] = 1.0
+    rise = lambda p, k, t: 1 / (1 + np.exp(-np.clip(p[:, k + 1, None] * (t - p[:, k, None]), -50, 50)))
+    f = lambda p, t: p[:, 0, None] + p[:, 1, None] * (rise(p, 2, t) - rise(p, 4, t))
+    u, v = (x - x[:, :1]) / span, (out - x[:, :1]) / span
+    s = len(x)
+    p = np.stack([y.min(axis=1), np.ptp(y, axis=1), *(np.full(s, c) for c in (0.3, 12.0, 0.7, 12.0))], axis=1)
+    damp, best, moved = np.full(s, 1e-2), ((f(p, u) - y) ** 2).sum(axis=1), np.arange(s)
+    g, down, diag = np.empty((s, 6, 6)), np.empty((s, 6)), np.arange(6)
     for _ in range(steps):
-        j = np.stack([(f(p + e, u) - f(p - e, u)) / (2 * e.max()) for e in np.diag(np.maximum(np.abs(p), 1) * 1e-5)], axis=1)
-        g = j.T @ j
-        q = p + np.linalg.solve(g + damp * np.diag(np.diag(g) + 1e-9), j.T @ (y - f(p, u)))
-        err = ((f(q, u) - y) ** 2).sum()
-        p, best, damp = (q, err, damp / 3) if err < best else (p, best, damp * 4)
+        if len(moved):  # elsewhere the derivatives are those of the step before
+            q, t, e = p[moved], u[moved], np.maximum(np.abs(p[moved]), 1) * 1e-5
+            j = np.empty((*t.shape, 6))
+            for k in range(6):
+                d = np.where(diag == k, e, 0.0)
+                j[:, :, k] = (f(q + d, t) - f(q - d, t)) / (2 * e[:, k, None])
+            g[moved] = j.transpose(0, 2, 1) @ j
+            down[moved] = (j.transpose(0, 2, 1) @ (y[moved] - f(q, t))[:, :, None])[:, :, 0]
+        a = g.copy()
+        a[:, diag, diag] += damp[:, None] * (g[:, diag, diag] + 1e-9)
+        q = p + np.linalg.solve(a, down[:, :, None])[:, :, 0]
+        err = ((f(q, u) - y) ** 2).sum(axis=1)
+        better = err < best
+        moved = np.flatnonzero(better)
+        p[moved], best[moved] = q[moved], err[moved]
+        damp = np.where(better, damp / 3, damp * 4)
     return f(p, v)
 
 
+def double_logistic(x: np.ndarray, y: np.ndarray, out: np.ndarray, steps: int = 40) -> np.ndarray:
+    return double_logistic_rows([x], [y], out, steps)[0]
+
+
 def envelope(x: np.ndarray, y: np.ndarray, out: np.ndarray, passes: int = 3, window: int = 61) -> np.ndarray:
     """Adaptive upper envelope: local fits to values that are lifted to the fit before."""
     z = y.astype(float)
@@ -310,6 +345,8 @@ SMOOTHERS: dict[str, Callable] = {
     "dts": dynamic_temporal, "csp": cubic_spline, "lw": lowess, "wh": whittaker, "ac": envelope, "harm": harmonic,
     "gpr": gaussian_process, "sg": savitzky_golay, "dbl": double_logistic, "linear": linear,
 }
+#: Smoothers that take many series at once.
+MANY: dict[str, Callable] = {"wh": whittaker_rows, "dbl": double_logistic_rows}
 
 
 def spikes(x: np.ndarray, y: np.ndarray, days: int = 120, limit: float = 0.1, rounds: int = 1) -> np.ndarray:
@@ -371,8 +408,8 @@ def _fitted(method: str, xs: list[np.ndarray], ys: list[np.ndarray], days: np.nd
     fit = SMOOTHERS[method]
     long = [i for i, x in enumerate(xs) if len(x) >= least]
     z = [np.interp(days, x, y) if len(x) else np.full(len(days), np.nan) for x, y in zip(xs, ys, strict=True)]
-    if long and method == "wh":
-        for i, row in zip(long, whittaker_rows([xs[i] for i in long], [ys[i] for i in long], days, **options), strict=True):
+    if long and method in MANY:
+        for i, row in zip(long, MANY[method]([xs[i] for i in long], [ys[i] for i in long], days, **options), strict=True):
             z[i] = row
     else:
         for i in long:
@@ -438,24 +475,26 @@ def spatio_temporal(df: DataFrame, keys: list[str], value: str = "value", day: s
     return rows.withColumn(value, F.when(F.col(value).isNotNull(), total / weights)).drop(*names)
 
 
-def smoothed(df: DataFrame, keys: list[str], out_dates: list[date], method: str = "wh", value: str = "value", day: str = "date", least: int = 3, **options) -> DataFrame:
+def smoothed(df: DataFrame, keys: list[str], out_dates: list[date], method: str = "wh", value: str = "value", day: str = "date", least: int = 3, parts: int | None = None, **options) -> DataFrame:
     """Series on regular days: keys, date, value.
 
     Each series is one row with two arrays, so the Python side gets whole
-    batches of series and no group is a call of its own.
+    batches of series and no group is a call of its own. Series go to
+    ``parts`` tasks (None: by the number of rows, which are counted): their
+    bytes are few, so Spark by itself would put the fits of all in one task.
     """
     days = np.array([d.toordinal() for d in out_dates], np.int64)
-    epoch = date(1970, 1, 1).toordinal()
+    epoch, step = date(1970, 1, 1).toordinal(), 4000 if method == "dbl" else 500
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for at in range(0, len(b), 500):
-                some = b.iloc[at : at + 500]
+            for at in range(0, len(b), step):
+                some = b.iloc[at : at + step]
                 xs, ys = [np.asarray(x, np.int64) + epoch for x in some["gl_x"]], [np.asarray(y, float) for y in some["gl_y"]]
                 yield some[keys].assign(gl_z=_fitted(method, xs, ys, days, least, **options))
 
     pairs = F.sort_array(F.collect_list(F.struct(F.unix_date(day).alias("x"), F.col(value).cast("double").alias("y"))))
-    rows = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(pairs.alias("p")).select(*keys, F.col("p.x").alias("gl_x"), F.col("p.y").alias("gl_y"))
+    rows = df.filter(F.col(value).isNotNull()).repartition(parts or tasks(df), *keys).groupBy(*keys).agg(pairs.alias("p")).select(*keys, F.col("p.x").alias("gl_x"), F.col("p.y").alias("gl_y"))
     schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     out = rows.mapInPandas(run, schema + ", gl_z array<double>")
     dates = F.array(*(F.lit(d) for d in out_dates))

@@ -173,3 +173,37 @@ def test_summary_of_values_without_end(spark, monkeypatch):
     rows = spark.sql("SELECT 'a' si, 'dry' season, explode(array(-double('inf'), -1e300, -1e-310, -0e0, 0e0, 5e-324, 12e0, 1.7976931348623157e308, double('inf'))) pre, 0e0 post")
     monkeypatch.setattr(scores, "LEVELS", (50, 75))
     assert {tuple(r) for r in scores.pre_post_summary(rows, ["si"], "season").select("season", "n", "delta_50", "delta_75").collect()} == {("ALL", 9, 0, 12), ("dry", 9, 0, 12)}
+
+
+def test_curves_of_many_series_are_fitted_together(monkeypatch):
+    """One solution a step and length for all series, with the values of single fits."""
+    import numpy as np
+
+    from gridloom.operators import series
+
+    r = np.random.default_rng(8)
+    xs = [np.sort(r.choice(400, n, replace=False)) for n in (5, 7, 20, 33) for _ in range(30)]
+    ys = [2000 + 900 * np.sin(x / 58) + r.integers(0, 1500, len(x)) for x in xs]
+    out = np.arange(0, 400, 25)
+    calls, plain = [], np.linalg.solve
+    monkeypatch.setattr(np.linalg, "solve", lambda *a: calls.append(1) or plain(*a))
+    got = series._fitted("dbl", xs, ys, out, 3)
+    assert len(calls) <= 3 * 40
+    monkeypatch.setattr(series, "FIT_CELLS", 1000)  # few series at once
+    for x, y, z in zip(xs, ys, got, strict=True):
+        assert np.allclose(series.double_logistic(x, y, out), z, rtol=1e-9)
+    # The fit itself, by its own formula: no worse than the first guess.
+    u, y, z = (xs[-1] - xs[-1][0]) / (xs[-1][-1] - xs[-1][0]), ys[-1], series.double_logistic(xs[-1], ys[-1], xs[-1])
+    guess = y.min() + np.ptp(y) * (1 / (1 + np.exp(-12 * (u - 0.3))) - 1 / (1 + np.exp(-12 * (u - 0.7))))
+    assert ((z - y) ** 2).sum() < ((guess - y) ** 2).sum()
+
+
+@pytest.mark.parametrize("method", ["dbl", "sg"])
+def test_smoothed_series_are_dealt_out(spark, monkeypatch, method):
+    """The bytes of series are few, the work is not."""
+    from gridloom.operators import series
+
+    monkeypatch.setattr(series, "TASK_ROWS", 50)
+    df = QUERIES[f"op_R4_smooth_{method}"](spark, "/root/testdata/sf0.001")
+    n = spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    assert df.rdd.getNumPartitions() == n // 50 + 1
